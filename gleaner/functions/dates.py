@@ -64,81 +64,71 @@ def label(local: Column | str, granularity: Column | None = None) -> Column:
     return F.when(granularity == "date", F.date_format(c, "yyyy-MM-dd")).otherwise(full)
 
 
-def _int(t: Column, pattern: str, group: int) -> Column:
-    return F.regexp_extract(t, pattern, group).try_cast("int")
+def _wall_clock(t: Column) -> Column:
+    """``y-M-d[ h:m[:s]]`` as a wall-clock time; impossible dates and other text are null."""
+    return t.try_cast("timestamp_ntz")
 
 
-def _stamp(y: Column, mo: Column, d: Column, h: Column | None = None, mi: Column | None = None, s: Column | None = None) -> Column:
-    zero = F.lit(0)
-    parts = [y, mo, d, zero if h is None else h, zero if mi is None else mi, zero if s is None else s]
-    return F.call_function("try_make_timestamp_ntz", *parts)
+def _month_number(name: Column) -> Column:
+    """Month of an English name, short or full, as text; null for other words."""
+    names = {m[:3]: i for i, m in enumerate(MONTHS, 1)} | {m: i for i, m in enumerate(MONTHS, 1)}
+    table = F.create_map(*[F.lit(x) for m, i in names.items() for x in (m, str(i))])
+    return F.try_element_at(table, F.lower(name))
 
 
-def _month(name: Column, short_only: bool = False) -> Column:
-    low = F.lower(name)
-    short = F.array_position(F.array(*[F.lit(m[:3]) for m in MONTHS]), low)
-    full = F.array_position(F.array(*[F.lit(m) for m in MONTHS]), low)
-    return F.nullif(F.greatest(short, full), F.lit(0)).cast("int")
+def _utc(local: Column, offset_minutes: Column, tz: Column) -> Column:
+    """Shift by a stated offset, or from the zone when none is stated."""
+    shifted = local - minutes(F.coalesce(offset_minutes, F.lit(0)))
+    return from_zone(shifted, F.when(offset_minutes.isNull(), tz).otherwise(F.lit("UTC")))
 
 
-def _offset_minutes(t: Column) -> Column:
-    """Minutes east of UTC for ``Z``, ``+09:00`` or ``-0500``; null without a zone."""
-    sign = F.when(t.startswith("-"), F.lit(-1)).otherwise(F.lit(1))
-    hh = F.regexp_extract(t, r"^[+-](\d{2}):?(\d{2})$", 1).try_cast("int")
-    mm = F.regexp_extract(t, r"^[+-](\d{2}):?(\d{2})$", 2).try_cast("int")
-    return F.when(t == "Z", F.lit(0)).otherwise(sign * (hh * 60 + mm))
-
-
-ISO = (
-    r"^(\d{4})-?(\d{2})-?(\d{2})(?:[T ](\d{2})(?::?(\d{2})(?::?(\d{2})(?:[.,]\d{1,9})?)?)?"
-    r"(Z|[+-]\d{2}:?\d{2})?)?$"
-)
+ISO_TIME = r"(?:[T ]\d{2}(?::?\d{2}(?::?\d{2}(?:[.,]\d{1,9})?)?)?(?:Z|[+-]\d{2}:?\d{2})?)?"
+ISO = rf"^\d{{4}}(?:-\d{{2}}-\d{{2}}|\d{{4}}){ISO_TIME}$"
+ISO_OFFSET = r"(?<=[T ].{2,20})(Z|[+-]\d{2}:?\d{2})$"
 MAIL = (
-    r"^(?:[A-Za-z]{3,9},?\s+)?(\d{1,2})[ -]([A-Za-z]{3,9})[ -](\d{4}|\d{2})\s+(\d{1,2}):(\d{2})(?::(\d{2}))?"
+    r"^(?:[A-Za-z]{3,9},?\s+)?(\d{1,2})[ -]([A-Za-z]{3,9})[ -](\d{4}|\d{2})\s+(\d{1,2}:\d{2}(?::\d{2})?)"
     r"\s*([+-]\d{4}|[A-Za-z]{1,5})?$"
 )
+PLAIN = r"^\d{4}-\d{1,2}-\d{1,2}(?: \d{1,2}:\d{1,2}(?::\d{1,2})?)?$"
+
+
+def _offset(zone: Column) -> Column:
+    """Minutes east of UTC for ``+09:00`` or ``-0500``; null for other text."""
+    digits = F.regexp_replace(zone, "[+:-]", "").try_cast("int")
+    size = (F.floor(digits / 100) * 60 + digits % 100).cast("int")
+    return F.when(zone.startswith("-"), -size).otherwise(size)
 
 
 def parse_iso_utc(c: Column | str, tz: Column) -> Column:
-    """ISO 8601; text without an offset is in ``tz``."""
-    t = strip(text(c))
-    local = _stamp(
-        _int(t, ISO, 1), _int(t, ISO, 2), _int(t, ISO, 3),
-        F.coalesce(_int(t, ISO, 4), F.lit(0)), F.coalesce(_int(t, ISO, 5), F.lit(0)),
-        F.coalesce(_int(t, ISO, 6), F.lit(0)),
-    )
-    offset = _offset_minutes(F.regexp_extract(t, ISO, 7))
-    return F.when(offset.isNotNull(), local - minutes(offset)).otherwise(from_zone(local, tz))
+    """ISO 8601, extended or compact; text without an offset is in ``tz``."""
+    t = F.regexp_substr(strip(text(c)), F.lit(ISO))
+    zone = F.replace(F.regexp_substr(t, F.lit(ISO_OFFSET)), F.lit("Z"), F.lit("+00:00"))
+    body = F.regexp_replace(t, ISO_OFFSET, "")
+    body = F.regexp_replace(body, r"^(\d{4})(\d{2})(\d{2})", "$1-$2-$3")
+    body = F.regexp_replace(body, r"[T ](\d{2}):?(\d{2}):?", " $1:$2:")
+    return _utc(_wall_clock(F.rtrim(F.replace(body, F.lit(","), F.lit(".")), F.lit(":"))), _offset(zone), tz)
 
 
 def parse_mail_utc(c: Column | str, tz: Column) -> Column:
     """Mail-style dates; an unknown or missing zone, and ``-0000``, read as ``tz``."""
-    t = strip(text(c))
-    year = _int(t, MAIL, 3)
-    full_year = F.when(year < 69, year + 2000).when(year < 100, year + 1900).otherwise(year)
-    local = _stamp(
-        full_year, _month(F.regexp_extract(t, MAIL, 2)), _int(t, MAIL, 1), _int(t, MAIL, 4), _int(t, MAIL, 5),
-        F.coalesce(_int(t, MAIL, 6), F.lit(0)),
-    )
-    zone = F.upper(F.regexp_extract(t, MAIL, 7))
+    t = F.regexp_substr(strip(text(c)), F.lit(MAIL))
+    month = _month_number(F.regexp_extract(t, MAIL, 2))
+    short_year = F.regexp_extract(t, MAIL, 3)
+    century = F.when(F.length(short_year) == 4, F.lit("")).when(short_year < "69", F.lit("20")).otherwise(F.lit("19"))
+    local = F.concat(century, F.replace(F.regexp_replace(t, MAIL, "$3-@-$1 $4"), F.lit("@"), month))
+    zone = F.upper(F.regexp_extract(t, MAIL, 5))
     named = F.create_map(*[F.lit(x) for kv in MAIL_ZONES.items() for x in kv])
-    offset = F.when(zone == "-0000", F.lit(None).cast("int")).otherwise(
-        F.coalesce(F.try_element_at(named, zone), _offset_minutes(F.when(zone == "Z", F.lit("+0000")).otherwise(zone)))
+    offset = F.coalesce(
+        F.try_element_at(named, zone), F.when(zone.rlike("^[+-]") & (zone != "-0000"), _offset(zone))
     )
-    return F.when(offset.isNotNull(), local - minutes(offset)).otherwise(from_zone(local, tz))
+    return _utc(_wall_clock(local), offset, tz)
 
 
 def parse_flexible_utc(c: Column | str, tz: Column, granularity: Column) -> Column:
     """ISO, else three plain formats, else mail style. Date granularity cuts only the plain formats."""
     t = strip(text(c))
-    plain = F.translate(t, "年月/日", "---")
-    plain = F.regexp_replace(plain, K.WS + "+", " ")
-    shape = r"^(\d{4})-(\d{1,2})-(\d{1,2})(?: (\d{1,2}):(\d{1,2})(?::(\d{1,2}))?)?$"
-    local = _stamp(
-        _int(plain, shape, 1), _int(plain, shape, 2), _int(plain, shape, 3),
-        F.coalesce(_int(plain, shape, 4), F.lit(0)), F.coalesce(_int(plain, shape, 5), F.lit(0)),
-        F.coalesce(_int(plain, shape, 6), F.lit(0)),
-    )
+    plain = F.regexp_replace(F.translate(t, "年月/日", "---"), K.WS + "+", " ")
+    local = _wall_clock(F.regexp_substr(plain, F.lit(PLAIN)))
     cut = F.when(granularity == "date", F.date_trunc("day", local).cast("timestamp_ntz")).otherwise(local)
     return F.coalesce(parse_iso_utc(t, tz), from_zone(cut, tz), parse_mail_utc(t, tz))
 
@@ -146,29 +136,27 @@ def parse_flexible_utc(c: Column | str, tz: Column, granularity: Column) -> Colu
 def parse_date_text_local(c: Column | str, tz: Column, granularity: Column) -> Column:
     """First date found anywhere in the text, by six shapes in order, then ISO; null when none."""
     t = strip(text(c))
-    numeric_time = r"(\d{4})[/-](\d{1,2})[/-](\d{1,2})\s+(\d{1,2}):(\d{2})"
-    kanji_time = r"(\d{4})年(\d{1,2})月(\d{1,2})日\s*(\d{1,2}):(\d{2})?"
-    numeric = r"(\d{4})[/-](\d{1,2})[/-](\d{1,2})"
-    kanji = r"(\d{4})年(\d{1,2})月(\d{1,2})日"
     day_first = r"(\d{1,2})\s+([A-Za-z]+)\s+(\d{4})"
     month_first = r"([A-Za-z]+)\s+(\d{1,2}),\s*(\d{4})"
 
-    def i(p: str, g: int) -> Column:
-        return _int(t, p, g)
+    def shape(pattern: str) -> Column:
+        return F.regexp_substr(t, F.lit(pattern))
+
+    def named(pattern: str, day: int, month: int, year: int) -> Column:
+        part = shape(pattern)
+        return F.replace(
+            F.regexp_replace(part, pattern, f"${year}-@-${day}"), F.lit("@"), _month_number(F.regexp_extract(part, pattern, month))
+        )
 
+    numeric_time = F.translate(shape(r"\d{4}[/-]\d{1,2}[/-]\d{1,2}\s+\d{1,2}:\d{2}"), "/", "-")
+    kanji_time = F.translate(shape(r"\d{4}年\d{1,2}月\d{1,2}日\s*\d{1,2}:(?:\d{2})?"), "年月日", "-- ")
     found = F.coalesce(
-        _stamp(i(numeric_time, 1), i(numeric_time, 2), i(numeric_time, 3), i(numeric_time, 4), i(numeric_time, 5)),
-        F.when(
-            i(kanji_time, 4).isNotNull(),
-            _stamp(
-                i(kanji_time, 1), i(kanji_time, 2), i(kanji_time, 3), i(kanji_time, 4),
-                F.coalesce(i(kanji_time, 5), F.lit(0)),
-            ),
-        ),
-        _stamp(i(numeric, 1), i(numeric, 2), i(numeric, 3)),
-        _stamp(i(kanji, 1), i(kanji, 2), i(kanji, 3)),
-        _stamp(i(day_first, 3), _month(F.regexp_extract(t, day_first, 2)), i(day_first, 1)),
-        _stamp(i(month_first, 3), _month(F.regexp_extract(t, month_first, 1)), i(month_first, 2)),
+        _wall_clock(F.regexp_replace(numeric_time, r"\s+", " ")),
+        _wall_clock(F.regexp_replace(F.regexp_replace(kanji_time, r"\s+", " "), ":$", ":00")),
+        _wall_clock(F.translate(shape(r"\d{4}[/-]\d{1,2}[/-]\d{1,2}"), "/", "-")),
+        _wall_clock(F.translate(shape(r"\d{4}年\d{1,2}月\d{1,2}日"), "年月日", "--")),
+        _wall_clock(named(day_first, 1, 2, 3)),
+        _wall_clock(named(month_first, 2, 1, 3)),
     )
     cut = F.when(granularity == "date", F.date_trunc("day", found).cast("timestamp_ntz")).otherwise(found)
     return F.coalesce(cut, to_zone(parse_iso_utc(t, tz), tz))
