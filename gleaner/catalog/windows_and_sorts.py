@@ -31,8 +31,7 @@ SCORED = f"scored AS (SELECT *, {s_bucket('lower(title || body)')} AS score FROM
 
 
 def scored(spark, sf_dir):
-    a = art(spark, sf_dir)
-    return a.withColumn("score", rules.bucket_score(F.concat("title", "body")))
+    return rules.with_bucket_score(art(spark, sf_dir), F.concat("title", "body"))
 
 
 @query("bucket_score", f"WITH {{art}}, {SCORED} SELECT article_id, score FROM scored")
@@ -53,8 +52,7 @@ TOPICS = f"""topic_text AS (SELECT *, title || '  ' || body AS t, lower(title ||
 
 
 def topics(spark, sf_dir):
-    a = art(spark, sf_dir)
-    return a.withColumn("topic", rules.topic_score(F.col("title"), F.lit(""), F.col("body")))
+    return rules.with_topic_score(art(spark, sf_dir), F.col("title"), F.lit(""), F.col("body"))
 
 
 @query("topic_score", f"WITH {{art}}, {TOPICS} SELECT article_id, topic_score, reason FROM topic_scores")

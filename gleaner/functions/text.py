@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -14,6 +14,20 @@ def as_col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """Bind a value once, so an expression that uses it many times stays small."""
+    return F.try_element_at(F.transform(F.array(value), body), F.lit(1))
+
+
+def fence(value: Column) -> Column:
+    """Compute a costly column once where it stands.
+
+    The optimizer copies a deterministic expression into every filter above it, down to the scan. A condition it
+    cannot see through (always true) keeps the value, and the filters on it, in place.
+    """
+    return F.when(F.monotonically_increasing_id() >= 0, value)
+
+
 def quote(term: str) -> str:
     """Escape a literal for a Java/RE2 pattern."""
     return "".join("\\" + ch if ch in r"\.^$|?*+()[]{}-/&#~" else ch for ch in term)
@@ -25,6 +39,7 @@ def any_of(terms: Iterable[str]) -> str:
 
 def java_pattern(pattern: str) -> str:
     """Spell out the Unicode reading of ``\\d``, ``\\s`` and ``.`` for Java's ASCII classes."""
+    pattern = pattern.removeprefix(".*").removesuffix(".*")  # a search finds the same without them
     inside_class = r"\s\p{Z}\x{b}\x{1c}-\x{1f}\x{85}"
     out = pattern.replace(r"[^\s]", f"[^{inside_class}]").replace(r"\d", r"\p{Nd}").replace(r"\s", K.WS)
     # restore the class body that the previous replace expanded

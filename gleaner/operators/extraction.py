@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gleaner.functions import dates as D
 from gleaner.functions import html as H
 from gleaner.functions import urls as U
-from gleaner.functions.text import strip, text
+from gleaner.functions.text import fence, let, strip, text
 
 
 def _candidate(kind: Column, selector: Column) -> Column:
@@ -57,11 +55,6 @@ def _candidate(kind: Column, selector: Column) -> Column:
     )
 
 
-def _let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """Bind an intermediate result once, so the nested use stays small."""
-    return F.try_element_at(F.transform(F.array(value), body), F.lit(1))
-
-
 def _attempt(a: Column, selector: Column) -> Column:
     """Outcome of one ``(kind, pattern)``: the pattern picks the date text, except for direct times."""
     kind, pattern = a["kind"], a["pattern"]
@@ -77,7 +70,7 @@ def _attempt(a: Column, selector: Column) -> Column:
         )
         date_text = F.when(cand["direct"], cand["text"]).otherwise(matched)
         granularity = F.when(cand["direct"], F.lit("datetime")).otherwise(F.col("date_granularity"))
-        return _let(
+        return let(
             F.struct(date_text.alias("text"), D.parse_flexible_utc(date_text, tz, granularity).alias("utc")),
             lambda d: F.struct(
                 d["utc"].alias("utc"),
@@ -97,7 +90,7 @@ def _attempt(a: Column, selector: Column) -> Column:
         F.lit(None).cast("string").alias("day"),
         F.when(F.col("_rss_utc").isNull(), F.lit("rss datetime not found")).alias("reason"),
     )
-    return F.when(kind == "rss", rss).otherwise(_let(_candidate(kind, selector), outcome))
+    return F.when(kind == "rss", rss).otherwise(let(_candidate(kind, selector), outcome))
 
 
 def extract_datetime_by_rule(df: DataFrame) -> DataFrame:
@@ -139,7 +132,7 @@ def extract_datetime_by_rule(df: DataFrame) -> DataFrame:
         F.struct(F.col("date_source_type").alias("kind"), own.alias("pattern")),
         F.struct(F.col("fallback_date_source_type").alias("kind"), F.when(other != "", other).otherwise(own).alias("pattern")),
     )
-    resolved = filled.select(*kept, F.transform(pairs, lambda a: _attempt(a, selector)).alias("_tries"))
+    resolved = filled.select(*kept, fence(F.transform(pairs, lambda a: _attempt(a, selector))).alias("_tries"))
     first, second = F.col("_tries")[0], F.col("_tries")[1]
     has_fallback = text("fallback_date_source_type") != ""
     first_ok, second_ok = first["utc"].isNotNull(), has_fallback & second["utc"].isNotNull()

@@ -57,13 +57,15 @@ def pre_exclude_reason(
 
 def exclude_topics(full: Column) -> Column:
     """Names of off-topic subjects found, sorted and joined; empty when none."""
-    found = F.array_sort(
-        F.array_compact(
-            F.array(*[F.when(T.contains_any(full, terms), F.lit(name)) for name, terms in K.EXCLUDE_TOPICS.items()])
-        )
+
+    def topics(f: Column) -> Column:
+        named = [F.when(T.contains_any(f, terms), F.lit(name)) for name, terms in K.EXCLUDE_TOPICS.items()]
+        return F.array_join(F.array_sort(F.array_compact(F.array(*named))), "、")
+
+    return T.let(
+        T.let(full, topics),
+        lambda r: F.when(r == K.ONLY_PERSONNEL_TOPIC, F.lit(K.ONLY_PERSONNEL_REASON)).otherwise(r),
     )
-    joined = F.array_join(found, "、")
-    return F.when(joined == K.ONLY_PERSONNEL_TOPIC, F.lit(K.ONLY_PERSONNEL_REASON)).otherwise(joined)
 
 
 def exclude_by_body_reason(title: Column, body: Column) -> Column:

@@ -41,7 +41,7 @@ def with_body_metrics(df: DataFrame, body: str, out: str = "metrics", clean: str
         ratio(_repeated_lines(ls), n, None).alias("duplicate_line_ratio"),
         ratio(linkish, n).alias("link_text_ratio"),
     )
-    return staged.withColumn(out, measures).drop("_lines")
+    return staged.withColumn(out, T.fence(measures)).drop("_lines")
 
 
 def is_navigation_text(m: Column) -> Column:
@@ -64,9 +64,12 @@ def is_navigation_text(m: Column) -> Column:
 
 def is_navigation_body(body: Column | str) -> Column:
     """Scoring gate: such a body is not scored."""
-    b = T.strip(T.text(body))
-    hits = T.count_occurrences(b, K.SCORING_NAV_TERMS)
-    return (b != "") & ((hits >= 2) | ((T.count_occurrences(b, ["。"]) <= 1) & (F.length(b) > 150)))
+
+    def listing(b: Column) -> Column:
+        hits = T.count_occurrences(b, K.SCORING_NAV_TERMS)
+        return (b != "") & ((hits >= 2) | ((T.count_occurrences(b, ["。"]) <= 1) & (F.length(b) > 150)))
+
+    return T.let(T.strip(T.text(body)), listing)
 
 
 def is_navigation_for_store(body: Column | str) -> Column:
@@ -158,7 +161,7 @@ def validate_body(
         )
         .otherwise(F.lit(""))
     )
-    return staged.withColumn("rejection_reason", reason)
+    return staged.withColumn("rejection_reason", T.fence(reason))
 
 
 def accept_body(body: Column, page_text: Column, title: Column, selector: Column, rejection: Column, excluded: Column) -> Column:

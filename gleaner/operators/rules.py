@@ -25,41 +25,56 @@ def bucket_score(c: Column) -> Column:
 
     Keywords are compared as written with lower-cased text, so those holding capitals never match.
     """
-    low = F.lower(c)
     words = [w for bucket in K.IMPORTANCE_BUCKETS.values() for w in bucket]
-    points = F.lit(0)
-    for w in words:
-        if w.isascii() and w.isalpha():
-            hit = low.rlike(rf"(?:^|{K.NOT_WORD}){w}(?:$|{K.NOT_WORD})")
-        else:
-            hit = F.contains(low, F.lit(w))
-        points = points + hit.cast("int")
-    return F.least(F.lit(3), points)
+
+    def points(low: Column) -> Column:
+        total = F.lit(0)
+        for w in words:
+            if w.isascii() and w.isalpha():
+                hit = low.rlike(rf"(?:^|{K.NOT_WORD}){w}(?:$|{K.NOT_WORD})")
+            else:
+                hit = F.contains(low, F.lit(w))
+            total = total + hit.cast("int")
+        return F.least(F.lit(3), total)
+
+    return T.let(F.lower(c), points)
+
+
+def with_bucket_score(df: DataFrame, c: Column, out: str = "score") -> DataFrame:
+    return df.withColumn(out, T.fence(bucket_score(c)))
+
+
+def with_topic_score(df: DataFrame, title: Column, section: Column, body: Column, out: str = "topic") -> DataFrame:
+    return df.withColumn(out, T.fence(topic_score(title, section, body)))
 
 
 def topic_score(title: Column, section: Column, body: Column) -> Column:
     """Struct of score (0 to 100), reason and the matched topics and companies."""
+    weights = F.create_map(*[F.lit(x) for kv in K.TOPIC_WEIGHTS.items() for x in kv])
+
+    def judge(v: Column) -> Column:
+        topics = F.filter(F.map_keys(weights), lambda k: F.contains(v["low"], F.lower(k)))
+        companies = T.hits_of(v["text"], K.TOPIC_COMPANIES)
+        minus = T.count_terms(v["text"], K.TOPIC_NEGATIVES) * K.NEGATIVE_WEIGHT
+
+        def result(f: Column) -> Column:
+            plus = F.aggregate(f["topics"], F.lit(0), lambda acc, t: acc + F.element_at(weights, t))
+            why = F.concat(
+                F.transform(f["topics"], lambda t: F.concat(F.lit("topic:"), t)),
+                F.transform(f["companies"], lambda t: F.concat(F.lit("company:"), t)),
+            )
+            raw = plus + F.size(f["companies"]) * K.COMPANY_WEIGHT - f["minus"]
+            return F.struct(
+                F.greatest(F.lit(0), F.least(F.lit(100), raw)).alias("score"),
+                F.when(F.size(why) == 0, F.lit(K.NO_TOPIC_REASON)).otherwise(F.array_join(why, "; ")).alias("reason"),
+                f["topics"].alias("topics"),
+                f["companies"].alias("companies"),
+            )
+
+        return T.let(F.struct(topics.alias("topics"), companies.alias("companies"), minus.alias("minus")), result)
+
     text = F.concat_ws(" ", T.text(title), T.text(section), T.text(body))
-    low = F.lower(text)
-    topics = F.array_compact(
-        F.array(*[F.when(F.contains(low, F.lit(k.lower())), F.lit(k)) for k in K.TOPIC_WEIGHTS])
-    )
-    companies = T.hits_of(text, K.TOPIC_COMPANIES)
-    raw = F.lit(0)
-    for k, w in K.TOPIC_WEIGHTS.items():
-        raw = raw + F.contains(low, F.lit(k.lower())).cast("int") * w
-    raw = raw + F.size(companies) * K.COMPANY_WEIGHT - T.count_terms(text, K.TOPIC_NEGATIVES) * K.NEGATIVE_WEIGHT
-    why = F.concat(
-        F.transform(topics, lambda t: F.concat(F.lit("topic:"), t)),
-        F.transform(companies, lambda t: F.concat(F.lit("company:"), t)),
-    )
-    joined = F.array_join(why, "; ")
-    return F.struct(
-        F.greatest(F.lit(0), F.least(F.lit(100), raw)).alias("score"),
-        F.when(joined == "", F.lit(K.NO_TOPIC_REASON)).otherwise(joined).alias("reason"),
-        topics.alias("topics"),
-        companies.alias("companies"),
-    )
+    return T.let(F.struct(text.alias("text"), F.lower(text).alias("low")), judge)
 
 
 # ---- rules as data ----------------------------------------------------------------------------
@@ -91,19 +106,20 @@ def matches_inline(df: DataFrame, rules: DataFrame) -> DataFrame:
             T.keyword_hits(target, r["negative_keywords"]).alias("negative_hits"),
         )
 
-    judged = F.transform(packed, judge)
+    judged = F.transform("_rules", judge)
     hit = F.filter(judged, lambda m: (F.size(m["positive_hits"]) > 0) | (F.size(m["negative_hits"]) > 0))
-    return df.withColumn("matches", F.coalesce(hit, F.array()))
+    return df.withColumn("_rules", packed).withColumn("matches", T.fence(F.coalesce(hit, F.array()))).drop("_rules")
 
 
-def _grams(c: Column, size: int) -> Column:
-    """Distinct character runs of one length."""
-    chars = F.split(c, "")
-    last = F.size(chars) - size
-    runs = F.transform(
-        F.sequence(F.lit(0), F.greatest(last, F.lit(0))), lambda i: F.array_join(F.slice(chars, i + 1, F.lit(size)), "")
-    )
-    return F.array_distinct(F.when(last >= 0, runs).otherwise(F.array().cast("array<string>")))
+def _runs(c: Column) -> Column:
+    """Distinct character runs of one to ``GRAM`` characters."""
+
+    def of_size(chars: Column, size: int) -> Column:
+        last = F.size(chars) - size
+        starts = F.when(last >= 0, F.sequence(F.lit(1), F.greatest(last + 1, F.lit(1)))).otherwise(F.array().cast("array<int>"))
+        return F.transform(starts, lambda i: F.array_join(F.slice(chars, i, F.lit(size)), ""))
+
+    return T.let(F.split(c, ""), lambda chars: F.array_distinct(F.concat(*[of_size(chars, n) for n in range(1, GRAM + 1)])))
 
 
 def matches_joined(df: DataFrame, rules: DataFrame, key: str) -> DataFrame:
@@ -120,8 +136,7 @@ def matches_joined(df: DataFrame, rules: DataFrame, key: str) -> DataFrame:
 
     keywords = words("keywords", "positive").unionByName(words("negative_keywords", "negative"))
     keywords = keywords.withColumn("gram", F.left("low", F.lit(GRAM)))
-    runs = F.concat(*[_grams(F.col("_both"), n) for n in range(1, GRAM + 1)])
-    grams = df.select(key, F.explode(runs).alias("gram"))
+    grams = df.select(key, F.explode(_runs(F.col("_both"))).alias("gram"))
     wanted = keywords.select("gram").distinct()
     pairs = grams.join(wanted, "gram", "left_semi").join(keywords, "gram").drop("gram")
     checked = pairs.join(df.select(key, "_title", "_body", "_both"), key).where(
@@ -177,10 +192,10 @@ def score(df: DataFrame, min_report_score: float = 5.0, source_title: str = "sou
     negatives = F.flatten(
         F.transform(m, lambda r: F.transform(r["negative_hits"], lambda h: F.concat(r["tag_name"], F.lit(":"), h)))
     )
-    by_type = {
-        column: tags(F.filter(positive, lambda r, kind=kind: r["rule_type"] == kind))
-        for kind, column in K.RULE_TAG_COLUMNS.items()
-    }
+    def of_type(kind: str) -> Column:
+        return tags(F.filter(positive, lambda r: r["rule_type"] == kind))
+
+    by_type = {column: of_type(kind) for kind, column in K.RULE_TAG_COLUMNS.items()}
     top = F.coalesce(F.array_max(F.transform(positive, lambda r: r["priority"])), F.lit(0))
     off_topic = exclude_topics(F.concat_ws("\n", T.text(source_title), T.text(page_title), T.text("clean_body")))
     scored = df.withColumns(
@@ -191,7 +206,7 @@ def score(df: DataFrame, min_report_score: float = 5.0, source_title: str = "sou
             "matched_rules": tags(positive),
             "negative_matches": negatives,
             "score_breakdown": breakdown,
-            "exclude_reason": off_topic,
+            "exclude_reason": T.fence(off_topic),
             **by_type,
         }
     )
