@@ -187,8 +187,8 @@ _TOPIC_CASE = ", ".join(
     "CASE WHEN " + " OR ".join(f"contains(f, {sql_text(t)})" for t in terms) + f" THEN {sql_text(n)} END"
     for n, terms in K.EXCLUDE_TOPICS.items()
 )
-RULE_SCORE = f"""firsts AS (SELECT article_id, tag, min(rule_ord) AS at FROM hit WHERE len(pos) > 0 AND tag <> '' GROUP BY ALL),
-    tag_list AS (SELECT article_id, string_agg(tag, '、' ORDER BY at) AS tags FROM firsts GROUP BY 1),
+RULE_SCORE = f"""firsts AS (SELECT article_id, tag, min(rule_ord) AS first_at FROM hit WHERE len(pos) > 0 AND tag <> '' GROUP BY ALL),
+    tag_list AS (SELECT article_id, string_agg(tag, '、' ORDER BY first_at) AS tags FROM firsts GROUP BY 1),
     sums AS (SELECT article_id, sum(CASE WHEN len(pos) > 0 THEN weight ELSE 0 END - CASE WHEN len(neg) > 0 THEN abs(weight) ELSE 0 END) AS score,
       greatest(0, coalesce(max(CASE WHEN len(pos) > 0 THEN priority END), 0)) AS priority,
       coalesce(string_agg(CASE WHEN len(neg) > 0 THEN array_to_string(list_transform(neg, lambda h: tag || ':' || h), '|') END, '|' ORDER BY rule_ord), '') AS negatives,
