@@ -97,7 +97,10 @@ ART_START = "2024-01-01 00:00:00"
 
 def art(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Articles: one row per document."""
-    d = table(spark, sf_dir, "documents")
+    return articles_of(table(spark, sf_dir, "documents"))
+
+
+def articles_of(d: DataFrame) -> DataFrame:
     n = F.col("doc_id")
     first_line = F.substring_index("text", "\n", 1)
     snippet, extra = pick(n, TITLES), pick(F.floor(n / 3), BODIES)

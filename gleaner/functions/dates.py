@@ -55,13 +55,24 @@ def hours(n: Column) -> Column:
     return n * F.expr("INTERVAL '1' HOUR")
 
 
+def minute_text(local: Column | str) -> Column:
+    """``yyyy-MM-dd HH:mm``; read from the value itself, so the session zone plays no part."""
+    return F.left(as_col(local).cast("string"), F.lit(16))
+
+
+def day_text(local: Column | str) -> Column:
+    return F.left(as_col(local).cast("string"), F.lit(10))
+
+
+def midnight(local: Column) -> Column:
+    return local.cast("date").cast("timestamp_ntz")
+
+
 def label(local: Column | str, granularity: Column | None = None) -> Column:
     """``yyyy-MM-dd HH:mm``, or the date alone for date granularity."""
-    c = as_col(local)
-    full = F.date_format(c, "yyyy-MM-dd HH:mm")
     if granularity is None:
-        return full
-    return F.when(granularity == "date", F.date_format(c, "yyyy-MM-dd")).otherwise(full)
+        return minute_text(local)
+    return F.when(granularity == "date", day_text(local)).otherwise(minute_text(local))
 
 
 def _wall_clock(t: Column) -> Column:
@@ -129,7 +140,7 @@ def parse_flexible_utc(c: Column | str, tz: Column, granularity: Column) -> Colu
     t = strip(text(c))
     plain = F.regexp_replace(F.translate(t, "年月/日", "---"), K.WS + "+", " ")
     local = _wall_clock(F.regexp_substr(plain, F.lit(PLAIN)))
-    cut = F.when(granularity == "date", F.date_trunc("day", local).cast("timestamp_ntz")).otherwise(local)
+    cut = F.when(granularity == "date", midnight(local)).otherwise(local)
     return F.coalesce(parse_iso_utc(t, tz), from_zone(cut, tz), parse_mail_utc(t, tz))
 
 
@@ -158,7 +169,7 @@ def parse_date_text_local(c: Column | str, tz: Column, granularity: Column) -> C
         _wall_clock(named(day_first, 1, 2, 3)),
         _wall_clock(named(month_first, 2, 1, 3)),
     )
-    cut = F.when(granularity == "date", F.date_trunc("day", found).cast("timestamp_ntz")).otherwise(found)
+    cut = F.when(granularity == "date", midnight(found)).otherwise(found)
     return F.coalesce(cut, to_zone(parse_iso_utc(t, tz), tz))
 
 
@@ -218,7 +229,7 @@ def display_date(c: Column | str) -> Column:
 def target_date(setting: Column, as_of_utc: Column) -> Column:
     """``auto`` (or nothing) means the run's date in the home zone."""
     s = strip(text(setting))
-    today = F.date_format(to_zone(as_of_utc, K.HOME_TZ), "yyyyMMdd")
+    today = F.replace(day_text(to_zone(as_of_utc, K.HOME_TZ)), F.lit("-"), F.lit(""))
     return F.when((s != "") & (s != "auto"), s).otherwise(today)
 
 

@@ -75,7 +75,7 @@ def _attempt(a: Column, selector: Column) -> Column:
             lambda d: F.struct(
                 d["utc"].alias("utc"),
                 cand["source"].alias("source"),
-                F.date_format(D.to_zone(d["utc"], tz), "yyyy-MM-dd").alias("day"),
+                D.day_text(D.to_zone(d["utc"], tz)).alias("day"),
                 F.when(cand["reason"].isNotNull(), cand["reason"])
                 .when(~cand["direct"] & (pattern == ""), F.lit("date parse pattern is empty"))
                 .when(d["text"].isNull(), F.lit("date text not matched by pattern"))

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gleaner import constants as K
+from gleaner.functions import dates as D
 
 SALTS = 32
 # Spark cuts map output for a rank filter up to this bound; larger or per-row limits use two stages.
@@ -53,7 +54,7 @@ def top_per_medium(
     n: int = K.TOP_PER_MEDIUM,
 ) -> DataFrame:
     """Scored articles first, then the rest; each part newest first by the minute, ties in feed order."""
-    minute = F.date_format(published, "yyyy-MM-dd HH:mm")
+    minute = D.minute_text(published)
     return first_n(df, [medium], [F.when(F.col(score) >= 1, 0).otherwise(1), minute.desc(), F.col(ord)], n)
 
 
