@@ -62,6 +62,14 @@ def select_one(spark, sf_dir):
     return rows.select("page_id", "s.selector", "s.found", "s.tag", "s.datetime", "s.text")
 
 
+@query("extract_selectors")
+def extract_selectors(spark, sf_dir):
+    """Rows only: every page against the selector its site asks for."""
+    wanted = F.array(pick(F.col("page_id"), ["article h1", "li", "div.ad", "#none"]))
+    rows = pages(spark, sf_dir).select("page_id", M.select_elements("html", wanted).alias("s"))
+    return rows.select("page_id", F.col("s")[0]["selector"].alias("selector"), F.col("s")[0]["text"].alias("text"))
+
+
 # Head tags with dates, structured data and application data are put in front of every page.
 HEAD_DATES = [
     '<meta name="author" content="x 2020-01-01"><meta property="article:published_time" content=" @T00:00 "><meta name="updated" content="@">',
@@ -259,6 +267,33 @@ def sample_limit(spark, sf_dir):
     return pages(spark, sf_dir).select("page_id", F.array_join(F.slice(hrefs, 1, 5), " ").alias("first_links"))
 
 
+@query("extract_candidates")
+def extract_candidates(spark, sf_dir):
+    """Rows only: every candidate text of every page."""
+    rows = pages(spark, sf_dir).select("page_id", F.posexplode(M.body_candidates("html")).alias("place", "c"))
+    return rows.select("page_id", "place", "c.*")
+
+
+@query(
+    "jsonld_walk",
+    f"SELECT page_id, CASE WHEN page_id % 3 <> 2 THEN {DAY_SQL} END AS published FROM pages",
+)
+def jsonld_walk(spark, sf_dir):
+    """A news article four levels down, in lists and nested graphs."""
+    n = F.col("page_id")
+    day = F.date_add(F.lit("2023-12-31").cast("date"), (n % 300).cast("int") + 1).cast("string")
+    deep = pick(
+        n,
+        [
+            '[[{"@graph":{"@type":"WebPage","@graph":[{"@type":["Thing","NewsArticle"],"datePublished":" @D "}]}}]]',
+            '{"@graph":[{"@graph":[{"@graph":[{"@type":"newsarticle","datePublished":"@D"}]}]}]}',
+            '{"@graph":[{"@type":"Article","datePublished":"@D"}, {"@type":"NewsArticle","datePublished":7}]}',
+        ],
+    )
+    block = F.concat(F.lit('<script type="application/ld+json">'), F.replace(deep, F.lit("@D"), day), F.lit("</script>"))
+    return pages(spark, sf_dir).select("page_id", M.news_article_date(F.concat("html", block)).alias("published"))
+
+
 @query("list_date_text")
 def list_date_text(spark, sf_dir):
     """Rows only: the date text of every link from inside it or from its parent."""

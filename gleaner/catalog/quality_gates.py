@@ -154,11 +154,20 @@ def headline_sql(title: str, body: str) -> str:
 
 @query(
     "headline_alignment",
-    "WITH {art}, " + headline_sql("title", "body").replace("{src}", "art") + " SELECT article_id, aligned, in_text FROM hl",
+    "WITH {art}, " + headline_sql("title", "body").replace("{src}", "art") + " SELECT article_id, aligned FROM hl",
 )
 def headline_alignment(spark, sf_dir):
     rows = quality.with_headline_checks(art(spark, sf_dir), "title", "body")
-    return rows.select("article_id", F.col("headline_aligned").alias("aligned"), F.col("title_overlaps").alias("in_text"))
+    return rows.select("article_id", F.col("headline_aligned").alias("aligned"))
+
+
+@query(
+    "title_overlap",
+    "WITH {art}, " + headline_sql("title", "body").replace("{src}", "art") + " SELECT article_id, in_text FROM hl",
+)
+def title_overlap(spark, sf_dir):
+    rows = quality.with_headline_checks(art(spark, sf_dir), "title", "body")
+    return rows.select("article_id", F.col("title_overlaps").alias("in_text"))
 
 
 VALIDATED = (

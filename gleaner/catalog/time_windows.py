@@ -51,12 +51,12 @@ def window_rolling_closed(spark, sf_dir):
 
 
 @query(
-    "window_calendar_home",
+    "window_calendar_jst",
     f"""WITH {{entries}}, v AS (SELECT ord, CASE WHEN k % 4 = 0 THEN CAST(published_utc AS DATE)
       ELSE CAST(published_utc + {OFF} AS DATE) END AS day FROM entries)
     SELECT ord, day FROM v WHERE day IN (CAST({AT} + INTERVAL 9 HOUR AS DATE), CAST({AT} + INTERVAL 9 HOUR AS DATE) - 1)""",
 )
-def window_calendar_home(spark, sf_dir):
+def window_calendar_jst(spark, sf_dir):
     stated = F.when(F.col("k") % 4 == 0, F.col("published_utc").cast("date"))
     day = F.coalesce(stated, D.to_zone("published_utc", zone()).cast("date"))
     return entries(spark, sf_dir).select("ord", day.alias("day")).where(W.calendar_home(F.col("day"), now()))

@@ -13,30 +13,38 @@ from gleaner.functions import text as T
 ODD_NUMBERS = [" 7 ", "", "abc", "-3", "2.5", "0", "１", "99999999999"]
 
 
+RAW_NUMBERS = f"""v AS (SELECT o_orderkey, {sql_pick('o_orderkey', ODD_NUMBERS)} AS raw FROM orders)"""
+
+
 @query(
     "safe_int",
-    f"""WITH v AS (SELECT o_orderkey, {sql_pick('o_orderkey', ODD_NUMBERS)} AS raw, CAST(o_totalprice AS VARCHAR) AS price FROM orders)
-    SELECT o_orderkey, coalesce(CASE WHEN regexp_matches({s_strip('raw')}, '^[+-]?[0-9]+$') THEN try_cast({s_strip('raw')} AS INTEGER) END, 20) AS n,
-      coalesce(try_cast({s_strip('raw')} AS DOUBLE), 0.0) AS x FROM v""",
+    f"""WITH {RAW_NUMBERS} SELECT o_orderkey, coalesce(CASE WHEN regexp_matches({s_strip('raw')}, '^[+-]?[0-9]+$') THEN try_cast({s_strip('raw')} AS INTEGER) END, 20) AS n FROM v""",
 )
 def safe_int(spark, sf_dir):
     raw = pick(F.col("o_orderkey"), ODD_NUMBERS)
-    return table(spark, sf_dir, "orders").select(
-        "o_orderkey", N.safe_int(raw, 20).alias("n"), N.safe_num(raw).alias("x")
+    return table(spark, sf_dir, "orders").select("o_orderkey", N.safe_int(raw, 20).alias("n"))
+
+
+@query("safe_num", f"WITH {RAW_NUMBERS} SELECT o_orderkey, coalesce(try_cast({s_strip('raw')} AS DOUBLE), 0.0) AS x FROM v")
+def safe_num(spark, sf_dir):
+    raw = pick(F.col("o_orderkey"), ODD_NUMBERS)
+    return table(spark, sf_dir, "orders").select("o_orderkey", N.safe_num(raw).alias("x"))
+
+
+@query("clamp", "SELECT l_orderkey, l_linenumber, l_partkey, CAST(greatest(1, least(40, l_quantity)) AS DOUBLE) AS clamped FROM lineitem")
+def clamp(spark, sf_dir):
+    return table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", N.clamp(F.col("l_quantity").cast("double"), 1.0, 40.0).alias("clamped")
     )
 
 
 @query(
-    "clamp_ratio",
-    """SELECT l_orderkey, l_linenumber, CAST(greatest(1, least(40, l_quantity)) AS DOUBLE) AS clamped,
-      coalesce(round(l_discount / nullif(l_tax, 0), 3), 0.0) AS share FROM lineitem""",
+    "ratio",
+    "SELECT l_orderkey, l_linenumber, l_partkey, coalesce(round(l_discount / nullif(l_tax, 0), 3), 0.0) AS share FROM lineitem",
 )
-def clamp_ratio(spark, sf_dir):
+def ratio(spark, sf_dir):
     return table(spark, sf_dir, "lineitem").select(
-        "l_orderkey",
-        "l_linenumber",
-        N.clamp(F.col("l_quantity").cast("double"), 1.0, 40.0).alias("clamped"),
-        N.ratio(F.col("l_discount"), F.col("l_tax")).alias("share"),
+        "l_orderkey", "l_linenumber", "l_partkey", N.ratio(F.col("l_discount"), F.col("l_tax")).alias("share")
     )
 
 
