@@ -17,7 +17,7 @@ METRICS = f"""c AS (SELECT *, {s_strip("regexp_replace(regexp_replace(replace(bo
       {s_occurrences('clean', ['。'])} AS sentence_count,
       {s_occurrences('clean', K.BODY_NAV_TERMS)} AS nav_keyword_hits,
       CASE WHEN len(ls) = 0 THEN 0.0 ELSE len(list_filter(ls, lambda x: len(list_filter(ls, lambda y: y = x)) > 1)) / len(ls) END AS duplicate_line_ratio,
-      CASE WHEN len(ls) = 0 THEN 0.0 ELSE round(CAST(len(list_filter(ls, lambda x: regexp_matches(x, '{K.LINK_LIKE_LINE}'))) AS DOUBLE) / len(ls), 3) END AS link_text_ratio
+      CASE WHEN len(ls) = 0 THEN 0.0 ELSE round(CAST(len(list_filter(ls, lambda x: regexp_matches(x, 'https?://|www\\.|▶|＞|→'))) AS DOUBLE) / len(ls), 3) END AS link_text_ratio
       FROM l),
     g AS (SELECT *, NOT (text_length >= 120 AND sentence_count >= 3 AND paragraph_count >= 3 AND link_text_ratio <= 0.35)
       AND (nav_keyword_hits >= 3 OR sentence_count <= 1 OR link_text_ratio >= 0.55 OR duplicate_line_ratio >= 0.35

@@ -181,7 +181,7 @@ def mask_address(spark, sf_dir):
 def s_norm(x: str) -> str:
     x = f"regexp_replace({s_strip(x)}, '{K.WS}*-{K.WS}*{K.SITE_TITLE_SUFFIX}{K.WS}*$', '')"
     x = f"regexp_replace({x}, '{K.WS}+', '', 'g')"
-    return f"regexp_replace({x}, '{K.TITLE_PUNCTUATION.replace(chr(39), chr(39) * 2)}', '', 'g')"
+    return f"translate({x}, '{K.TITLE_PUNCTUATION.replace(chr(39), chr(39) * 2)}', '')"
 
 
 def s_tokens(norm: str) -> str:

@@ -170,9 +170,9 @@ STORE_NAV_TERMS = [
     "ビューアーで読む",
 ]
 PARAGRAPH_NAV_TERMS = ["メニュー", "ランキング", "関連記事", "購読", "会員登録", "ログイン", "シェア", "一覧"]
-LINK_LIKE_LINE = r"https?://|www\.|▶|＞|→"
+LINK_MARKS = ["http://", "https://", "www.", "▶", "＞", "→"]
 SITE_TITLE_SUFFIX = "日本経済新聞"
-TITLE_PUNCTUATION = r"[「」『』【】\[\]（）()〈〉《》“”\"'・…‥,，、。.!！?？:：;；/／\\|\-]"
+TITLE_PUNCTUATION = "「」『』【】[]（）()〈〉《》“”\"'・…‥,，、。.!！?？:：;；/／\\|-"
 HR_BODY_MARKER = "人事記事をもっと見る"
 HR_BODY_WORDS = ["人事", "就任", "社長", "会長", "役員"]
 BUSINESS_WORDS = ["M&A", "投資", "決算", "設備投資", "資本提携", "能力増強", "合弁", "買収", "TOB", "インタビュー"]

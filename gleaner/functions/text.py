@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -70,7 +71,18 @@ def squeeze(c: Column | str) -> Column:
 
 
 def contains_any(c: Column | str, terms: Iterable[str]) -> Column:
-    return as_col(c).rlike(any_of(terms))
+    """Any of the literal terms. Byte searches are several times faster here than one alternation pattern."""
+    wanted = list(terms)
+
+    def search(col: Column) -> Column:
+        return reduce(Column.__or__, [F.contains(col, F.lit(t)) for t in wanted])
+
+    return search(F.col(c)) if isinstance(c, str) else let(c, search)
+
+
+def has_word(low: Column, word: str) -> Column:
+    """The word stands alone in the text. A plain search rules most texts out before the pattern runs."""
+    return F.contains(low, F.lit(word)) & low.rlike(rf"{word}(?!{K.WORD})(?<!{K.WORD}{word})")
 
 
 def hits_of(c: Column | str, terms: list[str]) -> Column:
@@ -90,7 +102,8 @@ def count_occurrences(c: Column | str, terms: list[str]) -> Column:
     col = as_col(c)
 
     def one(t: str) -> Column:
-        return ((F.length(col) - F.length(F.replace(col, F.lit(t), F.lit("")))) / F.lit(len(t))).cast("int")
+        shorter = F.length(col) - F.length(F.replace(col, F.lit(t), F.lit("")))
+        return F.when(F.contains(col, F.lit(t)), (shorter / F.lit(len(t))).cast("int")).otherwise(F.lit(0))
 
     total = one(terms[0])
     for t in terms[1:]:
@@ -265,9 +278,9 @@ def keyword_hits(target: Column | str, keywords: Column) -> Column:
 
 def title_match_norm(c: Column | str) -> Column:
     t = strip(text(c))
-    t = F.regexp_replace(t, rf"{K.WS}*-{K.WS}*{K.SITE_TITLE_SUFFIX}{K.WS}*$", "")
-    t = F.regexp_replace(t, K.WS + "+", "")
-    return F.regexp_replace(t, K.TITLE_PUNCTUATION, "")
+    suffix = rf"{K.WS}*-{K.WS}*{K.SITE_TITLE_SUFFIX}{K.WS}*$"
+    bare = F.when(F.contains(t, F.lit(K.SITE_TITLE_SUFFIX)), F.regexp_replace(t, suffix, "")).otherwise(t)
+    return F.translate(bare, K.WHITESPACE + K.TITLE_PUNCTUATION, "")
 
 
 def title_tokens(norm: Column) -> Column:

@@ -207,7 +207,10 @@ def url_join(base: Column | str, ref: Column | str) -> Column:
 
 
 def parse_url_list(c: Column | str) -> Column:
-    """URLs in free text: markdown links first, then bare ones; comparable form, first seen order."""
+    """URLs in free text, also glued or in markdown; comparable form, first seen order.
+
+    A blank goes before every URL first, so a markdown link is told apart only when it opens the text.
+    """
     t = strip(text(c))
     spaced = F.regexp_replace(t, r"(?<!^)(https?://)", " $1")
     markdown = r"\[[^\]]*\]\((https?://[^)\s]+)\)"

@@ -27,12 +27,19 @@ def _repeated_lines(ordered: Column) -> Column:
     return F.aggregate(marks, F.lit(0), lambda acc, m: acc + F.coalesce(m, F.lit(0)))
 
 
+def _is_link_like(line: Column) -> Column:
+    found = F.contains(line, F.lit(K.LINK_MARKS[0]))
+    for mark in K.LINK_MARKS[1:]:
+        found = found | F.contains(line, F.lit(mark))
+    return found
+
+
 def with_body_metrics(df: DataFrame, body: str, out: str = "metrics", clean: str = "clean_text") -> DataFrame:
     """Add the cleaned text and a struct of measures."""
     staged = df.withColumn(clean, T.clean_article_text(body)).withColumn("_lines", F.array_sort(T.lines(clean)))
     c, ls = F.col(clean), F.col("_lines")
     n = F.size(ls)
-    linkish = F.size(F.filter(ls, lambda x: x.rlike(K.LINK_LIKE_LINE)))
+    linkish = F.size(F.filter(ls, _is_link_like))
     measures = F.struct(
         F.length(c).alias("text_length"),
         F.size(F.filter(ls, lambda x: F.length(x) >= 20)).alias("paragraph_count"),

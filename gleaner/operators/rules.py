@@ -31,7 +31,7 @@ def bucket_score(c: Column) -> Column:
         total = F.lit(0)
         for w in words:
             if w.isascii() and w.isalpha():
-                hit = low.rlike(rf"(?:^|{K.NOT_WORD}){w}(?:$|{K.NOT_WORD})")
+                hit = T.has_word(low, w)
             else:
                 hit = F.contains(low, F.lit(w))
             total = total + hit.cast("int")
