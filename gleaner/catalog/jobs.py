@@ -5,10 +5,16 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from gleaner import constants as K
-from gleaner.catalog.base import art, query, s_any, s_title_key, s_url_key, sql_text
+from gleaner.catalog.base import art, entries, query, s_any, s_strip, s_title_key, s_url_key, table
+from gleaner.catalog.joins import RULE_SCORE, RULE_SQL, SCORING, rule_table, scoring_input
 from gleaner.catalog.windows_and_sorts import s_bucket
 from gleaner.functions import dates as D
+from gleaner.functions import urls as U
+from gleaner.operators import shaping
 from gleaner.plans import general_digest as general
+from gleaner.plans import issue_report as issue
+from gleaner.plans import site_digest as site
+from gleaner.plans import special_digest as special
 
 DAY = "2024-01-01 12:00:00"
 
@@ -41,3 +47,112 @@ def feed_entries(spark, sf_dir):
 )
 def general_digest(spark, sf_dir):
     return general.build(feed_entries(spark, sf_dir), D.ntz(DAY), noise_medium="src3")
+
+
+# ---- specialist feeds: five media, one rule each ----
+
+MEDIA = [
+    # medium, order, limit, source, pattern, zone, granularity, mode, hours, fallback, fallback pattern
+    ("click", 3, 12, "rss", "", "Asia/Tokyo", "datetime", "rolling_24h", 24, "", ""),
+    ("view", 1, 8, "url", r"/(\d{4})-(\d{2})-(\d{2})/", "Asia/Tokyo", "date", "calendar_day", 24, "", ""),
+    ("purchase", 2, 20, "article_html", r"\d{4}-\d{2}-\d{2}T\d{2}:\d{2}", "UTC", "datetime", "rolling_24h", 72, "rss", ""),
+    ("signup", 5, 20, "meta", r"\d{4}-\d{2}-\d{2}", "UTC", "date", "calendar_day", 24, "", ""),
+    ("error", 4, 10, "json_ld", "x", "UTC", "date", "calendar_day", 24, "url", r"\d{4}-\d{2}-\d{2}"),
+]
+MEDIA_SCHEMA = (
+    "medium string, display_order int, max_items int, date_source_type string, date_parse_pattern string, date_timezone string, "
+    "date_granularity string, target_date_mode string, lookback_hours int, fallback_date_source_type string, fallback_date_parse_pattern string"
+)
+RUN = "2024-01-30 12:00:00"
+
+
+def special_inputs(spark, sf_dir):
+    """(entries, media, captures) from every event."""
+    e, t = entries(spark, sf_dir), F.col("published_utc")
+    link = F.concat(F.lit("https://n.example.com/"), D.day_text("published_utc"), F.lit("/"), F.col("ord").cast("string"))
+    none = F.lit(None).cast("timestamp_ntz")
+    rows = e.select(
+        F.col("feed").alias("medium"), F.lit(0).alias("feed_ord"), F.col("ord").alias("entry_ord"), "title", link.alias("link"),
+        F.when(F.col("k") % 5 != 0, F.date_trunc("second", t).cast("timestamp_ntz")).alias("published_parsed"),
+        none.alias("updated_parsed"), F.lit("").alias("published"), F.lit("").alias("updated"),
+    )
+    meta = F.concat(F.lit('<meta property="article:published_time" content="'), F.replace(D.minute_text(t), F.lit(" "), F.lit("T")), F.lit('"><p>x</p>'))
+    captures = e.select(
+        link.alias("url"), link.alias("final_url"), F.lit("").alias("canonical_url"),
+        F.when(F.col("k") % 2 == 0, meta).otherwise(F.lit("<p>x</p>")).alias("html"), F.lit("").alias("ld_date"),
+        F.lit(False).alias("sel_found"), F.lit("").alias("sel_attr"), F.lit("").alias("sel_text"),
+    )
+    media = spark.createDataFrame(MEDIA, MEDIA_SCHEMA).withColumn("date_css_selector", F.lit(""))
+    return rows, media, captures
+
+
+MEDIA_SQL = "media(medium, display_order, max_items) AS (VALUES " + ", ".join(f"('{m[0]}', {m[1]}, {m[2]})" for m in MEDIA) + ")"
+SPECIAL = f"""{MEDIA_SQL}, e AS (SELECT ord, feed AS medium, title, k, published_utc AS t, 'https://n.example.com/' || strftime(published_utc, '%Y-%m-%d') || '/' || ord AS link,
+      CASE WHEN k % 5 <> 0 THEN date_trunc('second', published_utc) END AS rss FROM entries),
+    p AS (SELECT *, CASE medium WHEN 'click' THEN rss WHEN 'view' THEN date_trunc('day', t) - INTERVAL 9 HOUR
+        WHEN 'purchase' THEN CASE WHEN k % 2 = 0 THEN date_trunc('minute', t) ELSE rss END
+        WHEN 'signup' THEN CASE WHEN k % 2 = 0 THEN date_trunc('day', t) END ELSE date_trunc('day', t) END AS at FROM e),
+    d AS (SELECT *, CASE WHEN at IS NULL THEN 'extraction_failed'
+        WHEN medium IN ('view', 'signup', 'error') THEN CASE WHEN CAST(date_trunc('day', t) AS DATE) IN (DATE '2024-01-30', DATE '2024-01-29') THEN 'accepted' ELSE 'target_date_mismatch' END
+        WHEN at >= TIMESTAMP '{RUN}' - CASE medium WHEN 'purchase' THEN INTERVAL 72 HOUR ELSE INTERVAL 24 HOUR END AND at < TIMESTAMP '{RUN}' THEN 'accepted' ELSE 'out_of_window' END AS decision FROM p)""".replace(
+    " AS at ", " AS moment "
+).replace("WHEN at ", "WHEN moment ").replace("AND at ", "AND moment ")
+
+
+@query("special_decisions", f"WITH {{entries}}, {SPECIAL} SELECT ord, decision FROM d")
+def special_decisions(spark, sf_dir):
+    rows, media, captures = special_inputs(spark, sf_dir)
+    return special.decisions(rows, media, captures, D.ntz(RUN)).select(F.col("entry_ord").alias("ord"), "decision")
+
+
+@query(
+    "special_digest",
+    f"""WITH {{entries}}, {SPECIAL}, u AS (SELECT *, {s_title_key('title')} AS key FROM d WHERE decision = 'accepted'),
+    f AS (SELECT * FROM u WHERE key <> '' QUALIFY row_number() OVER (PARTITION BY medium, key ORDER BY ord) = 1),
+    n AS (SELECT *, row_number() OVER (PARTITION BY medium ORDER BY ord) AS rn FROM f),
+    l AS (SELECT * FROM n JOIN media USING (medium) WHERE rn <= max_items),
+    s AS (SELECT medium, display_order, count(*) AS c FROM l GROUP BY ALL),
+    b AS (SELECT medium, coalesce(sum(c) OVER (ORDER BY display_order ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM s)
+    SELECT medium, ord, title, link, CASE WHEN medium IN ('view', 'signup', 'error') THEN strftime(t, '%Y-%m-%d') WHEN medium = 'click' THEN strftime(moment + INTERVAL 9 HOUR, '%Y-%m-%d %H:%M')
+      ELSE strftime(moment, '%Y-%m-%d %H:%M') END AS published FROM l JOIN b USING (medium) WHERE rn <= 30 - before""",
+)
+def special_digest(spark, sf_dir):
+    rows, media, captures = special_inputs(spark, sf_dir)
+    kept = special.items(special.decisions(rows, media, captures, D.ntz(RUN)), 30)
+    return kept.select("medium", F.col("entry_ord").alias("ord"), "title", "link", "published")
+
+
+# ---- site watch: every host is a site whose listing pages are its captured pages ----
+
+
+@query("site_digest")
+def site_digest(spark, sf_dir):
+    """Rows only; the steps have SQL twins and the whole job is checked on a small fixture in the tests."""
+    p = table(spark, sf_dir, "pages").select("url", "html", U.bare_host("url").alias("site"))
+    captures = p.select("url", "html")
+    grouped = p.groupBy("site").agg(F.min("url").alias("first_page"), F.max("url").alias("last_page"))
+    raw = grouped.select(
+        F.col("site").alias("site_name"), F.concat_ws("\n", "first_page", "last_page").alias("list_page_urls"),
+        (F.length("site") * 7 % 50).alias("display_order"), F.lit("5").alias("max_items_per_site"), F.lit("40").alias("max_items_total"),
+        F.lit("use_fetched_at").alias("date_fallback_mode"), F.lit("2").alias("max_pages"),
+    )
+    config = shaping.normalize_site_config(raw).withColumnRenamed("site_name", "site")
+    sites = config.join(grouped, "site").withColumn("list_page_urls", F.array_distinct(F.array("first_page", "last_page"))).drop("first_page", "last_page")
+    return site.build(sites, captures, D.ntz(RUN), max_pages=2).select("site", "url", "title", "date_source", "position")
+
+
+# ---- newspaper issue: every article scored, the report's five chosen ----
+
+
+@query(
+    "issue_report",
+    f"""WITH {{art}}, {RULE_SQL}, {SCORING}, {RULE_SCORE},
+    pool_in AS (SELECT * FROM rule_scored WHERE exclude_reason = ''),
+    pool AS (SELECT * FROM pool_in WHERE score > 0 OR (SELECT count(*) FROM pool_in WHERE score > 0) < 5)
+    SELECT 'A' || row_number() OVER (ORDER BY score DESC, priority DESC, {s_strip('title')}, ord) AS ref_id, article_id, score FROM pool
+    QUALIFY row_number() OVER (ORDER BY score DESC, priority DESC, {s_strip('title')}, ord) <= 5""",
+)
+def issue_report(spark, sf_dir):
+    rows = scoring_input(spark, sf_dir).withColumn("issue_date", F.lit("20240101"))
+    _, final = issue.score_and_select(rows, rule_table(spark), "article_id")
+    return issue.report_input(final).select("ref_id", "article_id", F.col("importance_score").alias("score"))

@@ -20,17 +20,17 @@ def with_position(df: DataFrame, order: list[Column | str], out: str = "position
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     fixed = cut_lineage(df.repartitionByRange(parts, *order).sortWithinPartitions(*order))
     row_id = F.monotonically_increasing_id()
-    placed = fixed.withColumn("_row", row_id)
+    placed = fixed.withColumn("_pos_row", row_id)
     placed = placed.withColumns(
-        {"_part": F.shiftright("_row", _ROW_BITS), "_at": F.col("_row").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))}
+        {"_pos_part": F.shiftright("_pos_row", _ROW_BITS), "_pos_at": F.col("_pos_row").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))}
     )
-    sizes = placed.groupBy("_part").agg(F.count("*").alias("_n"))
-    running = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select("_part", F.coalesce(F.sum("_n").over(running), F.lit(0)).alias("_start"))
+    sizes = placed.groupBy("_pos_part").agg(F.count("*").alias("_pos_n"))
+    running = Window.orderBy("_pos_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("_pos_part", F.coalesce(F.sum("_pos_n").over(running), F.lit(0)).alias("_pos_start"))
     return (
-        placed.join(F.broadcast(starts), "_part")
-        .withColumn(out, F.col("_start") + F.col("_at"))
-        .drop("_part", "_row", "_at", "_start")
+        placed.join(F.broadcast(starts), "_pos_part")
+        .withColumn(out, F.col("_pos_start") + F.col("_pos_at"))
+        .drop("_pos_part", "_pos_row", "_pos_at", "_pos_start")
     )
 
 

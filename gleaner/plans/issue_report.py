@@ -9,6 +9,7 @@ from gleaner.functions import text as T
 from gleaner.functions import urls as U
 from gleaner.operators import dedupe, digest, filters, quality, ranking, rules, selection
 from gleaner.operators import store as S
+from gleaner.session import cut_lineage
 
 
 def issue_links(links: DataFrame, domain: str, article_path: str, id_param: str = "ng") -> tuple[DataFrame, DataFrame]:
@@ -39,7 +40,7 @@ def scoring_inputs(fetched: DataFrame, existing: DataFrame, id_param: str = "ng"
 def score_and_select(articles: DataFrame, rule_table: DataFrame, key: str, top_rank: int = 5) -> tuple[DataFrame, DataFrame]:
     """(all articles with scores and the selection flag, the rows of the final report)."""
     scored = rules.score_articles(articles, rule_table, key).withColumn("text_length", F.length(T.text("text")))
-    scored = scored.withColumn("title", T.first_present("source_title", "page_title"))
+    scored = cut_lineage(scored.withColumn("title", T.first_present("source_title", "page_title")))  # read three times below
     chosen = selection.select_report(scored, top_rank=top_rank)
     marked = selection.mark_selected(scored, chosen)
     final = selection.select_from_pool(
