@@ -204,7 +204,8 @@ def paragraph_text(spark, sf_dir):
 def body_candidates(spark, sf_dir):
     """Rows only: text under twelve selectors by a tree walk, and the one the preference order picks."""
     rows = pages(spark, sf_dir).select("page_id", M.body_candidates("html").alias("candidates"))
-    best = bodies.choose_candidate(F.col("candidates"))
+    rows = rows.withColumn("best", T.fence(bodies.choose_candidate(F.col("candidates"))))
+    best = F.col("best")
     return rows.select(
         "page_id", F.size("candidates").alias("candidate_count"), best["selector"].alias("selector"), best["text_length"].alias("text_length"),
         best["paragraph_count"].alias("paragraph_count"), best["text"].alias("text"),

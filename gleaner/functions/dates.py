@@ -13,7 +13,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from gleaner import constants as K
-from gleaner.functions.text import as_col, strip, text
+from gleaner.functions.text import as_col, let, strip, text
 
 # Month names and mail zone names with their offsets in minutes.
 MONTHS = [
@@ -89,8 +89,10 @@ def _month_number(name: Column) -> Column:
 
 def _utc(local: Column, offset_minutes: Column, tz: Column) -> Column:
     """Shift by a stated offset, or from the zone when none is stated."""
-    shifted = local - minutes(F.coalesce(offset_minutes, F.lit(0)))
-    return from_zone(shifted, F.when(offset_minutes.isNull(), tz).otherwise(F.lit("UTC")))
+    return let(
+        offset_minutes,
+        lambda o: from_zone(local - minutes(F.coalesce(o, F.lit(0))), F.when(o.isNull(), tz).otherwise(F.lit("UTC"))),
+    )
 
 
 ISO_TIME = r"(?:[T ]\d{2}(?::?\d{2}(?::?\d{2}(?:[.,]\d{1,9})?)?)?(?:Z|[+-]\d{2}:?\d{2})?)?"
@@ -105,72 +107,94 @@ PLAIN = r"^\d{4}-\d{1,2}-\d{1,2}(?: \d{1,2}:\d{1,2}(?::\d{1,2})?)?$"
 
 def _offset(zone: Column) -> Column:
     """Minutes east of UTC for ``+09:00`` or ``-0500``; null for other text."""
-    digits = F.regexp_replace(zone, "[+:-]", "").try_cast("int")
-    size = (F.floor(digits / 100) * 60 + digits % 100).cast("int")
-    return F.when(zone.startswith("-"), -size).otherwise(size)
+    def size(digits: Column) -> Column:
+        return (F.floor(digits / 100) * 60 + digits % 100).cast("int")
+
+    signed = F.replace(zone, F.lit(":"), F.lit("")).try_cast("int")
+    return let(signed, lambda n: F.when(n < 0, -size(-n)).otherwise(size(n)))
+
+
+# Texts are bound once with ``let`` and matches read as empty text when absent: each pattern runs once for a row.
 
 
 def parse_iso_utc(c: Column | str, tz: Column) -> Column:
     """ISO 8601, extended or compact; text without an offset is in ``tz``."""
-    t = F.regexp_substr(strip(text(c)), F.lit(ISO))
-    zone = F.replace(F.regexp_substr(t, F.lit(ISO_OFFSET)), F.lit("Z"), F.lit("+00:00"))
-    body = F.regexp_replace(t, ISO_OFFSET, "")
-    body = F.regexp_replace(body, r"^(\d{4})(\d{2})(\d{2})", "$1-$2-$3")
-    body = F.regexp_replace(body, r"[T ](\d{2}):?(\d{2}):?", " $1:$2:")
-    return _utc(_wall_clock(F.rtrim(F.replace(body, F.lit(","), F.lit(".")), F.lit(":"))), _offset(zone), tz)
+
+    def parse(t: Column) -> Column:
+        zone = F.replace(F.regexp_extract(t, ISO_OFFSET, 0), F.lit("Z"), F.lit("+00:00"))
+        body = F.regexp_replace(t, ISO_OFFSET, "")
+        body = F.regexp_replace(body, r"^(\d{4})(\d{2})(\d{2})", "$1-$2-$3")
+        body = F.regexp_replace(body, r"[T ](\d{2}):?(\d{2}):?", " $1:$2:")
+        return _utc(_wall_clock(F.rtrim(F.replace(body, F.lit(","), F.lit(".")), F.lit(":"))), _offset(zone), tz)
+
+    return let(F.regexp_extract(strip(text(c)), ISO, 0), lambda t: F.when(t != "", parse(t)))
 
 
 def parse_mail_utc(c: Column | str, tz: Column) -> Column:
     """Mail-style dates; an unknown or missing zone, and ``-0000``, read as ``tz``."""
-    t = F.regexp_substr(strip(text(c)), F.lit(MAIL))
-    month = _month_number(F.regexp_extract(t, MAIL, 2))
-    short_year = F.regexp_extract(t, MAIL, 3)
-    century = F.when(F.length(short_year) == 4, F.lit("")).when(short_year < "69", F.lit("20")).otherwise(F.lit("19"))
-    local = F.concat(century, F.replace(F.regexp_replace(t, MAIL, "$3-@-$1 $4"), F.lit("@"), month))
-    zone = F.upper(F.regexp_extract(t, MAIL, 5))
     named = F.create_map(*[F.lit(x) for kv in MAIL_ZONES.items() for x in kv])
-    offset = F.coalesce(
-        F.try_element_at(named, zone), F.when(zone.rlike("^[+-]") & (zone != "-0000"), _offset(zone))
-    )
-    return _utc(_wall_clock(local), offset, tz)
+
+    def parse(t: Column) -> Column:
+        local = F.concat(
+            let(
+                F.regexp_extract(t, MAIL, 3),
+                lambda y: F.when(F.length(y) == 4, F.lit("")).when(y < "69", F.lit("20")).otherwise(F.lit("19")),
+            ),
+            F.replace(F.regexp_replace(t, MAIL, "$3-@-$1 $4"), F.lit("@"), _month_number(F.regexp_extract(t, MAIL, 2))),
+        )
+        offset = let(
+            F.upper(F.regexp_extract(t, MAIL, 5)),
+            lambda z: F.coalesce(F.try_element_at(named, z), F.when(z.rlike("^[+-]") & (z != "-0000"), _offset(z))),
+        )
+        return _utc(_wall_clock(local), offset, tz)
+
+    return let(F.regexp_extract(strip(text(c)), MAIL, 0), lambda t: F.when(t != "", parse(t)))
 
 
 def parse_flexible_utc(c: Column | str, tz: Column, granularity: Column) -> Column:
     """ISO, else three plain formats, else mail style. Date granularity cuts only the plain formats."""
-    t = strip(text(c))
-    plain = F.regexp_replace(F.translate(t, "年月/日", "---"), K.WS + "+", " ")
-    local = _wall_clock(F.regexp_substr(plain, F.lit(PLAIN)))
-    cut = F.when(granularity == "date", midnight(local)).otherwise(local)
-    return F.coalesce(parse_iso_utc(t, tz), from_zone(cut, tz), parse_mail_utc(t, tz))
+
+    def plain(t: Column) -> Column:
+        shaped = F.regexp_replace(F.translate(t, "年月/日", "---"), K.WS + "+", " ")
+        return let(
+            _wall_clock(F.regexp_extract(shaped, PLAIN, 0)),
+            lambda v: from_zone(F.when(granularity == "date", midnight(v)).otherwise(v), tz),
+        )
+
+    return let(strip(text(c)), lambda t: F.coalesce(parse_iso_utc(t, tz), plain(t), parse_mail_utc(t, tz)))
 
 
 def parse_date_text_local(c: Column | str, tz: Column, granularity: Column) -> Column:
     """First date found anywhere in the text, by six shapes in order, then ISO; null when none."""
-    t = strip(text(c))
     day_first = r"(\d{1,2})\s+([A-Za-z]+)\s+(\d{4})"
     month_first = r"([A-Za-z]+)\s+(\d{1,2}),\s*(\d{4})"
 
-    def shape(pattern: str) -> Column:
-        return F.regexp_substr(t, F.lit(pattern))
-
-    def named(pattern: str, day: int, month: int, year: int) -> Column:
-        part = shape(pattern)
-        return F.replace(
-            F.regexp_replace(part, pattern, f"${year}-@-${day}"), F.lit("@"), _month_number(F.regexp_extract(part, pattern, month))
+    def parse(t: Column) -> Column:
+        def shape(pattern: str) -> Column:
+            return F.regexp_extract(t, pattern, 0)
+
+        def named(pattern: str, day: int, month: int, year: int) -> Column:
+            return let(
+                shape(pattern),
+                lambda m: F.replace(
+                    F.regexp_replace(m, pattern, f"${year}-@-${day}"), F.lit("@"), _month_number(F.regexp_extract(m, pattern, month))
+                ),
+            )
+
+        numeric_time = F.translate(shape(r"\d{4}[/-]\d{1,2}[/-]\d{1,2}\s+\d{1,2}:\d{2}"), "/", "-")
+        kanji_time = F.translate(shape(r"\d{4}年\d{1,2}月\d{1,2}日\s*\d{1,2}:(?:\d{2})?"), "年月日", "-- ")
+        found = F.coalesce(
+            _wall_clock(F.regexp_replace(numeric_time, r"\s+", " ")),
+            _wall_clock(F.regexp_replace(F.regexp_replace(kanji_time, r"\s+", " "), ":$", ":00")),
+            _wall_clock(F.translate(shape(r"\d{4}[/-]\d{1,2}[/-]\d{1,2}"), "/", "-")),
+            _wall_clock(F.translate(shape(r"\d{4}年\d{1,2}月\d{1,2}日"), "年月日", "--")),
+            _wall_clock(named(day_first, 1, 2, 3)),
+            _wall_clock(named(month_first, 2, 1, 3)),
         )
+        cut = let(found, lambda v: F.when(granularity == "date", midnight(v)).otherwise(v))
+        return F.coalesce(cut, to_zone(parse_iso_utc(t, tz), tz))
 
-    numeric_time = F.translate(shape(r"\d{4}[/-]\d{1,2}[/-]\d{1,2}\s+\d{1,2}:\d{2}"), "/", "-")
-    kanji_time = F.translate(shape(r"\d{4}年\d{1,2}月\d{1,2}日\s*\d{1,2}:(?:\d{2})?"), "年月日", "-- ")
-    found = F.coalesce(
-        _wall_clock(F.regexp_replace(numeric_time, r"\s+", " ")),
-        _wall_clock(F.regexp_replace(F.regexp_replace(kanji_time, r"\s+", " "), ":$", ":00")),
-        _wall_clock(F.translate(shape(r"\d{4}[/-]\d{1,2}[/-]\d{1,2}"), "/", "-")),
-        _wall_clock(F.translate(shape(r"\d{4}年\d{1,2}月\d{1,2}日"), "年月日", "--")),
-        _wall_clock(named(day_first, 1, 2, 3)),
-        _wall_clock(named(month_first, 2, 1, 3)),
-    )
-    cut = F.when(granularity == "date", midnight(found)).otherwise(found)
-    return F.coalesce(cut, to_zone(parse_iso_utc(t, tz), tz))
+    return let(strip(text(c)), parse)
 
 
 def entry_datetime_utc(published_parsed: Column, updated_parsed: Column) -> Column:

@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from gleaner import constants as K
+from gleaner.functions.text import let
 from gleaner.operators.quality import looks_like_noise
 
 
@@ -16,10 +17,12 @@ def choose_candidate(candidates: Column, preference: list[str] | None = None, ma
     def usable(c: Column) -> Column:
         return (c["text_length"] > 0) & (c["link_text_ratio"] <= max_link_ratio) & ~looks_like_noise(c["text"])
 
-    good = F.filter(candidates, usable)
-    # A later candidate under one selector replaces an earlier one.
-    picks = F.transform(order, lambda s: F.try_element_at(F.filter(good, lambda c: c["selector"] == s), F.lit(-1)))
-    return F.try_element_at(F.filter(picks, lambda c: c.isNotNull()), F.lit(1))
+    def first_of(good: Column) -> Column:
+        # A later candidate under one selector replaces an earlier one.
+        picks = F.transform(order, lambda s: F.try_element_at(F.filter(good, lambda c: c["selector"] == s), F.lit(-1)))
+        return F.try_element_at(F.filter(picks, lambda c: c.isNotNull()), F.lit(1))
+
+    return let(F.filter(candidates, usable), first_of)
 
 
 def longest_candidate(candidates: Column, primary: str = K.SAMPLE_SELECTORS[0], order: list[str] | None = None) -> Column:

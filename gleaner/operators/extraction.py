@@ -17,12 +17,14 @@ def _candidate(kind: Column, selector: Column) -> Column:
     def offer(source: Column | str, found: Column, reason: Column | str, direct: bool = False) -> Column:
         src = F.lit(source) if isinstance(source, str) else source
         why = F.lit(reason) if isinstance(reason, str) else reason
-        ok = found.isNotNull() & (found != "")
-        return F.struct(
-            F.when(ok, src).alias("source"),
-            F.when(ok, found).alias("text"),
-            F.when(~ok, why).alias("reason"),
-            F.lit(direct).alias("direct"),
+        return let(
+            F.nullif(found, F.lit("")),
+            lambda f: F.struct(
+                F.when(f.isNotNull(), src).alias("source"),
+                f.alias("text"),
+                F.when(f.isNull(), why).alias("reason"),
+                F.lit(direct).alias("direct"),
+            ),
         )
 
     def failed(reason: Column | str) -> Column:
@@ -63,15 +65,18 @@ def _attempt(a: Column, selector: Column) -> Column:
     dotall = F.concat(F.lit("(?s)"), pattern)
 
     def outcome(cand: Column) -> Column:
-        whole = F.regexp_substr(cand["text"], dotall)
+        first = F.call_function("regexp_extract", cand["text"], dotall, F.lit(0))
         three = F.concat_ws("-", *[F.call_function("regexp_extract", cand["text"], dotall, F.lit(g)) for g in (1, 2, 3)])
         matched = F.when(
-            (pattern != "") & whole.isNotNull(), F.when((kind == "url") & (groups >= 3), three).otherwise(strip(whole))
+            pattern != "",
+            let(first, lambda m: F.when(m != "", F.when((kind == "url") & (groups >= 3), three).otherwise(strip(m)))),
         )
-        date_text = F.when(cand["direct"], cand["text"]).otherwise(matched)
         granularity = F.when(cand["direct"], F.lit("datetime")).otherwise(F.col("date_granularity"))
         return let(
-            F.struct(date_text.alias("text"), D.parse_flexible_utc(date_text, tz, granularity).alias("utc")),
+            let(
+                F.when(cand["direct"], cand["text"]).otherwise(matched),
+                lambda m: F.struct(m.alias("text"), D.parse_flexible_utc(m, tz, granularity).alias("utc")),
+            ),
             lambda d: F.struct(
                 d["utc"].alias("utc"),
                 cand["source"].alias("source"),

@@ -32,7 +32,8 @@ def first_n(
     by = _order(order)
     limit = F.lit(n) if isinstance(n, int) else F.col(n)
     if not isinstance(n, int) or n > MAP_SIDE_LIMIT:
-        salted = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(SALTS)))
+        hashable = [c for c, kind in df.dtypes if "map<" not in kind and "variant" not in kind]
+        salted = df.withColumn("_salt", F.pmod(F.xxhash64(*[f"`{c}`" for c in hashable]), F.lit(SALTS)))
         part = Window.partitionBy(*keys, "_salt").orderBy(*by)
         df = salted.withColumn("_rank", F.row_number().over(part)).where(F.col("_rank") <= limit).drop("_rank", "_salt")
     ranked = df.withColumn("_rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*by)))
