@@ -88,7 +88,7 @@ def site_items(
 
 
 def dedupe_and_limit(sites: DataFrame, items: DataFrame) -> DataFrame:
-    """Cross-site digest: sites in display order, repeats by URL or title dropped, one overall budget.
+    """Cross-site digest: sites in display order (then ``config_ord`` when given), repeats by URL or title dropped, one overall budget.
 
     The budget is the smallest ``max_items_total`` among sites that deliver, 50 when none does. Dropped rows do not
     count, so the kept rows are the first of the greedy order.
@@ -96,10 +96,11 @@ def dedupe_and_limit(sites: DataFrame, items: DataFrame) -> DataFrame:
     limit = F.coalesce(
         sites.agg(F.min(F.when(F.col("delivery_enabled"), F.col("max_items_total"))).alias("b")).scalar(), F.lit(50)
     )
-    rows = items.join(sites.select("site", "display_order"), "site").withColumns(
+    place = ["display_order", *(["config_ord"] if "config_ord" in sites.columns else [])]
+    rows = items.join(sites.select("site", *place), "site").withColumns(
         {"_u": U.normalize_url("url"), "_t": T.title_space_key("title")}
     )
-    placed = numbering.with_position(rows, ["display_order", "site", "ord"], "_at")
+    placed = numbering.with_position(rows, [*place, "site", "ord"], "_at")
     kept = dedupe.greedy_by_either_key(placed, "_u", "_t", "_at")
     ranked = numbering.with_position(kept, ["_at"], "position")
     return ranked.where(F.col("position") < limit).drop("_u", "_t", "_at")

@@ -33,16 +33,20 @@ def decisions(entries: DataFrame, media: DataFrame, captures: DataFrame, as_of:
 
 
 def items(decided: DataFrame, budget: int | Column = K.ITEMS_TOTAL) -> DataFrame:
-    """Kept items of each medium, within the medium's limit and the overall budget."""
+    """Kept items of each medium, within its limit and the overall budget.
+
+    Media fill the budget by ``display_order``, then ``config_ord`` when given.
+    """
     local = D.to_zone("published_utc", F.col("date_timezone"))
+    place = ["display_order", *(["config_ord"] if "config_ord" in decided.columns else [])]
     accepted = decided.where(F.col("decision") == "accepted").select(
-        "medium", "display_order", "max_items", "feed_ord", "entry_ord",
+        "medium", *place, "max_items", "feed_ord", "entry_ord",
         T.strip_tags(T.text("title")).alias("title"), "link", D.label(local, F.col("date_granularity")).alias("published"),
     )
     order = ["feed_ord", "entry_ord"]
     unique = dedupe.by_title(accepted, "medium", "title", list(order))
     limited = ranking.first_n(unique, ["medium"], list(order), "max_items")
-    return ranking.budget_across_groups(limited, "medium", ["display_order"], list(order), budget)
+    return ranking.budget_across_groups(limited, "medium", place, list(order), budget)
 
 
 def sections(kept: DataFrame, media: DataFrame) -> DataFrame:
