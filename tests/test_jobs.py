@@ -44,8 +44,7 @@ def test_site_watch_end_to_end(spark):
     assert [(r["site"], r["url"].split(".com")[1], r["date_source"]) for r in got] == [
         ("A", "/news/1", "list_regex"), ("A", "/news/2", "article_regex"), ("A", "/news/4", "list_regex"),
         ("B", "/x/2", "list_regex"),
-    ] or [r["url"] for r in got][:3] == ["https://a.example.com/news/1", "https://a.example.com/news/2", "https://a.example.com/news/4"]
-    assert len(got) >= 4 and "Other wording" not in " ".join(r["title"] for r in got)
+    ]
 
 
 def test_site_watch_decisions(spark):

@@ -87,7 +87,7 @@ def test_per_group_limit_is_exact_on_a_hot_group(spark):
     df = spark.range(5000).select((F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 50 + 1)).alias("g"), "id")
     df = df.withColumn("n", (F.col("g") % 7 + 1).cast("int"))
     got = {r["g"]: r["ids"] for r in ranking.first_n(df, ["g"], ["id"], "n").groupBy("g").agg(F.sort_array(F.collect_list("id")).alias("ids")).collect()}
-    assert got[0] == [0] and got[2] == [1, 151, 301] or got[2][:1] == [1]
+    assert got[0] == [0] and got[2] == [1, 101, 151]
     assert all(len(ids) == g % 7 + 1 for g, ids in got.items())
 
 
