@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
 import uuid
+import zipfile
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,6 +18,31 @@ from gleaner.session import shared_dir
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
+Batches = Iterator[pa.RecordBatch]
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the executors this package, unless it was submitted as an archive already."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    sc = spark.sparkContext
+    if not os.path.isdir(root) or any(os.path.basename(f) == "gleaner-package.zip" for f in sc.listFiles):
+        return
+    path = os.path.join(tempfile.mkdtemp(prefix="gleaner-package-"), "gleaner-package.zip")  # the driver serves it from there
+    with zipfile.ZipFile(path, "w") as archive:
+        for folder, _, names in os.walk(root):
+            for name in names:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    archive.write(full, os.path.join("gleaner", os.path.relpath(full, root)))
+    sc.addPyFile(path)
+
+
+def map_batches(df: DataFrame, run: Callable[[Batches], Batches], schema: str) -> DataFrame:
+    """``mapInArrow`` with the package at hand on every executor."""
+    ship(df.sparkSession)
+    return df.mapInArrow(run, schema)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 

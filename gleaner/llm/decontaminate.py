@@ -11,7 +11,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gleaner.llm.common import staged
+from gleaner.llm.common import Batches, map_batches, staged
 
 #: ASCII letters in lower case, digits and all bytes of other characters stay; every other byte parts words.
 KEPT = bytes(b | 0x20 if 0x41 <= b <= 0x5A else b if b >= 0x80 or chr(b).isdigit() or 0x61 <= b <= 0x7A else 0x20 for b in range(256))
@@ -54,7 +54,7 @@ def slots(hashes: np.ndarray) -> np.ndarray:
 def item_windows(items: DataFrame, width: int) -> DataFrame:
     """``(item_id, window, size, slot_a, slot_b)``: each run of ``width`` words, or all words of a shorter item."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Batches) -> Batches:
         known = _Hashes()
         for batch in batches:
             rows = []
@@ -70,19 +70,19 @@ def item_windows(items: DataFrame, width: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["item_id", "window", "size", "slot_a", "slot_b"])
 
     source = items.select(F.col("item_id").cast("string"), F.col("text").cast("string"))
-    return source.mapInArrow(run, "item_id string, window binary, size int, slot_a int, slot_b int").distinct()
+    return map_batches(source, run, "item_id string, window binary, size int, slot_a int, slot_b int").distinct()
 
 
 def _scan(docs: DataFrame, sizes: list[int], taken: np.ndarray) -> DataFrame:
     """One row for each document (``pos`` null), and one for each window that the hash set holds."""
     shared = docs.sparkSession.sparkContext.broadcast(np.packbits(taken))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Batches) -> Batches:
         full, known = np.unpackbits(shared.value).view(bool), _Hashes()
         row = TaskContext.get().partitionId() << 33
         names, kinds = ["row", "doc_id", "n_words", "pos", "size", "window"], [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
 
-        def found(group: list[list[bytes]], first: int) -> Iterator[pa.RecordBatch]:
+        def found(group: list[list[bytes]], first: int) -> Batches:
             """Candidates among the windows of some documents, whose rows start at ``first``."""
             words = [w for g in group for w in g]
             ids = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
@@ -116,7 +116,7 @@ def _scan(docs: DataFrame, sizes: list[int], taken: np.ndarray) -> DataFrame:
             row += n
 
     source = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return source.mapInArrow(run, "row long, doc_id long, n_words long, pos int, size int, window binary")
+    return map_batches(source, run, "row long, doc_id long, n_words long, pos int, size int, window binary")
 
 
 def covered(spans: Column) -> Column:

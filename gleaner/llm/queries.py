@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleaner.llm import decontaminate, simhash, tokens
+from gleaner.llm import decontaminate, licenses, secrets, simhash, sql_twins, tokens
 from gleaner.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +25,25 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return add
 
 
+@query("op1_secret_scans", sql_twins.secrets_sql())
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.secret_spans(table(spark, sf_dir, "documents"))
+    counts = [secrets.of_kind(F.col("base_spans"), kind).alias(f"n_{kind}") for kind in ("assign", "access", "hex")]
+    return found.select("doc_id", *counts, F.sha2(secrets.written(F.col("base_spans")), 256).alias("base_sha256"), secrets.written(F.col("all_spans")).alias("spans"))
+
+
+@query("op2_license_scans", sql_twins.licenses_sql())
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.license_places(table(spark, sf_dir, "documents"))
+    spans, starts = F.col("spans"), licenses.exact_starts(F.col("spans"))
+    return found.select(
+        "doc_id", "n_words", F.size(starts).cast("long").alias("n_base"),
+        F.array_min(starts).cast("long").alias("first_word"), F.array_max(starts).cast("long").alias("last_word"),
+        licenses.labels_of(spans, base=True).alias("base_labels"), licenses.labels_of(spans).alias("labels"),
+        F.coalesce(F.array_max(F.transform(spans, lambda s: s["coverage"])), F.lit(0.0)).alias("score"),
+    )
+
+
 @query("op3_token_counts")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
@@ -40,31 +59,7 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
 
 
-OP10_SQL = r"""
-WITH d AS (
-  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
-b AS (
-  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
-iw AS (
-  SELECT DISTINCT item_id, array_to_string(w[i:i + least(13, len(w)) - 1], ' ') AS win, least(13, len(w)) AS k
-  FROM (SELECT item_id, w, unnest(range(1, len(w) - least(13, len(w)) + 2)) AS i FROM b WHERE len(w) > 0)),
-dw AS (
-  SELECT doc_id, i, k, array_to_string(w[i:i + k - 1], ' ') AS win
-  FROM (SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM d, (SELECT DISTINCT k FROM iw) WHERE len(w) >= k)),
-h AS (SELECT DISTINCT doc_id, i, k, dw.win FROM dw SEMI JOIN iw USING (win)),
-p AS (SELECT doc_id, count(DISTINCT pos) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + k)) AS pos FROM h) GROUP BY doc_id),
-n AS (SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids
-  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item_id FROM h JOIN iw USING (win)) GROUP BY doc_id)
-SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
-  sha256(coalesce(ids, '')) AS items_sha256,
-  coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
-FROM d LEFT JOIN p ON p.doc_id = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id
-"""
-
-
-@query("op10_benchmark_decontamination", OP10_SQL)
+@query("op10_benchmark_decontamination", sql_twins.DECONTAMINATION)
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select(

@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gleaner.llm.common import staged
+from gleaner.llm.common import Batches, map_batches, staged
 from gleaner.llm.graph import component_roots
 
 BITS = 64
@@ -45,13 +45,13 @@ def fingerprint(text: bytes | None, shingle: int, seed: int) -> int:
 def fingerprints(docs: DataFrame, shingle: int = 4, seed: int = 42) -> DataFrame:
     """``(doc_id, fp)`` for each document: map-only, one pass over whole texts."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Batches) -> Batches:
         for batch in batches:
             texts = batch.column("text").cast(pa.binary()).to_pylist()
             fps = pa.array([fingerprint(t, shingle, seed) for t in texts], pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), fps], names=["doc_id", "fp"])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, fp long")
+    return map_batches(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), run, "doc_id long, fp long")
 
 
 # ---- Gray order and the index -------------------------------------------------------------------
@@ -184,7 +184,7 @@ def _star_edges(table: pa.Table, layouts: list, distance: int) -> pa.RecordBatch
     return pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
 
 
-def _whole_cells(batches: Iterator[pa.RecordBatch], rows: int = 1 << 17) -> Iterator[pa.Table]:
+def _whole_cells(batches: Batches, rows: int = 1 << 17) -> Iterator[pa.Table]:
     """Tables of about ``rows`` rows that never part a cell; the input is sorted by cell."""
     held: list[pa.RecordBatch] = []
     for batch in batches:
@@ -211,14 +211,14 @@ def near_links(fps: DataFrame, distance: int = 4, blocks: int = 6, chunk: int =
     layouts = block_layouts(distance, blocks)
     key_bits = [sum(w for _, w in lay[: blocks - distance]) for lay in layouts]
 
-    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def deal(batches: Batches) -> Batches:
         for batch in batches:
             values = batch.column(0).to_numpy().view(np.uint64)
             for i, (lay, bits) in enumerate(zip(layouts, key_bits, strict=True)):
                 bucket = (arranged(values, lay) >> np.uint64(BITS - bits)).astype(np.int64) + (i << 32)
                 yield pa.RecordBatch.from_arrays([pa.array(bucket), pa.array(np.full(len(values), i, np.int16)), batch.column(0)], names=["bucket", "layout", "fp"])
 
-    dealt = fps.select("fp").mapInArrow(deal, "bucket long, layout short, fp long")
+    dealt = map_batches(fps.select("fp"), deal, "bucket long, layout short, fp long")
     large = dealt.groupBy("bucket").count().where(F.col("count") > chunk).select("bucket", F.ceil(F.col("count") / chunk).cast("int").alias("parts"))
     part: Column = F.pmod(F.xxhash64("fp"), F.coalesce("parts", F.lit(1))).cast("int")
     others = F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1)
@@ -226,11 +226,11 @@ def near_links(fps: DataFrame, distance: int = 4, blocks: int = 6, chunk: int =
         "layout", "fp", "bucket", part.alias("part"), F.explode(others).alias("other")
     ).select("layout", "fp", F.xxhash64("bucket", F.least("part", "other"), F.greatest("part", "other")).alias("cell"))
 
-    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def search(batches: Batches) -> Batches:
         for whole in _whole_cells(batches):
             yield _star_edges(whole, layouts, distance)
 
-    return cells.repartition("cell").sortWithinPartitions("cell").mapInArrow(search, "u long, v long").distinct()
+    return map_batches(cells.repartition("cell").sortWithinPartitions("cell"), search, "u long, v long").distinct()
 
 
 def near_duplicates(docs: DataFrame, distance: int = 4, shingle: int = 4, seed: int = 42) -> DataFrame:

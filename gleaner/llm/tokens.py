@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import json
 import unicodedata
-from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -13,12 +12,17 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gleaner.llm.common import Batches, map_batches
+
 END = "</w>"
 #: Distinct words and token pairs a Python worker remembers; beyond it forgets all and goes on.
-REMEMBERED = 1 << 19
+REMEMBERED = 1 << 20
 #: The pieces that the vocabulary's file names, with Unicode blanks spelled out.
 PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\p{White_Space}\p{L}\p{N}]+")
 
+#: Blanks that part words, and the control characters that Python's split takes for blanks too.
+BLANKS, OTHER_BLANKS = regex.compile(r"\p{White_Space}+"), regex.compile("[\x1c-\x1f]")
+
 
 def _byte_letters() -> dict[int, str]:
     """Byte-level letters: printable Latin-1 characters stand for themselves, the rest follow from U+0100."""
@@ -31,11 +35,11 @@ LETTERS = _byte_letters()
 
 
 class WordCounts(dict):
-    """Token counts of whole words, found on first use by prefix dynamic programming.
+    """Token counts of words between blanks, found on first use by prefix dynamic programming.
 
-    ``last[p]`` is the last token of the encoding of the word's first ``p`` symbols, and ``count[p]`` its number of
-    tokens. A token ending at ``p`` is the right one exactly if merging it with ``last`` at its start leaves both
-    as they are, so each prefix needs only the count of one shorter prefix.
+    ``prefix[w]`` has the last token of the encoding of the symbols ``w`` and its number of tokens. A token that ends
+    ``w`` is the right last one exactly if merging it with the last token before its start leaves both as they are,
+    so each prefix needs only the count of one shorter prefix. Words share the entries of common beginnings.
     """
 
     def __init__(self, path: str) -> None:
@@ -49,6 +53,8 @@ class WordCounts(dict):
         self.special = [t["content"] for t in spec["added_tokens"]]
         self.cut = regex.compile("|".join(map(regex.escape, self.special))) if self.special else None
         self.pairs: dict[tuple[str, str], bool] = {}
+        self.prefix: dict[str, tuple[str, int]] = {}
+        self.closed_words: dict[str, int] = {}
 
     def merged(self, parts: list[str]) -> list[str]:
         """Merges by rank, the lowest first and leftmost among equals."""
@@ -80,57 +86,74 @@ class WordCounts(dict):
     def spelled(word: str) -> str:
         return word if word.isascii() and word.isprintable() else "".join(map(LETTERS.__getitem__, word.encode()))
 
-    def prefixes(self, word: str) -> tuple[list[str], list[int]]:
-        """``last`` and ``count`` for each prefix of a spelled word, none of them closed by a word end."""
-        vocab, fits, longest = self.vocab, self.fits, self.longest
-        last, count = [""], [0]
-        for p in range(1, len(word) + 1):
-            for i in range(max(0, p - longest), p):
+    def grow(self, word: str) -> None:
+        """Enter the prefixes of a spelled word that are not known yet."""
+        prefix, vocab, fits, longest = self.prefix, self.vocab, self.fits, self.longest
+        if len(prefix) >= REMEMBERED:
+            prefix.clear()
+        known = len(word)
+        while known and word[:known] not in prefix:
+            known -= 1
+        for p in range(known + 1, len(word) + 1):
+            for i in range(p - longest if p > longest else 0, p):
                 token = word[i:p]
-                if token in vocab and (i == 0 or fits(last[i], token)):
-                    break
-            last.append(token)
-            count.append(count[i] + 1)
-        return last, count
-
-    def closed(self, word: str, p: int, last: list[str], count: list[int]) -> int:
-        """Tokens of the first ``p`` symbols taken as a whole word."""
-        for i in range(max(0, p - self.longest), p):
-            token = word[i:p] + END
-            if token in self.vocab and (i == 0 or self.fits(last[i], token)):
-                return count[i] + 1
-        raise ValueError(f"no encoding ends with {word[:p]!r}")
-
-    def __missing__(self, piece: str) -> int:
+                if token in vocab:
+                    if i == 0:
+                        prefix[token] = token, 1
+                        break
+                    last, count = prefix[word[:i]]
+                    if fits(last, token):
+                        prefix[word[:p]] = token, count + 1
+                        break
+
+    def closed(self, word: str) -> int:
+        """Tokens of a spelled word whose prefixes but the whole are known."""
+        for i in range(max(0, len(word) - self.longest), len(word)):
+            token = word[i:] + END
+            if token in self.vocab:
+                if i == 0:
+                    return 1
+                last, count = self.prefix[word[:i]]
+                if self.fits(last, token):
+                    return count + 1
+        raise ValueError(f"no encoding ends with {word!r}")
+
+    def of_piece(self, piece: str) -> int:
+        known = self.closed_words.get(piece)
+        if known is None:
+            if len(self.closed_words) >= REMEMBERED:
+                self.closed_words.clear()
+            word = self.spelled(piece)
+            self.grow(word[:-1])
+            known = self.closed_words[piece] = self.closed(word)
+        return known
+
+    def __missing__(self, word: str) -> int:
         if len(self) >= REMEMBERED:
             self.clear()
-        word = self.spelled(piece)
-        last, count = self.prefixes(word[:-1])
-        self[piece] = tokens = self.closed(word, len(word), last, count)
+        self[word] = tokens = sum(map(self.of_piece, PIECES.findall(normal(word))))
         return tokens
 
     def every_prefix(self, piece: str) -> list[int]:
-        """Token counts of the piece's first 1, 2, … characters, each as the end of a text."""
+        """Token counts of a piece's first 1, 2, … characters, each as the end of a text."""
         word = self.spelled(piece)
-        last, count = self.prefixes(word)
+        self.grow(word)
         ends = np.cumsum([len(c.encode()) for c in piece]).tolist()
-        return [self.closed(word, p, last, count) for p in ends]
+        return [self.closed(word[:p]) for p in ends]
 
-    def pieces(self, text: str) -> Iterator[str | None]:
-        """Words of a text after normalisation; None stands for one special token."""
-        at = 0
-        for hit in self.cut.finditer(text) if self.cut else ():
-            yield from PIECES.findall(normal(text[at : hit.start()]))
-            yield None
-            at = hit.end()
-        yield from PIECES.findall(normal(text[at:]))
+    def words(self, text: str) -> list[str]:
+        return BLANKS.split(text) if OTHER_BLANKS.search(text) else text.split()
 
     def counts(self, text: str) -> np.ndarray:
-        """Tokens up to and with each piece of the text."""
+        """Tokens up to and with each word between blanks, or special token, of the text."""
         if self.cut is None or not any(s in text for s in self.special):
-            each = list(map(self.__getitem__, PIECES.findall(normal(text))))
+            each = list(map(self.__getitem__, self.words(text)))
         else:
-            each = [1 if piece is None else self[piece] for piece in self.pieces(text)]
+            each, at = [], 0
+            for hit in self.cut.finditer(text):
+                each += [*map(self.__getitem__, self.words(text[at : hit.start()])), 1]
+                at = hit.end()
+            each += map(self.__getitem__, self.words(text[at:]))
         return np.cumsum(np.array(each, np.int64))
 
 
@@ -148,17 +171,17 @@ def word_counts(path: str) -> WordCounts:
 
 
 def token_prefixes(docs: DataFrame, path: str, limit: int = 2048, keep: bool = True) -> DataFrame:
-    """``(doc_id, n_bytes, n_tokens, within, pieces_within[, prefix_tokens])`` for each document, map-only.
+    """``(doc_id, n_bytes, n_tokens, within, words_within[, prefix_tokens])`` for each document, map-only.
 
     ``path`` is the vocabulary file, which every executor must have at that place. ``prefix_tokens`` holds the
-    token count up to and with each word piece, so ``tokens_of_prefix`` and ``pieces_in_budget`` answer questions
-    about any prefix without encoding again; ``keep=False`` leaves the array out and answers for ``limit`` only:
-    ``pieces_within`` whole pieces with ``within`` tokens fit. A null or empty text has no bytes and no tokens.
+    token count up to and with each word between blanks, so ``tokens_of_prefix`` and ``words_in_budget`` answer
+    questions about any prefix without encoding again; ``keep=False`` leaves the array out and answers for ``limit``
+    only: ``words_within`` whole words with ``within`` tokens fit. A null or empty text has no bytes and no tokens.
     Repeated rows come out repeated; other columns are ignored.
     """
-    schema = "doc_id long, n_bytes long, n_tokens long, within long, pieces_within long" + ", prefix_tokens array<int>" * keep
+    schema = "doc_id long, n_bytes long, n_tokens long, within long, words_within long" + ", prefix_tokens array<int>" * keep
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Batches) -> Batches:
         table = word_counts(path)
         for batch in batches:
             rows, kept = [], []
@@ -174,15 +197,15 @@ def token_prefixes(docs: DataFrame, path: str, limit: int = 2048, keep: bool = T
                 columns.append(pa.array(kept, pa.list_(pa.int32())))
             yield pa.RecordBatch.from_arrays(columns, names=[f.split()[0] for f in schema.split(", ")])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, schema)
+    return map_batches(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), run, schema)
 
 
-def tokens_of_prefix(prefix_tokens: Column, pieces: Column | int) -> Column:
-    """Tokens of a text's first ``pieces`` word pieces."""
-    at = F.least(F.lit(pieces) if isinstance(pieces, int) else pieces, F.size(prefix_tokens)).cast("int")
+def tokens_of_prefix(prefix_tokens: Column, words: Column | int) -> Column:
+    """Tokens of a text's first ``words`` words."""
+    at = F.least(F.lit(words) if isinstance(words, int) else words, F.size(prefix_tokens)).cast("int")
     return F.when(at < 1, F.lit(0)).otherwise(F.get(prefix_tokens, at - 1)).cast("long")
 
 
-def pieces_in_budget(prefix_tokens: Column, budget: int) -> Column:
-    """How many whole word pieces fit in ``budget`` tokens."""
+def words_in_budget(prefix_tokens: Column, budget: int) -> Column:
+    """How many whole words fit in ``budget`` tokens."""
     return F.size(F.filter(prefix_tokens, lambda n: n <= budget)).cast("long")
