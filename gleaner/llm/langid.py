@@ -265,7 +265,7 @@ def _bin(letters: Column) -> Column:
     return sum((letters >= bound).cast("int") for bound in LENGTH_BINS)
 
 
-def identify(docs: DataFrame, quantile: float = 0.999, slack: float = 1.15) -> DataFrame:
+def identify(docs: DataFrame, quantile: float = 0.999, slack: float = 1.25) -> DataFrame:
     """All columns of ``docs`` with ``held_out``, ``lang_pred``, ``score``, ``entropy`` and ``rejected``.
 
     One model for each language is learned from the labelled documents of two folds, over all their text; the third

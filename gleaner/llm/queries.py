@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleaner.llm import decontaminate, langid, licenses, secrets, simhash, sql_twins, tokens
+from gleaner.llm import decontaminate, langid, licenses, secrets, simhash, spots, sql_twins, tokens
 from gleaner.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -65,6 +65,12 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", "lang_pred", "score", "rejected")
 
 
+@query("op6_document_fingerprints")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = spots.spot_fingerprints(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next")
+
+
 @query("op10_benchmark_decontamination", sql_twins.DECONTAMINATION)
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
