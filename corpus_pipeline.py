@@ -5,11 +5,56 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from gleaner.llm import decontaminate, langid, mixing, secrets, simhash
+from gleaner.llm.common import as_text, staged, table, text_key
+
+
+def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in a learned language: those that the models reject go."""
+    return langid.identify(docs).where(~F.col("rejected")).select(docs.columns)
+
+
+def deduplicated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates: the one with the smallest id."""
+    kept = simhash.near_duplicates(docs).where("kept").select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).distinct()
+    keyed = docs.withColumn("_key", text_key())
+    one = keyed.join(kept, (keyed["_key"] == kept["_key"]) & keyed["doc_id"].eqNullSafe(kept["_id"]), "left_semi")
+    return one.dropDuplicates(["doc_id", "_key"]).select(docs.columns)
+
+
+def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without too large a share of benchmark words."""
+    found = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark"))
+    dirty = found.where("contaminated").select(F.col("text_key").alias("_key")).distinct()
+    return docs.withColumn("_key", text_key()).join(dirty, "_key", "left_anti").select(docs.columns)
+
+
+def redacted(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with a mark in place of each secret; ``n_chars`` follows the text."""
+    found = secrets.secret_spans(docs).where(F.size("all_spans") > 0)
+    spans = found.groupBy(F.col("text_key").alias("_key")).agg(F.any_value("all_spans").alias("_spans"))
+    joined = docs.withColumn("_key", text_key()).join(spans, "_key", "left")
+    text = F.when(F.col("_spans").isNull(), F.col("text")).otherwise(secrets.redacted(as_text("text"), F.col("_spans")))
+    n_chars = F.when(F.col("_spans").isNull(), F.col("n_chars")).otherwise(F.length(text).cast("long"))
+    return joined.withColumns({"n_chars": n_chars.cast(docs.schema["n_chars"].dataType), "text": text}).select(docs.columns)
+
+
+def weighted(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with their domain posteriors and rates; those whose rate is zero go."""
+    found = mixing.mixed(docs, table(spark, sf_dir, "labels")).where("rate > 0")
+    return found.select("doc_id", "n_tokens", *[f"p_{d}" for d in mixing.DOMAINS], "rate")
 
-from gleaner.llm.common import staged, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
-STAGES: list[tuple[str, Stage]] = []
+STAGES: list[tuple[str, Stage]] = [
+    ("language ID", identified),
+    ("SimHash near-dedup", deduplicated),
+    ("benchmark decontamination", decontaminated),
+    ("secret scans", redacted),
+    ("mixing to target weights", weighted),
+]
 #: Language models cannot be put in SQL; the tests compare with a plain version instead.
 ORACLE_SQL: str | None = None
 

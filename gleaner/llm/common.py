@@ -60,9 +60,9 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def row_key(*cols: str) -> Column:
-    """One value for equal rows: repeated rows share it, null and empty differ, and it never is null."""
-    return F.sha2(F.to_json(F.struct(*[F.col(c).alias(f"k{i}") for i, c in enumerate(cols)])), 256)
+def text_key(col: str = "text") -> Column:
+    """A 128-bit key of a text, the same for null and empty: decisions that depend on the text alone join by it."""
+    return F.md5(as_text(col))
 
 
 def as_text(col: str) -> Column:

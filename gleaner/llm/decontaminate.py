@@ -11,7 +11,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gleaner.llm.common import Batches, map_batches, staged
+from gleaner.llm.common import Batches, map_batches, staged, text_key
 
 #: ASCII letters in lower case, digits and all bytes of other characters stay; every other byte parts words.
 KEPT = bytes(b | 0x20 if 0x41 <= b <= 0x5A else b if b >= 0x80 or chr(b).isdigit() or 0x61 <= b <= 0x7A else 0x20 for b in range(256))
@@ -80,7 +80,7 @@ def _scan(docs: DataFrame, sizes: list[int], taken: np.ndarray) -> DataFrame:
     def run(batches: Batches) -> Batches:
         full, known = np.unpackbits(shared.value).view(bool), _Hashes()
         row = TaskContext.get().partitionId() << 33
-        names, kinds = ["row", "doc_id", "n_words", "pos", "size", "window"], [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
+        names = ["row", "doc_id", "text_key", "n_words", "pos", "size", "window"]
 
         def found(group: list[list[bytes]], first: int) -> Batches:
             """Candidates among the windows of some documents, whose rows start at ``first``."""
@@ -98,7 +98,7 @@ def _scan(docs: DataFrame, sizes: list[int], taken: np.ndarray) -> DataFrame:
                     h, o = hits[at : at + 10_000], owner[at : at + 10_000]
                     windows = [b" ".join(words[i : i + size]) for i in h.tolist()]
                     none = pa.nulls(len(h), pa.int64())
-                    yield pa.RecordBatch.from_arrays([pa.array(o + first, pa.int64()), none, none, pa.array(h - starts[o], pa.int32()), pa.array(np.full(len(h), size), pa.int32()), pa.array(windows, pa.binary())], names=names)
+                    yield pa.RecordBatch.from_arrays([pa.array(o + first, pa.int64()), none, pa.nulls(len(h), pa.string()), none, pa.array(h - starts[o], pa.int32()), pa.array(np.full(len(h), size), pa.int32()), pa.array(windows, pa.binary())], names=names)
 
         for batch in batches:
             lengths, group, held, first = [], [], 0, row
@@ -111,12 +111,13 @@ def _scan(docs: DataFrame, sizes: list[int], taken: np.ndarray) -> DataFrame:
                     first, group, held = first + len(group), [], 0
             yield from found(group, first)
             n = len(lengths)
-            columns = [pa.array(np.arange(row, row + n)), batch.column("doc_id"), pa.array(lengths, pa.int64()), *(pa.nulls(n, k) for k in kinds[3:])]
+            hits = (pa.nulls(n, k) for k in (pa.int32(), pa.int32(), pa.binary()))
+            columns = [pa.array(np.arange(row, row + n)), batch.column("doc_id"), batch.column("text_key"), pa.array(lengths, pa.int64()), *hits]
             yield pa.RecordBatch.from_arrays(columns, names=names)
             row += n
 
-    source = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return map_batches(source, run, "row long, doc_id long, n_words long, pos int, size int, window binary")
+    source = docs.select(F.col("doc_id").cast("long"), text_key().alias("text_key"), F.col("text").cast("string"))
+    return map_batches(source, run, "row long, doc_id long, text_key string, n_words long, pos int, size int, window binary")
 
 
 def covered(spans: Column) -> Column:
@@ -130,7 +131,7 @@ def covered(spans: Column) -> Column:
 
 
 def contamination(docs: DataFrame, items: DataFrame, width: int = 13, share: int = 20) -> DataFrame:
-    """``(doc_id, n_words, n_hit, item_ids, spans, contaminated)`` for each document.
+    """``(doc_id, text_key, n_words, n_hit, item_ids, spans, contaminated)`` for each document.
 
     Test windows are hashed into a broadcast set of fixed size, so its memory does not grow with the benchmark.
     Training windows found in it are joined to the test windows word for word: a false hit of the set costs a
@@ -151,9 +152,9 @@ def contamination(docs: DataFrame, items: DataFrame, width: int = 13, share: int
     spans = hits.groupBy("row").agg(F.collect_set(F.struct("pos", "size")).alias("spans"))
     names = hits.select("row", "window").distinct().join(windows.where("item_id IS NOT NULL").select("window", "item_id"), "window")
     named = names.groupBy("row").agg(F.array_sort(F.collect_set("item_id")).alias("item_ids"))
-    whole = scanned.where("pos IS NULL").select("row", "doc_id", "n_words").join(spans, "row", "left").join(named, "row", "left")
+    whole = scanned.where("pos IS NULL").select("row", "doc_id", "text_key", "n_words").join(spans, "row", "left").join(named, "row", "left")
     n_hit = F.coalesce(covered(F.col("spans")), F.lit(0).cast("long"))
     return whole.select(
-        "doc_id", "n_words", n_hit.alias("n_hit"), F.coalesce("item_ids", F.array().cast("array<string>")).alias("item_ids"),
+        "doc_id", "text_key", "n_words", n_hit.alias("n_hit"), F.coalesce("item_ids", F.array().cast("array<string>")).alias("item_ids"),
         F.array_sort(F.coalesce("spans", F.array().cast("array<struct<pos:int,size:int>>"))).alias("spans"),
     ).withColumn("contaminated", (F.col("n_hit") > 0) & (F.col("n_hit") * share >= F.col("n_words")))

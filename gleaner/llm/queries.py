@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleaner.llm import decontaminate, langid, licenses, secrets, simhash, spots, sql_twins, suffixes, tokens
+from gleaner.llm import decontaminate, langid, licenses, mixing, secrets, simhash, spots, sql_twins, suffixes, tokens, urlpaths
 from gleaner.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -71,12 +71,24 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next")
 
 
+@query("op7_url_filters", sql_twins.urls_sql())
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = urlpaths.judge_urls(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "host", "path", "rule", "verdict", "template", "purity")
+
+
 @query("op8_suffix_array_dedup")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = suffixes.repeated_passages(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "start_word", "end_word", (F.col("end_word") - F.col("start_word")).alias("n_words"))
 
 
+@query("op9_mixing_to_target_weights")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = mixing.mixed(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return found.select("doc_id", "n_tokens", *[f"p_{d}" for d in mixing.DOMAINS], "rate")
+
+
 @query("op10_benchmark_decontamination", sql_twins.DECONTAMINATION)
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gleaner.llm.common import as_text, staged
+from gleaner.llm.common import as_text, staged, text_key
 
 
 def _either_case(words: str) -> str:
@@ -74,7 +74,7 @@ def of_kind(spans: Column, kind: str) -> Column:
 
 
 def secret_spans(docs: DataFrame, window: int = 200) -> DataFrame:
-    """``(doc_id, base_spans, all_spans)`` for each document; spans ``(start, kind, stop)`` by start, then kind.
+    """``(doc_id, text_key, base_spans, all_spans)`` for each document; spans ``(start, kind, stop)`` by start, then kind.
 
     Strong kinds always count. Access keys, weak secrets, login names and endpoints are parts: a weak secret counts
     only if an access key, login name or endpoint lies within ``window`` code points, a login name only if any secret
@@ -87,7 +87,21 @@ def secret_spans(docs: DataFrame, window: int = 200) -> DataFrame:
     text = as_text("text")
     base = F.array_sort(F.concat(located(text, ASSIGN, "assign", 2, 8), located(text, ACCESS, "access"), located(text, HEX, "hex")))
     parts = F.concat(located(text, WEAK, "weak_secret"), located(text, IDENTIFIER, "identifier"), located(text, ENDPOINT, "endpoint"))
-    slim = docs.select(F.col("doc_id").cast("long"), base.alias("base_spans"), parts.alias("_parts"), F.monotonically_increasing_id().alias("_row"))
+    slim = docs.select(F.col("doc_id").cast("long"), text_key().alias("text_key"), base.alias("base_spans"), parts.alias("_parts"), F.monotonically_increasing_id().alias("_row"))
     found = staged(slim, "secrets")
     found = found.withColumn("_parts", F.filter("_parts", lambda p: _apart(p, F.col("base_spans"))))
     return _linked(found, window).drop("_row")
+
+
+def redacted(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:
+    """The text with the mark in place of each span; spans that overlap or adjoin share one."""
+    nothing = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
+
+    def step(acc: Column, s: Column) -> Column:
+        gap = F.substring(text, acc["at"] + 1, s["start"] - acc["at"])
+        joined = (s["start"] <= acc["at"]) & (F.size(acc["out"]) > 0)
+        out = F.when(joined, acc["out"]).otherwise(F.array_append(acc["out"], F.concat(F.when(s["start"] > acc["at"], gap).otherwise(F.lit("")), F.lit(mark))))
+        return F.struct(F.greatest(acc["at"], s["stop"]).alias("at"), out.alias("out"))
+
+    ended = F.aggregate(spans, nothing, step)
+    return F.concat(F.array_join(ended["out"], ""), F.substring(text, ended["at"] + 1, F.length(text)))

@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gleaner.llm.common import Batches, map_batches, staged
+from gleaner.llm.common import Batches, map_batches, staged, text_key
 from gleaner.llm.graph import component_roots
 
 BITS = 64
@@ -43,15 +43,15 @@ def fingerprint(text: bytes | None, shingle: int, seed: int) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = 4, seed: int = 42) -> DataFrame:
-    """``(doc_id, fp)`` for each document: map-only, one pass over whole texts."""
+    """``(doc_id, text_key, fp)`` for each document: map-only, one pass over whole texts."""
 
     def run(batches: Batches) -> Batches:
         for batch in batches:
             texts = batch.column("text").cast(pa.binary()).to_pylist()
             fps = pa.array([fingerprint(t, shingle, seed) for t in texts], pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), fps], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text_key"), fps], names=["doc_id", "text_key", "fp"])
 
-    return map_batches(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), run, "doc_id long, fp long")
+    return map_batches(docs.select(F.col("doc_id").cast("long"), text_key().alias("text_key"), F.col("text").cast("string")), run, "doc_id long, text_key string, fp long")
 
 
 # ---- Gray order and the index -------------------------------------------------------------------
@@ -234,19 +234,21 @@ def near_links(fps: DataFrame, distance: int = 4, blocks: int = 6, chunk: int =
 
 
 def near_duplicates(docs: DataFrame, distance: int = 4, shingle: int = 4, seed: int = 42) -> DataFrame:
-    """``(doc_id, fp, component_id)``: one row for each document.
+    """``(doc_id, text_key, fp, component_id, kept)``: one row for each document.
 
     A null text has no words; no words give fingerprint zero, which links like any other. ``component_id`` is the
-    smallest ``doc_id`` that links reach, null only where no document of the component has one. Repeated rows
-    come out repeated; other columns of ``docs`` are ignored.
+    smallest ``doc_id`` that links reach, null only where no document of the component has one. ``kept`` is true for
+    one id and text of each component: the smallest id, nulls last, then the smallest key. Repeated rows come out repeated;
+    other columns of ``docs`` are ignored.
     """
     own = staged(fingerprints(docs, shingle, seed), "simhash")
-    nodes = staged(own.groupBy("fp").agg(F.min("doc_id").alias("least_id")), "simhash-nodes")
+    place = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_key")
+    nodes = staged(own.groupBy("fp").agg(F.min(place).alias("least")), "simhash-nodes")
     roots = component_roots(near_links(nodes, distance))
-    rooted = nodes.join(roots.withColumnRenamed("u", "fp"), "fp", "left").select("fp", "least_id", F.coalesce("root", "fp").alias("root"))
-    least = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    named = rooted.select("fp", "root").join(least, "root").select("fp", "component_id")
-    return own.join(named, "fp").select("doc_id", "fp", "component_id")
+    rooted = nodes.join(roots.withColumnRenamed("u", "fp"), "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+    chosen = rooted.groupBy("root").agg(F.min("least").alias("chosen"))
+    named = rooted.select("fp", "root").join(chosen, "root").select("fp", "chosen")
+    return own.join(named, "fp").select("doc_id", "text_key", "fp", F.col("chosen.doc_id").alias("component_id"), (place == F.col("chosen")).alias("kept"))
 
 
 def hex_digits(fp: Column) -> Column:
