@@ -10,34 +10,39 @@ from pyspark.sql import functions as F
 from gleaner.llm import decontaminate, langid, mixing, secrets, simhash
 from gleaner.llm.common import as_text, staged, table, text_key
 
+#: Names for a moment, unlike any column of a document.
+KEY, ID, SPANS = "gleaner_text_key", "gleaner_kept_id", "gleaner_spans"
+
 
 def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a learned language: those that the models reject go."""
-    return langid.identify(docs).where(~F.col("rejected")).select(docs.columns)
+    own = {c: f"gleaner_own_{c}" for c in docs.columns if c in langid.ADDED}
+    found = langid.identify(docs.withColumnsRenamed(own)).where(~F.col("rejected"))
+    return found.select([F.col(own.get(c, c)).alias(c) for c in docs.columns])
 
 
 def deduplicated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates: the one with the smallest id."""
-    kept = simhash.near_duplicates(docs).where("kept").select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).distinct()
-    keyed = docs.withColumn("_key", text_key())
-    one = keyed.join(kept, (keyed["_key"] == kept["_key"]) & keyed["doc_id"].eqNullSafe(kept["_id"]), "left_semi")
-    return one.dropDuplicates(["doc_id", "_key"]).select(docs.columns)
+    kept = simhash.near_duplicates(docs).where("kept").select(F.col("doc_id").alias(ID), F.col("text_key").alias(KEY)).distinct()
+    keyed = docs.withColumn(KEY, text_key())
+    one = keyed.join(kept, (keyed[KEY] == kept[KEY]) & keyed["doc_id"].eqNullSafe(kept[ID]), "left_semi")
+    return one.dropDuplicates(["doc_id", KEY]).select(docs.columns)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without too large a share of benchmark words."""
     found = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark"))
-    dirty = found.where("contaminated").select(F.col("text_key").alias("_key")).distinct()
-    return docs.withColumn("_key", text_key()).join(dirty, "_key", "left_anti").select(docs.columns)
+    dirty = found.where("contaminated").select(F.col("text_key").alias(KEY)).distinct()
+    return docs.withColumn(KEY, text_key()).join(dirty, KEY, "left_anti").select(docs.columns)
 
 
 def redacted(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with a mark in place of each secret; ``n_chars`` follows the text."""
     found = secrets.secret_spans(docs).where(F.size("all_spans") > 0)
-    spans = found.groupBy(F.col("text_key").alias("_key")).agg(F.any_value("all_spans").alias("_spans"))
-    joined = docs.withColumn("_key", text_key()).join(spans, "_key", "left")
-    text = F.when(F.col("_spans").isNull(), F.col("text")).otherwise(secrets.redacted(as_text("text"), F.col("_spans")))
-    n_chars = F.when(F.col("_spans").isNull(), F.col("n_chars")).otherwise(F.length(text).cast("long"))
+    spans = found.groupBy(F.col("text_key").alias(KEY)).agg(F.any_value("all_spans").alias(SPANS))
+    joined = docs.withColumn(KEY, text_key()).join(spans, KEY, "left")
+    text = F.when(F.col(SPANS).isNull(), F.col("text")).otherwise(secrets.redacted(as_text("text"), F.col(SPANS)))
+    n_chars = F.when(F.col(SPANS).isNull(), F.col("n_chars")).otherwise(F.length(text).cast("long"))
     return joined.withColumns({"n_chars": n_chars.cast(docs.schema["n_chars"].dataType), "text": text}).select(docs.columns)
 
 

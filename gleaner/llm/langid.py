@@ -24,6 +24,8 @@ SLOT_BITS = 21
 REMEMBERED, PIECE = 1 << 19, 1 << 18
 #: Texts with fewer letters than a bin's bound fall in it; a bin needs so many calibration documents to reject any.
 LENGTH_BINS, LEAST_CALIBRATION = [60, 250, 1000], 100
+#: Columns that ``identify`` adds, in place of any that ``docs`` has by these names.
+ADDED = ["held_out", "lang_pred", "score", "entropy", "letters", "rejected", "_text"]
 BASE, MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -255,8 +257,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
             kept = [(n, batch.column(n)) for n in batch.schema.names if n != "_text"]
             yield pa.RecordBatch.from_arrays([*(c for _, c in kept), *arrays], names=[*(n for n, _ in kept), "lang_pred", "score", "entropy", "letters"])
 
-    clash = {"lang_pred", "score", "entropy", "letters", "_text"}
-    source = docs.drop(*clash).withColumn("_text", F.col("text").cast("string"))
+    source = docs.drop(*ADDED).withColumn("_text", F.col("text").cast("string"))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema if f.name != "_text")
     return map_batches(source, run, f"{schema}, {added}")
 
@@ -278,7 +279,7 @@ def identify(docs: DataFrame, quantile: float = 0.999, slack: float = 1.25) -> D
     Null labels teach nothing; repeated rows come out repeated; ties go to the first language by name; columns of
     these names in ``docs`` are replaced.
     """
-    docs = docs.drop("held_out", "rejected", "lang_pred", "score", "entropy", "letters")
+    docs = docs.drop(*ADDED)
     labelled = docs.where("lang IS NOT NULL AND text IS NOT NULL")
     model = fit(labelled.where(_fold() < 2))
     tried = predict(labelled.where(_fold() == 3).select("text"), model).where("lang_pred <> 'und'")
