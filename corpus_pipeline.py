@@ -42,8 +42,8 @@ def redacted(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     spans = found.groupBy(F.col("text_key").alias(KEY)).agg(F.any_value("all_spans").alias(SPANS))
     joined = docs.withColumn(KEY, text_key()).join(spans, KEY, "left")
     text = F.when(F.col(SPANS).isNull(), F.col("text")).otherwise(secrets.redacted(as_text("text"), F.col(SPANS)))
-    n_chars = F.when(F.col(SPANS).isNull(), F.col("n_chars")).otherwise(F.length(text).cast("long"))
-    return joined.withColumns({"n_chars": n_chars.cast(docs.schema["n_chars"].dataType), "text": text}).select(docs.columns)
+    n_chars = F.when(F.col(SPANS).isNull(), F.col("n_chars")).otherwise(F.length("text"))
+    return joined.withColumn("text", text).withColumn("n_chars", n_chars.cast(docs.schema["n_chars"].dataType)).select(docs.columns)
 
 
 def weighted(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
