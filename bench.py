@@ -20,7 +20,7 @@ HEADLINE = [
     "body_metrics", "validate_body", "clean_body_lines", "chunk_text", "rule_score", "match_rules", "topic_score",
     "split_existing", "resolve_page_id", "upsert_store", "translation_lookup",
     "parse_flexible_datetime", "extract_datetime_by_rule", "window_decision", "decision_rollup",
-    "page_links", "paragraph_text", "body_candidates", "stream_counts",
+    "page_links", "paragraph_text", "select_one", "stream_counts",
 ]
 
 

@@ -8,10 +8,9 @@ from gleaner import constants as K
 from gleaner.catalog.base import AS_OF, art, links, pick, query, s_part, s_squeeze, s_strip, sql_list, sql_pick, sql_text, table
 from gleaner.functions import dates as D
 from gleaner.functions import html as H
-from gleaner.functions import markup_jobs as M
 from gleaner.functions import text as T
 from gleaner.functions import urls as U
-from gleaner.operators import bodies, ranking, site_watch
+from gleaner.operators import bodies, elements, ranking, site_watch
 
 
 def q(pattern: str) -> str:
@@ -54,20 +53,76 @@ def page_links(spark, sf_dir):
     return site_watch.page_links(pages(spark, sf_dir), ["page_id"]).select("page_id", "pos", "link", "title")
 
 
-@query("select_one")
+SELECTED = ["article h1", "nav ul li a", "div.ad", "time.pub", "p b", "div p"]
+PIECES_SQL = r"""piece AS (SELECT *, regexp_matches(lower(t), '^<(script|style)\b') AS whole, lower(regexp_extract(t, '^</?([A-Za-z][A-Za-z0-9_:-]*)', 1)) AS tag FROM (
+      SELECT page_id, unnest(range(len(x))) AS pos, unnest(x) AS t FROM (
+        SELECT page_id, regexp_extract_all(html, '(?is)(<!--.*?-->|<script\b.*?</script>|<style\b.*?</style>|<[^>]*>|[^<]+)', 1) AS x FROM pages))),
+    kind AS (SELECT *, tag <> '' AND starts_with(t, '</') AS closes,
+      tag <> '' AND NOT starts_with(t, '</') AND NOT whole AND NOT ends_with(t, '/>')
+        AND tag NOT IN ('area', 'base', 'br', 'col', 'embed', 'hr', 'img', 'input', 'link', 'meta', 'source', 'track', 'wbr') AS opens FROM piece),
+    deep AS (SELECT *, sum(CASE WHEN opens THEN 1 WHEN closes THEN -1 ELSE 0 END) OVER (PARTITION BY page_id ORDER BY pos) + CASE WHEN opens THEN 0 ELSE 1 END AS level FROM kind),
+    el AS (SELECT page_id, pos, tag, t AS head, level, opens, coalesce(lead(pos) OVER (PARTITION BY page_id, level ORDER BY pos), 2147483647) AS stop FROM deep WHERE opens OR closes),
+    node AS (SELECT page_id, pos, stop, tag, head, level FROM el WHERE opens
+      UNION ALL SELECT page_id, pos, pos, tag, t, level FROM deep WHERE tag <> '' AND NOT opens AND NOT closes),
+    txt AS (SELECT page_id, pos, t FROM deep WHERE tag = '' AND NOT starts_with(t, '<'))"""
+
+
+def s_entities(x: str) -> str:
+    for name, value in [("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")]:
+        x = f"replace({x}, {sql_text(name)}, {sql_text(value)})"
+    return s_strip(s_squeeze(x))
+
+
+def _class(name: str) -> str:
+    return rf"""list_contains(regexp_split_to_array(regexp_extract(head, '(?is)[\s"'']class\s*=\s*["'']([^"'']*)["'']', 1), '\s+'), '{name}')"""
+
+
+def _under(*parts: str) -> str:
+    """Elements that fit the last part, in elements that fit the parts before it."""
+    sql = f"SELECT n0.* FROM node n0 WHERE {parts[0]}"
+    for i, part in enumerate(parts[1:], 1):
+        sql = f"SELECT n{i}.* FROM node n{i} WHERE {part} AND EXISTS (SELECT 1 FROM ({sql}) o WHERE o.page_id = n{i}.page_id AND o.pos < n{i}.pos AND n{i}.stop <= o.stop)"
+    return sql
+
+
+CHOSEN = {
+    "article h1": _under("tag = 'article'", "tag = 'h1'"), "nav ul li a": _under("tag = 'nav'", "tag = 'ul'", "tag = 'li'", "tag = 'a'"),
+    "div.ad": _under(f"tag = 'div' AND {_class('ad')}"), "time.pub": _under(f"tag = 'time' AND {_class('pub')}"), "p b": _under("tag = 'p'", "tag = 'b'"),
+    "div p": _under("tag = 'div'", "tag = 'p'"), "li": _under("tag = 'li'"), "#none": _under("false"),
+}
+
+
+def selected_sql(names: list[str], columns: str, asked: str) -> str:
+    each = " UNION ALL ".join(f"SELECT {sql_text(n)} AS selector, * FROM ({CHOSEN[n]})" for n in names)
+    return f"""WITH {PIECES_SQL}, hit AS ({each}), first AS (SELECT * FROM hit QUALIFY row_number() OVER (PARTITION BY page_id, selector ORDER BY pos) = 1),
+    said AS (SELECT f.page_id, selector, string_agg(txt.t, ' ' ORDER BY txt.pos) AS t FROM first f JOIN txt ON txt.page_id = f.page_id AND txt.pos > f.pos AND txt.pos < f.stop GROUP BY ALL),
+    asked AS ({asked})
+    SELECT {columns} FROM asked a LEFT JOIN first f ON f.page_id = a.page_id AND f.selector = a.selector LEFT JOIN said s ON s.page_id = a.page_id AND s.selector = a.selector"""
+
+
+SHOWN = f"coalesce({s_entities('s.t')}, '') AS text"
+
+
+@query(
+    "select_one",
+    selected_sql(
+        SELECTED, f"a.page_id, a.selector, f.pos IS NOT NULL AS found, coalesce(f.tag, '') AS tag, '' AS datetime, {SHOWN}",
+        f"SELECT page_id, unnest([{', '.join(map(sql_text, SELECTED))}]) AS selector FROM pages",
+    ),
+)
 def select_one(spark, sf_dir):
-    """Rows only: a tree walk has no SQL twin. The heading is checked against a pattern in the tests."""
-    wanted = F.array(*[F.lit(s) for s in ("article h1", "nav ul li a", "div.ad", "time.pub", "p b")])
-    rows = pages(spark, sf_dir).select("page_id", F.explode(M.select_elements("html", wanted)).alias("s"))
-    return rows.select("page_id", "s.selector", "s.found", "s.tag", "s.datetime", "s.text")
+    """The pages' times have no ``datetime``, so that column is empty here; the tests look at one that has."""
+    return elements.select_first(pages(spark, sf_dir), "page_id", F.array(*map(F.lit, SELECTED)), longest=4)
+
+
+ASKED = ["article h1", "li", "div.ad", "#none"]
 
 
-@query("extract_selectors")
+@query("extract_selectors", selected_sql(ASKED, f"a.page_id, a.selector, {SHOWN}", f"SELECT page_id, {sql_pick('page_id', ASKED)} AS selector FROM pages"))
 def extract_selectors(spark, sf_dir):
-    """Rows only: every page against the selector its site asks for."""
-    wanted = F.array(pick(F.col("page_id"), ["article h1", "li", "div.ad", "#none"]))
-    rows = pages(spark, sf_dir).select("page_id", M.select_elements("html", wanted).alias("s"))
-    return rows.select("page_id", F.col("s")[0]["selector"].alias("selector"), F.col("s")[0]["text"].alias("text"))
+    """Every page against the selector its site asks for."""
+    found = elements.select_first(pages(spark, sf_dir), "page_id", F.array(pick(F.col("page_id"), ASKED)), longest=2)
+    return found.select("page_id", "selector", "text")
 
 
 # Head tags with dates, structured data and application data are put in front of every page.
@@ -123,7 +178,7 @@ def jsonld_blocks(spark, sf_dir):
     f"""WITH {HEADED} SELECT page_id, CASE WHEN page_id % 8 = 1 THEN day END AS published FROM headed""",
 )
 def jsonld_news_date(spark, sf_dir):
-    return headed(spark, sf_dir).select("page_id", M.news_article_date("html").alias("published"))
+    return headed(spark, sf_dir).select("page_id", H.news_article_date("html").alias("published"))
 
 
 @query(
@@ -200,18 +255,6 @@ def paragraph_text(spark, sf_dir):
     return pages(spark, sf_dir).select("page_id", F.posexplode(H.paragraph_texts("html")).alias("place", "paragraph"))
 
 
-@query("body_candidates")
-def body_candidates(spark, sf_dir):
-    """Rows only: text under twelve selectors by a tree walk, and the one the preference order picks."""
-    rows = pages(spark, sf_dir).select("page_id", M.body_candidates("html").alias("candidates"))
-    rows = rows.withColumn("best", T.fence(bodies.choose_candidate(F.col("candidates"))))
-    best = F.col("best")
-    return rows.select(
-        "page_id", F.size("candidates").alias("candidate_count"), best["selector"].alias("selector"), best["text_length"].alias("text_length"),
-        best["paragraph_count"].alias("paragraph_count"), best["text"].alias("text"),
-    )
-
-
 # Candidates written from each article's own texts.
 def candidate_rows(spark, sf_dir):
     o = F.col("ord")
@@ -268,13 +311,6 @@ def sample_limit(spark, sf_dir):
     return pages(spark, sf_dir).select("page_id", F.array_join(F.slice(hrefs, 1, 5), " ").alias("first_links"))
 
 
-@query("extract_candidates")
-def extract_candidates(spark, sf_dir):
-    """Rows only: every candidate text of every page."""
-    rows = pages(spark, sf_dir).select("page_id", F.posexplode(M.body_candidates("html")).alias("place", "c"))
-    return rows.select("page_id", "place", "c.*")
-
-
 @query(
     "jsonld_walk",
     f"SELECT page_id, CASE WHEN page_id % 3 <> 2 THEN {DAY_SQL} END AS published FROM pages",
@@ -292,18 +328,23 @@ def jsonld_walk(spark, sf_dir):
         ],
     )
     block = F.concat(F.lit('<script type="application/ld+json">'), F.replace(deep, F.lit("@D"), day), F.lit("</script>"))
-    return pages(spark, sf_dir).select("page_id", M.news_article_date(F.concat("html", block)).alias("published"))
+    return pages(spark, sf_dir).select("page_id", H.news_article_date(F.concat("html", block)).alias("published"))
 
 
-@query("list_date_text")
+@query(
+    "list_date_text",
+    f"""WITH {PIECES_SQL.replace('FROM pages', "FROM (SELECT page_id, '<li>2024/01/05 <a href=''/d''><b>x</b></a></li>' || html AS html FROM pages)")},
+    a AS (SELECT page_id, pos, stop, level, trim(regexp_extract(head, '(?is)[\\s"'']href\\s*=\\s*["'']([^"'']*)["'']', 1)) AS href FROM node WHERE tag = 'a'),
+    c AS (SELECT a.*, n.pos AS up, n.stop AS until FROM a LEFT JOIN node n ON n.page_id = a.page_id AND n.level = a.level - 1 AND n.pos < a.pos AND a.stop <= n.stop WHERE href <> ''),
+    t AS (SELECT c.page_id, c.pos, href, regexp_extract({s_entities("string_agg(txt.t, ' ' ORDER BY txt.pos)")}, '[0-9]{{4}}/[0-9]{{1,2}}/[0-9]{{1,2}}') AS d
+      FROM c LEFT JOIN txt ON txt.page_id = c.page_id AND txt.pos > c.up AND txt.pos < c.until GROUP BY ALL)
+    SELECT page_id, href, coalesce(d, '') AS date_text, CASE WHEN d <> '' THEN 'list_regex' ELSE 'failed' END AS date_source FROM t""",
+)
 def list_date_text(spark, sf_dir):
-    """Rows only: the date text of every link from inside it or from its parent."""
-    dated = F.concat(F.lit("<li>2024/01/05 <a href='/d'><b>x</b> <time>Jan 5, 2024</time></a></li>"), F.col("html"))
-    rows = pages(spark, sf_dir).select(
-        "page_id", F.explode(M.anchors_with_context(dated, F.when(F.col("page_id") % 2 == 0, F.lit("time")).otherwise(F.lit("")))).alias("a")
-    )
-    found, source = M.list_date_text(F.col("a"), F.lit(r"\d{4}/\d{1,2}/\d{1,2}"))
-    return rows.select("page_id", "a.href", found.alias("date_text"), source.alias("date_source"))
+    """The date text of every link, from the element around it."""
+    dated = pages(spark, sf_dir).withColumn("html", F.concat(F.lit("<li>2024/01/05 <a href='/d'><b>x</b></a></li>"), "html"))
+    text, source = elements.list_date(F.lit(r"[0-9]{4}/[0-9]{1,2}/[0-9]{1,2}"))
+    return elements.links_in_context(dated, "page_id").select("page_id", "href", text.alias("date_text"), source.alias("date_source"))
 
 
 @query(

@@ -1,4 +1,4 @@
-"""Markup columns by pattern. Tree walks that patterns cannot express live in ``markup_jobs``."""
+"""Markup columns by pattern. What needs the nesting of elements lives in ``gleaner.operators.elements``."""
 
 from __future__ import annotations
 
@@ -105,6 +105,39 @@ def ld_json_blocks(html: Column | str, selector: Column | str = "") -> Column:
     return F.filter(blocks, lambda b: (sel == "") | F.contains(b, sel))
 
 
+#: How many lists and graphs deep a page's structured data is searched.
+LD_DEPTH = 12
+
+
+def news_article_date(html: Column | str) -> Column:
+    """Publication date of the first news article in a page's structured data, in lists and nested graphs.
+
+    Blocks without the word are not parsed. Each step puts the items of a list in its place and the graph of an object
+    behind it, so that objects stay in page order.
+    """
+    blocks = F.filter(ld_json_blocks(html), lambda b: F.contains(F.lower(b), F.lit("newsarticle")))
+    node = lambda v, done: F.struct(v.alias("v"), F.lit(done).alias("done"))
+
+    def opened(n: Column) -> Column:
+        kind, graph = F.schema_of_variant(n["v"]), F.try_variant_get(n["v"], '$["@graph"]', "variant")
+        items = F.transform(F.try_variant_get(n["v"], "$", "array<variant>"), lambda v: node(v, False))
+        inner = F.when(graph.isNotNull(), F.array(node(n["v"], True), node(graph, False))).otherwise(F.array(node(n["v"], True)))
+        return F.when(n["done"], F.array(n)).when(kind.startswith("ARRAY"), items).when(kind.startswith("OBJECT"), inner)
+
+    nodes = F.transform(F.filter(F.transform(blocks, lambda b: F.try_parse_json(strip(b))), lambda v: v.isNotNull()), lambda v: node(v, False))
+    for _ in range(LD_DEPTH):
+        nodes = F.flatten(F.filter(F.transform(nodes, opened), lambda x: x.isNotNull()))
+
+    def dated(n: Column) -> Column:
+        one, many = F.try_variant_get(n["v"], '$["@type"]', "string"), F.try_variant_get(n["v"], '$["@type"]', "array<string>")
+        kinds = F.transform(F.coalesce(many, F.array(one)), lambda k: F.lower(strip(k)))
+        raw = F.try_variant_get(n["v"], "$.datePublished", "variant")
+        day = strip(F.when(F.schema_of_variant(raw) == "STRING", F.try_variant_get(raw, "$", "string")))
+        return F.when(n["done"] & F.array_contains(kinds, "newsarticle") & (day != ""), day)
+
+    return F.get(F.array_compact(F.transform(nodes, dated)), F.lit(0))
+
+
 def embedded_body(html: Column | str) -> tuple[Column, Column]:
     """(body, source) from embedded JSON: structured data first, then application data."""
     blocks = ld_json_blocks(html)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from gleaner.functions import dates as D
 from gleaner.functions import html as H
-from gleaner.functions import markup_jobs as M
+from gleaner.operators import elements
 from gleaner.operators import windows as W
 from gleaner.operators.extraction import extract_datetime_by_rule
 
@@ -102,10 +102,9 @@ def extract(spark, html, **changes):
         F.lit(changes.get("rss")).cast("timestamp_ntz").alias("published_parsed"), F.lit(None).cast("timestamp_ntz").alias("updated_parsed"),
         F.lit("").alias("final_url"), H.canonical_url("html").alias("canonical_url"),
     )
-    rows = rows.withColumn("ld_date", M.news_article_date("html")).withColumn(
-        "s", M.select_elements("html", F.array("date_css_selector"))[0]
-    )
-    rows = rows.select("*", F.col("s.found").alias("sel_found"), F.col("s.datetime").alias("sel_attr"), F.col("s.text").alias("sel_text")).drop("s")
+    chosen = elements.select_first(rows, "link", F.array("date_css_selector"), longest=1)
+    chosen = chosen.select("link", F.col("found").alias("sel_found"), F.col("datetime").alias("sel_attr"), F.col("text").alias("sel_text"))
+    rows = rows.withColumn("ld_date", H.news_article_date("html")).join(chosen, "link", "left")
     return extract_datetime_by_rule(rows).first()
 
 

@@ -4,8 +4,7 @@ from pyspark.sql import functions as F
 
 from gleaner.functions import dates as D
 from gleaner.functions import html as H
-from gleaner.functions import markup_jobs as M
-from gleaner.operators import bodies, shaping
+from gleaner.operators import elements, shaping
 from gleaner.plans import issue_report, site_digest
 
 PAGE_1 = """<html><body><ul>
@@ -71,37 +70,30 @@ def one(spark, col):
 
 
 def test_select_elements(spark):
-    page = '<div id="m"><p class="a b">one <i>two</i></p><section><p class="b">three</p></section></div>'
-    got = one(spark, M.select_elements(F.lit(page), F.array(F.lit("p.b"), F.lit("section .b"), F.lit("#m p i"), F.lit("h1"))))
-    assert [(r["found"], r["text"]) for r in got] == [(True, "one two"), (True, "three"), (True, "two"), (False, "")]
+    page = '<div id="m"><p class="a b">one <i>two</i></p><br><section><p class="b">three</p><time datetime=" 2026 ">x</time></section></div>'
+    wanted = ["p.b", "section .b", "#m p i", "h1", '[datetime*="26"]', "time"]
+    pages = spark.createDataFrame([(1, page)], "k int, html string")
+    got = elements.select_first(pages, "k", F.array(*map(F.lit, wanted)), longest=3).collect()
+    assert {(r["selector"], r["found"], r["datetime"], r["text"]) for r in got} == {
+        ("p.b", True, "", "one two"), ("section .b", True, "", "three"), ("#m p i", True, "", "two"), ("h1", False, "", ""),
+        ('[datetime*="26"]', True, "2026", "x"), ("time", True, "2026", "x"),
+    }
 
 
 def test_select_agrees_with_the_heading_pattern(spark, sf_dir):
     from gleaner.catalog.base import table
 
-    p = table(spark, sf_dir, "pages").select("html", M.select_elements("html", F.array(F.lit("article h1")))[0]["text"].alias("picked"))
+    p = table(spark, sf_dir, "pages").select("page_id", "html")
+    picked = elements.select_first(p, "page_id", F.array(F.lit("article h1")), longest=2)
     by_pattern = H.inner_text(F.regexp_extract("html", r"(?s)<article><h1>(.*?)</h1>", 1))
-    assert p.where(F.col("picked") != by_pattern).count() == 0
-
-
-def test_body_candidates(spark):
-    page = (
-        "<html><head><title>t</title></head><body><nav>menu</nav><article><h1>Head</h1><p>A first paragraph that is long enough.</p>"
-        "<p>A first paragraph that is long enough.</p><p><a>only a link but quite long text</a></p><div class='share-box'>share</div></article></body></html>"
-    )
-    got = {r["selector"]: r for r in one(spark, M.body_candidates(F.lit(page)))}
-    assert got["article"]["text"].split("\n")[:2] == ["Head", "A first paragraph that is long enough."]
-    assert "share" not in got["article"]["text"] and "menu" not in got["document.body.innerText fallback"]["text"]
-    assert got["paragraph_fallback"]["text"] == "A first paragraph that is long enough." and got["main"]["text"] == ""
-    staged = spark.range(1).select(M.body_candidates(F.lit(page)).alias("c"))
-    best = staged.select(bodies.choose_candidate(F.col("c")).alias("b")).first()["b"]
-    assert best["selector"] == "paragraph_fallback"
+    assert picked.join(p, "page_id").where(F.col("text") != by_pattern).count() == 0 and picked.where("found").count() > 0
 
 
 def test_anchor_dates(spark):
     page = '<ul><li>2024/01/05 <a href="/a">A</a></li><li><a href="/b">B <time>Jan 5, 2024</time></a></li><li><a href="/c">C</a></li></ul>'
-    a = spark.range(1).select(F.explode(M.anchors_with_context(F.lit(page), F.lit("time"))).alias("a"))
-    found, source = M.list_date_text(F.col("a"), F.lit(r"\d{4}/\d{2}/\d{2}"))
+    pages = spark.createDataFrame([(1, page)], "k int, html string")
+    found, source = elements.list_date(F.lit(r"\d{4}/\d{2}/\d{2}"))
+    a = elements.links_in_context(pages, "k", selector=F.lit("time")).orderBy("pos")
     assert [tuple(r) for r in a.select(found, source).collect()] == [("2024/01/05", "list_regex"), ("Jan 5, 2024", "list_selector"), ("", "failed")]
 
 
