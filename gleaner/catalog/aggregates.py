@@ -234,7 +234,7 @@ def saves(spark, sf_dir):
     UNION ALL SELECT page_id, url, CASE WHEN n % 4 <> 2 THEN 'Title ' || n END FROM acts WHERE action = 'created'""",
 )
 def upsert_store(spark, sf_dir):
-    return saves(spark, sf_dir)[0]
+    return saves(spark, sf_dir)[0].select("page_id", "url", "title")
 
 
 @query("upsert_outcomes", f"WITH {SAVES} SELECT n, url, page_id, action, action <> 'failed' AS ok, error FROM acts")

@@ -26,7 +26,7 @@ def _folder(spark, name: str) -> str:
 
 def _events(spark, sf_dir):
     """Events as a stream, with a time Spark can watermark."""
-    rows = flows.ingest(spark, sf_dir, EVENT, "events.parquet")
+    rows = flows.ingest(spark, f"{sf_dir}/events.parquet", EVENT)
     return rows.withColumn("at", F.col("ts").cast("timestamp"))
 
 
@@ -65,39 +65,41 @@ def stream_window_gate(spark, sf_dir):
         "event_id", F.col("ts").alias("published_utc"), F.lit(None).cast("string").alias("parsed_date"),
         F.lit("rolling_24h").alias("target_date_mode"), F.lit(24).alias("lookback_hours"), F.lit(ZONES[0]).alias("date_timezone"),
     )
-    as_of = lambda batch: batch.agg(F.max("published_utc").alias("t")).scalar()
+    as_of = F.lit(table(spark, sf_dir, "events").agg(F.max("ts")).first()[0]).cast("timestamp_ntz")  # the run's time, one value
     _finish(flows.run_batches(rows, flows.gate_sink(f"{folder}/out", as_of), folder))
     return spark.read.parquet(f"{folder}/out").select("event_id", "decision")
 
 
-# A day is final when the watermark, one day behind the newest event, has passed its end.
-@query(
-    "stream_counts",
-    """SELECT date_trunc('day', ts) AS start, event_type, count(*) AS n FROM events GROUP BY 1, 2
-    HAVING date_trunc('day', ts) + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 1 DAY FROM events)""".replace(
-        "GROUP BY 1, 2", "GROUP BY date_trunc('day', ts), event_type"
-    ),
-)
+@query("stream_counts", "SELECT date_trunc('day', ts) AS start, event_type, count(*) AS n FROM events GROUP BY date_trunc('day', ts), event_type")
 def stream_counts(spark, sf_dir):
+    """Counts so far of every day, open days too: each batch passes on the days it changed."""
     folder = _folder(spark, "counts")
-    counted = flows.daily_counts(_events(spark, sf_dir), "at", ["event_type"])
-    _finish(flows.run_to_files(counted, folder))
-    out = flows.read_output(spark, f"{folder}/out", "start timestamp, end timestamp, event_type string, n bigint")
+    counted = flows.daily_counts(_events(spark, sf_dir), "at", ["event_type"], lateness="60 days")
+    _finish(flows.run_batches(counted, flows.latest_sink(f"{folder}/out"), folder, mode="update"))
+    out = flows.read_latest(spark, f"{folder}/out", ["start", "event_type"])
     return out.select(F.col("start").cast("timestamp_ntz").alias("start"), "event_type", "n")
 
 
-@query("stream_upsert")
+@query(
+    "stream_upsert",
+    """WITH {store}, last AS (SELECT url, page_id FROM store QUALIFY row_number() OVER (PARTITION BY url ORDER BY ord DESC) = 1),
+    m AS (SELECT p.page_id AS n, p.url, l.page_id AS pid FROM pages p LEFT JOIN last l ON l.url = p.url),
+    upd AS (SELECT pid, max(n) AS n FROM m WHERE pid IS NOT NULL GROUP BY pid)
+    SELECT s.page_id, s.url, coalesce('Title ' || upd.n, s.title) AS title FROM store s LEFT JOIN upd ON upd.pid = s.page_id
+    UNION ALL SELECT 'new-' || left(sha256(n || '|' || url), 16), url, 'Title ' || n FROM m WHERE pid IS NULL""",
+)
 def stream_upsert(spark, sf_dir):
-    """Rows only; the tests compare it with the batch upsert."""
+    """The store after the last batch."""
     folder = _folder(spark, "upsert")
-    pages = flows.ingest(spark, sf_dir, PAGE, "pages.parquet")
+    pages = flows.ingest(spark, f"{sf_dir}/pages.parquet", PAGE)
     rows = pages.select(
         F.col("page_id").alias("n"), "url", F.lit("").alias("page_id"), F.lit("").alias("error"),
         F.concat(F.lit("Title "), F.col("page_id").cast("string")).alias("title"),
     )
     saved = store(spark, sf_dir).select("page_id", "url", "title", "ord")
     _finish(flows.run_batches(rows, flows.upsert_sink(folder, saved, "n", ["title"]), folder))
-    return spark.read.parquet(f"{folder}/snapshot").select("page_id", "url", "title")
+    snapshots = spark.read.parquet(f"{folder}/snapshot")
+    return snapshots.where(F.col("batch") == snapshots.agg(F.max("batch")).scalar()).select("page_id", "url", "title")
 
 
 @query(
@@ -117,7 +119,7 @@ def stream_score(spark, sf_dir):
 def art_stream(spark, sf_dir):
     from gleaner.catalog.base import articles_of
 
-    return articles_of(flows.ingest(spark, sf_dir, DOCUMENT, "documents.parquet"))
+    return articles_of(flows.ingest(spark, f"{sf_dir}/documents.parquet", DOCUMENT))
 
 
 @query(
@@ -133,10 +135,7 @@ def stream_first_seen(spark, sf_dir):
     )
     best = flows.best_versions(rows, "url", "body", "source", "at", existing="saved")
 
-    def write(batch, batch_id):
-        batch.write.mode("overwrite").parquet(f"{folder}/out/batch={batch_id}")
-
-    _finish(flows.run_batches(best, write, folder, mode="update"))
+    _finish(flows.run_batches(best, flows.latest_sink(f"{folder}/out"), folder, mode="update"))
     out = spark.read.parquet(f"{folder}/out")
     latest = out.groupBy("article_id").agg(F.max_by(F.struct("ord", "source", "first_seen"), "batch").alias("b"))
     return latest.select("article_id", "b.ord", "b.source", "b.first_seen")

@@ -111,9 +111,11 @@ def date_range(rows: DataFrame, column: str, buffer_days: int = 1) -> tuple[Colu
     return low, high
 
 
-def upsert(store: DataFrame, incoming: DataFrame, key: str, fields: list[str], id_param: str = "ng") -> tuple[DataFrame, DataFrame]:
+def upsert(store: DataFrame, incoming: DataFrame, key: str, fields: list[str], id_param: str = "ng", order: Column | None = None) -> tuple[DataFrame, DataFrame]:
     """(new snapshot, outcome of each incoming row: created, updated or failed).
 
+    The snapshot has all columns of ``store``; new pages have null where the row says nothing, and ``order`` as their ``ord``.
+
     ``incoming`` has ``url``, ``page_id``, ``error`` and the fields; rows with an error change nothing. Null fields
     leave the saved value as it is. When several rows update one page the last by ``key`` wins; new rows each
     make a page, with an id that depends only on the row.
@@ -131,10 +133,11 @@ def upsert(store: DataFrame, incoming: DataFrame, key: str, fields: list[str], i
     )
     latest = keep_last(changes, ["page_id"], "_k").drop("_k")
     kept = store.join(latest, "page_id", "left").select(
-        "page_id", "url", *[F.coalesce(F.col(f"_{f}"), F.col(f)).alias(f) for f in fields]
+        *[F.coalesce(F.col(f"_{c}"), F.col(c)).alias(c) if c in fields else F.col(c) for c in store.columns]
     )
-    created = judged.where(F.col("action") == "created").select("page_id", "url", *fields)
-    return kept.unionByName(created), outcome
+    ordered = [order.cast(store.schema["ord"].dataType).alias("ord")] if order is not None and "ord" in store.columns else []
+    created = judged.where(F.col("action") == "created").select("page_id", "url", *fields, *ordered)
+    return kept.unionByName(created, allowMissingColumns=True), outcome
 
 
 def replace_blocks(blocks: DataFrame, chunks: DataFrame, titles: DataFrame) -> DataFrame:

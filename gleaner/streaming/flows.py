@@ -18,14 +18,11 @@ from gleaner.operators import rules, windows
 from gleaner.operators import store as S
 
 
-def ingest(spark: SparkSession, folder: str, schema: str, pattern: str = "*.parquet", files_per_batch: int = 1000) -> DataFrame:
-    """New capture files of a folder, with an explicit schema."""
-    return (
-        spark.readStream.schema(schema)
-        .option("pathGlobFilter", pattern)
-        .option("maxFilesPerTrigger", files_per_batch)
-        .parquet(folder)
-    )
+def ingest(spark: SparkSession, path: str, schema: str, files_per_batch: int = 1000) -> DataFrame:
+    """New capture files of a table, be it a folder or one file, with an explicit schema. A missing table is an error."""
+    spark.read.schema(schema).parquet(path)
+    either = f"{path[:-1]}[{path[-1]}]"  # as a pattern, a path may name a file as well as a folder
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(either)
 
 
 def first_sightings(rows: DataFrame, key: str, event_time: str, lookback: str = "24 hours", force_refresh: bool = False) -> DataFrame:
@@ -66,27 +63,30 @@ def _batch_dir(folder: str, batch_id: int) -> str:
     return f"{folder.rstrip('/')}/batch={batch_id}"
 
 
-def gate_sink(folder: str, as_of: Callable[[DataFrame], Column]) -> Callable[[DataFrame, int], None]:
-    """Label every row by the window rule; accepted and rejected rows are both kept, apart by decision."""
+def gate_sink(folder: str, as_of: Column) -> Callable[[DataFrame, int], None]:
+    """Label every row by the window rule at the run's time; accepted and rejected rows are both kept, by decision."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        decided = windows.decide(batch, as_of(batch))
+        decided = windows.decide(batch, as_of)
         decided.write.mode("overwrite").partitionBy("decision").parquet(_batch_dir(folder, batch_id))
 
     return write
 
 
 def upsert_sink(folder: str, empty_store: DataFrame, key: str, fields: list[str]) -> Callable[[DataFrame, int], None]:
-    """Keep one store snapshot for each batch, made from the batch before it."""
+    """Keep one store snapshot for each batch, made from the batch before it.
+
+    Saved rows keep their ``ord``; the rows of a batch come after all earlier ones, by ``key``.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         store = empty_store
         if batch_id > 0:
             store = spark.read.schema(empty_store.schema).parquet(_batch_dir(folder + "/snapshot", batch_id - 1))
-        snapshot, outcome = S.upsert(store, batch, key, fields)
-        with_order = snapshot.withColumn("ord", F.xxhash64("page_id")) if "ord" in empty_store.columns else snapshot
-        with_order.select(*empty_store.columns).write.mode("overwrite").parquet(_batch_dir(folder + "/snapshot", batch_id))
+        later = F.lit((batch_id + 1) << 40) + F.pmod(F.col(key).try_cast("long"), F.lit(1 << 40))
+        snapshot, outcome = S.upsert(store, batch, key, fields, order=later)
+        snapshot.select(*empty_store.columns).write.mode("overwrite").parquet(_batch_dir(folder + "/snapshot", batch_id))
         outcome.write.mode("overwrite").parquet(_batch_dir(folder + "/outcome", batch_id))
 
     return write
@@ -117,6 +117,21 @@ def run_batches(rows: DataFrame, sink: Callable[[DataFrame, int], None], folder:
     )
 
 
+def latest_sink(folder: str) -> Callable[[DataFrame, int], None]:
+    """Keep the rows that each batch changed; ``read_latest`` takes the last of each key."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(_batch_dir(folder, batch_id))
+
+    return write
+
+
+def read_latest(spark: SparkSession, folder: str, keys: list[str]) -> DataFrame:
+    rows = spark.read.parquet(folder)
+    rest = [c for c in rows.columns if c not in (*keys, "batch")]
+    return rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), "batch").alias("_last")).select(*keys, "_last.*")
+
+
 def read_output(spark: SparkSession, folder: str, schema: str) -> DataFrame:
     """What a file sink wrote; an empty table when no row came out."""
     try:

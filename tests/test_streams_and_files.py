@@ -123,3 +123,29 @@ def test_whole_text_is_read(spark):
     from gleaner.operators.rules import bucket_score
 
     assert df.select(bucket_score(F.col("t"))).first()[0] == 1
+
+
+def test_tables_are_read_as_folder_or_file(spark, tmp_path):
+    import pytest
+
+    rows = spark.range(50).selectExpr("CAST(id AS INT) AS n", "concat('https://a/', id % 20) AS url", "'' AS page_id", "'' AS error", "concat('t', id) AS title")
+    rows.repartition(5).write.parquet(f"{tmp_path}/many.parquet")
+    one = next((tmp_path / "many.parquet").glob("part-*.parquet"))
+    one.rename(tmp_path / "one.parquet")
+    for name, files in (("many", 4), ("one", 1)):
+        stream = flows.ingest(spark, f"{tmp_path}/{name}.parquet", SCHEMA, files_per_batch=1)
+        finish(flows.run_batches(stream, flows.latest_sink(f"{tmp_path}/{name}-out"), f"{tmp_path}/{name}-run"))
+        out = spark.read.parquet(f"{tmp_path}/{name}-out")
+        assert out.select("batch").distinct().count() == files
+        assert sorted(r.n for r in out.collect()) == sorted(r.n for r in spark.read.parquet(f"{tmp_path}/{name}.parquet").collect())
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        flows.ingest(spark, f"{tmp_path}/none.parquet", SCHEMA)
+
+
+def test_upsert_keeps_all_columns_and_order_of_the_store(spark, tmp_path):
+    saved = spark.createDataFrame([("p0", "https://a/0", "old", 7, "kept")], "page_id string, url string, title string, ord bigint, note string")
+    batch = spark.createDataFrame([(5, "https://a/1", "", "", "one"), (6, "https://a/0", "", "", None)], SCHEMA)
+    flows.upsert_sink(str(tmp_path), saved, "n", ["title"])(batch, 0)
+    got = {r.url: r for r in spark.read.parquet(f"{tmp_path}/snapshot/batch=0").collect()}
+    assert (got["https://a/0"].ord, got["https://a/0"].note, got["https://a/0"].title) == (7, "kept", "old")
+    assert got["https://a/1"].ord > 7 and got["https://a/1"].note is None
