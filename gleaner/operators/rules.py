@@ -10,8 +10,7 @@ from gleaner.functions import text as T
 from gleaner.operators.filters import exclude_topics
 from gleaner.operators.quality import is_navigation_body
 
-# Rules are carried inside the plan up to this many keywords; beyond it they are joined on short character runs.
-INLINE_KEYWORDS = 2000
+# Length of the character runs that the joined form of rule matching compares.
 GRAM = 3
 
 RULE_FIELDS = ["rule_ord", "tag_name", "rule_type", "match_field", "weight", "priority", "keywords", "negative_keywords"]
@@ -95,15 +94,19 @@ def _target(field: Column) -> Column:
 
 
 def matches_inline(df: DataFrame, rules: DataFrame) -> DataFrame:
-    """Add ``matches``: the rules that hit, in rule order. Map-only; the rules ride along as one value."""
+    """Add ``matches``: the rules that hit, in rule order. Map-only; the rules ride along as one value.
+
+    This is the form that scoring uses, whatever the number of rules. A null keyword list is empty.
+    """
     packed = rules.agg(F.array_sort(F.collect_list(F.struct(*RULE_FIELDS))).alias("rules")).scalar()
+    none = F.array().cast("array<string>")
 
     def judge(r: Column) -> Column:
         target = _target(r["match_field"])
         return F.struct(
             *[r[f].alias(f) for f in RULE_FIELDS[:6]],
-            T.keyword_hits(target, r["keywords"]).alias("positive_hits"),
-            T.keyword_hits(target, r["negative_keywords"]).alias("negative_hits"),
+            T.keyword_hits(target, F.coalesce(r["keywords"], none)).alias("positive_hits"),
+            T.keyword_hits(target, F.coalesce(r["negative_keywords"], none)).alias("negative_hits"),
         )
 
     judged = F.transform("_rules", judge)
@@ -123,7 +126,9 @@ def _runs(c: Column) -> Column:
 
 
 def matches_joined(df: DataFrame, rules: DataFrame, key: str) -> DataFrame:
-    """The same ``matches`` for any number of rules, by an equi-join on the first characters of each keyword.
+    """The same ``matches`` by an equi-join on the first characters of each keyword, for rule tables too large to carry.
+
+    A choice of the caller: ``key`` must be unique. The empty keyword, which every text holds, has a run of its own.
 
     A text can hold a keyword only if it holds the keyword's first run of up to three characters; candidates from
     that join are then checked in full. Texts are joined back by key, so only keys and runs are shuffled first.
@@ -136,7 +141,7 @@ def matches_joined(df: DataFrame, rules: DataFrame, key: str) -> DataFrame:
 
     keywords = words("keywords", "positive").unionByName(words("negative_keywords", "negative"))
     keywords = keywords.withColumn("gram", F.left("low", F.lit(GRAM)))
-    grams = df.select(key, F.explode(_runs(F.col("_both"))).alias("gram"))
+    grams = df.select(key, F.explode(F.array_append(_runs(F.col("_both")), F.lit(""))).alias("gram")).distinct()
     wanted = keywords.select("gram").distinct()
     pairs = grams.join(wanted, "gram", "left_semi").join(keywords, "gram").drop("gram")
     checked = pairs.join(df.select(key, "_title", "_body", "_both"), key).where(
@@ -156,14 +161,6 @@ def matches_joined(df: DataFrame, rules: DataFrame, key: str) -> DataFrame:
     return df.join(packed, key, "left").withColumn("matches", F.coalesce("matches", F.array()))
 
 
-def with_matches(df: DataFrame, rules: DataFrame, key: str) -> DataFrame:
-    """Choose the form by the size of the rule set."""
-    size = F.coalesce(F.sum(F.size("keywords") + F.size("negative_keywords")), F.lit(0)).alias("n")
-    if rules.agg(size).first()["n"] <= INLINE_KEYWORDS:
-        return matches_inline(df, rules)
-    return matches_joined(df, rules, key)
-
-
 def score(df: DataFrame, min_report_score: float = 5.0, source_title: str = "source_title", page_title: str = "page_title") -> DataFrame:
     """Add score, priority, tags, negatives, breakdown and exclusion from ``matches``."""
     m = F.col("matches")
@@ -226,4 +223,4 @@ def score_articles(
     body: str = "text", min_report_score: float = 5.0,
 ) -> DataFrame:
     staged = scoring_texts(articles, source_title, page_title, body)
-    return score(with_matches(staged, rules, key), min_report_score, source_title, page_title)
+    return score(matches_inline(staged, rules), min_report_score, source_title, page_title)

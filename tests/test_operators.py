@@ -162,6 +162,17 @@ def test_inline_and_joined_matching_agree(spark):
     assert read(rules.matches_inline(staged, table)) == read(rules.matches_joined(staged, table, "id"))
 
 
+def test_three_thousand_keywords_empty_and_missing_lists(spark):
+    words = [f"kw{i}x" for i in range(3000)]
+    table = [(i, f"t{i}", "x", "both", 1.0, 0, words[i * 100 : i * 100 + 100], None) for i in range(30)] + [(30, "e", "x", "both", 1.0, 0, [""], ["kw7x"]), (31, "n", "x", "title", 1.0, 0, None, ["kw8x"])]
+    df = spark.createDataFrame([(i, t, "", t) for i, t in enumerate(["kw7x kw2999x", "none", "", "KW8X"])], "id int, source_title string, page_title string, text string")
+    staged, table = rules.scoring_texts(df, "source_title", "page_title", "text"), spark.createDataFrame(table, RULE_SCHEMA)
+    read = lambda d: {r["id"]: r["matches"] for r in d.select("id", "matches").collect()}
+    inline = read(rules.matches_inline(staged, table))
+    assert inline == read(rules.matches_joined(staged, table, "id"))
+    assert [[m["rule_ord"] for m in inline[i]] for i in range(4)] == [[0, 29, 30], [30], [30], [0, 30, 31]]
+
+
 def test_keywords_split_inside_words(spark):
     assert one(spark, T.split_keywords(F.lit("鉄鋼 OR インド,政策、商社;資源|物流　再エネ"))) == ["鉄鋼", "インド", "政策", "商社", "資源", "物流", "再エネ"]
     assert one(spark, T.split_keywords(F.lit("FORD"))) == ["F", "D"]
