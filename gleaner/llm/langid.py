@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import math
 import re
+import uuid
 from collections import Counter
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -21,7 +22,7 @@ LETTERS = re.compile(r"[^\W\d_]+")
 #: log2 of the slots that all languages together have for one order: the model takes 2^21 x 5 x 12 bytes at most.
 SLOT_BITS = 21
 #: Distinct words between blanks that a worker counts or remembers before it starts anew, and words scored at once.
-REMEMBERED, PIECE = 1 << 19, 1 << 18
+REMEMBERED, PIECE = 1 << 20, 1 << 18
 #: Texts with fewer letters than a bin's bound fall in it; a bin needs so many calibration documents to reject any.
 LENGTH_BINS, LEAST_CALIBRATION = [60, 250, 1000], 100
 #: Columns that ``identify`` adds, in place of any that ``docs`` has by these names.
@@ -66,7 +67,7 @@ def gram_counts(docs: DataFrame) -> DataFrame:
         for batch in batches:
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 counts.setdefault(lang, Counter()).update(text.as_py().split())
-                if sum(map(len, counts.values())) > REMEMBERED:
+                if sum(map(len, counts.values())) > REMEMBERED // 2:
                     yield flush(counts)
                     counts = {}
         yield flush(counts)
@@ -123,6 +124,7 @@ class Model:
     bits: int
     probabilities: list[tuple[np.ndarray, np.ndarray]]
     shares: list[tuple[np.ndarray, np.ndarray]]
+    key: str = field(default_factory=lambda: uuid.uuid4().hex)
 
     def look(self, table: tuple[np.ndarray, np.ndarray], hashes: np.ndarray) -> np.ndarray:
         keys, rows = table
@@ -139,12 +141,13 @@ class Model:
         ends = np.cumsum(lengths + ORDER - 1)
         scored = np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths) + np.repeat(ends - lengths, lengths)
         score = np.zeros((len(scored), len(self.langs)), np.float32)
+        hashes = [run_hashes(codes, k) for k in range(ORDER + 1)]
         opened = np.ones(score.shape, bool)
         for k in range(ORDER, 0, -1):
-            found = self.look(self.probabilities[k - 1], run_hashes(codes, k)[scored])
+            found = self.look(self.probabilities[k - 1], hashes[k][scored])
             score += np.where(opened & ~np.isnan(found), found, 0)
             opened &= np.isnan(found)
-            share = self.look(self.shares[k - 1], run_hashes(codes, k - 1)[scored - 1])
+            share = self.look(self.shares[k - 1], hashes[k - 1][scored - 1])
             score += np.where(opened & ~np.isnan(share), share, 0)
         score += np.where(opened, np.float32(math.log(1e-4)), 0)
         return np.add.reduceat(score, np.cumsum(lengths) - lengths, axis=0)
@@ -223,6 +226,17 @@ class _Scores(dict):
         return out
 
 
+_KEPT: dict[str, _Scores] = {}
+
+
+def _scores_of(model: Model) -> _Scores:
+    """What this worker process remembers of the model, over all its tasks; only the last model's is kept."""
+    if model.key not in _KEPT:
+        _KEPT.clear()
+        _KEPT[model.key] = _Scores(model)
+    return _KEPT[model.key]
+
+
 def predict(docs: DataFrame, model: Model) -> DataFrame:
     """``docs`` with ``lang_pred``, ``score``, ``entropy`` (nats a letter) and ``letters``, map-only."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
@@ -230,7 +244,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
 
     def run(batches: Batches) -> Batches:
         model = shared.value
-        scores = _Scores(model)
+        scores = _scores_of(model)
 
         def judged(texts: list[str]) -> list[tuple]:
             totals = scores.totals([t.split() for t in texts])
