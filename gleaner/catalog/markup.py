@@ -43,14 +43,20 @@ def read_page_captures(spark, sf_dir):
     return decode_captures(raw, keep=["page_id"]).select("page_id", "url", "final_url", F.length("html").cast("bigint").alias("chars"))
 
 
+#: Put before every page: a bare target, references by name and number, in text and target.
+LINKED = "<a href=/b?x=1&amp;y=&#50;>Caf&eacute; &#8212; &#x3042; &unknown; q</a>"
+
+
 @query(
     "page_links",
     f"""WITH a AS (SELECT page_id, url, unnest(regexp_extract_all(html, {q(H.ANCHOR)}, 1)) AS head, unnest(regexp_extract_all(html, {q(H.ANCHOR)}, 2)) AS body,
-      generate_subscripts(regexp_extract_all(html, {q(H.ANCHOR)}, 1), 1) - 1 AS pos FROM pages)
-    SELECT page_id, CAST(pos AS INTEGER) AS pos, {s_part('url', 1)} || '://' || {s_part('url', 2)} || trim(regexp_extract(head, {q(H.HREF)}, 1)) AS link, {s_inner('body')} AS title FROM a""",
+      generate_subscripts(regexp_extract_all(html, {q(H.ANCHOR)}, 1), 1) AS pos FROM pages)
+    SELECT page_id, CAST(pos AS INTEGER) AS pos, {s_part('url', 1)} || '://' || {s_part('url', 2)} || trim(regexp_extract(head, {q(H.HREF)}, 1)) AS link, {s_inner('body')} AS title FROM a
+    UNION ALL SELECT page_id, 0, {s_part('url', 1)} || '://' || {s_part('url', 2)} || '/b?x=1&y=2', 'Café — あ &unknown; q' FROM pages""",
 )
 def page_links(spark, sf_dir):
-    return site_watch.page_links(pages(spark, sf_dir), ["page_id"]).select("page_id", "pos", "link", "title")
+    linked = pages(spark, sf_dir).withColumn("html", F.concat(F.lit(LINKED), "html"))
+    return site_watch.page_links(linked, ["page_id"]).select("page_id", "pos", "link", "title")
 
 
 SELECTED = ["article h1", "nav ul li a", "div.ad", "time.pub", "p b", "div p"]

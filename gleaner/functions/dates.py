@@ -98,9 +98,11 @@ def _utc(local: Column, offset_minutes: Column, tz: Column) -> Column:
 ISO_TIME = r"(?:[T ]\d{2}(?::?\d{2}(?::?\d{2}(?:[.,]\d{1,9})?)?)?(?:Z|[+-]\d{2}:?\d{2})?)?"
 ISO = rf"^\d{{4}}(?:-\d{{2}}-\d{{2}}|\d{{4}}){ISO_TIME}$"
 ISO_OFFSET = r"(?<=[T ].{2,20})(Z|[+-]\d{2}:?\d{2})$"
+#: Blanks of any script: a full-width blank parts a date from its time like any other.
+B = K.WS
 MAIL = (
-    r"^(?:[A-Za-z]{3,9},?\s+)?(\d{1,2})[ -]([A-Za-z]{3,9})[ -](\d{4}|\d{2})\s+(\d{1,2}:\d{2}(?::\d{2})?)"
-    r"\s*([+-]\d{4}|[A-Za-z]{1,5})?$"
+    rf"^(?:[A-Za-z]{{3,9}},?{B}+)?(\d{{1,2}})[ -]([A-Za-z]{{3,9}})[ -](\d{{4}}|\d{{2}}){B}+(\d{{1,2}}:\d{{2}}(?::\d{{2}})?)"
+    rf"{B}*([+-]\d{{4}}|[A-Za-z]{{1,5}})?$"
 )
 PLAIN = r"^\d{4}-\d{1,2}-\d{1,2}(?: \d{1,2}:\d{1,2}(?::\d{1,2})?)?$"
 
@@ -166,8 +168,8 @@ def parse_flexible_utc(c: Column | str, tz: Column, granularity: Column) -> Colu
 
 def parse_date_text_local(c: Column | str, tz: Column, granularity: Column) -> Column:
     """First date found anywhere in the text, by six shapes in order, then ISO; null when none."""
-    day_first = r"(\d{1,2})\s+([A-Za-z]+)\s+(\d{4})"
-    month_first = r"([A-Za-z]+)\s+(\d{1,2}),\s*(\d{4})"
+    day_first = rf"(\d{{1,2}}){B}+([A-Za-z]+){B}+(\d{{4}})"
+    month_first = rf"([A-Za-z]+){B}+(\d{{1,2}}),{B}*(\d{{4}})"
 
     def parse(t: Column) -> Column:
         def shape(pattern: str) -> Column:
@@ -181,11 +183,11 @@ def parse_date_text_local(c: Column | str, tz: Column, granularity: Column) -> C
                 ),
             )
 
-        numeric_time = F.translate(shape(r"\d{4}[/-]\d{1,2}[/-]\d{1,2}\s+\d{1,2}:\d{2}"), "/", "-")
-        kanji_time = F.translate(shape(r"\d{4}年\d{1,2}月\d{1,2}日\s*\d{1,2}:(?:\d{2})?"), "年月日", "-- ")
+        numeric_time = F.translate(shape(rf"\d{{4}}[/-]\d{{1,2}}[/-]\d{{1,2}}{B}+\d{{1,2}}:\d{{2}}"), "/", "-")
+        kanji_time = F.translate(shape(rf"\d{{4}}年\d{{1,2}}月\d{{1,2}}日{B}*\d{{1,2}}:(?:\d{{2}})?"), "年月日", "-- ")
         found = F.coalesce(
-            _wall_clock(F.regexp_replace(numeric_time, r"\s+", " ")),
-            _wall_clock(F.regexp_replace(F.regexp_replace(kanji_time, r"\s+", " "), ":$", ":00")),
+            _wall_clock(F.regexp_replace(numeric_time, f"{B}+", " ")),
+            _wall_clock(F.regexp_replace(F.regexp_replace(kanji_time, f"{B}+", " "), ":$", ":00")),
             _wall_clock(F.translate(shape(r"\d{4}[/-]\d{1,2}[/-]\d{1,2}"), "/", "-")),
             _wall_clock(F.translate(shape(r"\d{4}年\d{1,2}月\d{1,2}日"), "年月日", "--")),
             _wall_clock(named(day_first, 1, 2, 3)),

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from html.entities import name2codepoint
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from gleaner import constants as K
-from gleaner.functions.text import as_col, squeeze, strip, text
+from gleaner.functions.text import as_col, let, squeeze, strip, text
 
 ANCHOR = r"(?is)<a\b([^>]*\bhref\s*=\s*[\"'][^\"']*[\"'][^>]*)>(.*?)</a>"
 HREF = r"(?i)\bhref\s*=\s*[\"']([^\"']*)[\"']"
@@ -18,14 +20,32 @@ LD_JSON = r"(?is)<script[^>]*type=[\"']application/ld\+json[\"'][^>]*>(.*?)</scr
 APP_DATA = r"(?is)<script[^>]*id=[\"']__NEXT_DATA__[\"'][^>]*>(.*?)</script>"
 IMAGE = r"(?is)(<img\b[^>]*>)"
 
-# Entities decoded without a parser.
+# Entities with a meaning of their own here (a no-break blank is a blank).
 ENTITIES = [("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")]
+REFERENCE = r"&(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});"
+#: A link with its target quoted or bare, and the target in one of three groups.
+LINK = r"""(?is)<a\b([^>]*\bhref\s*=\s*(?:"[^"]*"|'[^']*'|[^\s"'>]+)[^>]*)>(.*?)</a>"""
+TARGET = r"""(?i)\bhref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
 
 
 def unescape(c: Column) -> Column:
-    for name, value in ENTITIES:
-        c = F.replace(c, F.lit(name), F.lit(value))
-    return c
+    """Character references decoded once, by number or by the names of HTML 4; unknown ones stay."""
+    names = {name: chr(code) for name, code in name2codepoint.items()} | {e[1:-1]: v for e, v in ENTITIES if "#" not in e}
+    known = F.str_to_map(F.lit("\x01".join(f"{n}\x02{v}" for n, v in names.items())), F.lit("\x01"), F.lit("\x02"))
+
+    def value(name: Column) -> Column:
+        digits = F.regexp_extract(name, "([0-9a-fA-F]+)$", 1)
+        code = F.when(name.rlike("^#[xX]"), F.conv(digits, 16, 10)).when(F.startswith(name, F.lit("#")), digits).cast("int")
+        fits = (code > 0) & (code < 0x110000) & ~code.between(0xD800, 0xDFFF)
+        character = F.when(fits, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))
+        whole = F.concat(F.lit("&"), name, F.lit(";"))
+        return F.when(F.startswith(name, F.lit("#")), F.coalesce(character, whole)).otherwise(F.coalesce(F.try_element_at(known, name), whole))
+
+    def decoded(t: Column) -> Column:
+        values = F.transform(F.regexp_extract_all(t, F.lit(REFERENCE), F.lit(1)), value)
+        return F.array_join(F.zip_with(F.split(t, REFERENCE, -1), values, lambda part, v: F.concat(part, F.coalesce(v, F.lit("")))), "")
+
+    return let(c, lambda t: F.when(F.contains(t, F.lit("&")), decoded(t)).otherwise(t))
 
 
 def inner_text(c: Column | str) -> Column:
@@ -40,13 +60,13 @@ def attr(tag: Column, name: str) -> Column:
 def anchors(html: Column | str) -> Column:
     """Links in page order: href as written and the visible text, else the title attribute."""
     page = text(html)
-    heads = F.regexp_extract_all(page, F.lit(ANCHOR), F.lit(1))
-    bodies = F.regexp_extract_all(page, F.lit(ANCHOR), F.lit(2))
+    heads = F.regexp_extract_all(page, F.lit(LINK), F.lit(1))
+    bodies = F.regexp_extract_all(page, F.lit(LINK), F.lit(2))
 
     def link(head: Column, body: Column) -> Column:
         shown = inner_text(body)
         return F.struct(
-            strip(F.regexp_extract(head, HREF, 1)).alias("href"),
+            strip(unescape(F.concat(*[F.regexp_extract(head, TARGET, i) for i in (1, 2, 3)]))).alias("href"),
             F.when(shown != "", shown).otherwise(strip(F.regexp_extract(head, TITLE_ATTR, 1))).alias("title"),
             head.alias("head"),
         )

@@ -141,3 +141,10 @@ def test_first_date_meta_is_used(spark):
 def test_both_failures_are_told(spark):
     row = extract(spark, "<p>none</p>")
     assert row["failure_reason"] == "primary=selector not found: time.pub; fallback=rss datetime not found"
+
+
+def test_a_full_width_blank_parts_date_and_time(spark):
+    rows = [("2026/04/05\u300008:30", datetime(2026, 4, 5, 8, 30)), ("2026年4月5日\u30008:30", datetime(2026, 4, 5, 8, 30)), ("5\u3000Apr\u00a02026", datetime(2026, 4, 5))]
+    df = spark.createDataFrame([(t,) for t, _ in rows], "t string")
+    got = df.select(D.parse_date_text_local("t", F.lit(JST), F.lit("datetime"))).collect()
+    assert [r[0] for r in got] == [w for _, w in rows]
