@@ -138,7 +138,7 @@ def site_digest(spark, sf_dir):
     )
     config = shaping.normalize_site_config(raw).withColumnRenamed("site_name", "site")
     sites = config.join(grouped, "site").withColumn("list_page_urls", F.array_distinct(F.array("first_page", "last_page"))).drop("first_page", "last_page")
-    return site.build(sites, captures, D.ntz(RUN), max_pages=2).select("site", "url", "title", "date_source", "position")
+    return site.build(sites, captures, D.ntz(RUN)).select("site", "url", "title", "date_source", "position")
 
 
 # ---- newspaper issue: every article scored, the report's five chosen ----

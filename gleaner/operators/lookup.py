@@ -92,24 +92,29 @@ def enrich_dates(candidates: DataFrame, captures: DataFrame, parsed: str, patter
     return done.unionByName(tried.withColumn(parsed, parse))
 
 
-def crawl_pages(starts: DataFrame, edges: DataFrame, max_pages: int) -> DataFrame:
-    """Pages each site's walks visit: from every start, in order, up to ``max_pages``, stopping at a page the site
-    has already visited.
-
-    ``starts`` is ``site, start, url`` with ``start`` counting from 0 within the site; ``edges`` is ``url,
-    next_url`` with one row for each page. All walks advance together; then the starts of all sites are settled
-    one rank at a time, as a later walk depends on what the earlier ones of its site reached.
+def crawl_pages(starts: DataFrame, edges: DataFrame) -> DataFrame:
+    """Pages each site's walks visit: from every start, in order, up to the site's ``max_pages``, stopping at a page the
+    site has already visited.
+
+    ``starts`` is ``site, start, url, max_pages`` with ``start`` counting from 0 within the site; ``edges`` is ``url,
+    next_url`` with one row for each page. All walks advance together, each to its own limit, as long as any goes on;
+    then the starts of all sites are settled one rank at a time, as a later walk depends on what the earlier ones of its
+    site reached.
     """
-    step = starts.select("site", "start", F.lit(0).alias("depth"), "url")
+    step = starts.where("max_pages > 0").select("site", "start", F.lit(0).alias("depth"), "url", "max_pages")
     levels = [step]
-    for depth in range(1, max_pages):
+    for depth in range(1, starts.agg(F.max("max_pages")).first()[0] or 0):
         step = (
-            step.join(edges, "url")
+            step.where(F.col("max_pages") > depth).join(edges, "url")
             .where(F.col("next_url") != "")
-            .select("site", "start", F.lit(depth).alias("depth"), F.col("next_url").alias("url"))
+            .select("site", "start", F.lit(depth).alias("depth"), F.col("next_url").alias("url"), "max_pages")
         )
+        if depth % 4 == 0:
+            step = cut_lineage(step)
+            if step.isEmpty():
+                break
         levels.append(step)
-    walks = cut_lineage(reduce(DataFrame.unionByName, levels))
+    walks = cut_lineage(reduce(DataFrame.unionByName, levels).drop("max_pages"))
     first = walks.groupBy("site", "start", "url").agg(F.min("depth").alias("_first"))
     again = walks.join(first, ["site", "start", "url"]).where("depth > _first")
     own_end = again.groupBy("site", "start").agg(F.min("depth").alias("_end"))

@@ -17,12 +17,10 @@ def page_edges(captures: DataFrame) -> DataFrame:
     return captures.select("url", F.when(href != "", U.url_join("url", href)).otherwise(F.lit("")).alias("next_url"))
 
 
-def visited_pages(sites: DataFrame, captures: DataFrame, max_pages: int) -> DataFrame:
-    """Listing pages of every enabled site in visiting order, with their markup."""
-    starts = sites.where("enabled").select("site", F.posexplode("list_page_urls").alias("start", "url"))
-    walks = lookup.crawl_pages(starts, page_edges(captures), max_pages)
-    limits = sites.select("site", "max_pages")
-    return walks.join(limits, "site").where("depth < max_pages").join(captures.select("url", "html"), "url")
+def visited_pages(sites: DataFrame, captures: DataFrame) -> DataFrame:
+    """Listing pages of every enabled site in visiting order, with their markup: as many from each start as the site allows."""
+    starts = sites.where("enabled").select("site", "max_pages", F.posexplode("list_page_urls").alias("start", "url"))
+    return lookup.crawl_pages(starts, page_edges(captures)).join(captures.select("url", "html"), "url")
 
 
 def decisions(sites: DataFrame, pages: DataFrame, captures: DataFrame, as_of: Column) -> tuple[DataFrame, DataFrame]:
@@ -52,8 +50,8 @@ def decisions(sites: DataFrame, pages: DataFrame, captures: DataFrame, as_of: Co
     return site_watch.site_items(dated, as_of, in_window, reason, "max_items_per_site")
 
 
-def build(sites: DataFrame, captures: DataFrame, as_of: Column, max_pages: int = 5) -> DataFrame:
-    pages = visited_pages(sites, captures, max_pages)
+def build(sites: DataFrame, captures: DataFrame, as_of: Column) -> DataFrame:
+    pages = visited_pages(sites, captures)
     kept, _ = decisions(sites, pages, captures, as_of)
     order = F.struct("ord.start", "ord.depth", "ord.pos")
     return site_watch.dedupe_and_limit(sites, kept.withColumn("ord", order))

@@ -39,7 +39,7 @@ def sites_and_captures(spark):
 
 def test_site_watch_end_to_end(spark):
     sites, captures = sites_and_captures(spark)
-    got = site_digest.build(sites, captures, D.ntz("2026-04-05 01:00:00"), max_pages=3).orderBy("position").collect()
+    got = site_digest.build(sites, captures, D.ntz("2026-04-05 01:00:00")).orderBy("position").collect()
     assert [(r["site"], r["url"].split(".com")[1], r["date_source"]) for r in got] == [
         ("A", "/news/1", "list_regex"), ("A", "/news/2", "article_regex"), ("A", "/news/4", "list_regex"),
         ("B", "/x/2", "list_regex"),
@@ -48,7 +48,7 @@ def test_site_watch_end_to_end(spark):
 
 def test_site_watch_decisions(spark):
     sites, captures = sites_and_captures(spark)
-    pages = site_digest.visited_pages(sites, captures, 3)
+    pages = site_digest.visited_pages(sites, captures)
     assert {(r["site"], r["depth"]) for r in pages.collect()} == {("A", 0), ("A", 1), ("B", 0)}
     _, judged = site_digest.decisions(sites, pages, captures, D.ntz("2026-04-05 01:00:00"))
     got = {r["url"].split(".com")[1]: r["decision"] for r in judged.where("site = 'A'").collect()}

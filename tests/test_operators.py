@@ -288,10 +288,21 @@ def test_existing_rows_by_url_or_key(spark):
 def test_crawl_stops_at_visited_pages(spark):
     edges = spark.createDataFrame([("a", "b"), ("b", "c"), ("c", "a"), ("d", "b"), ("e", "")], "url string, next_url string")
     starts = spark.createDataFrame([("s", 0, "a"), ("s", 1, "d"), ("s", 2, "e"), ("t", 0, "d")], "site string, start int, url string")
-    got = {(r["site"], r["start"], r["url"]) for r in lookup.crawl_pages(starts, edges, 5).collect()}
+    got = {(r["site"], r["start"], r["url"]) for r in lookup.crawl_pages(starts.withColumn("max_pages", F.lit(5)), edges).collect()}
     assert got == {("s", 0, "a"), ("s", 0, "b"), ("s", 0, "c"), ("s", 1, "d"), ("s", 2, "e"), ("t", 0, "d"), ("t", 0, "b"), ("t", 0, "c"), ("t", 0, "a")}
 
 
 def test_missing_required_columns_are_named():
     with pytest.raises(ValueError, match=re.escape("['Date']")):
         shaping.require_columns(["Title"])
+
+
+def test_each_site_stops_at_its_own_limit(spark):
+    chain = spark.createDataFrame([("a", "b"), ("b", "c"), *((f"n{i}", f"n{i + 1}") for i in range(12))], "url string, next_url string")
+    starts = spark.createDataFrame([("one", 0, "a", 1), ("one", 1, "b", 1), ("two", 0, "a", 2), ("two", 1, "b", 2), ("eight", 0, "n0", 8), ("none", 0, "a", 0)], "site string, start int, url string, max_pages int")
+    got = {}
+    for r in lookup.crawl_pages(starts, chain).collect():
+        got.setdefault((r.site, r.start), []).append((r.depth, r.url))
+    assert {k: [u for _, u in sorted(v)] for k, v in got.items()} == {
+        ("one", 0): ["a"], ("one", 1): ["b"], ("two", 0): ["a", "b"], ("eight", 0): [f"n{i}" for i in range(8)],
+    }
