@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import unicodedata
+from array import array
 from functools import lru_cache
 
 import numpy as np
@@ -17,6 +18,8 @@ from gleaner.llm.common import Batches, map_batches
 END = "</w>"
 #: Distinct words and token pairs a Python worker remembers; beyond it forgets all and goes on.
 REMEMBERED = 1 << 20
+#: Words and pieces of more letters are counted by place and not remembered, so what is remembered has a bounded size.
+LONG = 64
 #: The pieces that the vocabulary's file names, with Unicode blanks spelled out.
 PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\p{White_Space}\p{L}\p{N}]+")
 
@@ -39,7 +42,8 @@ class WordCounts(dict):
 
     ``prefix[w]`` has the last token of the encoding of the symbols ``w`` and its number of tokens. A token that ends
     ``w`` is the right last one exactly if merging it with the last token before its start leaves both as they are,
-    so each prefix needs only the count of one shorter prefix. Words share the entries of common beginnings.
+    so each prefix needs only the count of one shorter prefix. Words share the entries of common beginnings. Long
+    pieces keep the same two by the length of the prefix instead.
     """
 
     def __init__(self, path: str) -> None:
@@ -118,7 +122,33 @@ class WordCounts(dict):
                     return count + 1
         raise ValueError(f"no encoding ends with {word!r}")
 
+    def by_place(self, word: str) -> tuple[array, array]:
+        """For each prefix of a spelled word, by its length, where its last token starts and its number of tokens."""
+        vocab, fits, longest = self.vocab, self.fits, self.longest
+        starts, counts = array("q", [0]), array("q", [0])
+        for p in range(1, len(word) + 1):
+            for i in range(p - longest if p > longest else 0, p):
+                token = word[i:p]
+                if token in vocab and (i == 0 or fits(word[starts[i] : i], token)):
+                    starts.append(i)
+                    counts.append(counts[i] + 1)
+                    break
+            else:
+                raise ValueError(f"no encoding of {p} letters of {word[:LONG]!r}")
+        return starts, counts
+
+    def closed_at(self, word: str, p: int, starts: array, counts: array) -> int:
+        """Tokens of a spelled word's first ``p`` letters as a whole word."""
+        for i in range(max(0, p - self.longest), p):
+            token = word[i:p] + END
+            if token in self.vocab and (i == 0 or self.fits(word[starts[i] : i], token)):
+                return counts[i] + 1
+        raise ValueError(f"no encoding ends after {p} letters of {word[:LONG]!r}")
+
     def of_piece(self, piece: str) -> int:
+        if len(piece) > LONG:
+            word = self.spelled(piece)
+            return self.closed_at(word, len(word), *self.by_place(word[:-1]))
         known = self.closed_words.get(piece)
         if known is None:
             if len(self.closed_words) >= REMEMBERED:
@@ -129,17 +159,19 @@ class WordCounts(dict):
         return known
 
     def __missing__(self, word: str) -> int:
-        if len(self) >= REMEMBERED:
-            self.clear()
-        self[word] = tokens = sum(map(self.of_piece, PIECES.findall(normal(word))))
+        tokens = sum(map(self.of_piece, PIECES.findall(normal(word))))
+        if len(word) <= LONG:
+            if len(self) >= REMEMBERED:
+                self.clear()
+            self[word] = tokens
         return tokens
 
     def every_prefix(self, piece: str) -> list[int]:
         """Token counts of a piece's first 1, 2, … characters, each as the end of a text."""
         word = self.spelled(piece)
-        self.grow(word)
+        places = self.by_place(word)
         ends = np.cumsum([len(c.encode()) for c in piece]).tolist()
-        return [self.closed(word[:p]) for p in ends]
+        return [self.closed_at(word, p, *places) for p in ends]
 
     def words(self, text: str) -> list[str]:
         return BLANKS.split(text) if OTHER_BLANKS.search(text) else text.split()

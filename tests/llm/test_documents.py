@@ -40,6 +40,18 @@ def test_every_prefix_has_its_exact_count():
         assert table.every_prefix(word) == [len(library.encode(word[:i]).ids) for i in range(1, len(word) + 1)]
 
 
+def test_long_runs_take_memory_by_their_length():
+    library, table = Tokenizer.from_file(VOCABULARY), tokens.WordCounts(VOCABULARY)
+    rng = random.Random(9)
+    runs = ["".join(rng.choice("etaoinshr") for _ in range(6_000)), "=" * 5_000, "é日" * 2_000, "".join(rng.choice("=-_*#") for _ in range(5_000))]
+    for run in [*runs, *(runs[0][:n] for n in range(60, 70))]:
+        assert table.counts(run).tolist() == [len(library.encode(run, add_special_tokens=False).ids)]
+    for kept in (table, table.closed_words, table.prefix):
+        assert sum(map(len, kept)) < 100_000
+    library_counts = [len(library.encode(runs[0][:i], add_special_tokens=False).ids) for i in range(1, 200)]
+    assert table.every_prefix(runs[0][:199]) == library_counts
+
+
 def test_budgets_from_stored_prefixes(spark):
     df = spark.createDataFrame([([1, 3, 6],), ([],)], "p array<int>")
     got = df.select(tokens.words_in_budget(F.col("p"), 5), tokens.tokens_of_prefix(F.col("p"), 2), tokens.tokens_of_prefix(F.col("p"), 9)).collect()
