@@ -23,7 +23,7 @@ LETTERS = re.compile(r"[^\W\d_]+")
 SLOT_BITS = 21
 #: Distinct words between blanks that a worker counts or remembers before it starts anew, and words scored at once.
 REMEMBERED, PIECE = 1 << 20, 1 << 18
-#: Texts with fewer letters than a bin's bound fall in it; a bin needs so many calibration documents to reject any.
+#: Texts with fewer letters than a bin's bound fall in it; a bin with fewer calibration documents is pooled.
 LENGTH_BINS, LEAST_CALIBRATION = [60, 250, 1000], 100
 #: Columns that ``identify`` adds, in place of any that ``docs`` has by these names.
 ADDED = ["held_out", "lang_pred", "score", "entropy", "letters", "rejected", "_text"]
@@ -286,7 +286,8 @@ def identify(docs: DataFrame, quantile: float = 0.999, slack: float = 1.25) -> D
     One model for each language is learned from the labelled documents of two folds, over all their text; the third
     fold calibrates how high the entropy of a text of some length may be: the ``quantile`` of its documents, times
     ``slack``. Above that a text is ``rejected`` as no learned language. The fourth fold is held out. A bin of lengths
-    with too few calibration documents rejects nothing.
+    with few calibration documents goes by all lengths of its language too, then by all languages. With no calibration
+    document at all there is no limit.
 
     A null text, or one with no letter, is ``und`` with score 0 and rejected; with nothing to learn from every text
     is. ``lang``, ``source`` and ``doc_id`` are no input of a prediction. ``score`` is the best language's posterior.
@@ -297,10 +298,27 @@ def identify(docs: DataFrame, quantile: float = 0.999, slack: float = 1.25) -> D
     labelled = docs.where("lang IS NOT NULL AND text IS NOT NULL")
     model = fit(labelled.where(_fold() < 2))
     tried = predict(labelled.where(_fold() == 3).select("text"), model).where("lang_pred <> 'und'")
-    limits = tried.groupBy("lang_pred", _bin(F.col("letters")).alias("bin")).agg(F.count("*").alias("n"), F.percentile_approx("entropy", quantile, 10_000).alias("limit"))
-    known = {(r.lang_pred, r.bin): r.limit * slack for r in limits.collect() if r.n >= LEAST_CALIBRATION}  # a row a language and bin
-    limit = F.lit(None).cast("double")
-    for (lang, number), value in sorted(known.items()):
-        limit = F.when((F.col("lang_pred") == lang) & (_bin(F.col("letters")) == number), F.lit(float(value))).otherwise(limit)
+    highest = [F.count("*").alias("n"), F.percentile_approx("entropy", quantile, 10_000).alias("limit")]
+    pooled = tried.withColumn("bin", _bin(F.col("letters"))).rollup("lang_pred", "bin").agg(*highest).collect()  # a row a language and bin
+    counts = {(r.lang_pred, r.bin): (r.n, r.limit * slack) for r in pooled if r.limit is not None}
+    limit = F.lit(limit_of(counts, None, None)).cast("double")
+    for lang in sorted({lang for lang, _ in counts if lang is not None}):
+        for number in range(len(LENGTH_BINS) + 1):
+            limit = F.when((F.col("lang_pred") == lang) & (_bin(F.col("letters")) == number), F.lit(limit_of(counts, lang, number))).otherwise(limit)
     found = predict(docs, model).withColumn("rejected", F.coalesce(F.col("entropy") > limit, F.col("lang_pred") == "und"))
     return found.withColumn("held_out", held_out()).drop("letters")
+
+
+def limit_of(counts: dict[tuple, tuple[int, float]], lang: str | None, number: int | None) -> float | None:
+    """The entropy limit of a language's bin, from ``(documents, limit)`` by language and bin, None for all of them.
+
+    A bin with too few documents takes the limit of the language, and a language with too few that of all languages,
+    but none lower than its own documents ask for.
+    """
+    limits = []
+    for key in ((lang, number), (lang, None), (None, None)):
+        n, limit = counts.get(key, (0, None))
+        limits += [] if limit is None else [float(limit)]
+        if n >= LEAST_CALIBRATION:
+            break
+    return max(limits, default=None)

@@ -136,6 +136,26 @@ def test_languages_of_awkward_texts(spark):
     assert {r.lang_pred for r in langid.identify(unlabelled).collect()} == {"und"}
 
 
+def planted(spark):
+    """120 texts of two languages, 20 of them of a rare one, then 20 unlabelled ones of letters that none of them has."""
+    rng = random.Random(4)
+    words = lambda letters: " ".join("".join(rng.choice(letters) for _ in range(rng.randrange(2, 6))) for _ in range(30))
+    rows = [(i, words("abcde"), "aa") for i in range(100)] + [(i, words("mnopq"), "mm") for i in range(100, 120)]
+    return spark.createDataFrame([*rows, *((i, words("αβγδεζηθικλ"), None) for i in range(120, 140))], "doc_id long, text string, lang string")
+
+
+def test_small_tables_reject_an_unlearned_language(spark):
+    got = langid.identify(planted(spark)).collect()
+    assert {r.rejected for r in got if r.lang is None} == {True}
+    assert {(r.lang, r.rejected) for r in got if r.lang} == {("aa", False), ("mm", False)}
+
+
+def test_limits_of_thin_bins_are_pooled():
+    counts = {("en", 0): (99, 3.0), ("en", 1): (100, 2.0), ("en", None): (199, 2.5), ("fr", 1): (4, 1.0), ("fr", None): (4, 1.0), (None, None): (203, 2.4)}
+    assert [langid.limit_of(counts, *key) for key in (("en", 0), ("en", 1), ("en", 2), ("fr", 0), ("de", 0))] == [3.0, 2.0, 2.5, 2.4, 2.4]
+    assert langid.limit_of({}, "en", 0) is None
+
+
 def test_probabilities_after_a_context_sum_to_one(spark):
     docs = spark.createDataFrame([("en", "the then there than that this those"), ("fr", "le la les")], "lang string, text string")
     for k, table in enumerate(langid.kneser_ney(langid.gram_counts(docs)), 1):
