@@ -6,6 +6,7 @@ import math
 import re
 import uuid
 from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -19,8 +20,10 @@ ORDER = 5
 #: Marks before and after each word; a word's letters are scored with the marks as their context.
 START, STOP = "\x02", "\x03"
 LETTERS = re.compile(r"[^\W\d_]+")
-#: log2 of the slots that all languages together have for one order: the model takes 2^21 x 5 x 12 bytes at most.
-SLOT_BITS = 21
+#: A model of at most so many bytes is broadcast; a larger one stays in tables and is joined to the words' grams.
+BROADCAST_BYTES = 1 << 27
+#: Log-probability of a letter that no order knows.
+UNKNOWN = math.log(1e-4)
 #: Distinct words between blanks that a worker counts or remembers before it starts anew, and words scored at once.
 REMEMBERED, PIECE = 1 << 20, 1 << 18
 #: Texts with fewer letters than a bin's bound fall in it; a bin with fewer calibration documents is pooled.
@@ -118,20 +121,20 @@ def _codes(text: str) -> np.ndarray:
 
 @dataclass
 class Model:
-    """Sorted slot numbers for each order, with one row of logarithms for each: a column for each language."""
+    """Sorted 64-bit hashes of the grams of each order, with one row of logarithms for each: a column for each language."""
 
     langs: list[str]
-    bits: int
     probabilities: list[tuple[np.ndarray, np.ndarray]]
     shares: list[tuple[np.ndarray, np.ndarray]]
     key: str = field(default_factory=lambda: uuid.uuid4().hex)
 
     def look(self, table: tuple[np.ndarray, np.ndarray], hashes: np.ndarray) -> np.ndarray:
         keys, rows = table
-        slots = (hashes >> np.uint64(64 - self.bits)).astype(np.int64)
-        at = np.searchsorted(keys, slots)
+        if not len(keys):
+            return np.full((len(hashes), len(self.langs)), np.nan, np.float32)
+        at = np.searchsorted(keys, hashes)
         at[at == len(keys)] = 0
-        return np.where((keys[at] == slots)[:, None], rows[at], np.float32(np.nan))
+        return np.where((keys[at] == hashes)[:, None], rows[at], np.float32(np.nan))
 
     def word_scores(self, words: list[str]) -> np.ndarray:
         """The log-probability of each word, its end included: a row for each word."""
@@ -149,53 +152,71 @@ class Model:
             opened &= np.isnan(found)
             share = self.look(self.shares[k - 1], hashes[k - 1][scored - 1])
             score += np.where(opened & ~np.isnan(share), share, 0)
-        score += np.where(opened, np.float32(math.log(1e-4)), 0)
+        score += np.where(opened, np.float32(UNKNOWN), 0)
         return np.add.reduceat(score, np.cumsum(lengths) - lengths, axis=0)
 
 
-def fit(docs: DataFrame) -> Model:
+@dataclass
+class Tables:
+    """A model too large to broadcast: what ``kneser_ney`` returns, and the languages in order."""
+
+    langs: list[str]
+    orders: list[DataFrame]
+
+
+def fit(docs: DataFrame) -> Model | Tables:
     """Models of all languages from all given labelled documents.
 
-    Counts are distributed; what comes to the driver is one number pair for each slot, at most 2^SLOT_BITS slots an
-    order. Grams that share a slot share the larger probability.
+    Counts are distributed. Every gram keeps its own probability: a model of at most BROADCAST_BYTES comes to the driver
+    by 64-bit hashes of the grams, a larger one stays in tables. Both give the same scores.
     """
     grams = staged(gram_counts(docs.where("lang IS NOT NULL AND text IS NOT NULL").select(F.col("lang").cast("string"), F.col("text").cast("string"))), "grams")
     langs = sorted(r[0] for r in grams.select("lang").distinct().collect())  # one short row for each language
-    if len(langs) > 1 << (SLOT_BITS - 10):
-        raise ValueError(f"{len(langs)} languages are more than the model has slots for")
-    bits = SLOT_BITS - max(len(langs) - 1, 0).bit_length()
+    orders = kneser_ney(grams)
+    if 2 * sum(table.count() for table in orders) * (8 + 4 * len(langs)) > BROADCAST_BYTES:
+        return Tables(langs, orders)
     probabilities, shares = [], []
-    for k, table in enumerate(kneser_ney(grams), 1):
+    for k, table in enumerate(orders, 1):
 
-        def slotted(source: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
+        def hashed(source: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
             def run(batches: Batches) -> Batches:
                 for batch in batches:
                     texts = batch.column("g").to_pylist()
                     codes = _codes("".join(texts)) if size else np.array([], np.uint64)
                     ends = np.arange(1, len(texts) + 1) * size - 1
                     hashes = run_hashes(codes, size)[ends] if size and texts else run_hashes(np.zeros(len(texts), np.uint64), 0)
-                    slots = pa.array((hashes >> np.uint64(64 - bits)).astype(np.int64))
-                    yield pa.RecordBatch.from_arrays([batch.column("lang"), slots, batch.column("v")], names=["lang", "slot", "v"])
+                    yield pa.RecordBatch.from_arrays([batch.column("lang"), pa.array(hashes.view(np.int64)), batch.column("v")], names=["lang", "hash", "v"])
 
-            got = map_batches(source, run, "lang string, slot long, v double").groupBy("lang", "slot").agg(F.max("v").alias("v")).toArrow()
-            slots, lang = got.column("slot").to_numpy(), np.searchsorted(langs, got.column("lang").to_pylist()) if got.num_rows else np.array([], int)
-            keys, at = np.unique(slots, return_inverse=True)
-            rows = np.full((len(keys) or 1, len(langs)), np.nan, np.float32)
+            got = map_batches(source, run, "lang string, hash long, v double").toArrow()
+            hashes, lang = got.column("hash").to_numpy().view(np.uint64), np.searchsorted(langs, got.column("lang").to_pylist()) if got.num_rows else np.array([], int)
+            keys, at = np.unique(hashes, return_inverse=True)
+            rows = np.full((len(keys), len(langs)), np.nan, np.float32)
             rows[at, lang] = np.log(got.column("v").to_numpy())
-            return (keys if len(keys) else np.array([-1])), rows
+            return keys, rows
 
-        probabilities.append(slotted(table.select("lang", F.col("gram").alias("g"), F.col("p").alias("v")), k))
-        shares.append(slotted(table.groupBy("lang", F.col("context").alias("g")).agg(F.max("gamma").alias("v")), k - 1))
-    return Model(langs, bits, probabilities, shares)
+        probabilities.append(hashed(table.select("lang", F.col("gram").alias("g"), F.col("p").alias("v")), k))
+        shares.append(hashed(table.groupBy("lang", F.col("context").alias("g")).agg(F.max("gamma").alias("v")), k - 1))
+    return Model(langs, probabilities, shares)
 
 
 # ---- predicting ---------------------------------------------------------------------------------
 
 
+@dataclass
+class Scored:
+    """Words whose scores are known, in the place of a model."""
+
+    langs: list[str]
+    rows: dict[str, list[float]]
+
+    def word_scores(self, words: list[str]) -> np.ndarray:
+        return np.array([self.rows[w] for w in words], np.float32).reshape(len(words), len(self.langs))
+
+
 class _Scores(dict):
     """Rows of word scores by words between blanks; the last column counts letters and word ends."""
 
-    def __init__(self, model: Model) -> None:
+    def __init__(self, model: Model | Scored) -> None:
         super().__init__()
         self.model, self.rows = model, np.zeros((0, len(model.langs) + 1), np.float32)
 
@@ -237,43 +258,114 @@ def _scores_of(model: Model) -> _Scores:
     return _KEPT[model.key]
 
 
-def predict(docs: DataFrame, model: Model) -> DataFrame:
-    """``docs`` with ``lang_pred``, ``score``, ``entropy`` (nats a letter) and ``letters``, map-only."""
+def _judged(scores: _Scores, texts: list[str]) -> list[tuple]:
+    langs, rows = scores.model.langs, []
+    totals = scores.totals([t.split() for t in texts])
+    for text, (*sums, letters) in zip(texts, totals.tolist(), strict=True):
+        if not letters or not sums or not any(c.isalpha() for c in text):
+            rows.append(("und", 0.0, None, int(letters)))
+            continue
+        best = max(sums)
+        rows.append((langs[sums.index(best)], 1 / sum(math.exp(max(s - best, -700)) for s in sums), -best / letters, int(letters)))
+    return rows
+
+
+def _pieces(texts: pa.Array | pa.ChunkedArray) -> Iterator[list[str]]:
+    """The texts of a batch, null as empty, in pieces of bounded size."""
+    held, size = [], 0
+    for text in texts:
+        held.append(text.as_py() or "")
+        size += len(held[-1])
+        if size > PIECE * 6:
+            yield held
+            held, size = [], 0
+    yield held
+
+
+def _with_judgements(batch: pa.RecordBatch | pa.Table, rows: list[tuple], left_out: tuple[str, ...]) -> tuple[list, list[str]]:
+    columns = zip(*rows, strict=True) if rows else [()] * 4
+    arrays = [pa.array(c, k) for c, k in zip(columns, (pa.string(), pa.float64(), pa.float64(), pa.int64()), strict=True)]
+    kept = [(n, batch.column(n)) for n in batch.schema.names if n not in left_out]
+    return [*(c for _, c in kept), *arrays], [*(n for n, _ in kept), "lang_pred", "score", "entropy", "letters"]
+
+
+def predict(docs: DataFrame, model: Model | Tables) -> DataFrame:
+    """``docs`` with ``lang_pred``, ``score``, ``entropy`` (nats a letter) and ``letters``; map-only if the model is broadcast."""
+    source = docs.drop(*ADDED).withColumn("_text", F.col("text").cast("string"))
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema if f.name != "_text"), "lang_pred string, score double, entropy double, letters long"])
+    if isinstance(model, Tables):
+        return _predict_joined(source, model, schema)
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    added = "lang_pred string, score double, entropy double, letters long"
 
     def run(batches: Batches) -> Batches:
-        model = shared.value
-        scores = _scores_of(model)
+        scores = _scores_of(shared.value)
+        for batch in batches:
+            rows = [row for piece in _pieces(batch.column("_text")) for row in _judged(scores, piece)]
+            arrays, names = _with_judgements(batch, rows, ("_text",))
+            yield pa.RecordBatch.from_arrays(arrays, names=names)
 
-        def judged(texts: list[str]) -> list[tuple]:
-            totals = scores.totals([t.split() for t in texts])
-            rows = []
-            for text, (*sums, letters) in zip(texts, totals.tolist(), strict=True):
-                if not letters or not sums or not any(c.isalpha() for c in text):
-                    rows.append(("und", 0.0, None, int(letters)))
-                    continue
-                best = max(sums)
-                rows.append((model.langs[sums.index(best)], 1 / sum(math.exp(max(s - best, -700)) for s in sums), -best / letters, int(letters)))
-            return rows
+    return map_batches(source, run, schema)
 
+
+def _predict_joined(source: DataFrame, model: Tables, schema: str) -> DataFrame:
+    """Documents in parts of bounded size, each with the scores of its distinct words: no word's rows are as many as its documents."""
+    langs = model.langs
+    placed = f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in source.schema)}, _part string"
+
+    def parted(batches: Batches) -> Batches:
         for batch in batches:
-            rows, held, size = [], [], 0
-            for text in batch.column("_text"):
-                held.append(text.as_py() or "")
-                size += len(held[-1])
-                if size > PIECE * 6:
-                    rows += judged(held)
-                    held, size = [], 0
-            rows += judged(held)
-            columns = zip(*rows, strict=True) if rows else [()] * 4
-            arrays = [pa.array(c, k) for c, k in zip(columns, (pa.string(), pa.float64(), pa.float64(), pa.int64()), strict=True)]
-            kept = [(n, batch.column(n)) for n in batch.schema.names if n != "_text"]
-            yield pa.RecordBatch.from_arrays([*(c for _, c in kept), *arrays], names=[*(n for n, _ in kept), "lang_pred", "score", "entropy", "letters"])
+            parts = [part for piece in _pieces(batch.column("_text")) for part in [uuid.uuid4().hex] * len(piece)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(parts, pa.string())], names=[*batch.schema.names, "_part"])
 
-    source = docs.drop(*ADDED).withColumn("_text", F.col("text").cast("string"))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema if f.name != "_text")
-    return map_batches(source, run, f"{schema}, {added}")
+    def worded(batches: Batches) -> Batches:
+        for batch in batches:
+            found = sorted({(p, w) for p, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True) for w in words_of(t or "")})
+            yield pa.RecordBatch.from_arrays([pa.array([f[i] for f in found], pa.string()) for i in (0, 1)], names=["part", "word"])
+
+    parts = staged(map_batches(source, parted, placed), "parts")
+    words = staged(map_batches(parts.select("_part", "_text"), worded, "part string, word string").distinct(), "words")
+    scored = words.join(word_scores(words.select("word").distinct(), model), "word")
+
+    def run(_: tuple, texts: pa.Table, found: pa.Table) -> pa.Table:
+        rows = dict(zip(found.column("word").to_pylist(), found.column("scores").to_pylist(), strict=True))
+        scores = _Scores(Scored(langs, rows))
+        judged = [row for piece in _pieces(texts.column("_text")) for row in _judged(scores, piece)]
+        arrays, names = _with_judgements(texts, judged, ("_text", "_part"))
+        return pa.table(arrays, names=names)
+
+    return parts.groupBy("_part").cogroup(scored.groupBy("part")).applyInArrow(run, schema)
+
+
+def word_scores(words: DataFrame, model: Tables) -> DataFrame:
+    """``(word, scores)``: what ``Model.word_scores`` gives, by joins of the words' distinct grams with the model's tables."""
+    padded = F.concat(F.lit(START * (ORDER - 1)), F.col("word"), F.lit(STOP))
+    places = F.explode(F.sequence(F.lit(1), F.length("word") + 1))
+    split = words.select("word", padded.alias("padded"), places.alias("at")).select("word", F.substring("padded", F.col("at"), F.lit(ORDER)).alias("gram"))
+    number = F.array_position(F.lit(model.langs).cast("array<string>"), F.col("lang")).cast("int")
+
+    def by_lang(table: DataFrame, key: str, value: Column, name: str) -> DataFrame:
+        each = table.groupBy(F.col(key), "lang").agg(F.max(value).alias("v")).select(key, F.struct(number.alias("lang"), F.log("v").cast("float").alias("v")).alias("pair"))
+        return each.groupBy(key).agg(F.map_from_entries(F.collect_list("pair")).alias(name))  # a pair a language
+
+    grams = {ORDER: split.select("gram").distinct()}
+    for k in range(ORDER - 1, 0, -1):
+        grams[k] = grams[k + 1].select(F.substring("gram", 2, k).alias("gram")).distinct()
+    below = None
+    for k, table in enumerate(model.orders, 1):
+        own = grams[k].withColumn("context", F.substring("gram", 1, k - 1)).join(by_lang(table, "gram", F.col("p"), "found"), "gram", "left")
+        shares = by_lang(table, "context", F.col("gamma"), "share")
+        # all grams of order 1 have the one empty context, so it is not a key to join by
+        own = own.join(shares, "context", "left") if k > 1 else own.crossJoin(F.broadcast(shares.select("share")))
+        if below is not None:
+            own = own.withColumn("suffix", F.substring("gram", 2, k - 1)).join(below, "suffix")
+        score = F.expr(
+            f"transform(sequence(1, {len(model.langs)}), l -> coalesce(try_element_at(found, l), coalesce(try_element_at(share, l), 0) + "
+            + ("get(lower, l - 1)" if below is not None else f"{UNKNOWN!r}") + "))"
+        ).cast("array<double>")
+        done = staged(own.select("gram", score.alias("score")), f"scores{k}")
+        below = done.select(F.col("gram").alias("suffix"), F.col("score").alias("lower"))
+    sums = [F.sum(F.get("score", F.lit(i))) for i in range(len(model.langs))]
+    return split.join(done, "gram").groupBy("word").agg(F.array(*sums).alias("scores"))
 
 
 def _bin(letters: Column) -> Column:

@@ -156,6 +156,31 @@ def test_limits_of_thin_bins_are_pooled():
     assert langid.limit_of({}, "en", 0) is None
 
 
+def test_a_gram_that_was_not_learned_is_not_found(spark):
+    rng = random.Random(6)
+    word = lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(5))
+    learned = sorted({word() for _ in range(8_000)})
+    docs = spark.createDataFrame([("en", " ".join(learned[::2])), ("fr", " ".join(learned[1::2]))], "lang string, text string")
+    model, others = langid.fit(docs), sorted({word() for _ in range(30_000)} - set(learned))
+    hashes = lambda words: langid.run_hashes(langid._codes("".join(words)), 5)[4::5]
+    assert np.isnan(model.look(model.probabilities[4], hashes(others))).all()
+    found = ~np.isnan(model.look(model.probabilities[4], hashes(learned)))
+    assert (found == np.array([[i % 2 == 0, i % 2 == 1] for i in range(len(learned))])).all()
+
+
+def test_a_model_too_large_to_broadcast_gives_the_same(spark, monkeypatch):
+    rows = [(r.doc_id, r.text, r.lang) for r in planted(spark).collect()] + [(200, None, "aa"), (201, "12 !", None), (None, "abc İß x", None), (None, "abc İß x", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    order = lambda rows: sorted(rows, key=lambda r: (r.doc_id is None, r.doc_id))
+    want = order(langid.identify(docs).collect())
+    monkeypatch.setattr(langid, "BROADCAST_BYTES", 0)
+    assert isinstance(langid.fit(docs), langid.Tables)
+    got = order(langid.identify(docs).collect())
+    same = lambda r: (r.doc_id, r.text, r.lang, r.held_out, r.lang_pred, r.rejected)
+    assert list(map(same, got)) == list(map(same, want))
+    assert [(r.score, r.entropy or 0) for r in got] == [pytest.approx((r.score, r.entropy or 0), rel=1e-4) for r in want]
+
+
 def test_probabilities_after_a_context_sum_to_one(spark):
     docs = spark.createDataFrame([("en", "the then there than that this those"), ("fr", "le la les")], "lang string, text string")
     for k, table in enumerate(langid.kneser_ney(langid.gram_counts(docs)), 1):
