@@ -48,7 +48,7 @@ def stream_dedupe(spark, sf_dir):
     folder = _folder(spark, "dedupe")
     key = F.concat_ws("|", F.col("user_id").cast("string"), F.get_json_object("props", "$.k"))
     rows = _events(spark, sf_dir).select("at", key.alias("key"))
-    _finish(flows.run_to_files(flows.first_sightings(rows, "key", "at", "60 days").select("key"), folder))
+    _finish(flows.run_to_files(flows.first_sightings(rows, "key", "at", lookback=None).select("key"), folder))
     return flows.read_output(spark, f"{folder}/out", "key string")
 
 
@@ -74,7 +74,7 @@ def stream_window_gate(spark, sf_dir):
 def stream_counts(spark, sf_dir):
     """Counts so far of every day, open days too: each batch passes on the days it changed."""
     folder = _folder(spark, "counts")
-    counted = flows.daily_counts(_events(spark, sf_dir), "at", ["event_type"], lateness="60 days")
+    counted = flows.daily_counts(_events(spark, sf_dir), "at", ["event_type"], lateness=None)
     _finish(flows.run_batches(counted, flows.latest_sink(f"{folder}/out"), folder, mode="update"))
     out = flows.read_latest(spark, f"{folder}/out", ["start", "event_type"])
     return out.select(F.col("start").cast("timestamp_ntz").alias("start"), "event_type", "n")

@@ -1,6 +1,7 @@
 """The jobs as streams: captures arrive as files, and each behaviour of a scheduled run becomes a flow.
 
-State is bounded by the look-back everywhere: a watermark drops what is older, as a run would.
+State is bounded by the look-back: a watermark drops what is older, as a run would. Without a look-back nothing is
+dropped, and state has a row for each key.
 """
 
 from __future__ import annotations
@@ -25,17 +26,20 @@ def ingest(spark: SparkSession, path: str, schema: str, files_per_batch: int = 1
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(either)
 
 
-def first_sightings(rows: DataFrame, key: str, event_time: str, lookback: str = "24 hours", force_refresh: bool = False) -> DataFrame:
-    """Each key once within the look-back; a forced run lets everything through."""
+def first_sightings(rows: DataFrame, key: str, event_time: str, lookback: str | None = "24 hours", force_refresh: bool = False) -> DataFrame:
+    """Each key once within the look-back, or once ever without one; a forced run lets everything through."""
     if force_refresh:
         return rows
+    if lookback is None:
+        return rows.dropDuplicates([key])
     return rows.withWatermark(event_time, lookback).dropDuplicatesWithinWatermark([key])
 
 
-def daily_counts(rows: DataFrame, event_time: str, keys: list[str], lateness: str = "1 day", slide: str | None = None) -> DataFrame:
-    """Counts by day (or by a sliding day); a day is final once the watermark passes it."""
+def daily_counts(rows: DataFrame, event_time: str, keys: list[str], lateness: str | None = "1 day", slide: str | None = None) -> DataFrame:
+    """Counts by day (or by a sliding day); a day is final once the watermark passes it, or never without ``lateness``."""
     span = F.window(event_time, "1 day", slide) if slide else F.window(event_time, "1 day")
-    counted = rows.withWatermark(event_time, lateness).groupBy(span.alias("w"), *keys).agg(F.count("*").alias("n"))
+    timed = rows if lateness is None else rows.withWatermark(event_time, lateness)
+    counted = timed.groupBy(span.alias("w"), *keys).agg(F.count("*").alias("n"))
     return counted.select(F.col("w.start").alias("start"), F.col("w.end").alias("end"), *keys, "n")
 
 

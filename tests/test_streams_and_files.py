@@ -59,6 +59,20 @@ def test_first_sightings_across_batches(spark, tmp_path):
     assert again.count() == 2
 
 
+def test_old_rows_of_later_batches_count(spark, tmp_path, monkeypatch):
+    from gleaner.catalog import streams
+
+    t = lambda year, month: __import__("datetime").datetime(year, month, 1)
+    rows = [[(1, t(2024, 12)), (2, t(2023, 1))], [(3, t(2023, 1)), (4, t(2023, 6))], [(5, t(2022, 1)), (3, t(2024, 12))]]
+    batches = [[(i, at, i, "click", 1.0, '{"k": 1}') for i, at in batch] for batch in rows]
+    stream = stream_of(spark, str(tmp_path), batches, streams.EVENT)
+    monkeypatch.setattr(flows, "ingest", lambda *_: stream)
+    got = streams.stream_counts(spark, str(tmp_path)).collect()
+    assert sorted((r.start, r.n) for r in got) == [(t(2022, 1), 1), (t(2023, 1), 2), (t(2023, 6), 1), (t(2024, 12), 2)]
+    keys = streams.stream_dedupe(spark, str(tmp_path)).collect()
+    assert sorted(r.key for r in keys) == [f"{i}|1" for i in range(1, 6)]
+
+
 def test_better_versions_replace(spark, tmp_path):
     schema = "ord int, url string, body string, source string, at timestamp"
     at = __import__("datetime").datetime(2024, 1, 5)
