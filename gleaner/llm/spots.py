@@ -8,15 +8,17 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gleaner.llm.common import Batches, map_batches
 
 #: Content words in a chain.
 CHAIN = 3
-#: Common words of the corpus, by the number of documents that hold them.
+#: Common words of each language, by the number of its documents that hold them.
 ANCHORS = 64
+#: Where so many words in a row hold no anchor, each word after them is taken for one, up to the next anchor.
+GAP = 16
 #: Distinct words that a task counts before it passes its counts on.
 COUNTED = 1 << 18
 #: Letters with their case folded and digits; every other ASCII character parts words.
@@ -28,39 +30,52 @@ def words_of(text: str) -> list[bytes]:
 
 
 def common_words(docs: DataFrame, count: int = ANCHORS) -> list[bytes]:
-    """The words that most documents hold, of equal ones the smaller: the anchors. Counts cover every document."""
+    """The anchors: for each ``lang`` the words that most of its documents hold, of equal ones the smaller, all together.
+
+    Counts cover every document. Documents without a language, or all if there is no such column, are a group of their own.
+    """
+    lang = F.col("lang").cast("string") if "lang" in docs.columns else F.lit(None).cast("string")
 
     def run(batches: Batches) -> Batches:
         def flush() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())], names=["word", "n"])
+            rows = [(lang, word, n) for lang, words in counts.items() for word, n in words.items()]
+            columns = zip(*rows, strict=True) if rows else [()] * 3
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.string(), pa.binary(), pa.int64()), strict=True)], names=["lang", "word", "n"])
 
-        counts: Counter = Counter()
+        counts: dict[str | None, Counter] = {}
         for batch in batches:
-            for text in batch.column(0):
-                counts.update(set(words_of(text.as_py() or "")))
-                if len(counts) > COUNTED:
+            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                counts.setdefault(lang, Counter()).update(set(words_of(text.as_py() or "")))
+                if sum(map(len, counts.values())) > COUNTED:
                     yield flush()
                     counts.clear()
         yield flush()
 
-    counted = map_batches(docs.select(F.col("text").cast("string")), run, "word binary, n long")
-    top = counted.groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(count)
-    return [bytes(r.word) for r in top.collect()]
+    counted = map_batches(docs.select(lang.alias("lang"), F.col("text").cast("string")), run, "lang string, word binary, n long")
+    first = lambda rows, *keys: rows.withColumn("rank", F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc("n"), "word"))).where(F.col("rank") <= count)
+    totals = counted.groupBy("lang", "word").agg(F.sum("n").alias("n")).withColumn("salt", F.pmod(F.xxhash64("word"), F.lit(16)))
+    top = first(first(totals, "lang", "salt"), "lang").select("word").distinct()
+    return sorted(bytes(r.word) for r in top.collect())  # so many words a language
 
 
 def signatures(text: str, anchors: frozenset[bytes]) -> np.ndarray:
     """The sorted set of a text's signatures as 64-bit numbers.
 
-    A signature is an anchor with the next CHAIN content words after it, anchors skipped. A text in which no anchor is
-    followed by a content word takes the chains at every word instead, so that every text with words has some.
+    A signature is an anchor with the next CHAIN content words after it, anchors skipped. Where GAP words in a row hold no
+    anchor, the words after them take the place of anchors up to the next one, so no long part of a text is left out. A
+    text in which nothing is followed by a content word takes the chains at every word instead, so that every text with
+    words has some.
     """
     words = words_of(text)
     if not words:
         return np.array([], np.uint64)
     digest, out = xxhash.xxh64_intdigest, set()
     content = [i for i, w in enumerate(words) if w not in anchors]
-    spots = np.array([i for i, w in enumerate(words) if w in anchors], np.int64)
-    for i, at in zip(spots.tolist(), np.searchsorted(content, spots).tolist(), strict=True):
+    common = np.array([i for i, w in enumerate(words) if w in anchors], np.int64)
+    bounds = np.r_[-1, common, len(words)]
+    gaps = [np.arange(bounds[j] + 1 + GAP, bounds[j + 1]) for j in np.flatnonzero(np.diff(bounds) > GAP + 1)]
+    spots = np.concatenate([common, *gaps])
+    for i, at in zip(spots.tolist(), np.searchsorted(content, spots, side="right").tolist(), strict=True):
         if at < len(content):
             out.add(digest(b" ".join([words[i], *(words[j] for j in content[at : at + CHAIN])])))
     if not out:

@@ -227,6 +227,22 @@ def test_signatures_follow_common_words():
     assert len(spots.signatures("no anchor here", anchors)) == 1 and not len(spots.signatures("", anchors))
 
 
+def test_a_minority_language_has_its_own_anchors(spark):
+    rows = [(i, " ".join(f"en{k}" for k in range(80)) + f" only{i}", "en") for i in range(20)]
+    rows += [(i, f"y de y la y que cosa{i} otra{i} mas{i}", "es") for i in range(20, 23)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert {b"y", b"de", b"la", b"que", b"en0"} <= set(spots.common_words(docs))
+    assert len(spots.common_words(docs.drop("lang"))) == spots.ANCHORS
+
+
+def test_text_without_anchors_is_not_left_out():
+    anchors, line = frozenset({b"the", b"of"}), "under the terms of licence"
+    one, two = (f"{line} " + " ".join(f"{kind}{i}" for i in range(200)) for kind in ("palabra", "mot"))
+    found = [spots.signatures(t, anchors) for t in (one, two, f"{one} fin")]
+    assert len(found[0]) > 150 and spots.digest_of(found[0]) != spots.digest_of(found[1])
+    assert spots.likeness(found[0], found[1]) < 0.1 and spots.likeness(found[0], found[2]) > 0.9
+
+
 # ---- passages
 
 
