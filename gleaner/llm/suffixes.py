@@ -1,4 +1,4 @@
-"""Repeated passages by a sparse suffix array: suffixes at minimiser positions, sorted and compared with neighbours."""
+"""Repeated passages: hashes of fixed runs at minimiser positions, sorted and compared with neighbours, then all runs near them."""
 
 from __future__ import annotations
 
