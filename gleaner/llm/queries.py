@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleaner.llm import decontaminate, langid, licenses, mixing, secrets, simhash, spots, sql_twins, suffixes, tokens, urlpaths
+from gleaner.llm import decontaminate, dialogs, exact, langid, licenses, mixing, secrets, simhash, spots, sql_twins, suffixes, tokens, urlpaths, whitening
 from gleaner.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -96,3 +96,21 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"),
         F.sha2(F.concat_ws(",", "item_ids"), 256).alias("items_sha256"), "contaminated",
     )
+
+
+@query("op11_exact_dedup", sql_twins.EXACT)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = exact.exact_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
+@query("op12_conversation_repair")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations")
+    return dialogs.repaired_all(conversations, dialogs.damaged(conversations))
+
+
+@query("op13_embedding_whitening")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = whitening.whitened(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+    return found.select("vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error")

@@ -153,3 +153,8 @@ k AS (SELECT host, template, CAST((b + 1) / (a + b + 2) AS DOUBLE) AS purity FRO
 SELECT page_id, r.host, r.path, rule, coalesce(said, CASE WHEN purity >= {purity} THEN 'block' ELSE 'allow' END) AS verdict, t.template, purity
 FROM r JOIN t{last} t ON t.host = r.host AND t.path = r.path JOIN k ON k.host = t.host AND k.template = t.template
 """
+
+
+EXACT = r"""WITH t AS (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256 FROM documents)
+  SELECT doc_id, min(doc_id) OVER (PARTITION BY text_sha256) AS keep_id, count(*) OVER (PARTITION BY text_sha256) AS group_size,
+    row_number() OVER (PARTITION BY text_sha256 ORDER BY doc_id NULLS LAST) = 1 AS kept, text_sha256 FROM t"""
