@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gleaner.functions.text import let
 from gleaner.llm.common import as_text, staged, text_key
 
 
@@ -25,6 +28,27 @@ KINDS = ["assign", "access", "hex", "weak_secret", "identifier", "endpoint"]
 SPAN = "array<struct<start:int,kind:int,stop:int>>"
 
 
+def before(values: Column, fold: Callable[[Column, Column], Column], levels: int = 2) -> Column:
+    """For each element of an array of numbers the fold of all earlier ones, 0 for the first.
+
+    Elements are folded within blocks of the cube root of the array's size, and the blocks before each block in the same way with
+    one level less, so that n elements take steps of the order n to the power 4/3 and no array grows step by step.
+    """
+    total = lambda a: F.aggregate(a, F.lit(0), fold)
+    inner = lambda block, first: F.transform(block, lambda _, j: fold(first, total(F.slice(block, F.lit(1), j))))
+
+    def joined(blocks: Column, totals: Column) -> Column:
+        firsts = before(totals, fold, levels - 1) if levels > 1 else F.transform(totals, lambda _, b: total(F.slice(totals, F.lit(1), b)))
+        return F.flatten(F.zip_with(blocks, firsts, inner))
+
+    def whole(v: Column) -> Column:
+        wide = F.greatest(F.lit(16), F.ceil(F.pow(F.size(v), F.lit(1 / (levels + 1)))).cast("int"))
+        cut = lambda w: F.transform(F.sequence(F.lit(0), F.floor((F.size(v) - 1) / w).cast("int")), lambda b: F.slice(v, b * w + 1, w))
+        return let(let(wide, cut), lambda blocks: let(F.transform(blocks, total), lambda totals: joined(blocks, totals)))
+
+    return let(values, lambda v: F.when(F.size(v) > 0, whole(v)).otherwise(F.array().cast("array<int>")))
+
+
 def located(text: Column, pattern: str, kind: str, group: int = 0, least: int = 0) -> Column:
     """Spans ``(start, kind, stop)`` of a pattern's leftmost non-overlapping matches, in code points.
 
@@ -32,26 +56,40 @@ def located(text: Column, pattern: str, kind: str, group: int = 0, least: int =
     """
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     measured = F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else found
-    lengths = F.transform(F.arrays_zip(F.slice(F.split(text, pattern, -1), 1, F.size(found)).alias("gap"), found.alias("hit"), measured.alias("part")), lambda x: F.struct(F.length(x["gap"]).alias("gap"), F.length(x["hit"]).alias("hit"), F.length(x["part"]).alias("part")))
+    zipped = F.arrays_zip(F.slice(F.split(text, pattern, -1), 1, F.size(found)).alias("gap"), found.alias("hit"), measured.alias("part"))
+    lengths = F.transform(zipped, lambda x: F.struct(*[F.length(x[n]).alias(n) for n in ("gap", "hit", "part")]))
 
-    def step(acc: Column, x: Column) -> Column:
-        start = acc["at"] + x["gap"]
-        span = F.struct(start.alias("start"), F.lit(KINDS.index(kind)).alias("kind"), (start + x["hit"]).alias("stop"))
-        return F.struct((start + x["hit"]).alias("at"), F.when(x["part"] >= least, F.array_append(acc["out"], span)).otherwise(acc["out"]).alias("out"))
+    def span(x: Column, at: Column) -> Column:
+        start = at + x["gap"]
+        return F.struct(start.alias("start"), F.lit(KINDS.index(kind)).alias("kind"), (start + x["hit"]).alias("stop"), x["part"].alias("part"))
 
-    first = F.struct(F.lit(0).alias("at"), F.array().cast(SPAN).alias("out"))
-    spans = F.aggregate(lengths, first, step, lambda acc: acc["out"])
-    return F.when(text.rlike(pattern), spans).otherwise(F.array().cast(SPAN))
+    def spans(sizes: Column) -> Column:
+        starts = before(F.transform(sizes, lambda x: x["gap"] + x["hit"]), lambda a, b: a + b)
+        long = F.filter(F.zip_with(sizes, starts, span), lambda x: x["part"] >= least)
+        return F.transform(long, lambda x: F.struct(x["start"].alias("start"), x["kind"].alias("kind"), x["stop"].alias("stop")))
 
+    return F.when(text.rlike(pattern), let(lengths, spans)).otherwise(F.array().cast(SPAN))
 
-def _apart(span: Column, others: Column) -> Column:
-    return ~F.exists(others, lambda o: (o["start"] < span["stop"]) & (span["start"] < o["stop"]))
+
+def _apart(found: DataFrame) -> DataFrame:
+    """``(_row, start, kind, stop)`` of all strong spans and those parts that overlap none, of rows that have parts.
+
+    A part overlaps a strong span if one that starts no later ends after its start, or one that starts later does so before its end.
+    """
+    strong = lambda name, flag: F.transform(name, lambda x: F.struct(x["start"].alias("start"), x["kind"].alias("kind"), x["stop"].alias("stop"), F.lit(flag).alias("strong")))
+    each = found.where(F.size("_parts") > 0).select("_row", F.explode(F.concat(strong("base_spans", True), strong("_parts", False))).alias("s")).select("_row", "s.*")
+    rows = Window.partitionBy("_row")
+    # both run from one end to the other, so that each row is taken up once
+    reached = F.max(F.when(F.col("strong"), F.col("stop"))).over(rows.orderBy("start").rangeBetween(Window.unboundedPreceding, 0))
+    coming = F.min(F.when(F.col("strong"), F.col("start"))).over(rows.orderBy(F.col("start").desc()).rangeBetween(Window.unboundedPreceding, 0))
+    clear = (F.coalesce(reached, F.lit(-1)) <= F.col("start")) & (F.coalesce(coming, F.lit((1 << 31) - 1)) >= F.col("stop"))
+    return each.withColumn("_clear", clear).where("strong OR _clear").select("_row", "start", "kind", "stop")
 
 
 def _linked(found: DataFrame, window: int) -> DataFrame:
     """Add ``all_spans``: the strong spans and the weak ones with a complement in reach."""
     number = {k: i for i, k in enumerate(KINDS)}
-    spans = found.select("_row", F.explode(F.concat("base_spans", "_parts")).alias("s")).select("_row", "s.*")
+    spans = _apart(found)
     is_secret = F.col("kind").isin(number["assign"], number["hex"], number["weak_secret"])
     bins = lambda wide: F.explode(F.sequence(F.floor((F.col("start") - wide) / window), F.floor((F.col("stop") + wide) / window))).alias("bin")
     others = spans.select(F.col("_row").alias("r"), F.col("start").alias("a"), F.col("stop").alias("b"), is_secret.alias("secret"), bins(0))
@@ -89,19 +127,36 @@ def secret_spans(docs: DataFrame, window: int = 200) -> DataFrame:
     parts = F.concat(located(text, WEAK, "weak_secret"), located(text, IDENTIFIER, "identifier"), located(text, ENDPOINT, "endpoint"))
     slim = docs.select(F.col("doc_id").cast("long"), text_key().alias("text_key"), base.alias("base_spans"), parts.alias("_parts"), F.monotonically_increasing_id().alias("_row"))
     found = staged(slim, "secrets")
-    found = found.withColumn("_parts", F.filter("_parts", lambda p: _apart(p, F.col("base_spans"))))
     return _linked(found, window).drop("_row")
 
 
 def redacted(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:
-    """The text with the mark in place of each span; spans that overlap or adjoin share one."""
-    nothing = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
+    """The text with the mark in place of each span, given by start; spans that overlap or adjoin share one.
+
+    What stays is cut out block by block: a substring is read from the start of its text, so those of many spans are taken from
+    pieces of the text and not each from the whole.
+    """
+    stops = lambda all_: before(F.transform(all_, lambda s: s["stop"]), lambda a, b: F.greatest(a, b))
+    gap = lambda s, at: F.struct(at.alias("from"), s["start"].alias("to"))
+
+    def opening(all_: Column) -> Column:
+        """The stretches before the spans that share no mark with an earlier one."""
+        return F.filter(F.zip_with(all_, stops(all_), gap), lambda g, i: (i == 0) | (g["to"] > g["from"]))
+
+    def kept(gaps: Column, w: Column) -> Column:
+        def block(b: Column) -> Column:
+            return let(F.slice(gaps, b * w + 1, w), lambda own: let(F.get(own, F.lit(0))["from"], lambda first: cut(own, first)))
+
+        def cut(own: Column, first: Column) -> Column:
+            piece = F.substring(text, first + 1, F.get(own, F.size(own) - 1)["to"] - first)
+            return let(piece, lambda t: F.array_join(F.transform(own, lambda g: F.concat(F.substring(t, g["from"] - first + 1, g["to"] - g["from"]), F.lit(mark))), ""))
+
+        return F.array_join(F.transform(F.sequence(F.lit(0), F.floor((F.size(gaps) - 1) / w).cast("int")), block), "")
 
-    def step(acc: Column, s: Column) -> Column:
-        gap = F.substring(text, acc["at"] + 1, s["start"] - acc["at"])
-        joined = (s["start"] <= acc["at"]) & (F.size(acc["out"]) > 0)
-        out = F.when(joined, acc["out"]).otherwise(F.array_append(acc["out"], F.concat(F.when(s["start"] > acc["at"], gap).otherwise(F.lit("")), F.lit(mark))))
-        return F.struct(F.greatest(acc["at"], s["stop"]).alias("at"), out.alias("out"))
+    def whole(gaps: Column) -> Column:
+        wide = F.greatest(F.lit(16), F.ceil(F.sqrt(F.size(gaps))).cast("int"))
+        return let(wide, lambda w: kept(gaps, w))
 
-    ended = F.aggregate(spans, nothing, step)
-    return F.concat(F.array_join(ended["out"], ""), F.substring(text, ended["at"] + 1, F.length(text)))
+    last = F.array_max(F.transform(spans, lambda s: s["stop"]))
+    marked = F.concat(let(spans, lambda all_: let(opening(all_), whole)), F.substring(text, last + 1, F.length(text)))
+    return F.when(F.size(spans) > 0, marked).otherwise(text)
