@@ -117,31 +117,22 @@ def urls_sql(purity: float = 0.8) -> str:
     ]
     rule = "CASE " + " ".join(f"WHEN {f} THEN '{text}'" for f, _, text in fits) + " END"
     said = "CASE " + " ".join(f"WHEN {f} THEN '{verdict}'" for f, verdict, _ in fits) + " END"
-    levels = "".join(
-        f"""
-c{i} AS (SELECT host, template, parts[{i + 1}] AS segment, sum(n) AS pages FROM t{i} WHERE len(parts) > {i} GROUP BY ALL),
-m{i} AS (
-  SELECT *, CASE WHEN pages >= {urlpaths.LEAST_PAGES} AND pages >= {urlpaths.LEAST_SHARE} * sum(pages) OVER (PARTITION BY host, template) THEN segment
-    ELSE CASE WHEN regexp_matches(stem, '^[0-9]+$') THEN '{{n}}' WHEN segment = '' THEN '' ELSE '{{s}}' END || ending END AS name
-  FROM (SELECT *, regexp_extract(segment, '(\\.[A-Za-z0-9]{{1,5}})$', 1) AS ending, segment[:length(segment) - length(ending)] AS stem FROM c{i})),
-t{i + 1} AS (
-  SELECT t.host, path, n, blocked, allowed, parts, CASE WHEN name IS NULL THEN parent ELSE t.template END AS parent,
-    CASE WHEN name IS NULL THEN t.template ELSE t.template || '/' || name END AS template
-  FROM t{i} t LEFT JOIN m{i} m ON m.host = t.host AND m.template = t.template AND m.segment = t.parts[{i + 1}]),"""
-        for i in range(urlpaths.DEPTH)
-    )
-    last = urlpaths.DEPTH
     return rf"""
-WITH u AS (
+WITH RECURSIVE u AS (
   SELECT page_id, translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''), '{urlpaths.UPPER}', '{urlpaths.LOWER}') AS host,
     coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path FROM pages),
 r AS (SELECT *, {rule} AS rule, {said} AS said FROM u),
-t0 AS (
-  SELECT host, path, n, blocked, allowed, s[:{last - 1}] || CASE WHEN len(s) >= {last} THEN [array_to_string(s[{last}:], '/')] ELSE [] END AS parts,
-    '' AS parent, '' AS template
-  FROM (SELECT host, path, count(*) AS n, count(*) FILTER (said = 'block') AS blocked, count(*) FILTER (said = 'allow') AS allowed,
-    string_split(path[2:], '/') AS s FROM r GROUP BY ALL)),{levels}
-o AS (SELECT host, parent, template, sum(blocked) AS b, sum(allowed) AS a FROM t{last} GROUP BY ALL),
+t(host, path, n, blocked, allowed, parts, level, parent, template) AS (
+  SELECT host, path, n, blocked, allowed, string_split(path[2:], '/'), 0, '', ''
+  FROM (SELECT host, path, count(*) AS n, count(*) FILTER (said = 'block') AS blocked, count(*) FILTER (said = 'allow') AS allowed FROM r GROUP BY ALL)
+  UNION ALL
+  SELECT host, path, n, blocked, allowed, parts, level + 1, template, template || '/' || CASE WHEN pages >= {urlpaths.LEAST_PAGES} THEN segment
+    ELSE CASE WHEN regexp_matches(stem, '^[0-9]+$') THEN '{{n}}' WHEN segment = '' THEN '' ELSE '{{s}}' END || ending END
+  FROM (SELECT *, parts[level + 1] AS segment, sum(n) OVER (PARTITION BY host, template, parts[level + 1]) AS pages,
+      regexp_extract(segment, '(\.[A-Za-z0-9]{{1,5}})$', 1) AS ending, segment[:length(segment) - length(ending)] AS stem
+    FROM t WHERE level < len(parts))),
+l AS (SELECT * FROM t WHERE level = len(parts)),
+o AS (SELECT host, parent, template, sum(blocked) AS b, sum(allowed) AS a FROM l GROUP BY ALL),
 p AS (SELECT *, sum(b) OVER w / greatest(sum(a + b) OVER w, 1) AS share FROM o WINDOW w AS (PARTITION BY host, parent)),
 q AS (
   SELECT *, CASE WHEN a + b = 0 THEN false
@@ -151,7 +142,7 @@ z AS (
     CASE WHEN pooled THEN sum(a) FILTER (pooled) OVER w ELSE a END AS a FROM q WINDOW w AS (PARTITION BY host, parent)),
 k AS (SELECT host, template, CAST((b + 1) / (a + b + 2) AS DOUBLE) AS purity FROM z)
 SELECT page_id, r.host, r.path, rule, coalesce(said, CASE WHEN purity >= {purity} THEN 'block' ELSE 'allow' END) AS verdict, t.template, purity
-FROM r JOIN t{last} t ON t.host = r.host AND t.path = r.path JOIN k ON k.host = t.host AND k.template = t.template
+FROM r JOIN l t ON t.host = r.host AND t.path = r.path JOIN k ON k.host = t.host AND k.template = t.template
 """
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,10 +18,8 @@ RULES = [
     ("block", "example.net", "/de/8"),
     ("block", "org", "/es/"),
 ]
-#: Segments that are told apart; the last takes the rest of a longer path.
-DEPTH = 4
-#: A segment stays as it is if so many pages and so large a share of its parent's have it; else it is a wildcard.
-LEAST_PAGES, LEAST_SHARE = 2, 0.1
+#: A segment stays as it is if so many pages have it below its node, however many its siblings have; else it is a wildcard.
+LEAST_PAGES = 8
 #: Two-sided 95 % bound of the normal distribution.
 SIMILAR = 1.96
 
@@ -50,24 +50,31 @@ def wildcard(segment: Column) -> Column:
     return F.concat(F.when(stem.rlike("^[0-9]+$"), F.lit("{n}")).when(segment == "", F.lit("")).otherwise(F.lit("{s}")), ending)
 
 
-def path_templates(paths: DataFrame, depth: int = DEPTH) -> DataFrame:
+def path_templates(paths: DataFrame, least: int = LEAST_PAGES) -> DataFrame:
     """``(host, path, n, blocked, allowed)`` with ``parent`` and ``template``: each host's tree, level by level.
 
-    At each node the pages of each child segment are counted; children with few pages share the wildcard of their kind.
+    At each node the pages of each child segment are counted; children with fewer than ``least`` share the wildcard of their
+    kind. Below a node with fewer pages than that all segments are wildcards, so its paths are finished at once; the others go on
+    until none has a deeper segment. Counts are staged before they are joined, so that a node with very many paths can be split.
     """
-    parts = F.split(F.substring(F.col("path"), 2, 1 << 30), "/", depth)
-    tree = staged(paths, "paths").withColumn("parts", parts).withColumn("parent", F.lit("")).withColumn("template", F.lit(""))
-    for level in range(depth):
-        at = tree.withColumn("segment", F.get("parts", F.lit(level)))
-        children = at.where("segment IS NOT NULL").groupBy("host", "template", "segment").agg(F.sum("n").alias("pages"))
-        nodes = children.groupBy("host", "template").agg(F.sum("pages").alias("all_pages"))
-        stays = (F.col("pages") >= LEAST_PAGES) & (F.col("pages") >= LEAST_SHARE * F.col("all_pages"))
-        named = children.join(nodes, ["host", "template"]).select("host", "template", "segment", F.when(stays, F.col("segment")).otherwise(wildcard(F.col("segment"))).alias("name"))
-        joined = at.join(named, ["host", "template", "segment"], "left")
-        deeper = F.col("name").isNotNull()
-        level_of = joined.select(*paths.columns, "parts", F.when(deeper, F.col("template")).otherwise(F.col("parent")).alias("parent"), F.when(deeper, F.concat("template", F.lit("/"), "name")).otherwise(F.col("template")).alias("template"))
-        tree = staged(level_of, "paths")
-    return tree.drop("parts")
+    whole = staged(paths.groupBy("host").agg(F.sum("n").alias("room")), "rooms")
+    split = paths.join(whole, "host").withColumns({"rest": F.split(F.substring(F.col("path"), 2, 1 << 30), "/", -1), "parent": F.lit(""), "template": F.lit("")})
+    tree, done = staged(split, "paths"), []
+    while True:
+        few = F.col("room") < least
+        kinds = F.transform("rest", wildcard)
+        above = F.array_join(F.concat(F.array("template"), F.slice(kinds, F.lit(1), F.size("rest") - 1)), "/")
+        ended = tree.where(few & (F.size("rest") > 0)).select(*paths.columns, above.alias("parent"), F.array_join(F.concat(F.array("template"), kinds), "/").alias("template"))
+        done += [ended, tree.where(F.size("rest") == 0).select(*paths.columns, "parent", "template")]
+        at = tree.where(~few & (F.size("rest") > 0)).withColumn("segment", F.get("rest", F.lit(0)))
+        if at.isEmpty():
+            return reduce(DataFrame.unionByName, done)
+        name = F.when(F.col("pages") >= least, F.col("segment")).otherwise(wildcard(F.col("segment")))
+        named = staged(at.groupBy("host", "template", "segment").agg(F.sum("n").alias("pages")).withColumn("name", name), "segments")
+        rooms = staged(named.groupBy("host", "template", "name").agg(F.sum("pages").alias("room")), "rooms")
+        joined = at.drop("room").join(named.drop("pages"), ["host", "template", "segment"]).join(rooms, ["host", "template", "name"])
+        deeper = F.concat("template", F.lit("/"), "name").alias("template")
+        tree = staged(joined.select(*paths.columns, "room", F.slice("rest", F.lit(2), F.size("rest")).alias("rest"), F.col("template").alias("parent"), deeper), "paths")
 
 
 def judged_templates(tree: DataFrame, purity: float = 0.8) -> DataFrame:
@@ -79,10 +86,13 @@ def judged_templates(tree: DataFrame, purity: float = 0.8) -> DataFrame:
     """
     own = tree.groupBy("host", "parent", "template").agg(F.sum("blocked").alias("blocked"), F.sum("allowed").alias("allowed"))
     seen = F.col("blocked") + F.col("allowed")
+    own = staged(own, "branches")
     parents = own.groupBy("host", "parent").agg((F.sum("blocked") / F.greatest(F.sum(seen), F.lit(1))).alias("share"))
+    parents = staged(parents, "parents")
     far = F.abs(F.col("blocked") / seen - F.col("share")) > SIMILAR * F.sqrt(F.col("share") * (1 - F.col("share")) / seen)
     branches = own.join(parents, ["host", "parent"]).withColumn("pooled", F.coalesce((seen > 0) & ~far, F.lit(False)))
     pools = branches.where("pooled").groupBy("host", "parent").agg(F.sum("blocked").alias("pool_blocked"), F.sum("allowed").alias("pool_allowed"))
+    pools = staged(pools, "pools")
     both = branches.join(pools, ["host", "parent"], "left")
     blocked = F.when(F.col("pooled"), F.col("pool_blocked")).otherwise(F.col("blocked"))
     allowed = F.when(F.col("pooled"), F.col("pool_allowed")).otherwise(F.col("allowed"))
@@ -90,7 +100,7 @@ def judged_templates(tree: DataFrame, purity: float = 0.8) -> DataFrame:
     return both.select("host", "template", pure.alias("purity"), (pure >= purity).alias("rejected"))
 
 
-def judge_urls(pages: DataFrame, rules: list[tuple[str, str, str]] = RULES, depth: int = DEPTH, purity: float = 0.8) -> DataFrame:
+def judge_urls(pages: DataFrame, rules: list[tuple[str, str, str]] = RULES, least: int = LEAST_PAGES, purity: float = 0.8) -> DataFrame:
     """``(page_id, host, path, rule, verdict, template, purity)`` for each row of ``pages``.
 
     The longest rule that fits decides, and its pages are the labels from which the path templates of their host are
@@ -102,7 +112,7 @@ def judge_urls(pages: DataFrame, rules: list[tuple[str, str, str]] = RULES, dept
     parsed = pages.select(F.col("page_id").cast("long"), host_of(url).alias("host"), path_of(url).alias("path"))
     ruled = parsed.withColumn("rule", rule_of(F.col("host"), F.col("path"), rules, 1)).withColumn("said", rule_of(F.col("host"), F.col("path"), rules, 0))
     counts = [F.count("*").alias("n"), F.count_if(F.col("said") == "block").alias("blocked"), F.count_if(F.col("said") == "allow").alias("allowed")]
-    tree = path_templates(ruled.groupBy("host", "path").agg(*counts), depth)
-    known = tree.select("host", "path", "template").join(judged_templates(tree, purity), ["host", "template"])
+    tree = path_templates(staged(ruled.groupBy("host", "path").agg(*counts), "paths"), least)
+    known = tree.select("host", "path", "template").join(staged(judged_templates(tree, purity), "templates"), ["host", "template"])
     verdict = F.coalesce("said", F.when(F.col("rejected"), F.lit("block")).otherwise(F.lit("allow")))
     return ruled.join(known, ["host", "path"]).select("page_id", "host", "path", "rule", verdict.alias("verdict"), "template", "purity")
