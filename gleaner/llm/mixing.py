@@ -14,8 +14,8 @@ DOMAINS = ["plain", "low", "toxic"]
 TARGETS = {"plain": 0.8, "low": 0.15, "toxic": 0.05}
 #: Labelled documents that the classifier is fitted on at most, those with the smallest id hashes.
 LABELLED = 20_000
-#: Terms in the classifier: its table has so many rows at most, which bounds the broadcast.
-TERMS = 512
+#: A classifier of at most so many terms is broadcast; a larger one is joined by a shuffle of the documents' terms.
+BROADCAST_TERMS = 400_000
 #: How many standard deviations a term's count must be from chance.
 CHANCE = 5.0
 #: Divides log-odds, so that memberships stay soft.
@@ -33,12 +33,12 @@ def terms_of(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(TERM), F.lit(0))
 
 
-def fit_terms(docs: DataFrame, labels: DataFrame, limit: int = LABELLED, terms: int = TERMS) -> tuple[DataFrame, list[float]]:
+def fit_terms(docs: DataFrame, labels: DataFrame, limit: int = LABELLED) -> tuple[DataFrame, list[float]]:
     """``(term, weights)`` and the log-odds without any term, by domain: naive Bayes over each document's set of terms.
 
     Fitted on at most ``limit`` labelled ids. Terms are chosen by their share of all distinct terms of a domain's
-    documents, so that long documents favour no domain: of those ``CHANCE`` standard deviations from chance in some
-    domain, the furthest ``terms``. A term weighs by how many documents have it; to have none of them weighs too. An id with several labels counts for the first by name. Without labels nothing is.
+    documents, so that long documents favour no domain: all those ``CHANCE`` standard deviations from chance in some
+    domain. A term weighs by how many documents have it; to have none of them weighs too. An id with several labels counts for the first by name. Without labels nothing is.
     """
     named = labels.select(F.col("doc_id").cast("long").alias("doc_id"), domain().alias("domain")).where("doc_id IS NOT NULL AND domain IS NOT NULL")
     sample = named.groupBy("doc_id").agg(F.min("domain").alias("domain")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
@@ -52,7 +52,7 @@ def fit_terms(docs: DataFrame, labels: DataFrame, limit: int = LABELLED, terms:
     seen = sum(F.col(d) for d in DOMAINS)
     p = (seen + 0.5) / (sum(sizes) + 1.0)
     far = F.greatest(*[F.abs(F.col(d) - n * p) / F.sqrt(n * p + 1) for d, n in zip(DOMAINS, sizes, strict=True)])
-    best = staged(counted.where((F.col("term") != "") & (far >= CHANCE)).orderBy(far.desc(), "term").limit(terms), "weights")
+    best = staged(counted.where((F.col("term") != "") & (far >= CHANCE)), "weights")
     held = (seen + 0.5) / (sum(documents) + 1.0)
     shares = [(F.col(d) + held) / (n + 1.0) for d, n in zip(DOMAINS, documents, strict=True)]
     present, absent = [F.log(s / held) / TEMPERATURE for s in shares], [F.log((1 - s) / (1 - held)) / TEMPERATURE for s in shares]
@@ -66,10 +66,10 @@ def memberships(docs: DataFrame, labels: DataFrame) -> DataFrame:
     weights, base = fit_terms(docs, labels)
     text = as_text("text")
     n_tokens = F.size(F.filter(F.split(text, r"\s+"), lambda w: w != "")).cast("long")
-    read = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long"), text_key().alias("text_key"), n_tokens.alias("n_tokens"), F.concat(F.array(F.lit("")), F.array_distinct(terms_of(text))).alias("terms"))
-    mark = weights.sparkSession.createDataFrame([("", [0.0] * len(DOMAINS))], "term string, weights array<double>")
-    found = read.select("row", "doc_id", "text_key", "n_tokens", F.explode("terms").alias("term")).join(F.broadcast(weights.unionByName(mark)), "term")
-    odds = found.groupBy("row", "doc_id", "text_key", "n_tokens").agg(*[F.sum(F.get("weights", F.lit(i))).alias(f"w{i}") for i in range(len(DOMAINS))])
+    read = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long"), text_key().alias("text_key"), n_tokens.alias("n_tokens"), F.array_distinct(terms_of(text)).alias("terms"))
+    small = weights.count() <= BROADCAST_TERMS
+    found = read.select("row", "doc_id", "text_key", "n_tokens", F.explode_outer("terms").alias("term")).join(F.broadcast(weights) if small else weights, "term", "left")
+    odds = found.groupBy("row", "doc_id", "text_key", "n_tokens").agg(*[F.coalesce(F.sum(F.get("weights", F.lit(i))), F.lit(0.0)).alias(f"w{i}") for i in range(len(DOMAINS))])
     logits = [F.col(f"w{i}") + b for i, b in enumerate(base)]
     top = F.greatest(*logits)
     shares = [F.exp(x - top) for x in logits]
@@ -119,12 +119,17 @@ def fitted_rates(members: DataFrame, targets: dict[str, float], budget: float =
     return members.withColumn("rate", rate), error.tolist()
 
 
-def mixed(docs: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGETS, budget: float = 1.0) -> DataFrame:
-    """``(doc_id, text_key, n_tokens, p_<domain> …, rate)`` for each document.
+def mixed(docs: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGETS, budget: float = 1.0, tolerance: float | None = None) -> DataFrame:
+    """``(doc_id, text_key, n_tokens, p_<domain> …, rate, error_<domain> …)`` for each document.
 
     A classifier fitted on a bounded sample of the labelled table gives each document's domain posteriors; rates are the
     nonnegative numbers of copies whose expected tokens of each domain are its target share of ``budget`` times all
-    tokens. A null or empty text has no tokens, the posterior of a text without terms and a rate that no total feels.
+    tokens, which are words between blanks here. ``error_<domain>``, the same in all rows, is how far the domain's expected total is from its
+    target, as a share of it; one beyond ``tolerance`` raises ``ValueError``, so a target that no rates meet does not pass unseen.
+    A null or empty text has no tokens, the posterior of a text without terms and a rate that no total feels.
     Repeated rows come out repeated with the same rate; without labels memberships are even; other columns are ignored.
     """
-    return fitted_rates(staged(memberships(docs, labels), "memberships"), targets, budget)[0]
+    found, errors = fitted_rates(staged(memberships(docs, labels), "memberships"), targets, budget)
+    if tolerance is not None and max(map(abs, errors)) > tolerance:
+        raise ValueError(f"domain totals miss their targets by {dict(zip(DOMAINS, errors, strict=True))}")
+    return found.withColumns({f"error_{d}": F.lit(float(e)) for d, e in zip(DOMAINS, errors, strict=True)})
