@@ -47,9 +47,12 @@ def redacted(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def weighted(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with their domain posteriors and rates; those whose rate is zero go."""
+    """Documents with their domain posteriors and rates in place of columns of these names; those whose rate is zero go."""
     found = mixing.mixed(docs, table(spark, sf_dir, "labels")).where("rate > 0")
-    return found.select("doc_id", "n_tokens", *[f"p_{d}" for d in mixing.DOMAINS], "rate")
+    added = ["n_tokens", *[f"p_{d}" for d in mixing.DOMAINS], "rate"]
+    # posteriors and rates go by the text alone
+    rates = staged(found.groupBy(F.col("text_key").alias(KEY)).agg(*[F.any_value(c).alias(c) for c in added]), "rates")
+    return docs.drop(*added).withColumn(KEY, text_key()).join(rates, KEY).drop(KEY)
 
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
