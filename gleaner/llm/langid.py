@@ -143,7 +143,7 @@ class Model:
         lengths = np.array([len(w) + 1 for w in words])
         ends = np.cumsum(lengths + ORDER - 1)
         scored = np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths) + np.repeat(ends - lengths, lengths)
-        score = np.zeros((len(scored), len(self.langs)), np.float32)
+        score = np.zeros((len(scored), len(self.langs)))
         hashes = [run_hashes(codes, k) for k in range(ORDER + 1)]
         opened = np.ones(score.shape, bool)
         for k in range(ORDER, 0, -1):
@@ -152,7 +152,7 @@ class Model:
             opened &= np.isnan(found)
             share = self.look(self.shares[k - 1], hashes[k - 1][scored - 1])
             score += np.where(opened & ~np.isnan(share), share, 0)
-        score += np.where(opened, np.float32(UNKNOWN), 0)
+        score += np.where(opened, UNKNOWN, 0)
         return np.add.reduceat(score, np.cumsum(lengths) - lengths, axis=0)
 
 
@@ -210,7 +210,7 @@ class Scored:
     rows: dict[str, list[float]]
 
     def word_scores(self, words: list[str]) -> np.ndarray:
-        return np.array([self.rows[w] for w in words], np.float32).reshape(len(words), len(self.langs))
+        return np.array([self.rows[w] for w in words]).reshape(len(words), len(self.langs))
 
 
 class _Scores(dict):
@@ -218,7 +218,7 @@ class _Scores(dict):
 
     def __init__(self, model: Model | Scored) -> None:
         super().__init__()
-        self.model, self.rows = model, np.zeros((0, len(model.langs) + 1), np.float32)
+        self.model, self.rows = model, np.zeros((0, len(model.langs) + 1))
 
     def totals(self, texts: list[list[str]]) -> np.ndarray:
         """For each text, given as words between blanks, summed log-probabilities and its number of letters."""
@@ -231,7 +231,7 @@ class _Scores(dict):
         parts = [words_of(c) for c in new]
         words = list({w for p in parts for w in p})
         number = {w: i for i, w in enumerate(words)}
-        rows = np.zeros((len(new), self.rows.shape[1]), np.float32)
+        rows = np.zeros((len(new), self.rows.shape[1]))
         if words:
             scores = np.column_stack([self.model.word_scores(words), [len(w) + 1 for w in words]])
             owner = np.repeat(np.arange(len(new)), list(map(len, parts)))
@@ -241,7 +241,7 @@ class _Scores(dict):
         out = np.zeros((len(texts), rows.shape[1]))
         filled = [i for i, t in enumerate(texts) if t]
         if filled:
-            picked = self.rows[list(map(self.__getitem__, chunks))].astype(np.float64)
+            picked = self.rows[list(map(self.__getitem__, chunks))]
             starts = np.cumsum([0, *(len(texts[i]) for i in filled)])[:-1]
             out[filled] = np.add.reduceat(picked, starts, axis=0)
         return out
@@ -289,9 +289,10 @@ def _with_judgements(batch: pa.RecordBatch | pa.Table, rows: list[tuple], left_o
     return [*(c for _, c in kept), *arrays], [*(n for n, _ in kept), "lang_pred", "score", "entropy", "letters"]
 
 
-def predict(docs: DataFrame, model: Model | Tables) -> DataFrame:
+def predict(docs: DataFrame, model: Model | Tables, keep_text: bool = True) -> DataFrame:
     """``docs`` with ``lang_pred``, ``score``, ``entropy`` (nats a letter) and ``letters``; map-only if the model is broadcast."""
     source = docs.drop(*ADDED).withColumn("_text", F.col("text").cast("string"))
+    source = source if keep_text else source.drop("text")
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema if f.name != "_text"), "lang_pred string, score double, entropy double, letters long"])
     if isinstance(model, Tables):
         return _predict_joined(source, model, schema)
@@ -372,14 +373,14 @@ def _bin(letters: Column) -> Column:
     return sum((letters >= bound).cast("int") for bound in LENGTH_BINS)
 
 
-def identify(docs: DataFrame, quantile: float = 0.999, slack: float = 1.25) -> DataFrame:
-    """All columns of ``docs`` with ``held_out``, ``lang_pred``, ``score``, ``entropy`` and ``rejected``.
+def identify(docs: DataFrame, quantile: float = 0.999, slack: float = 1.25, keep_text: bool = True) -> DataFrame:
+    """All columns of ``docs`` (``text`` only with ``keep_text``) with ``held_out``, ``lang_pred``, ``score``, ``entropy`` and ``rejected``.
 
     One model for each language is learned from the labelled documents of two folds, over all their text; the third
     fold calibrates how high the entropy of a text of some length may be: the ``quantile`` of its documents, times
     ``slack``. Above that a text is ``rejected`` as no learned language. The fourth fold is held out. A bin of lengths
     with few calibration documents goes by all lengths of its language too, then by all languages. With no calibration
-    document at all there is no limit.
+    document at all there is no limit. Every text is scored once, into a table that both the limits and the verdicts are read from.
 
     A null text, or one with no letter, is ``und`` with score 0 and rejected; with nothing to learn from every text
     is. ``lang``, ``source`` and ``doc_id`` are no input of a prediction. ``score`` is the best language's posterior.
@@ -389,7 +390,8 @@ def identify(docs: DataFrame, quantile: float = 0.999, slack: float = 1.25) -> D
     docs = docs.drop(*ADDED)
     labelled = docs.where("lang IS NOT NULL AND text IS NOT NULL")
     model = fit(labelled.where(_fold() < 2))
-    tried = predict(labelled.where(_fold() == 3).select("text"), model).where("lang_pred <> 'und'")
+    scored = staged(predict(docs, model, keep_text), "scored")
+    tried = scored.where(F.col("lang").isNotNull() & (_fold() == 3) & (F.col("lang_pred") != "und"))
     highest = [F.count("*").alias("n"), F.percentile_approx("entropy", quantile, 10_000).alias("limit")]
     pooled = tried.withColumn("bin", _bin(F.col("letters"))).rollup("lang_pred", "bin").agg(*highest).collect()  # a row a language and bin
     counts = {(r.lang_pred, r.bin): (r.n, r.limit * slack) for r in pooled if r.limit is not None}
@@ -397,7 +399,7 @@ def identify(docs: DataFrame, quantile: float = 0.999, slack: float = 1.25) -> D
     for lang in sorted({lang for lang, _ in counts if lang is not None}):
         for number in range(len(LENGTH_BINS) + 1):
             limit = F.when((F.col("lang_pred") == lang) & (_bin(F.col("letters")) == number), F.lit(limit_of(counts, lang, number))).otherwise(limit)
-    found = predict(docs, model).withColumn("rejected", F.coalesce(F.col("entropy") > limit, F.col("lang_pred") == "und"))
+    found = scored.withColumn("rejected", F.coalesce(F.col("entropy") > limit, F.col("lang_pred") == "und"))
     return found.withColumn("held_out", held_out()).drop("letters")
 
 

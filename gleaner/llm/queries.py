@@ -61,7 +61,7 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op5_language_id")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = langid.identify(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
+    found = langid.identify(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"), keep_text=False)
     return found.select("doc_id", "held_out", "lang_pred", "score", "rejected")
 
 
@@ -86,7 +86,7 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_mixing_to_target_weights")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = mixing.mixed(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
-    return found.select("doc_id", "n_tokens", *[f"p_{d}" for d in mixing.DOMAINS], "rate")
+    return found.select("doc_id", "n_tokens", *[f"p_{d}" for d in mixing.DOMAINS], "rate", *[f"error_{d}" for d in mixing.DOMAINS])
 
 
 @query("op10_benchmark_decontamination", sql_twins.DECONTAMINATION)
