@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from html.entities import name2codepoint
+
 from pyspark.sql import functions as F
 
 from gleaner import constants as K
@@ -10,7 +12,7 @@ from gleaner.functions import dates as D
 from gleaner.functions import html as H
 from gleaner.functions import text as T
 from gleaner.functions import urls as U
-from gleaner.operators import bodies, elements, ranking, site_watch
+from gleaner.operators import bodies, elements, page_bodies, ranking, site_watch
 
 
 def q(pattern: str) -> str:
@@ -73,10 +75,16 @@ PIECES_SQL = r"""piece AS (SELECT *, regexp_matches(lower(t), '^<(script|style)\
     txt AS (SELECT page_id, pos, t FROM deep WHERE tag = '' AND NOT starts_with(t, '<'))"""
 
 
-def s_entities(x: str) -> str:
-    for name, value in [("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")]:
+def s_decoded(x: str) -> str:
+    """References by name as text, ``&amp;`` last, so that nothing is decoded twice."""
+    named = {f"&{n};": chr(c) for n, c in name2codepoint.items() if n not in ("amp", "nbsp")} | {"&nbsp;": " ", "&#39;": "'", "&apos;": "'"}
+    for name, value in [*named.items(), ("&amp;", "&")]:
         x = f"replace({x}, {sql_text(name)}, {sql_text(value)})"
-    return s_strip(s_squeeze(x))
+    return x
+
+
+def s_entities(x: str) -> str:
+    return s_strip(s_squeeze(s_decoded(x)))
 
 
 def _class(name: str) -> str:
@@ -261,6 +269,87 @@ def paragraph_text(spark, sf_dir):
     return pages(spark, sf_dir).select("page_id", F.posexplode(H.paragraph_texts("html")).alias("place", "paragraph"))
 
 
+def s_noise(x: str) -> str:
+    from gleaner.catalog.quality_gates import NOISE_SQL
+
+    return NOISE_SQL.replace("body", x)
+
+
+# ---- body candidates: something that a body selector names is put in front of every page's body ----
+
+LEADS = [
+    '<div class="cmn-section x"><h2>Lead</h2>Some words &amp; <a href="/l">a link</a> in them, long enough.<br>Next line</div>',
+    '<section class="cmn-section cmn-indent"><p>First paragraph of the lead text.</p><p>First paragraph of the lead text.</p><div class="share">x</div></section>',
+    '<div itemprop="articleBody">One <b>bold</b>word<script>var a = "<p>no</p>";</script></div><div class="related"><article>other</article></div>',
+    '<div data-track-article-body><p><a href="/all">All of this paragraph is one link</a></p></div>',
+    '<div class="my-article-body"><ul><li>a</li><li>b</li></ul></div>',
+    "",
+]
+TWICE = "First paragraph of the lead text.\nFirst paragraph of the lead text."
+#: For each lead: the candidates that it alone fills, as (selectors, text, paragraphs, link ratio), and the lines it adds to the body.
+LEAD_TEXTS = [
+    ([".cmn-section"], "Lead\nSome words & a link in them, long enough.\nNext line", 1, 0.107),
+    (["section.cmn-section.cmn-indent", ".cmn-section.cmn-indent", ".cmn-section"], TWICE, 2, 0.0),
+    (['[itemprop="articleBody"]'], "One boldword", 0, 0.0),
+    (["[data-track-article-body]"], "All of this paragraph is one link", 1, 1.0),
+    (['[class*="article-body"]', '[class*="article"]'], "a\nb", 0, 0.0),
+    ([], "", 0, 0.0),
+]
+
+
+def led(spark, sf_dir):
+    return pages(spark, sf_dir).select("page_id", F.regexp_replace("html", F.lit("<body>"), F.concat(F.lit("<body>"), pick(F.col("page_id"), LEADS))).alias("html"))
+
+
+def s_lines(x: str) -> str:
+    """Blocks as lines, other tags gone, blanks squeezed."""
+    block = "|".join(page_bodies.LINE_TAGS)
+    x = f"regexp_replace(regexp_replace({x}, '\\s+', ' ', 'g'), '(?i)</?({block})\\b[^>]*>', chr(10), 'g')"
+    x = s_decoded(f"regexp_replace({x}, '(?s)<[^>]*>', '', 'g')")
+    return f"trim(regexp_replace(regexp_replace({x}, '[ \\t]+', ' ', 'g'), ' ?\\n\\s*', chr(10), 'g'), ' ' || chr(10))"
+
+
+def s_shape(text: str, ratio: str = "0.0") -> str:
+    long = f"len(list_filter(string_split({text}, chr(10)), lambda y: length(trim(y)) >= 20))"
+    return f"{text} AS text, CAST(length({text}) AS INTEGER) AS text_length, CAST({long} AS INTEGER) AS paragraph_count, CAST({ratio} AS DOUBLE) AS link_text_ratio"
+
+
+BLOCKS_BUT_BR = "|".join(t for t in page_bodies.LINE_TAGS if t != "br")
+LEAD_ROWS = ", ".join(f"({k}, {sql_text(n)}, {sql_text(t)}, {p}, CAST({r} AS DOUBLE))" for k, (names, t, p, r) in enumerate(LEAD_TEXTS) for n in names)
+BODIES_SQL = f"""lead_own(k, selector, text, n, ratio) AS (VALUES {LEAD_ROWS}),
+    lead(k, lines) AS (VALUES {", ".join(f"({k}, {sql_text(t)})" for k, (_, t, _, _) in enumerate(LEAD_TEXTS))}),
+    names(selector) AS (VALUES {", ".join(f"({sql_text(n)})" for n in K.BODY_SELECTORS)}),
+    tail AS (SELECT page_id, page_id % {len(LEADS)} AS k, regexp_replace(regexp_extract(html, '(?s)</nav>(.*)$', 1), '(?s)<script.*?</script>|<!--.*?-->|<footer>.*?</footer>', '', 'g') AS t FROM pages),
+    shown AS (SELECT page_id, k, {s_lines("regexp_extract(t, '(?s)<article>(.*)$', 1)")} AS article, {s_lines("t")} AS body, t FROM tail),
+    par AS (SELECT page_id, k, i, {s_lines(f"regexp_replace(x, '(?s)</?({BLOCKS_BUT_BR})\\b.*$', '')").replace("chr(10), 'g'), ' ' || chr(10))", "' ', 'g'), ' ' || chr(10))")} AS x FROM (
+      SELECT page_id, k, unnest(z) AS x, generate_subscripts(z, 1) AS i FROM (SELECT page_id, k, string_split_regex(CASE WHEN k = 1 THEN '<p>First paragraph of the lead text.</p>' ELSE '' END || t, '<p>') AS z FROM shown)) WHERE i > 1),
+    pars AS (SELECT page_id, k, string_agg(x, chr(10) || chr(10) ORDER BY i) AS text, count(*) AS n FROM (SELECT page_id, k, x, min(i) AS i FROM par WHERE length(x) >= 20 GROUP BY ALL) GROUP BY ALL),
+    cand AS (
+      SELECT page_id, s.k, names.selector, coalesce(o.text, '') AS text, CAST(length(coalesce(o.text, '')) AS INTEGER) AS text_length, CAST(coalesce(o.n, 0) AS INTEGER) AS paragraph_count, coalesce(o.ratio, 0.0) AS link_text_ratio
+      FROM shown s CROSS JOIN names LEFT JOIN lead_own o ON o.k = s.k AND o.selector = names.selector WHERE names.selector <> 'article'
+      UNION ALL SELECT page_id, k, 'article', {s_shape("article")} FROM shown
+      UNION ALL SELECT page_id, k, 'paragraph_fallback', text, CAST(length(text) AS INTEGER), CAST(n AS INTEGER), CAST(0 AS DOUBLE) FROM pars
+      UNION ALL SELECT page_id, k, 'body', {s_shape("b")} FROM (SELECT page_id, s.k, trim(lines || chr(10) || body, chr(10)) AS b FROM shown s JOIN lead USING (k)))"""
+
+
+@query("body_candidates", f"""WITH {BODIES_SQL} SELECT page_id, selector, text, text_length, paragraph_count, link_text_ratio FROM cand""")
+def body_candidates(spark, sf_dir):
+    rows = page_bodies.body_candidates(led(spark, sf_dir), "page_id").select("page_id", F.explode("candidates").alias("c")).select("page_id", "c.*")
+    named = F.when(F.col("selector") == page_bodies.BODY_FALLBACK, "body").otherwise(F.col("selector"))
+    return rows.withColumn("selector", named)
+
+
+@query(
+    "extract_candidates",
+    f"""WITH {BODIES_SQL}, usable AS (SELECT *, list_position({sql_list(K.SELECTOR_PREFERENCE)}, selector) AS place FROM cand WHERE text_length > 0 AND link_text_ratio <= 0.6)
+    SELECT page_id, arg_min(selector, place) AS selector, CAST(arg_min(text_length, place) AS INTEGER) AS chars FROM usable WHERE place IS NOT NULL AND NOT {s_noise("text")} GROUP BY page_id""",
+)
+def extract_candidates(spark, sf_dir):
+    """The best candidate of every page."""
+    chosen = page_bodies.body_candidates(led(spark, sf_dir), "page_id").select("page_id", bodies.choose_candidate(F.col("candidates")).alias("b"))
+    return chosen.where("b IS NOT NULL").select("page_id", "b.selector", F.col("b.text_length").alias("chars"))
+
+
 # Candidates written from each article's own texts.
 def candidate_rows(spark, sf_dir):
     o = F.col("ord")
@@ -277,12 +366,6 @@ def candidate_rows(spark, sf_dir):
     return art(spark, sf_dir).select("article_id", "ord", "title", "body", listed.alias("candidates"))
 
 
-def s_noise(x: str) -> str:
-    from gleaner.catalog.quality_gates import NOISE_SQL
-
-    return NOISE_SQL.replace("body", x)
-
-
 @query(
     "choose_candidate",
     f"""WITH {{art}}, c AS (SELECT article_id, ord, body, title, CASE WHEN ord % 3 = 0 THEN title || '。' || body ELSE '' END AS cmn FROM art)

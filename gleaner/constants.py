@@ -177,6 +177,8 @@ HR_BODY_MARKER = "人事記事をもっと見る"
 HR_BODY_WORDS = ["人事", "就任", "社長", "会長", "役員"]
 BUSINESS_WORDS = ["M&A", "投資", "決算", "設備投資", "資本提携", "能力増強", "合弁", "買収", "TOB", "インタビュー"]
 DISALLOWED_SELECTORS = ['[class*="content"]', "document.body.innerText fallback"]
+#: Menus that a page's whole text is rid of.
+BODY_MENU = r"メニュー[\s\S]{0,400}?ログイン"
 SELECTOR_PREFERENCE = [
     "div.cmn-section.cmn-indent", ".cmn-section", "[data-track-article-body]", '[itemprop="articleBody"]',
     '[class*="article-body"]', '[class*="articleBody"]', "paragraph_fallback", "article", "main",

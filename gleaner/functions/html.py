@@ -29,8 +29,8 @@ TARGET = r"""(?i)\bhref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
 
 
 def unescape(c: Column) -> Column:
-    """Character references decoded once, by number or by the names of HTML 4; unknown ones stay."""
-    names = {name: chr(code) for name, code in name2codepoint.items()} | {e[1:-1]: v for e, v in ENTITIES if "#" not in e}
+    """Character references decoded once, by number, by the names of HTML 4 or as ``&apos;``; unknown ones stay."""
+    names = {name: chr(code) for name, code in name2codepoint.items()} | {e[1:-1]: v for e, v in ENTITIES if "#" not in e} | {"apos": "'"}
     known = F.str_to_map(F.lit("\x01".join(f"{n}\x02{v}" for n, v in names.items())), F.lit("\x01"), F.lit("\x02"))
 
     def value(name: Column) -> Column:

@@ -8,11 +8,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from gleaner.functions.html import unescape
-from gleaner.functions.text import squeeze, strip
+from gleaner.functions.text import let, squeeze, strip
 
 #: Comments, scripts and styles are one piece each, so that what is in them opens nothing.
 PIECE = r"(?is)(<!--.*?-->|<script\b.*?</script>|<style\b.*?</style>|<[^>]*>|[^<]+)"
@@ -21,7 +21,7 @@ VOID = ["area", "base", "br", "col", "embed", "hr", "img", "input", "link", "met
 
 
 def pieces(pages: DataFrame, key: str, html: str = "html") -> DataFrame:
-    """``(key, pos, piece, tag, closes, opens, level)`` for each tag and text; a text has an empty tag."""
+    """``(key, pos, piece, tag, closes, opens, shown, level)`` for each tag and text; a text has an empty tag and is ``shown``."""
     cut = pages.select(key, F.posexplode(F.regexp_extract_all(html, F.lit(PIECE), F.lit(1))).alias("pos", "piece"))
     whole = F.col("piece").rlike(r"(?is)^<(script|style)\b.*</(script|style)>$")
     tag = F.lower(F.regexp_extract("piece", r"^</?([A-Za-z][\w:-]*)", 1))
@@ -30,7 +30,8 @@ def pieces(pages: DataFrame, key: str, html: str = "html") -> DataFrame:
     marked = named.withColumn("opens", (F.col("tag") != "") & ~F.col("closes") & ~alone)
     change = F.when(F.col("opens"), 1).when(F.col("closes"), -1).otherwise(0)
     after = F.sum(change).over(Window.partitionBy(key).orderBy("pos"))
-    return marked.withColumn("level", F.when(F.col("opens"), after).otherwise(after + 1))
+    shown = (F.col("tag") == "") & ~F.startswith("piece", F.lit("<"))
+    return marked.withColumns({"shown": shown, "level": F.when(F.col("opens"), after).otherwise(after + 1)})
 
 
 def elements(cut: DataFrame, key: str) -> DataFrame:
@@ -50,19 +51,19 @@ def attribute(head: str, name: Column) -> Column:
     return F.coalesce(F.call_function("regexp_extract", frame["head"], pattern, F.lit(1)), F.lit(""))
 
 
-def matches(part: Column) -> Column:
-    """Whether an element (``tag``, ``head``) fits one simple selector: tag, id and classes, or one attribute."""
+def matches(part: Column, head: str = "head") -> Column:
+    """Whether an element (``tag`` and its start tag) fits one simple selector: tag, id and classes, or one attribute."""
     by_attribute = F.startswith(part, F.lit("["))
     name, value = F.regexp_extract(part, r"^\[([\w-]+)", 1), F.regexp_extract(part, r'="([^"]*)"', 1)
-    have = attribute("head", name)
+    have = attribute(head, name)
     fits = F.when(F.contains(part, F.lit("*=")), F.contains(have, value)).when(F.contains(part, F.lit("=")), have == value).otherwise(have != "")
     wanted = F.regexp_extract(part, r"^([A-Za-z][\w-]*)", 1)
     ident = F.regexp_extract(part, r"#([\w-]+)", 1)
     classes = F.regexp_extract_all(part, F.lit(r"\.([\w-]+)"), F.lit(1))
-    own = F.split(attribute("head", F.lit("class")), r"\s+")
+    own = F.split(attribute(head, F.lit("class")), r"\s+")
     simple = (
         ((wanted == "") | (F.lower(wanted) == F.col("tag")))
-        & ((ident == "") | (attribute("head", F.lit("id")) == ident))
+        & ((ident == "") | (attribute(head, F.lit("id")) == ident))
         & (F.size(F.array_except(classes, own)) == 0)
     )
     return F.when(by_attribute, fits).otherwise(simple)
@@ -95,30 +96,99 @@ def select_first(pages: DataFrame, key: str, selectors: Column, longest: int, ht
     return asked.join(answers, [key, "selector"], "left").select(key, "selector", found.alias("found"), *[F.coalesce(c, F.lit("")).alias(c) for c in ("tag", "datetime", "text")])
 
 
-def links_in_context(pages: DataFrame, key: str, html: str = "html", selector: Column | None = None) -> DataFrame:
+def up_to(key: str) -> WindowSpec:
+    """The page so far, the piece itself included."""
+    return Window.partitionBy(key).orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
+
+
+def _spans(cut: DataFrame, key: str, closing: bool = False) -> DataFrame:
+    """Tags that open or stand alone (and those that close), with ``stop`` and the texts inside as the range ``since`` to ``until`` of the page's."""
+    counted = cut.withColumn("since", F.sum(F.col("shown").cast("long")).over(up_to(key)))
+    end = lambda name: F.coalesce(F.lead(name).over(Window.partitionBy(key, "level").orderBy("pos")), F.lit((1 << 31) - 1))
+    holding = counted.where("opens OR closes").withColumns({"stop": end("pos"), "until": end("since")})
+    alone = counted.where("tag <> '' AND NOT opens AND NOT closes").withColumns({"stop": F.col("pos"), "until": F.col("since")})
+    return (holding if closing else holding.where("opens")).unionByName(alone)
+
+
+def _said(texts: Column, since: Column, until: Column) -> Column:
+    part = F.slice(texts, (since + 1).cast("int"), F.greatest(F.lit(0), F.least(until, F.size(texts)) - since).cast("int"))
+    return F.coalesce(strip(squeeze(unescape(F.array_join(part, " ")))), F.lit(""))
+
+
+def links_in_context(
+    pages: DataFrame, key: str, html: str = "html", selector: Column | None = None, pattern: Column | None = None, link: Column | None = None, longest: int = 3
+) -> DataFrame:
     """``(key, pos, href, title, selected, around)``: each link with its own text and that of the element around it.
 
-    ``selected`` is the text of the first element inside the link that fits the page's simple ``selector``.
+    ``selected`` is the text of the first element inside the link that fits the page's simple ``selector``. With a ``pattern`` for
+    each page ``around`` is only its first match there. With ``link``, a chain of at most ``longest`` simple selectors for each page,
+    only links that fit are given; all are where it is empty.
+
+    A link's parent is the last element that opened on the level above: one running column over links and elements by level, so rows
+    are as many as tags and texts. Texts are cut out of the page's texts in order, the one around links once for each parent.
     """
     cut = pieces(pages, key, html)
-    every = elements(cut, key)
-    links = every.where("tag = 'a'").select(key, "pos", "stop", F.trim(attribute("head", F.lit("href"))).alias("href"), (F.col("level") - 1).alias("up")).where("href <> ''")
-    outer = every.select(F.col(key).alias("_k"), F.col("level").alias("_l"), F.col("pos").alias("_a"), F.col("stop").alias("_b"))
-    placed = links.join(outer, (F.col(key) == F.col("_k")) & (F.col("up") == F.col("_l")) & (F.col("_a") < F.col("pos")) & (F.col("stop") <= F.col("_b")), "left").drop("_k", "_l", "up")
-    asked = pages.select(key, (F.lit("") if selector is None else F.coalesce(F.trim(selector), F.lit(""))).alias("part")).where("part <> ''")
-    fitting = every.join(asked, key).where(matches(F.col("part"))).select(F.col(key).alias("_k"), F.col("pos").alias("_c"), F.col("stop").alias("_d"))
-    inner = links.join(fitting, (F.col(key) == F.col("_k")) & (F.col("_c") > F.col("pos")) & (F.col("_d") < F.col("stop")))
-    placed = placed.join(inner.groupBy(key, "pos").agg(F.min(F.struct("_c", "_d")).alias("_in")), [key, "pos"], "left")
-    texts = cut.where("tag = '' AND NOT startswith(piece, '<')").select(F.col(key).alias("_k"), F.col("pos").alias("_p"), "piece")
-    reach = (F.col("_p") > F.coalesce("_a", "pos")) & (F.col("_p") < F.coalesce("_b", "stop"))
-    near = placed.join(texts, (F.col(key) == F.col("_k")) & reach, "left")
-
-    def shown(start: str, stop: str) -> Column:
-        inside = (F.col("_p") > F.col(start)) & (F.col("_p") < F.col(stop))
-        picked = F.array_sort(F.collect_list(F.when(inside, F.struct("_p", "piece"))))
-        return strip(squeeze(unescape(F.array_join(F.transform(picked, lambda x: x["piece"]), " "))))
-
-    return near.groupBy(key, "pos", "href").agg(shown("pos", "stop").alias("title"), shown("_in._c", "_in._d").alias("selected"), shown("_a", "_b").alias("around"))
+    spans = _spans(cut, key)
+    found = spans.where("tag = 'a'").withColumn("href", F.trim(attribute("piece", F.lit("href")))).where("href <> ''")
+    place = ["pos", "since", "until"]
+    below = found.select(key, (F.col("level") - 1).alias("level"), *place, "href")
+    both = spans.where("opens").select(key, "level", *place, F.lit(None).cast("string").alias("href")).unionByName(below)
+    earlier = (Window.unboundedPreceding, -1)
+    opened = F.last(F.when(F.col("href").isNull(), F.struct(*place)), ignorenulls=True).over(Window.partitionBy(key, "level").orderBy("pos").rowsBetween(*earlier))
+    links = both.withColumn("up", F.coalesce(opened, F.struct(*place))).where("href IS NOT NULL").select(key, *place, "href", "up")
+    if link is not None:
+        wanted = select_all(pages, key, link, longest, html).select(key, "pos", F.lit(True).alias("_fits"))
+        free = pages.select(key, (F.coalesce(F.trim(link), F.lit("")) == "").alias("_free"))
+        links = links.join(free, key).join(wanted, [key, "pos"], "left").where("_free OR _fits").drop("_free", "_fits")
+    part = F.lit(None).cast("struct<since:bigint,until:bigint>")
+    if selector is not None:
+        asked = pages.select(key, F.coalesce(F.trim(selector), F.lit("")).alias("part")).where("part <> ''")
+        # the link a tag is in: the last one that opened, if its end is still to come
+        current = F.last(F.when(F.col("tag") == "a", F.struct("pos", "stop")), ignorenulls=True).over(Window.partitionBy(key).orderBy("pos").rowsBetween(*earlier))
+        tags = spans.join(asked, key).withColumn("_a", current).where("stop < _a.stop").where(matches(F.col("part"), "piece"))
+        inside = tags.groupBy(key, F.col("_a.pos").alias("pos")).agg(F.min(F.struct(*place)).alias("_in"))
+        links, part = links.join(inside, [key, "pos"], "left"), F.when(F.col("_in").isNotNull(), F.struct("_in.since", "_in.until"))
+    given = F.array_sort(F.collect_list(F.struct(*place, "href", F.col("up.pos").alias("up"), part.alias("part"))))
+    listed = links.groupBy(key).agg(given.alias("links"), F.array_distinct(F.collect_list("up")).alias("ups"))
+    texts = cut.where("shown").groupBy(key).agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "piece"))), lambda x: x["piece"]).alias("texts"))
+    rows = listed.join(texts, key, "left")
+    if pattern is not None:
+        rows = rows.join(pages.select(key, F.nullif(pattern, F.lit("")).alias("_pattern")), key)
+
+    def around(u: Column) -> Column:
+        said = _said(F.col("texts"), u["since"], u["until"])
+        return said if pattern is None else F.coalesce(F.trim(F.regexp_substr(said, F.col("_pattern"))), F.lit(""))
+
+    def shown(x: Column, known: Column) -> Column:
+        selected = F.when(x["part"].isNotNull(), _said(F.col("texts"), x["part"]["since"], x["part"]["until"])).otherwise(F.lit(""))
+        title = _said(F.col("texts"), x["since"], x["until"])
+        return F.struct(x["pos"].alias("pos"), x["href"].alias("href"), title.alias("title"), selected.alias("selected"), F.try_element_at(known, x["up"]).alias("around"))
+
+    known = F.map_from_entries(F.transform("ups", lambda u: F.struct(u["pos"].alias("pos"), around(u).alias("text"))))
+    return rows.select(key, F.explode(let(known, lambda k: F.transform("links", lambda x: shown(x, k)))).alias("x")).select(key, "x.*")
+
+
+def select_all(pages: DataFrame, key: str, selector: Column, longest: int = 3, html: str = "html") -> DataFrame:
+    """``(key, pos, stop, since, until, tag, piece)``: every element that fits the page's descendant chain of simple selectors.
+
+    Running columns for each part of the chain: an element fits a part if it does so itself and stands inside one that fits the part
+    before, which the number of such elements open at its place tells. A longer chain than ``longest`` fits nothing.
+    """
+    asked = pages.select(key, F.split(F.trim(selector), r"\s+").alias("parts")).where(F.get("parts", F.lit(0)) != "")
+    rows = _spans(pieces(pages, key, html), key, closing=True).join(asked, key)
+    by_place, by_level = Window.partitionBy(key).orderBy("pos"), Window.partitionBy(key, "level").orderBy("pos")
+    earlier = (Window.unboundedPreceding, -1)
+    tag = F.col("opens") | F.col("closes")
+    hit, inside = F.lit(False), F.lit(True)
+    for step in range(longest):
+        part = F.get("parts", F.lit(step))
+        rows = rows.withColumn("_own", F.coalesce(inside & ~F.col("closes") & matches(part, "piece"), F.lit(False)))
+        ended = F.last(F.when(tag, F.col("_own") & F.col("opens")), ignorenulls=True).over(by_level.rowsBetween(*earlier))
+        rows = rows.withColumn("_change", (F.col("_own") & F.col("opens")).cast("int") - F.when(tag & ended, 1).otherwise(0))
+        rows = rows.withColumn("_hit", hit | (F.col("_own") & (F.size("parts") == step + 1)))
+        rows = rows.withColumn("_open", F.coalesce(F.sum("_change").over(by_place.rowsBetween(*earlier)), F.lit(0)))
+        hit, inside = F.col("_hit"), F.col("_open") > 0
+    return rows.where("_hit").select(key, "pos", "stop", "since", "until", "tag", "piece")
 
 
 def list_date(pattern: Column) -> tuple[Column, Column]:
