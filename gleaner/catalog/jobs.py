@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from gleaner import constants as K
-from gleaner.catalog.base import art, entries, query, s_any, s_strip, s_title_key, s_url_key, table
+from gleaner.catalog.base import art, entries, query, s_any, s_normalize_url, s_part, s_strip, s_title_key, s_url_key, sql_text, table
 from gleaner.catalog.joins import RULE_SCORE, RULE_SQL, SCORING, rule_table, scoring_input
+from gleaner.catalog.markup import s_entities
 from gleaner.catalog.windows_and_sorts import s_bucket
 from gleaner.functions import dates as D
 from gleaner.functions import urls as U
@@ -125,20 +126,46 @@ def special_digest(spark, sf_dir):
 # ---- site watch: every host is a site whose listing pages are its captured pages ----
 
 
-@query("site_digest")
+SITE_LINK = r'(?s)<a href="([^"]*)">(.*?)</a>'
+SITE_NEXT = '<a class="next" href="/paged/@">more</a>'
+
+
+@query(
+    "site_digest",
+    f"""WITH RECURSIVE p AS (SELECT page_id, url, html, regexp_replace(split_part(regexp_replace(lower({s_part('url', 2)}), '^.*@', ''), ':', 1), '^www[.]', '') AS site,
+        {s_part('url', 1)} || '://' || {s_part('url', 2)} AS root FROM pages),
+    visit AS (SELECT site, url AS start, 0 AS depth, root, html FROM p UNION ALL SELECT site, url, 1, root, '<a href="/paged/item' || page_id % 11 || '">Item ' || page_id % 11 || '</a>' FROM p WHERE page_id % 3 = 0),
+    a AS (SELECT site, start, depth, root, unnest(regexp_extract_all(html, {sql_text(SITE_LINK)}, 1)) AS href, unnest(regexp_extract_all(html, {sql_text(SITE_LINK)}, 2)) AS body,
+      generate_subscripts(regexp_extract_all(html, {sql_text(SITE_LINK)}, 1), 1) AS pos FROM visit),
+    c AS (SELECT site, start, depth, pos, root || trim(href) AS url, {s_entities("regexp_replace(body, '(?s)<[^>]*>', ' ', 'g')")} AS title FROM a WHERE trim(href) <> ''),
+    k AS (SELECT *, {s_normalize_url('url')} AS u FROM c),
+    f AS (SELECT * FROM k QUALIFY row_number() OVER (PARTITION BY site, start, depth, u ORDER BY pos) = 1),
+    s AS (SELECT * FROM f WHERE title <> '' QUALIFY row_number() OVER (PARTITION BY site, u ORDER BY start, depth, pos) = 1),
+    five AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY site ORDER BY start, depth, pos) <= 5),
+    g AS (SELECT *, lower(title) AS t, row_number() OVER (ORDER BY length(site) * 7 % 50, site, start, depth, pos) AS i FROM five),
+    walk(i, us, ts, n, hit) AS (SELECT 0::BIGINT, []::VARCHAR[], []::VARCHAR[], 0, false
+      UNION ALL SELECT g.i, CASE WHEN list_contains(us, u) OR list_contains(ts, t) THEN us ELSE list_append(us, u) END,
+        CASE WHEN list_contains(us, u) OR list_contains(ts, t) THEN ts ELSE list_append(ts, t) END,
+        n + CASE WHEN list_contains(us, u) OR list_contains(ts, t) THEN 0 ELSE 1 END, NOT (list_contains(us, u) OR list_contains(ts, t))
+      FROM walk JOIN g ON g.i = walk.i + 1 WHERE n < 40)
+    SELECT site, url, title, 'fetched_at' AS date_source, CAST(n - 1 AS BIGINT) AS position FROM walk JOIN g USING (i) WHERE hit""",
+)
 def site_digest(spark, sf_dir):
-    """Rows only; the steps have SQL twins and the whole job is checked on a small fixture in the tests."""
-    p = table(spark, sf_dir, "pages").select("url", "html", U.bare_host("url").alias("site"))
-    captures = p.select("url", "html")
-    grouped = p.groupBy("site").agg(F.min("url").alias("first_page"), F.max("url").alias("last_page"))
-    raw = grouped.select(
-        F.col("site").alias("site_name"), F.concat_ws("\n", "first_page", "last_page").alias("list_page_urls"),
-        (F.length("site") * 7 % 50).alias("display_order"), F.lit("5").alias("max_items_per_site"), F.lit("40").alias("max_items_total"),
-        F.lit("use_fetched_at").alias("date_fallback_mode"), F.lit("2").alias("max_pages"),
+    """Every captured page is a listing page of its host's site, in the order of urls; every third goes on to a next page of its own."""
+    n = F.col("page_id")
+    site_, root = U.bare_host("url").alias("site"), F.concat(U.scheme("url"), F.lit("://"), U.authority("url"))
+    p = table(spark, sf_dir, "pages").select("page_id", "url", "html", site_, root.alias("root"))
+    onward = F.replace(F.lit(SITE_NEXT), F.lit("@"), n.cast("string"))
+    listing = p.select("url", F.concat(F.col("html"), F.when(n % 3 == 0, onward).otherwise(F.lit(""))).alias("html"))
+    item = F.concat(F.lit('<a href="/paged/item'), n % 11, F.lit('">Item '), n % 11, F.lit("</a>"))
+    paged = p.where(n % 3 == 0).select(F.concat("root", F.lit("/paged/"), n.cast("string")).alias("url"), item.alias("html"))
+    raw = p.select("site").distinct().select(
+        F.col("site").alias("site_name"), (F.length("site") * 7 % 50).alias("display_order"), F.lit("5").alias("max_items_per_site"), F.lit("40").alias("max_items_total"),
+        F.lit("use_fetched_at").alias("date_fallback_mode"), F.lit("2").alias("max_pages"), F.lit("^(?!.*/paged/[0-9]+$)").alias("article_url_pattern"),
     )
-    config = shaping.normalize_site_config(raw).withColumnRenamed("site_name", "site")
-    sites = config.join(grouped, "site").withColumn("list_page_urls", F.array_distinct(F.array("first_page", "last_page"))).drop("first_page", "last_page")
-    return site.build(sites, captures, D.ntz(RUN)).select("site", "url", "title", "date_source", "position")
+    sites = shaping.normalize_site_config(raw).withColumnRenamed("site_name", "site")
+    starts = p.select("site", F.col("url").alias("start"), "url")
+    return site.build(sites, listing.unionByName(paged), D.ntz(RUN), starts).select("site", "url", "title", "date_source", "position")
 
 
 # ---- newspaper issue: every article scored, the report's five chosen ----

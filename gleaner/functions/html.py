@@ -235,13 +235,7 @@ def images(html: Column | str) -> Column:
 
 def next_page_href(html: Column | str) -> Column:
     """href of the next page: a ``next`` relation or class, else a link labelled as next; empty if none."""
-    links = anchors(html)
-    marked = F.filter(
-        links,
-        lambda a: a["head"].rlike(r"(?i)\brel\s*=\s*[\"']next[\"']")
-        | a["head"].rlike(r"(?i)\bclass\s*=\s*[\"'](?:[^\"']*\s)?(?:next|pagination-next)(?:\s[^\"']*)?[\"']"),
-    )
-    labelled = F.filter(links, lambda a: F.lower(a["title"]).isin("next", "next >", ">", "older"))
-    return F.coalesce(
-        F.try_element_at(marked, F.lit(1))["href"], F.try_element_at(labelled, F.lit(1))["href"], F.lit("")
-    )
+    marks = lambda a: a["head"].rlike(r"(?i)\brel\s*=\s*[\"']next[\"']") | a["head"].rlike(r"(?i)\bclass\s*=\s*[\"'](?:[^\"']*\s)?(?:next|pagination-next)(?:\s[^\"']*)?[\"']")
+    labels = lambda a: F.lower(a["title"]).isin("next", "next >", ">", "older")
+    first = lambda links, test: F.try_element_at(F.filter(links, test), F.lit(1))["href"]
+    return let(anchors(html), lambda links: F.coalesce(first(links, marks), first(links, labels), F.lit("")))

@@ -11,7 +11,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from gleaner.functions.html import unescape
+from gleaner.functions.html import TARGET, unescape
 from gleaner.functions.text import let, squeeze, strip
 
 #: Comments, scripts and styles are one piece each, so that what is in them opens nothing.
@@ -112,13 +112,13 @@ def _spans(cut: DataFrame, key: str, closing: bool = False) -> DataFrame:
 
 def _said(texts: Column, since: Column, until: Column) -> Column:
     part = F.slice(texts, (since + 1).cast("int"), F.greatest(F.lit(0), F.least(until, F.size(texts)) - since).cast("int"))
-    return F.coalesce(strip(squeeze(unescape(F.array_join(part, " ")))), F.lit(""))
+    return F.coalesce(strip(squeeze(F.array_join(part, " "))), F.lit(""))
 
 
 def links_in_context(
     pages: DataFrame, key: str, html: str = "html", selector: Column | None = None, pattern: Column | None = None, link: Column | None = None, longest: int = 3
 ) -> DataFrame:
-    """``(key, pos, href, title, selected, around)``: each link with its own text and that of the element around it.
+    """``(key, pos, href, title, selected, around)``: each link with its own text, else its ``title``, and that of the element around it.
 
     ``selected`` is the text of the first element inside the link that fits the page's simple ``selector``. With a ``pattern`` for
     each page ``around`` is only its first match there. With ``link``, a chain of at most ``longest`` simple selectors for each page,
@@ -129,13 +129,14 @@ def links_in_context(
     """
     cut = pieces(pages, key, html)
     spans = _spans(cut, key)
-    found = spans.where("tag = 'a'").withColumn("href", F.trim(attribute("piece", F.lit("href")))).where("href <> ''")
-    place = ["pos", "since", "until"]
-    below = found.select(key, (F.col("level") - 1).alias("level"), *place, "href")
-    both = spans.where("opens").select(key, "level", *place, F.lit(None).cast("string").alias("href")).unionByName(below)
+    target = strip(unescape(F.concat(*[F.regexp_extract("piece", TARGET, i) for i in (1, 2, 3)])))
+    found = spans.where("tag = 'a'").withColumn("href", target).where("href <> ''")
+    place, nothing = ["pos", "since", "until"], F.lit(None).cast("string")
+    below = found.select(key, (F.col("level") - 1).alias("level"), *place, "href", F.trim(attribute("piece", F.lit("title"))).alias("named"))
+    both = spans.where("opens").select(key, "level", *place, nothing.alias("href"), nothing.alias("named")).unionByName(below)
     earlier = (Window.unboundedPreceding, -1)
     opened = F.last(F.when(F.col("href").isNull(), F.struct(*place)), ignorenulls=True).over(Window.partitionBy(key, "level").orderBy("pos").rowsBetween(*earlier))
-    links = both.withColumn("up", F.coalesce(opened, F.struct(*place))).where("href IS NOT NULL").select(key, *place, "href", "up")
+    links = both.withColumn("up", F.coalesce(opened, F.struct(*place))).where("href IS NOT NULL").select(key, *place, "href", "named", "up")
     if link is not None:
         wanted = select_all(pages, key, link, longest, html).select(key, "pos", F.lit(True).alias("_fits"))
         free = pages.select(key, (F.coalesce(F.trim(link), F.lit("")) == "").alias("_free"))
@@ -148,9 +149,10 @@ def links_in_context(
         tags = spans.join(asked, key).withColumn("_a", current).where("stop < _a.stop").where(matches(F.col("part"), "piece"))
         inside = tags.groupBy(key, F.col("_a.pos").alias("pos")).agg(F.min(F.struct(*place)).alias("_in"))
         links, part = links.join(inside, [key, "pos"], "left"), F.when(F.col("_in").isNotNull(), F.struct("_in.since", "_in.until"))
-    given = F.array_sort(F.collect_list(F.struct(*place, "href", F.col("up.pos").alias("up"), part.alias("part"))))
+    given = F.array_sort(F.collect_list(F.struct(*place, "href", "named", F.col("up.pos").alias("up"), part.alias("part"))))
     listed = links.groupBy(key).agg(given.alias("links"), F.array_distinct(F.collect_list("up")).alias("ups"))
-    texts = cut.where("shown").groupBy(key).agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "piece"))), lambda x: x["piece"]).alias("texts"))
+    read = cut.where("shown").select(key, F.struct("pos", unescape(F.col("piece")).alias("text")).alias("x"))
+    texts = read.groupBy(key).agg(F.transform(F.array_sort(F.collect_list("x")), lambda x: x["text"]).alias("texts"))
     rows = listed.join(texts, key, "left")
     if pattern is not None:
         rows = rows.join(pages.select(key, F.nullif(pattern, F.lit("")).alias("_pattern")), key)
@@ -161,7 +163,7 @@ def links_in_context(
 
     def shown(x: Column, known: Column) -> Column:
         selected = F.when(x["part"].isNotNull(), _said(F.col("texts"), x["part"]["since"], x["part"]["until"])).otherwise(F.lit(""))
-        title = _said(F.col("texts"), x["since"], x["until"])
+        title = F.coalesce(F.nullif(_said(F.col("texts"), x["since"], x["until"]), F.lit("")), x["named"])
         return F.struct(x["pos"].alias("pos"), x["href"].alias("href"), title.alias("title"), selected.alias("selected"), F.try_element_at(known, x["up"]).alias("around"))
 
     known = F.map_from_entries(F.transform("ups", lambda u: F.struct(u["pos"].alias("pos"), around(u).alias("text"))))
@@ -174,8 +176,9 @@ def select_all(pages: DataFrame, key: str, selector: Column, longest: int = 3, h
     Running columns for each part of the chain: an element fits a part if it does so itself and stands inside one that fits the part
     before, which the number of such elements open at its place tells. A longer chain than ``longest`` fits nothing.
     """
-    asked = pages.select(key, F.split(F.trim(selector), r"\s+").alias("parts")).where(F.get("parts", F.lit(0)) != "")
-    rows = _spans(pieces(pages, key, html), key, closing=True).join(asked, key)
+    chain = F.split(F.trim(selector), r"\s+")
+    asked = pages.where(F.coalesce(F.trim(selector), F.lit("")) != "")  # other pages are not cut up
+    rows = _spans(pieces(asked, key, html), key, closing=True).join(asked.select(key, chain.alias("parts")), key)
     by_place, by_level = Window.partitionBy(key).orderBy("pos"), Window.partitionBy(key, "level").orderBy("pos")
     earlier = (Window.unboundedPreceding, -1)
     tag = F.col("opens") | F.col("closes")

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from functools import reduce
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -12,6 +13,7 @@ from gleaner.functions import html as H
 from gleaner.functions import jsons as J
 from gleaner.functions import text as T
 from gleaner.functions import urls as U
+from gleaner.operators import elements
 from gleaner.operators.numbering import with_batch
 from gleaner.session import cut_lineage
 
@@ -73,22 +75,27 @@ def resolve_redirects(captures: DataFrame) -> DataFrame:
     )
 
 
-def enrich_dates(candidates: DataFrame, captures: DataFrame, parsed: str, pattern: str, parse: Column, fetch: str) -> DataFrame:
-    """Look at the article page only for rows whose listing gave no date.
+def enrich_dates(
+    candidates: DataFrame, captures: DataFrame, parsed: str, pattern: str, parse: Column, fetch: str, selector: str | None = None
+) -> DataFrame:
+    """Look at the article page only for rows whose listing gave no date: the text of the row's ``selector`` there, else a match of its pattern.
 
-    ``parse`` reads ``date_text``. Rows already dated skip the join.
+    ``parse`` reads ``date_text``. Rows already dated skip the join. Pages are searched once for each pair of page and selector.
     """
     done = candidates.where(F.col(parsed).isNotNull() | ~F.col(fetch))
     open_rows = candidates.where(F.col(parsed).isNull() & F.col(fetch))
     pages = captures.select(F.col("url").alias("_u"), H.inner_text("html").alias("_page"))
     joined = open_rows.join(pages, F.col("url") == F.col("_u"), "left")
+    picked = F.lit(None).cast("string")
+    if selector is not None:
+        asked = open_rows.where(F.col(selector) != "").select("url", F.col(selector).alias("_s")).distinct().join(captures.select("url", "html"), "url")
+        keyed = asked.select(F.concat_ws("\x01", "url", "_s").alias("_key"), "_s", "html")
+        found = elements.select_first(keyed, "_key", F.array("_s"), longest=3).select("_key", F.nullif(F.col("text"), F.lit("")).alias("_picked"))
+        joined = joined.withColumn("_key", F.concat_ws("\x01", "url", selector)).join(found, "_key", "left").drop("_key")
+        picked = F.col("_picked")
     found = F.trim(F.regexp_substr("_page", F.nullif(F.col(pattern), F.lit(""))))
-    tried = joined.withColumns(
-        {
-            "date_text": F.coalesce(found, F.col("date_text")),
-            "date_source": F.when(found.isNotNull(), F.lit("article_regex")).otherwise(F.col("date_source")),
-        }
-    ).drop("_u", "_page")
+    source = F.when(picked.isNotNull(), F.lit("article_selector")).when(found.isNotNull(), F.lit("article_regex")).otherwise(F.col("date_source"))
+    tried = joined.withColumns({"date_text": F.coalesce(picked, found, F.col("date_text")), "date_source": source}).drop("_u", "_page", "_picked")
     return done.unionByName(tried.withColumn(parsed, parse))
 
 
@@ -96,35 +103,56 @@ def crawl_pages(starts: DataFrame, edges: DataFrame) -> DataFrame:
     """Pages each site's walks visit: from every start, in order, up to the site's ``max_pages``, stopping at a page the
     site has already visited.
 
-    ``starts`` is ``site, start, url, max_pages`` with ``start`` counting from 0 within the site; ``edges`` is ``url,
-    next_url`` with one row for each page. All walks advance together, each to its own limit, as long as any goes on;
-    then the starts of all sites are settled one rank at a time, as a later walk depends on what the earlier ones of its
-    site reached.
+    ``starts`` is ``site, start, url, max_pages``, the starts of a site in the order of ``start``; ``edges`` is ``url, next_url`` with
+    one row for each page, or ``site, url, next_url`` where sites go on by links of their own.
+
+    A next page is a function of the page, so links of double the reach are made from each other: all walks are known after as many
+    rounds as the logarithm of the largest limit. A walk that shares no page with another of its site, nor meets itself, is
+    visited whole. Only the others are settled, one after the other, in one pass over each site's sorted rows.
     """
-    step = starts.where("max_pages > 0").select("site", "start", F.lit(0).alias("depth"), "url", "max_pages")
-    levels = [step]
-    for depth in range(1, starts.agg(F.max("max_pages")).first()[0] or 0):
-        step = (
-            step.where(F.col("max_pages") > depth).join(edges, "url")
-            .where(F.col("next_url") != "")
-            .select("site", "start", F.lit(depth).alias("depth"), F.col("next_url").alias("url"), "max_pages")
-        )
-        if depth % 4 == 0:
-            step = cut_lineage(step)
-            if step.isEmpty():
+    keys = ["site", "url"] if "site" in edges.columns else ["url"]
+    longest = starts.agg(F.max("max_pages")).first()[0] or 0
+    walks = starts.where("max_pages > 0").select("site", "start", F.lit(0).alias("depth"), "url", "max_pages")
+    jumps, reach = edges.where("next_url <> ''").select(*keys, "next_url"), 1
+    while reach < longest:
+        further = walks.where(F.col("max_pages") > F.col("depth") + reach).join(jumps, keys)
+        steps = further.select("site", "start", (F.col("depth") + reach).alias("depth"), F.col("next_url").alias("url"), "max_pages")
+        walks = cut_lineage(walks.unionByName(steps))
+        reach *= 2
+        if reach < longest:
+            beyond = jumps.select(*[k for k in keys if k != "url"], F.col("next_url").alias("_far"), F.col("url").alias("next_url"))
+            jumps = cut_lineage(jumps.join(beyond, [k for k in keys if k != "url"] + ["next_url"]).select(*keys, F.col("_far").alias("next_url")))
+            if jumps.isEmpty():
                 break
-        levels.append(step)
-    walks = cut_lineage(reduce(DataFrame.unionByName, levels).drop("max_pages"))
-    first = walks.groupBy("site", "start", "url").agg(F.min("depth").alias("_first"))
-    again = walks.join(first, ["site", "start", "url"]).where("depth > _first")
-    own_end = again.groupBy("site", "start").agg(F.min("depth").alias("_end"))
-    walks = walks.join(own_end, ["site", "start"], "left").where("_end IS NULL OR depth < _end").drop("_end")
-    walks = cut_lineage(walks)
-    visited = walks.where("start = 0")
-    ranks = starts.agg(F.max("start").alias("m")).first()["m"] or 0
-    for rank in range(1, ranks + 1):
-        mine = walks.where(F.col("start") == rank)
-        met = mine.join(visited.select("site", "url").distinct(), ["site", "url"]).groupBy("site").agg(F.min("depth").alias("_met"))
-        fresh = mine.join(met, "site", "left").where("_met IS NULL OR depth < _met").drop("_met")
-        visited = cut_lineage(visited.unionByName(fresh))
-    return visited
+    walks = walks.drop("max_pages")
+    shared = cut_lineage(walks.groupBy("site", "url").agg(F.count("*").alias("n")).where("n > 1"))
+    met = cut_lineage(walks.join(shared, ["site", "url"], "left_semi").select("site", "start").distinct())
+    free = walks.join(met, ["site", "start"], "left_anti")
+    tangled = walks.join(met, ["site", "start"], "left_semi").select("site", "start", "depth", "url")
+    return free.select("site", "start", "depth", "url").unionByName(_settled(tangled))
+
+
+def _settled(walks: DataFrame) -> DataFrame:
+    """Rows of walks up to the first page their site has seen: a task sees a site's rows in order and keeps digests of their urls."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from hashlib import blake2b
+
+        site = walk = ended = None
+        seen: set[bytes] = set()
+        for batch in batches:
+            kept = []
+            for at, (own, start, url) in enumerate(zip(batch.column("site").to_pylist(), batch.column("start").to_pylist(), batch.column("url").to_pylist(), strict=True)):
+                if own != site:
+                    site, seen, walk = own, set(), None
+                if (own, start) != walk:
+                    walk, ended = (own, start), False
+                digest = blake2b((url or "").encode(), digest_size=16).digest()
+                ended = ended or digest in seen
+                if not ended:
+                    seen.add(digest)
+                    kept.append(at)
+            yield batch.take(pa.array(kept, pa.int64()))
+
+    dealt = walks.repartition("site").sortWithinPartitions("site", "start", "depth")
+    return dealt.mapInArrow(run, walks.schema)

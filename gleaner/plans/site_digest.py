@@ -1,4 +1,7 @@
-"""Site watch: crawl order, link candidates, dates from lists or article pages, windows, limits, cross-site dedupe."""
+"""Site watch: crawl order, link candidates, dates from lists or article pages, windows, limits, search fallback, cross-site dedupe.
+
+``captures`` is ``url, html`` with one row for each page, and may have ``final_url``, where the page was in the end: links count from there.
+"""
 
 from __future__ import annotations
 
@@ -7,41 +10,90 @@ from pyspark.sql import functions as F
 
 from gleaner.functions import dates as D
 from gleaner.functions import html as H
+from gleaner.functions import text as T
 from gleaner.functions import urls as U
-from gleaner.operators import filters, lookup, site_watch, windows
+from gleaner.operators import dedupe, elements, filters, lookup, ranking, site_watch, windows
+from gleaner.session import cut_lineage
+
+#: How sites that read listings are fetched; the others only search.
+DIRECT = ["direct", "direct_then_search"]
+#: Settings of a site that judge its items.
+RULES = [
+    "article_date_pattern", "article_date_selector", "fetch_article_body", "date_timezone", "date_granularity", "target_date_mode", "lookback_hours",
+    "date_fallback_mode", "max_items_per_site", "include_title_pattern", "exclude_title_pattern",
+]
+
+
+def _base(captures: DataFrame) -> Column:
+    return F.coalesce("final_url", "url") if "final_url" in captures.columns else F.col("url")
 
 
 def page_edges(captures: DataFrame) -> DataFrame:
-    """Next-page link of every captured page, resolved; empty when there is none."""
-    href = H.next_page_href("html")
-    return captures.select("url", F.when(href != "", U.url_join("url", href)).otherwise(F.lit("")).alias("next_url"))
+    """Next-page link of every captured page, resolved; empty when there is none. The link is found once, before it is resolved."""
+    found = captures.select("url", _base(captures).alias("_base"), T.fence(H.next_page_href("html")).alias("_href"))
+    return found.select("url", F.when(F.col("_href") != "", U.url_join("_base", "_href")).otherwise(F.lit("")).alias("next_url"))
+
+
+def own_edges(sites: DataFrame, captures: DataFrame) -> DataFrame:
+    """``(site, url, next_url)`` for sites with a next-page selector and the captured pages of their hosts: the first link that it names, else as ``page_edges``."""
+    hosts = sites.select("site", F.col("next_page_selector").alias("_s"), F.explode("list_page_urls").alias("u")).select("site", "_s", U.bare_host("u").alias("_h")).distinct()
+    pages = captures.select("url", "html", _base(captures).alias("_base"), U.bare_host("url").alias("_h")).join(hosts, "_h")
+    keyed = pages.withColumn("_page", F.concat_ws("\x01", "site", "url"))
+    named = elements.select_all(keyed, "_page", F.col("_s")).groupBy("_page").agg(F.min_by("piece", "pos").alias("piece"))
+    target = named.select("_page", F.concat(*[F.regexp_extract("piece", H.TARGET, i) for i in (1, 2, 3)]).alias("_href"))
+    own = keyed.select("site", "url", "_base", "_page").join(target, "_page", "left").withColumn("_href", T.fence(T.strip(T.text("_href"))))
+    both = own.join(page_edges(captures), "url")
+    return both.select("site", "url", F.when(F.col("_href") != "", U.url_join("_base", "_href")).otherwise(F.col("next_url")).alias("next_url"))
+
+
+def visited_pages(sites: DataFrame, captures: DataFrame, starts: DataFrame | None = None) -> DataFrame:
+    """Captured listing pages of every enabled site in visiting order, with their markup: as many from each start as the site allows.
+
+    ``starts`` (``site, start, url``, by the order of ``start``) stands for the sites' own lists where these are too long for a row.
+    """
+    config = sites.where(F.col("enabled") & F.col("fetch_mode").isin(DIRECT))
+    given = config.select("site", F.posexplode("list_page_urls").alias("start", "url")) if starts is None else starts
+    limits = given.join(config.select("site", "max_pages", (F.col("next_page_selector") != "").alias("_own")), "site")
+    walks = lookup.crawl_pages(limits.where("NOT _own").drop("_own"), page_edges(captures))
+    chosen = config.where("next_page_selector <> ''")
+    if not chosen.isEmpty():
+        walks = walks.unionByName(lookup.crawl_pages(limits.where("_own").drop("_own"), own_edges(chosen, captures)))
+    return walks.join(captures.select("url", "html", _base(captures).alias("base")), "url")
 
 
-def visited_pages(sites: DataFrame, captures: DataFrame) -> DataFrame:
-    """Listing pages of every enabled site in visiting order, with their markup: as many from each start as the site allows."""
-    starts = sites.where("enabled").select("site", "max_pages", F.posexplode("list_page_urls").alias("start", "url"))
-    return lookup.crawl_pages(starts, page_edges(captures)).join(captures.select("url", "html"), "url")
+def _used(config: DataFrame) -> set[str]:
+    """Selectors that some site sets: steps that none needs are left out of the plan."""
+    names = ["article_link_selector", "list_date_selector", "article_date_selector"]
+    found = config.agg(*[F.coalesce(F.max(F.col(n) != ""), F.lit(False)).alias(n) for n in names]).first()
+    return {n for n in names if found[n]}
+
+
+def candidates(config: DataFrame, pages: DataFrame, used: set[str]) -> DataFrame:
+    """Links of the visited pages that fit their site's selector and pattern, the first of each url on a page, with the date text beside them."""
+    told = config.select("site", *[F.col(c).alias(f"_{c}") for c in ("article_link_selector", "list_date_selector", "list_date_pattern", "article_url_pattern")])
+    keyed = pages.withColumn("_page", F.concat_ws("\x01", "site", F.col("start").cast("string"), F.col("depth").cast("string"))).join(told, "site")
+    asked = lambda name: F.col(f"_{name}") if name in used else None
+    links = elements.links_in_context(keyed, "_page", selector=asked("list_date_selector"), pattern=F.col("_list_date_pattern"), link=asked("article_link_selector"))
+    text, source = elements.list_date(F.lit(".+"))
+    dated = links.select("_page", "pos", "href", "title", text.alias("date_text"), source.alias("date_source"))
+    placed = dated.join(keyed.select("_page", "site", "start", "depth", "base", "_article_url_pattern"), "_page")
+    rows = placed.withColumn("link", U.url_join("base", "href")).where(filters.passes_url_pattern(F.col("link"), F.col("href"), F.col("_article_url_pattern")))
+    return dedupe.candidates(rows, ["_page"], "link", "title", ["pos"]).select(
+        "site", F.struct(F.lit(0).alias("part"), "start", "depth", "pos").alias("ord"), F.col("link").alias("url"), "title", "date_text", "date_source"
+    )
 
 
 def decisions(sites: DataFrame, pages: DataFrame, captures: DataFrame, as_of: Column) -> tuple[DataFrame, DataFrame]:
     """(accepted items of each site, every candidate with its decision)."""
     config = sites.where("enabled")
-    ruled = pages.select("site", "start", "depth", "url", "html").join(config.drop("list_page_urls"), "site")
-    keys = ["site", "start", "depth"]
-    links = site_watch.link_candidates(ruled.select(*keys, "url", "html", "article_url_pattern"), keys + ["article_url_pattern"], F.col("article_url_pattern"))
-    rows = links.drop("article_url_pattern").join(config, "site")
+    # links are found once, and what follows reads them several times
+    used = _used(config)
+    rows = cut_lineage(candidates(config, pages, used)).join(config.select("site", *RULES), "site")
     tz, gran = F.col("date_timezone"), F.col("date_granularity")
-    shown = F.nullif(F.col("list_date_pattern"), F.lit(""))
-    staged = rows.select(
-        "site", F.struct("start", "depth", "pos").alias("ord"), F.col("link").alias("url"), "title",
-        F.coalesce(F.trim(F.regexp_substr("title", shown)), F.lit("")).alias("date_text"),
-        "article_date_pattern", "fetch_article_body", "date_timezone", "date_granularity", "target_date_mode",
-        "lookback_hours", "date_fallback_mode", "max_items_per_site", "include_title_pattern", "exclude_title_pattern",
-    )
-    staged = staged.withColumn("date_source", F.when(F.col("date_text") != "", F.lit("list_regex")).otherwise(F.lit("failed")))
     parse = D.parse_date_text_local("date_text", tz, gran)
     dated = lookup.enrich_dates(
-        staged.withColumn("published_local", parse), captures, "published_local", "article_date_pattern", parse, "fetch_article_body"
+        rows.withColumn("published_local", parse), captures, "published_local", "article_date_pattern", parse, "fetch_article_body",
+        "article_date_selector" if "article_date_selector" in used else None,
     )
     in_window = windows.in_site_window(
         D.from_zone("published_local", tz), as_of, F.col("target_date_mode"), F.col("lookback_hours"), tz
@@ -50,8 +102,38 @@ def decisions(sites: DataFrame, pages: DataFrame, captures: DataFrame, as_of: Co
     return site_watch.site_items(dated, as_of, in_window, reason, "max_items_per_site")
 
 
-def build(sites: DataFrame, captures: DataFrame, as_of: Column) -> DataFrame:
-    pages = visited_pages(sites, captures)
-    kept, _ = decisions(sites, pages, captures, as_of)
-    order = F.struct("ord.start", "ord.depth", "ord.pos")
-    return site_watch.dedupe_and_limit(sites, kept.withColumn("ord", order))
+def search_items(sites: DataFrame, payloads: DataFrame, as_of: Column) -> DataFrame:
+    """Search results of the given sites whose date lies in the window; one without a date only where the site takes the run's time or any."""
+    rows = site_watch.search_candidates(payloads, as_of).select("site", "pos", "title", "url", "date_text", "date_source").join(sites.select("site", *RULES), "site")
+    tz = F.col("date_timezone")
+    parsed = D.parse_date_text_local("date_text", tz, F.col("date_granularity"))
+    when_, source = D.fallback_to_run_time(parsed, F.col("date_fallback_mode"), F.col("date_source"), D.to_zone(as_of, tz))
+    dated = rows.withColumns({"published_local": when_, "date_source": source})
+    inside = windows.in_site_window(D.from_zone("published_local", tz), as_of, F.col("target_date_mode"), F.col("lookback_hours"), tz)
+    undated = F.col("published_local").isNull() & (F.col("date_fallback_mode") != "require_date")
+    kept = dated.where(undated | (F.col("published_local").isNotNull() & inside))
+    return kept.withColumn("published_local", F.coalesce("published_local", D.to_zone(as_of, tz)))
+
+
+def with_search(sites: DataFrame, starts: DataFrame, pages: DataFrame, kept: DataFrame, judged: DataFrame, payloads: DataFrame, as_of: Column) -> DataFrame:
+    """Accepted items with search results behind them, for sites that only search or whose listings failed or named no link."""
+    seen = pages.groupBy("site").agg(F.lit(True).alias("_read"))
+    linked = judged.groupBy("site").agg(F.lit(True).alias("_linked"))
+    asked = sites.where("enabled").join(seen, "site", "left").join(linked, "site", "left")
+    failed = F.col("_read").isNull() | F.col("_linked").isNull()
+    wants = asked.where((F.col("fetch_mode") == "search_only") | ((F.col("fetch_mode") == "direct_then_search") & failed)).drop("_read", "_linked")
+    shape = kept.schema["ord"].dataType
+    first = F.struct(F.lit(1).alias("part"), *[F.lit(None).cast(shape[f].dataType).alias(f) for f in ("start", "depth")], F.col("pos").cast(shape["pos"].dataType).alias("pos"))
+    columns = ["site", "ord", "url", "title", "date_source", "published_local", "max_items_per_site"]
+    found = search_items(wants, payloads, as_of).withColumn("ord", first).select(columns)
+    unique = dedupe.accepted(kept.select(columns).unionByName(found), "site", "url", F.lit(True), ["ord"])
+    return ranking.first_n(unique, ["site"], ["ord"], "max_items_per_site")
+
+
+def build(sites: DataFrame, captures: DataFrame, as_of: Column, starts: DataFrame | None = None, payloads: DataFrame | None = None) -> DataFrame:
+    pages = visited_pages(sites, captures, starts)
+    kept, judged = decisions(sites, pages, captures, as_of)
+    columns = ["site", "ord", "url", "title", "date_source", "published_local"]
+    if payloads is not None:
+        kept = with_search(sites, starts, pages, kept, judged, payloads, as_of)
+    return site_watch.dedupe_and_limit(sites, kept.select(columns))
