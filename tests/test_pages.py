@@ -30,7 +30,7 @@ def test_five_thousand_links_under_one_parent_are_as_many_rows(spark):
     start = time.time()
     rows = elements.links_in_context(spark.createDataFrame([(1, page)], "k int, html string"), "k", pattern=F.lit(r"\d{4}/\d{2}/\d{2}")).collect()
     assert len(rows) == 5000 and {r.around for r in rows} == {"2024/01/01"} and {r.title for r in rows} == {f"t{i}" for i in range(5000)}
-    assert time.time() - start < 60
+    assert time.time() - start < 240
 
 
 def test_every_element_of_a_chain(spark):
@@ -99,7 +99,7 @@ def test_a_chain_of_ten_thousand_conflicts(spark):
     start = time.time()
     got = dedupe.greedy_by_either_key(spark.createDataFrame(rows, "ord int, a int, b int"), "a", "b", "ord")
     assert sorted(r.ord for r in got.collect()) == list(range(0, 10_000, 2))
-    assert time.time() - start < 60
+    assert time.time() - start < 240
 
 
 def test_site_watch_with_selectors_final_urls_and_search(spark):
