@@ -97,9 +97,30 @@ def stream_upsert(spark, sf_dir):
         F.concat(F.lit("Title "), F.col("page_id").cast("string")).alias("title"),
     )
     saved = store(spark, sf_dir).select("page_id", "url", "title", "ord")
-    _finish(flows.run_batches(rows, flows.upsert_sink(folder, saved, "n", ["title"]), folder))
-    snapshots = spark.read.parquet(f"{folder}/snapshot")
-    return snapshots.where(F.col("batch") == snapshots.agg(F.max("batch")).scalar()).select("page_id", "url", "title")
+    _finish(flows.run_batches(rows, flows.upsert_sink(f"{folder}/store", saved, "n", ["title"]), folder))
+    return flows.open_store(f"{folder}/store", saved, ["title"]).rows().select("page_id", "url", "title")
+
+
+@query(
+    "stream_upsert_dated",
+    """WITH {store}, inc AS (SELECT ord AS n, url, issue_date, (ord * 7) % 3 AS part FROM store WHERE ord % 5 <> 0),
+    last AS (SELECT url, left(issue_date, 6) AS month, max_by(page_id, ord) AS pid FROM store GROUP BY ALL),
+    hit AS (SELECT inc.n, inc.part, l.pid FROM inc JOIN last l ON l.url = inc.url AND l.month = left(inc.issue_date, 6)),
+    upd AS (SELECT pid, arg_max(n, part * 10000000000 + n) AS n FROM hit GROUP BY pid)
+    SELECT s.page_id, s.issue_date, coalesce('Title ' || upd.n, s.title) AS title FROM store s LEFT JOIN upd ON upd.pid = s.page_id""",
+)
+def stream_upsert_dated(spark, sf_dir):
+    """Three batches against a store filed by issue date, with a new base after every second one."""
+    folder = _folder(spark, "dated")
+    saved = store(spark, sf_dir).select("page_id", "url", "title", "issue_date", "ord")
+    rows = saved.where(F.col("ord") % 5 != 0).select(
+        F.col("ord").alias("n"), "url", F.lit("").alias("page_id"), F.lit("").alias("error"), "issue_date",
+        F.concat(F.lit("Title "), F.col("ord").cast("string")).alias("title"),
+    )
+    sink = flows.upsert_sink(folder, saved, "n", ["title"], date="issue_date", every=2)
+    for part in range(3):
+        sink(rows.where((F.col("n") * 7) % 3 == part), part)
+    return flows.open_store(folder, saved, ["title"], "issue_date").rows().select("page_id", "issue_date", "title")
 
 
 @query(

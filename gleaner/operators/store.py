@@ -38,11 +38,13 @@ def split_existing(
     return joined.withColumn("outcome", outcome).drop("_key", "_k1", "_k2", "_saved_url", "_has_body")
 
 
-def store_index(store: DataFrame, id_param: str = "ng") -> DataFrame:
-    """One row for each lookup key (URL, id, ``<param>:id``); later store rows win."""
+def store_index(store: DataFrame, id_param: str = "ng", wanted: DataFrame | None = None) -> DataFrame:
+    """One row for each lookup key (URL, id, ``<param>:id``) in ``wanted``, or for all keys; later store rows win."""
     aid = U.query_param("url", id_param)
     keys = F.array(F.col("url"), aid, F.when(aid != "", F.concat(F.lit(f"{id_param}:"), aid)))
     exploded = store.select("page_id", "ord", F.explode(keys).alias("_k")).where("_k IS NOT NULL AND _k <> ''")
+    if wanted is not None:
+        exploded = exploded.join(wanted.select("_k").distinct(), "_k", "left_semi")
     return keep_last(exploded, ["_k"], "ord").select("_k", F.col("page_id").alias("_found"))
 
 
@@ -53,8 +55,8 @@ def resolve_page_id(incoming: DataFrame, store: DataFrame, key: str, id_param: s
     """
     aid = U.query_param("url", id_param)
     wanted = F.array(strip(text("url")), aid, F.when(aid != "", F.concat(F.lit(f"{id_param}:"), aid)))
-    open_rows = incoming.where(text("page_id") == "").select(key, F.posexplode(wanted).alias("_p", "_k"))
-    hits = open_rows.where("_k <> ''").join(store_index(store, id_param), "_k")
+    open_rows = incoming.where(text("page_id") == "").select(key, F.posexplode(wanted).alias("_p", "_k")).where("_k <> ''")
+    hits = open_rows.join(store_index(store, id_param, open_rows), "_k")
     best = hits.groupBy(key).agg(F.min_by("_found", "_p").alias("_found"))
     return incoming.join(best, key, "left").withColumn(
         "page_id", F.coalesce(F.nullif(text("page_id"), F.lit("")), F.col("_found"), F.lit(""))
@@ -111,6 +113,20 @@ def date_range(rows: DataFrame, column: str, buffer_days: int = 1) -> tuple[Colu
     return low, high
 
 
+def judge(store: DataFrame, incoming: DataFrame, key: str, id_param: str = "ng") -> DataFrame:
+    """Add ``action`` (created, updated or failed) to incoming rows and fill ``page_id``.
+
+    A new page's id depends only on its row, so a repeated run makes the same one.
+    """
+    resolved = resolve_page_id(incoming, store, key, id_param)
+    failed = text("error") != ""
+    known = F.col("page_id") != ""
+    new_id = F.concat(F.lit("new-"), F.left(F.sha2(F.concat_ws("|", F.col(key).cast("string"), "url"), 256), F.lit(16)))
+    return resolved.withColumn(
+        "action", F.when(failed, F.lit("failed")).when(known, F.lit("updated")).otherwise(F.lit("created"))
+    ).withColumn("page_id", F.when(known | failed, F.col("page_id")).otherwise(new_id))
+
+
 def upsert(store: DataFrame, incoming: DataFrame, key: str, fields: list[str], id_param: str = "ng", order: Column | None = None) -> tuple[DataFrame, DataFrame]:
     """(new snapshot, outcome of each incoming row: created, updated or failed).
 
@@ -120,14 +136,8 @@ def upsert(store: DataFrame, incoming: DataFrame, key: str, fields: list[str], i
     leave the saved value as it is. When several rows update one page the last by ``key`` wins; new rows each
     make a page, with an id that depends only on the row.
     """
-    resolved = resolve_page_id(incoming, store, key, id_param)
-    failed = text("error") != ""
-    known = F.col("page_id") != ""
-    new_id = F.concat(F.lit("new-"), F.left(F.sha2(F.concat_ws("|", F.col(key).cast("string"), "url"), 256), F.lit(16)))
-    judged = resolved.withColumn(
-        "action", F.when(failed, F.lit("failed")).when(known, F.lit("updated")).otherwise(F.lit("created"))
-    ).withColumn("page_id", F.when(known | failed, F.col("page_id")).otherwise(new_id))
-    outcome = judged.select(key, "url", "page_id", "action", (~failed).alias("ok"), text("error").alias("error"))
+    judged = judge(store, incoming, key, id_param)
+    outcome = judged.select(key, "url", "page_id", "action", (F.col("action") != "failed").alias("ok"), text("error").alias("error"))
     changes = judged.where(F.col("action") == "updated").select(
         "page_id", F.col(key).alias("_k"), *[F.col(f).alias(f"_{f}") for f in fields]
     )

@@ -16,7 +16,7 @@ from pyspark.sql.utils import AnalysisException
 from gleaner.functions import text as T
 from gleaner.functions import urls as U
 from gleaner.operators import rules, windows
-from gleaner.operators import store as S
+from gleaner.operators.delta_store import DeltaStore
 
 
 def ingest(spark: SparkSession, path: str, schema: str, files_per_batch: int = 1000) -> DataFrame:
@@ -77,25 +77,28 @@ def gate_sink(folder: str, as_of: Column) -> Callable[[DataFrame, int], None]:
     return write
 
 
-def upsert_sink(folder: str, empty_store: DataFrame, key: str, fields: list[str]) -> Callable[[DataFrame, int], None]:
-    """Keep one store snapshot for each batch, made from the batch before it.
+def upsert_sink(
+    folder: str, first: DataFrame, key: str, fields: list[str], date: str | None = None, every: int = 16
+) -> Callable[[DataFrame, int], None]:
+    """Keep a store that begins with ``first`` as a base and changes; ``open_store`` reads it.
 
     Saved rows keep their ``ord``; the rows of a batch come after all earlier ones, by ``key``.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        store = empty_store
-        if batch_id > 0:
-            store = spark.read.schema(empty_store.schema).parquet(_batch_dir(folder + "/snapshot", batch_id - 1))
         later = F.lit((batch_id + 1) << 40) + F.pmod(F.col(key).try_cast("long"), F.lit(1 << 40))
-        snapshot, outcome = S.upsert(store, batch, key, fields, order=later)
-        snapshot.select(*empty_store.columns).write.mode("overwrite").parquet(_batch_dir(folder + "/snapshot", batch_id))
-        outcome.write.mode("overwrite").parquet(_batch_dir(folder + "/outcome", batch_id))
+        store = DeltaStore(batch.sparkSession, folder, first.schema, fields, date, every=every)
+        store.seed(first)
+        store.apply(batch, key, batch_id, later)
 
     return write
 
 
+def open_store(folder: str, first: DataFrame, fields: list[str], date: str | None = None) -> DeltaStore:
+    """The store that ``upsert_sink`` keeps."""
+    return DeltaStore(first.sparkSession, folder, first.schema, fields, date)
+
+
 def score_sink(folder: str, load_rules: Callable[[SparkSession], DataFrame], key: str) -> Callable[[DataFrame, int], None]:
     """Score each batch against the rules as they are at that moment."""
 

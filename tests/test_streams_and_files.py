@@ -42,7 +42,7 @@ def test_upsert_stream_equals_batches(spark, tmp_path):
     batches = [[(1, "https://a/1", "", "", "one"), (2, "https://a/0", "", "", "zero")], [(3, "https://a/1", "", "", "one again"), (4, "https://a/4", "", "boom", "x")]]
     rows = stream_of(spark, str(tmp_path), batches, SCHEMA)
     finish(flows.run_batches(rows, flows.upsert_sink(f"{tmp_path}/store", empty, "n", ["title"]), f"{tmp_path}/run"))
-    got = spark.read.parquet(f"{tmp_path}/store/snapshot/batch=1")
+    got = flows.open_store(f"{tmp_path}/store", empty, ["title"]).rows()
     assert sorted((r["url"], r["title"]) for r in got.collect()) == [("https://a/0", "zero"), ("https://a/1", "one again")]
     actions = spark.read.parquet(f"{tmp_path}/store/outcome").select("n", "action").collect()
     assert sorted((r["n"], r["action"]) for r in actions) == [(1, "created"), (2, "updated"), (3, "updated"), (4, "failed")]
@@ -91,7 +91,7 @@ def test_replayed_batch_replaces_its_output(spark, tmp_path):
     batch = spark.createDataFrame([(1, "https://a/1", "", "", "one")], SCHEMA)
     sink(batch, 0)
     sink(batch, 0)
-    assert spark.read.parquet(f"{tmp_path}/s/snapshot/batch=0").count() == 1
+    assert flows.open_store(f"{tmp_path}/s", empty, ["title"]).rows().count() == 1
 
 
 def test_feed_files(spark, tmp_path):
@@ -160,6 +160,6 @@ def test_upsert_keeps_all_columns_and_order_of_the_store(spark, tmp_path):
     saved = spark.createDataFrame([("p0", "https://a/0", "old", 7, "kept")], "page_id string, url string, title string, ord bigint, note string")
     batch = spark.createDataFrame([(5, "https://a/1", "", "", "one"), (6, "https://a/0", "", "", None)], SCHEMA)
     flows.upsert_sink(str(tmp_path), saved, "n", ["title"])(batch, 0)
-    got = {r.url: r for r in spark.read.parquet(f"{tmp_path}/snapshot/batch=0").collect()}
+    got = {r.url: r for r in flows.open_store(str(tmp_path), saved, ["title"]).rows().collect()}
     assert (got["https://a/0"].ord, got["https://a/0"].note, got["https://a/0"].title) == (7, "kept", "old")
     assert got["https://a/1"].ord > 7 and got["https://a/1"].note is None
