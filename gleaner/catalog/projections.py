@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from gleaner import constants as K
 from gleaner.catalog.base import art, entries, pick, query, s_squeeze, s_strip, sql_pick, sql_text, store, table
-from gleaner.catalog.windows_and_sorts import POOL, POOL_ORDER, WITH_CANDIDATES, candidates
+from gleaner.catalog.windows_and_sorts import POOL, POOL_ORDER, WITH_CANDIDATES, held_candidates
 from gleaner.functions import text as T
 from gleaner.operators import digest, selection, shaping
 
@@ -173,7 +173,7 @@ def split_scored_outputs(spark, sf_dir):
     SELECT 'A' || row_number() OVER (ORDER BY {POOL_ORDER}) AS ref_id, article_id, left(coalesce(nullif({s_strip('body')}, ''), {s_strip('sel.title')}), 1800) AS excerpt FROM sel JOIN (SELECT article_id, body FROM art) USING (article_id)""",
 )
 def ref_ids(spark, sf_dir):
-    chosen = selection.select_from_pool(candidates(spark, sf_dir), include_ties=False)
+    chosen = selection.select_from_pool(held_candidates(spark, sf_dir), include_ties=False)
     texts = art(spark, sf_dir).select("article_id", "body")
     rows = digest.report_input(chosen.join(texts, "article_id"), selection.pool_order(), ["body", "title"])
     return rows.select("ref_id", "article_id", F.col("text_excerpt").alias("excerpt"))

@@ -222,7 +222,7 @@ def budget_across_groups(spark, sf_dir):
     f"WITH {{art}}, {SCORED} SELECT article_id, score FROM scored QUALIFY rank() OVER (ORDER BY score DESC) <= 5",
 )
 def rank_with_ties(spark, sf_dir):
-    return ranking.with_ties(scored(spark, sf_dir), "score", 5).select("article_id", "score")
+    return ranking.with_ties(scored(spark, sf_dir).select("article_id", "score"), "score", 5)
 
 
 @query(
@@ -311,6 +311,10 @@ def candidates(spark, sf_dir):
     )
 
 
+def held_candidates(spark, sf_dir):
+    return selection.score_table(candidates(spark, sf_dir), "article_id")
+
+
 WITH_CANDIDATES = f"WITH {{art}}, {SCORED}, {CANDIDATES}"
 
 
@@ -333,7 +337,7 @@ POOL_ORDER = "importance_score DESC, priority DESC, published_at, title, ord"
       (SELECT importance_score FROM cand WHERE importance_score IS NOT NULL ORDER BY importance_score DESC LIMIT 5))""",
 )
 def select_report_ties(spark, sf_dir):
-    return selection.select_report(candidates(spark, sf_dir)).select("article_id")
+    return selection.select_report(held_candidates(spark, sf_dir)).select("article_id")
 
 
 @query("select_report", f"{WITH_CANDIDATES} SELECT article_id FROM cand WHERE importance_score IS NOT NULL ORDER BY {REPORT_ORDER} LIMIT 5")
@@ -352,7 +356,7 @@ POOL = """pool_in AS (SELECT * FROM cand WHERE importance_score IS NOT NULL AND
 
 @query("select_report_pool", f"{WITH_CANDIDATES}, {POOL} SELECT article_id FROM pool ORDER BY {POOL_ORDER} LIMIT 5")
 def select_report_pool(spark, sf_dir):
-    return selection.select_from_pool(candidates(spark, sf_dir), include_ties=False).select("article_id")
+    return selection.select_from_pool(held_candidates(spark, sf_dir), include_ties=False).select("article_id")
 
 
 @query(
@@ -360,7 +364,7 @@ def select_report_pool(spark, sf_dir):
     f"{WITH_CANDIDATES}, {POOL} SELECT article_id FROM pool QUALIFY rank() OVER (ORDER BY importance_score DESC) <= 5",
 )
 def select_report_pool_ties(spark, sf_dir):
-    return selection.select_from_pool(candidates(spark, sf_dir)).select("article_id")
+    return selection.select_from_pool(held_candidates(spark, sf_dir)).select("article_id")
 
 
 @query(
@@ -370,7 +374,7 @@ def select_report_pool_ties(spark, sf_dir):
       CASE WHEN sel.url IS NULL THEN 'below_top_rank_cutoff' ELSE '' END AS why_not FROM cand LEFT JOIN sel ON sel.url = cand.url""",
 )
 def selected_semi(spark, sf_dir):
-    rows = candidates(spark, sf_dir)
+    rows = held_candidates(spark, sf_dir)
     marked = selection.mark_selected(rows, selection.select_report(rows, include_ties=False))
     return marked.select(
         "article_id",
@@ -388,7 +392,7 @@ def selected_semi(spark, sf_dir):
       greatest(0, (SELECT count(*) FROM pool_in) - count(*)) AS excluded FROM sel""",
 )
 def selection_log(spark, sf_dir):
-    rows = candidates(spark, sf_dir)
+    rows = held_candidates(spark, sf_dir)
     pool = rows.where(F.col("importance_score").isNotNull() & ~F.col("exclude_candidate"))
     chosen = selection.select_from_pool(rows, include_ties=False)
     log = selection.selection_log(pool, chosen, selection.pool_order(), None, "top_importance_rank")

@@ -1,16 +1,17 @@
 """The digest: sections of selected items, report input and fallback sections.
 
-Everything here runs on selected rows, whose number the top-k and budget steps bound.
+Sections and the fingerprint run on rows whose number the top-k and budget steps bound.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gleaner import constants as K
 from gleaner.functions import dates as D
 from gleaner.functions import text as T
+from gleaner.operators.numbering import with_position
 
 
 def sections(items: DataFrame, section_list: DataFrame | None, section: str, order: str, fields: list[str]) -> DataFrame:
@@ -28,10 +29,12 @@ def sections(items: DataFrame, section_list: DataFrame | None, section: str, ord
 
 
 def report_input(selected: DataFrame, order: list[Column], text_columns: list[str], chars: int = K.CHUNK_CHARS) -> DataFrame:
-    """Reference ids in selection order and a clipped excerpt of the first non-blank text."""
-    rank = F.row_number().over(Window.orderBy(*order))
+    """Reference ids in selection order, which must be total, and a clipped excerpt of the first non-blank text.
+
+    Places come from sorted ranges, so a selection by threshold or with ties may be of any size.
+    """
     body = T.first_present(*text_columns)
-    numbered = selected.withColumn("position", rank)
+    numbered = with_position(selected, order).withColumn("position", (F.col("position") + 1).cast("int"))
     return numbered.withColumns(
         {
             "ref_id": F.concat(F.lit("A"), F.col("position").cast("string")),

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from gleaner import constants as K
 from gleaner.functions import dates as D
+from gleaner.session import cut_lineage
 
 SALTS = 32
 # Spark cuts map output for a rank filter up to this bound; larger or per-row limits use two stages.
@@ -68,8 +69,10 @@ def kth_value(df: DataFrame, value: str, k: int) -> Column:
 def with_ties(df: DataFrame, value: str, k: int, keys: list[str] | None = None) -> DataFrame:
     """Every row at least as large as the ``k``-th largest, overall or within each key.
 
-    Ties may be many, so rows are compared with a cutoff instead of being ranked together.
+    Ties may be many, so rows are compared with a cutoff instead of being ranked together. The rows are evaluated
+    once and kept in the checkpoint folder: pass slim ones and join the rest to what is left.
     """
+    df = cut_lineage(df)
     if not keys:
         return df.where(F.col(value) >= kth_value(df, value, k))
     slim = df.select(*keys, F.col(value).alias("_v"), F.monotonically_increasing_id().alias("_tie"))
@@ -83,9 +86,11 @@ def budget_across_groups(
 ) -> DataFrame:
     """Fill one overall budget group by group; later groups take what is left.
 
-    Only the table of group sizes is ordered as a whole, and it has one row for each medium or site.
+    Only the table of group sizes is ordered as a whole, and it has one row for each medium or site. The rows, which
+    per-group limits have bounded, are evaluated once and kept in the checkpoint folder.
     """
     limit = F.lit(budget) if isinstance(budget, int) else budget
+    df = cut_lineage(df)
     sizes = df.groupBy(group, *group_order).agg(F.count("*").alias("_n"))
     before = F.coalesce(
         F.sum("_n").over(Window.orderBy(*group_order, group).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)

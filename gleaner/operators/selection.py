@@ -2,11 +2,25 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gleaner.functions import text as T
+from gleaner.operators.numbering import with_position
 from gleaner.operators.ranking import kth_value
+from gleaner.session import cut_lineage
+
+# What the selections look at.
+SCORES = ["exclude_candidate", "importance_score", "priority", "text_length", "issue_date", "published_at", "title", "url"]
+
+
+def score_table(df: DataFrame, key: str, ord: str = "ord") -> DataFrame:
+    """Key, order and scores of every row, evaluated once and kept in the checkpoint folder.
+
+    Each selection below reads its input more than once: for a cutoff, a count, and the rows themselves. Give it
+    this table, so that scoring runs once; texts are joined by key to the rows that were chosen.
+    """
+    return cut_lineage(df.select(key, ord, *[c for c in SCORES if c in df.columns and c not in (key, ord)]))
 
 
 def scored_order(ord: str = "ord") -> list[Column]:
@@ -60,15 +74,15 @@ def select_from_pool(
 def selection_log(
     candidates: DataFrame, selected: DataFrame, order: list[Column], cutoff: Column | None, mode: str, title: str = "title"
 ) -> DataFrame:
-    """One row about a selection: counts, cutoff, and titles and scores in order.
+    """One row about a selection: counts, cutoff, and titles and scores in order; ``order`` must be total.
 
-    ``selected`` must be bounded by the report's size, since its titles become one value.
+    Rows get their place by ranges, not in one task; only titles and scores, which become one value, are gathered.
     """
     n = candidates.agg(F.count("*").alias("n")).scalar()
     listed = F.array_sort(
         F.collect_list(F.struct(F.col("_at").alias("at"), F.col(title).alias("title"), F.col("importance_score").alias("score")))
     )
-    ranked = selected.withColumn("_at", F.row_number().over(Window.orderBy(*order)))
+    ranked = with_position(selected, order, "_at")
     out = ranked.agg(F.count("*").alias("report_selected_count"), listed.alias("_rows"), F.min("importance_score").alias("_min"))
     return out.select(
         F.lit(mode).alias("report_selection_mode"),

@@ -38,15 +38,18 @@ def scoring_inputs(fetched: DataFrame, existing: DataFrame, id_param: str = "ng"
 
 
 def score_and_select(articles: DataFrame, rule_table: DataFrame, key: str, top_rank: int = 5) -> tuple[DataFrame, DataFrame]:
-    """(all articles with scores and the selection flag, the rows of the final report)."""
+    """(all articles with scores and the selection flag, without their texts; the rows of the final report, with them).
+
+    Articles are scored once, into a table that holds no texts; the few rows of the report get theirs at the end.
+    ``key`` must be unique.
+    """
     scored = rules.score_articles(articles, rule_table, key).withColumn("text_length", F.length(T.text("text")))
-    scored = cut_lineage(scored.withColumn("title", T.first_present("source_title", "page_title")))  # read three times below
-    chosen = selection.select_report(scored, top_rank=top_rank)
-    marked = selection.mark_selected(scored, chosen)
-    final = selection.select_from_pool(
-        scored.withColumn("published_at", T.text("issue_date")), top_rank=top_rank, include_ties=False
-    )
-    return marked, final
+    named = scored.withColumns({"title": T.first_present("source_title", "page_title"), "published_at": T.text("issue_date")})
+    held = cut_lineage(named.drop("text", "clean_body"))  # read several times below
+    marked = selection.mark_selected(held, selection.select_report(held, top_rank=top_rank))
+    final = selection.select_from_pool(held, top_rank=top_rank, include_ties=False)
+    texts = articles.select(key, "text")
+    return marked.drop("published_at"), final.join(texts, key, "left").withColumn("clean_body", T.clean_body("text"))
 
 
 def report_input(final: DataFrame, order: list[Column] | None = None, chars: int = 1800) -> DataFrame:

@@ -306,3 +306,26 @@ def test_each_site_stops_at_its_own_limit(spark):
     assert {k: [u for _, u in sorted(v)] for k, v in got.items()} == {
         ("one", 0): ["a"], ("one", 1): ["b"], ("two", 0): ["a", "b"], ("eight", 0): [f"n{i}" for i in range(8)],
     }
+
+
+def test_scored_rows_are_evaluated_once(spark):
+    from pyspark.sql import functions as F
+
+    from gleaner.operators import ranking, selection
+
+    calls = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def judged(i):
+        calls.add(1)
+        return float(i // 3)
+
+    rows = spark.range(30).select(F.col("id").alias("ord"), judged("id").alias("importance_score"), F.lit(False).alias("exclude_candidate"), F.lit(1).alias("priority"), (F.col("id") % 2).alias("g"))
+    assert sorted(r.ord for r in ranking.with_ties(rows, "importance_score", 2).collect()) == [27, 28, 29]
+    assert calls.value == 30
+    assert ranking.with_ties(rows, "importance_score", 2, ["g"]).count() == 5
+    assert calls.value == 60
+    held = selection.score_table(rows.withColumn("article_id", F.col("ord")), "article_id")
+    chosen = selection.select_from_pool(held, include_ties=True)
+    assert (chosen.count(), selection.select_report(held).count(), held.count()) == (6, 6, 30)
+    assert calls.value == 90
