@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from datetime import timedelta
 
 from pyspark.sql import functions as F
 
@@ -55,21 +56,64 @@ def stream_dedupe(spark, sf_dir):
 GATE_AT = "SELECT max(ts) AS t FROM events"
 
 
+def gate_rows(events):
+    return events.select(
+        "event_id", F.col("ts").alias("published_utc"), F.lit(None).cast("string").alias("parsed_date"),
+        F.lit("rolling_24h").alias("target_date_mode"), F.lit(24).alias("lookback_hours"), F.lit(ZONES[0]).alias("date_timezone"),
+    )
+
+
+def gate_time(spark, sf_dir):
+    """The run's time, one value."""
+    return F.lit(table(spark, sf_dir, "events").agg(F.max("ts")).first()[0]).cast("timestamp_ntz")
+
+
 @query(
     "stream_window_gate",
     f"""WITH r AS ({GATE_AT}) SELECT event_id, CASE WHEN ts >= t - INTERVAL 24 HOUR AND ts < t THEN 'accepted' ELSE 'out_of_window' END AS decision FROM events, r""",
 )
 def stream_window_gate(spark, sf_dir):
     folder = _folder(spark, "gate")
-    rows = _events(spark, sf_dir).select(
-        "event_id", F.col("ts").alias("published_utc"), F.lit(None).cast("string").alias("parsed_date"),
-        F.lit("rolling_24h").alias("target_date_mode"), F.lit(24).alias("lookback_hours"), F.lit(ZONES[0]).alias("date_timezone"),
-    )
-    as_of = F.lit(table(spark, sf_dir, "events").agg(F.max("ts")).first()[0]).cast("timestamp_ntz")  # the run's time, one value
+    rows, as_of = gate_rows(_events(spark, sf_dir)), gate_time(spark, sf_dir)
     _finish(flows.run_batches(rows, flows.gate_sink(f"{folder}/out", as_of), folder))
     return spark.read.parquet(f"{folder}/out").select("event_id", "decision")
 
 
+@query(
+    "stream_first_keys",
+    """WITH e AS (SELECT event_id, ts, event_id % 3 AS part, user_id || '|' || json_extract_string(props, '$.k') AS key FROM events),
+    clock AS (SELECT p.part, (SELECT max(ts) FROM e WHERE e.part < p.part) AS newest FROM (SELECT DISTINCT part FROM e) p)
+    SELECT 'first' AS kind, key, event_id FROM e QUALIFY row_number() OVER (PARTITION BY key ORDER BY part, event_id) = 1
+    UNION ALL SELECT 'late', key, event_id FROM e JOIN clock USING (part) WHERE ts < newest - INTERVAL 20 DAY""",
+)
+def stream_first_keys(spark, sf_dir):
+    """Three batches in no order of time: the first row of each key over all of them, and the rows that came late."""
+    folder = _folder(spark, "keys")
+    key = F.concat_ws("|", F.col("user_id").cast("string"), F.get_json_object("props", "$.k"))
+    rows = table(spark, sf_dir, "events").select("event_id", "ts", key.alias("key"))
+    sink = flows.seen_sink(folder, "key", "ts", "event_id", lateness="20 days", every=1)
+    for part in range(3):
+        sink(rows.where(F.col("event_id") % 3 == part), part)
+    found = [spark.read.parquet(f"{folder}/{kind}").select(F.lit(kind).alias("kind"), "key", "event_id") for kind in ("first", "late")]
+    return found[0].unionByName(found[1])
+
+
+@query(
+    "stream_window_late",
+    f"""WITH r AS ({GATE_AT}), e AS (SELECT *, event_id % 2 AS part FROM events), c AS (SELECT max(ts) AS newest FROM e WHERE part = 0)
+    SELECT event_id, CASE WHEN part = 1 AND ts < newest - INTERVAL 10 DAY THEN 'late' WHEN ts >= t - INTERVAL 24 HOUR AND ts < t THEN 'accepted' ELSE 'out_of_window' END AS decision FROM e, r, c""",
+)
+def stream_window_late(spark, sf_dir):
+    """Two batches through the window gate: rows behind the clock come out beside the decisions."""
+    folder = _folder(spark, "gate-late")
+    rows = gate_rows(table(spark, sf_dir, "events"))
+    sink = flows.gate_sink(f"{folder}/out", gate_time(spark, sf_dir), lateness="10 days", late_folder=f"{folder}/late")
+    for part in range(2):
+        sink(rows.where(F.col("event_id") % 2 == part), part)
+    late = spark.read.parquet(f"{folder}/late/rows").select("event_id", F.lit("late").alias("decision"))
+    return spark.read.parquet(f"{folder}/out").select("event_id", "decision").unionByName(late)
+
+
 @query("stream_counts", "SELECT date_trunc('day', ts) AS start, event_type, count(*) AS n FROM events GROUP BY date_trunc('day', ts), event_type")
 def stream_counts(spark, sf_dir):
     """Counts so far of every day, open days too: each batch passes on the days it changed."""
@@ -148,15 +192,12 @@ def art_stream(spark, sf_dir):
     f"WITH {{art}}, {BEST} SELECT aid AS article_id, ord, source, first_seen FROM best",
 )
 def stream_first_seen(spark, sf_dir):
-    """Best version of each article; the replay's articles all fall in one retention window."""
+    """Best version of each article; versions arrive over half a year, by place."""
     folder = _folder(spark, "versions")
+    at = F.timestamp_seconds(F.lit(1704067200) + F.col("ord") % 180 * 86400)
     rows = art_stream(spark, sf_dir).select(
-        "ord", "url", "body", F.when(F.col("ord") % 4 == 0, F.lit("saved")).otherwise(F.lit("new")).alias("source"),
-        F.lit("2024-01-01").cast("timestamp").alias("at"),
+        "ord", "url", "body", F.when(F.col("ord") % 4 == 0, F.lit("saved")).otherwise(F.lit("new")).alias("source"), at.alias("at")
     )
-    best = flows.best_versions(rows, "url", "body", "source", "at", existing="saved")
-
-    _finish(flows.run_batches(best, flows.latest_sink(f"{folder}/out"), folder, mode="update"))
-    out = spark.read.parquet(f"{folder}/out")
-    latest = out.groupBy("article_id").agg(F.max_by(F.struct("ord", "source", "first_seen"), "batch").alias("b"))
-    return latest.select("article_id", "b.ord", "b.source", "b.first_seen")
+    best = flows.best_versions(rows, "url", "body", "source", "at", "saved", timedelta(days=365), lateness="365 days")
+    _finish(flows.run_batches(best, flows.latest_sink(f"{folder}/out"), folder, mode="update", timers=True))
+    return flows.read_latest(spark, f"{folder}/out", ["article_id"]).select("article_id", "ord", "source", "first_seen")

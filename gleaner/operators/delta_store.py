@@ -24,6 +24,7 @@ from gleaner.functions import dates as D
 from gleaner.functions.text import text
 from gleaner.operators import store as S
 from gleaner.operators.ranking import keep_last
+from gleaner.sources.folders import delete, finished
 
 UNDATED = "undated"
 SEED = -1
@@ -189,22 +190,13 @@ class DeltaStore:
         spread = rows.hint("rebalance", F.col("month"))  # few files for a month, a large month in several
         spread.write.mode("overwrite").partitionBy("month").parquet(f"{self.folder}/{kind}/at={at}")
 
-    def _hadoop(self, path: str):
-        where = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        return where, where.getFileSystem(self.spark._jsc.hadoopConfiguration())
-
     def _finished(self, kind: str) -> dict[int, set[str]]:
         """Months of each finished write."""
-        where, fs = self._hadoop(f"{self.folder}/{kind}/at=*/*")
-        found: dict[int, set[str]] = {}
-        for status in fs.globStatus(where) or []:
-            path = status.getPath()
-            found.setdefault(int(path.getParent().getName()[3:]), set()).add(path.getName())
-        return {at: {n[6:] for n in names if n.startswith("month=")} for at, names in found.items() if "_SUCCESS" in names}
+        found = finished(self.spark, f"{self.folder}/{kind}")
+        return {at: {n[6:] for n in names if n.startswith("month=")} for at, names in found.items()}
 
     def _remove(self, parts: list[tuple[str, int, str]]) -> None:
         for kind, at, month in parts:
-            path, fs = self._hadoop(f"{self.folder}/{kind}/at={at}/month={month}")
-            fs.delete(path, True)
+            delete(self.spark, f"{self.folder}/{kind}/at={at}/month={month}")
             if not self._finished(kind).get(at):
-                fs.delete(path.getParent(), True)
+                delete(self.spark, f"{self.folder}/{kind}/at={at}")

@@ -80,11 +80,56 @@ def test_better_versions_replace(spark, tmp_path):
     rows = stream_of(spark, str(tmp_path), [[(1, u, "", "new", at)], [(2, u, "saved", "saved", at)], [(3, u, "new", "new", at), (4, u, "late", "new", at)]], schema)
     best = flows.best_versions(rows, "url", "body", "source", "at", existing="saved")
     sink = lambda b, i: b.write.mode("overwrite").parquet(f"{tmp_path}/out/batch={i}")
-    finish(flows.run_batches(best, sink, f"{tmp_path}/run", mode="update"))
+    finish(flows.run_batches(best, sink, f"{tmp_path}/run", mode="update", timers=True))
     got = spark.read.parquet(f"{tmp_path}/out").orderBy("batch").collect()
     assert [(r["ord"], r["text"], r["first_seen"]) for r in got] == [(1, "", 1), (2, "saved", 1), (3, "new", 1)]
 
 
+def test_versions_meet_across_dates_and_are_forgotten(spark, tmp_path):
+    from datetime import datetime, timedelta
+
+    schema = "ord int, url string, body string, source string, at timestamp"
+    u, v = "https://n/paper/article/?ng=A", "https://n/paper/article/?ng=B"
+    day = lambda d: datetime(2024, 1, 1) + timedelta(days=d)
+    batches = [
+        [(1, u, "body one", "saved", day(28))], [(2, u, "body two", "new", day(33)), (9, None, None, None, day(33))],
+        [(3, u, "body three", "new", day(50)), (0, u, "", "new", day(51))], [(4, v, "x", "new", day(200))], [(5, v, "y", "new", day(201))],
+        [(6, u, "body six", "new", day(202))],
+    ]
+    rows = stream_of(spark, str(tmp_path), batches, schema)
+    best = flows.best_versions(rows, "url", "body", "source", "at", "saved", timedelta(days=30))
+    running = flows.run_batches(best, flows.latest_sink(f"{tmp_path}/out"), f"{tmp_path}/run", mode="update", timers=True)
+    finish(running)
+    got = spark.read.parquet(f"{tmp_path}/out").orderBy("batch", "ord").collect()
+    # the second version is of another month and still replaces the first; the third does not; by day 202 all is forgotten
+    assert [(r["article_id"], r["ord"], r["text"]) for r in got] == [
+        ("A", 1, "body one"), ("A", 2, "body two"), ("", 9, None), ("A", 2, None), ("B", 4, "x"), ("A", 6, "body six"),
+    ]
+    assert [r["first_seen"] for r in got] == [1, 1, 9, 0, 4, 6]
+    assert running.lastProgress["stateOperators"][0]["numRowsTotal"] <= 2 * 3  # two articles: the best, and its timer both ways
+    assert spark.conf.get(flows.PROVIDER, "") != flows.ON_DISK
+
+
+def test_keys_once_and_late_rows_beside(spark, tmp_path):
+    from datetime import datetime
+
+    schema = "n int, key string, at timestamp_ntz"
+    t = lambda d: datetime(2024, 1, d)
+    batches = [
+        [(1, "a", t(10)), (2, "a", t(9)), (3, None, t(10))], [(4, "b", t(1)), (5, "a", t(12)), (6, None, None)],
+        [], [(7, "b", t(2)), (8, "c", t(11))], [(9, "c", t(30)), (10, "d", t(30))],
+    ]
+    frames = [spark.createDataFrame(rows, schema) for rows in batches]
+    sink = flows.seen_sink(str(tmp_path), "key", "at", "n", lateness="2 days", every=2)
+    for at in (0, 1, 1, 2, 3, 3, 4, 4):  # some batches twice
+        sink(frames[at], at)
+    read = lambda kind: spark.read.parquet(f"{tmp_path}/{kind}").orderBy("n").collect()
+    assert [(r.n, r.key) for r in read("first")] == [(1, "a"), (3, None), (4, "b"), (8, "c"), (10, "d")]
+    assert [(r.n, r.reason) for r in read("late")] == [(4, "before 2024-01-08 00:00:00"), (7, "before 2024-01-10 00:00:00")]
+    assert [f.name for f in sorted((tmp_path / "keys/base").iterdir())] == ["at=1", "at=3"]
+    assert sorted(f.name for f in (tmp_path / "keys/new").iterdir()) == ["at=2", "at=3", "at=4"]
+
+
 def test_replayed_batch_replaces_its_output(spark, tmp_path):
     empty = spark.createDataFrame([], "page_id string, url string, title string, ord bigint")
     sink = flows.upsert_sink(f"{tmp_path}/s", empty, "n", ["title"])
