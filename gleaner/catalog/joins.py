@@ -180,7 +180,7 @@ def match_rules(spark, sf_dir):
 @query("match_rules_joined", MATCH_SQL)
 def match_rules_joined(spark, sf_dir):
     staged = rules.scoring_texts(scoring_input(spark, sf_dir), "source_title", "page_title", "text")
-    return _match_rows(rules.matches_joined(staged, rule_table(spark), "article_id"))
+    return _match_rows(rules.matches_automaton(staged, rule_table(spark)))
 
 
 _TOPIC_CASE = ", ".join(

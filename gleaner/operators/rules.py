@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -10,10 +13,11 @@ from gleaner.functions import text as T
 from gleaner.operators.filters import exclude_topics
 from gleaner.operators.quality import is_navigation_body
 
-# Length of the character runs that the joined form of rule matching compares.
-GRAM = 3
-
 RULE_FIELDS = ["rule_ord", "tag_name", "rule_type", "match_field", "weight", "priority", "keywords", "negative_keywords"]
+MATCHES = (
+    "array<struct<rule_ord int, tag_name string, rule_type string, match_field string, weight double, priority int, "
+    "positive_hits array<string>, negative_hits array<string>>>"
+)
 
 
 # ---- fixed keyword scores ---------------------------------------------------------------------
@@ -96,7 +100,7 @@ def _target(field: Column) -> Column:
 def matches_inline(df: DataFrame, rules: DataFrame) -> DataFrame:
     """Add ``matches``: the rules that hit, in rule order. Map-only; the rules ride along as one value.
 
-    This is the form that scoring uses, whatever the number of rules. A null keyword list is empty.
+    Scoring uses this form unless told otherwise. A null keyword list is empty.
     """
     packed = rules.agg(F.array_sort(F.collect_list(F.struct(*RULE_FIELDS))).alias("rules")).scalar()
     none = F.array().cast("array<string>")
@@ -114,51 +118,62 @@ def matches_inline(df: DataFrame, rules: DataFrame) -> DataFrame:
     return df.withColumn("_rules", packed).withColumn("matches", T.fence(F.coalesce(hit, F.array()))).drop("_rules")
 
 
-def _runs(c: Column) -> Column:
-    """Distinct character runs of one to ``GRAM`` characters."""
-
-    def of_size(chars: Column, size: int) -> Column:
-        last = F.size(chars) - size
-        starts = F.when(last >= 0, F.sequence(F.lit(1), F.greatest(last + 1, F.lit(1)))).otherwise(F.array().cast("array<int>"))
-        return F.transform(starts, lambda i: F.array_join(F.slice(chars, i, F.lit(size)), ""))
-
-    return T.let(F.split(c, ""), lambda chars: F.array_distinct(F.concat(*[of_size(chars, n) for n in range(1, GRAM + 1)])))
-
-
-def matches_joined(df: DataFrame, rules: DataFrame, key: str) -> DataFrame:
-    """The same ``matches`` by an equi-join on the first characters of each keyword, for rule tables too large to carry.
-
-    A choice of the caller: ``key`` must be unique. The empty keyword, which every text holds, has a run of its own.
+def matches_automaton(df: DataFrame, rules: DataFrame) -> DataFrame:
+    """The same ``matches`` by one walk over each text, for rule tables with many keywords.
 
-    A text can hold a keyword only if it holds the keyword's first run of up to three characters; candidates from
-    that join are then checked in full. Texts are joined back by key, so only keys and runs are shuffled first.
+    Every task builds one automaton over all keywords, and a text is read once whatever their number: what is
+    found costs, not what is asked. A caller's choice, since with few keywords native searches are cheaper. Rules
+    are configuration and travel with the plan, as in ``matches_inline``. Only the two texts go through Python.
     """
-    def words(column: str, polarity: str) -> DataFrame:
-        exploded = rules.select("rule_ord", "match_field", F.posexplode(column).alias("pos", "keyword"))
-        return exploded.select(
-            "rule_ord", "match_field", "pos", "keyword", F.lower("keyword").alias("low"), F.lit(polarity).alias("polarity")
-        )
-
-    keywords = words("keywords", "positive").unionByName(words("negative_keywords", "negative"))
-    keywords = keywords.withColumn("gram", F.left("low", F.lit(GRAM)))
-    grams = df.select(key, F.explode(F.array_append(_runs(F.col("_both")), F.lit(""))).alias("gram")).distinct()
-    wanted = keywords.select("gram").distinct()
-    pairs = grams.join(wanted, "gram", "left_semi").join(keywords, "gram").drop("gram")
-    checked = pairs.join(df.select(key, "_title", "_body", "_both"), key).where(
-        F.contains(_target(F.col("match_field")), F.col("low"))
-    )
-
-    def hits(polarity: str) -> Column:
-        found = F.collect_list(F.when(F.col("polarity") == polarity, F.struct("pos", "keyword")))
-        return F.transform(F.array_sort(found), lambda h: h["keyword"])
-
-    by_rule = checked.groupBy(key, "rule_ord").agg(
-        hits("positive").alias("positive_hits"), hits("negative").alias("negative_hits")
-    )
-    by_rule = by_rule.join(rules.select(*RULE_FIELDS[:6]), "rule_ord")
-    row = F.struct(*RULE_FIELDS[:6], "positive_hits", "negative_hits")
-    packed = by_rule.groupBy(key).agg(F.array_sort(F.collect_list(row)).alias("matches"))
-    return df.join(packed, key, "left").withColumn("matches", F.coalesce("matches", F.array()))
+    none = F.array().cast("array<string>")
+    sides = ("keywords", "negative_keywords")
+    spelled = [
+        F.transform(F.coalesce(c, none), lambda k: F.struct(k.alias("word"), F.lower(k).alias("low"))).alias(c) for c in sides
+    ]
+    listed = rules.select(*RULE_FIELDS[:6], *spelled).orderBy("rule_ord").collect()
+    heads = [{f: r[f] for f in RULE_FIELDS[:6]} for r in listed]
+    words = [[[k["word"] for k in r[c]] for c in sides] for r in listed]
+    places: dict[str, list[tuple[int, int, int]]] = {}
+    for at, r in enumerate(listed):
+        for side, c in enumerate(sides):
+            for pos, k in enumerate(r[c]):
+                if k["low"] is not None:
+                    places.setdefault(k["low"], []).append((at, side, pos))
+    everywhere = places.pop("", [])  # every text holds the empty keyword
+
+    def hits(title: str, body: str, automaton) -> list[dict]:
+        split = len(title)
+        met = {(low, 1 if end < split else 2 if end - len(low) >= split else 0) for end, low in automaton(f"{title}\n{body}")}
+        found: dict[int, tuple[set[int], set[int]]] = {}
+        for low, part in met:
+            for at, side, pos in places[low]:
+                if part == {"title": 1, "body": 2}.get(heads[at]["match_field"], part):
+                    found.setdefault(at, (set(), set()))[side].add(pos)
+        for at, side, pos in everywhere:
+            found.setdefault(at, (set(), set()))[side].add(pos)
+        return [
+            heads[at] | {f"{kind}_hits": [words[at][side][p] for p in sorted(found[at][side])] for side, kind in enumerate(("positive", "negative"))}
+            for at in sorted(found)
+        ]
+
+    def run(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        import ahocorasick
+
+        automaton = ahocorasick.Automaton()
+        for low in places:
+            automaton.add_word(low, low)
+        automaton.make_automaton()
+        walk = automaton.iter if places else lambda text: ()
+        strings, kind = pa.list_(pa.string()), pa.string()
+        row = pa.struct([
+            ("rule_ord", pa.int32()), ("tag_name", kind), ("rule_type", kind), ("match_field", kind), ("weight", pa.float64()),
+            ("priority", pa.int32()), ("positive_hits", strings), ("negative_hits", strings),
+        ])
+        for titles, bodies in batches:
+            pairs = zip(titles.to_pylist(), bodies.to_pylist(), strict=True)
+            yield pa.array([hits(t or "", b or "", walk) for t, b in pairs], pa.list_(row))
+
+    return df.withColumn("matches", F.arrow_udf(run, MATCHES)("_title", "_body"))
 
 
 def score(df: DataFrame, min_report_score: float = 5.0, source_title: str = "source_title", page_title: str = "page_title") -> DataFrame:
@@ -220,7 +235,7 @@ def score(df: DataFrame, min_report_score: float = 5.0, source_title: str = "sou
 
 def score_articles(
     articles: DataFrame, rules: DataFrame, key: str, source_title: str = "source_title", page_title: str = "page_title",
-    body: str = "text", min_report_score: float = 5.0,
+    body: str = "text", min_report_score: float = 5.0, match: Callable[[DataFrame, DataFrame], DataFrame] = matches_inline,
 ) -> DataFrame:
     staged = scoring_texts(articles, source_title, page_title, body)
-    return score(matches_inline(staged, rules), min_report_score, source_title, page_title)
+    return score(match(staged, rules), min_report_score, source_title, page_title)

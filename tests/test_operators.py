@@ -151,7 +151,7 @@ def test_navigation_body_is_not_scored(spark):
     assert row["importance_score"] == 0.0 and row["body_used_for_scoring"] is False
 
 
-def test_inline_and_joined_matching_agree(spark):
+def test_inline_and_automaton_matching_agree(spark):
     words = ["a", "ab", "abc", "日本", "日本語テ", "zz", "b c"]
     texts = ["xabcx", "日本語テスト", "", "zab", "no", "ab c"]
     table = [(i, f"t{i}", "x", "both", 1.0, 0, [w], [words[-i - 1]]) for i, w in enumerate(words)]
@@ -159,7 +159,7 @@ def test_inline_and_joined_matching_agree(spark):
     staged = rules.scoring_texts(df, "source_title", "page_title", "text")
     table = spark.createDataFrame(table, RULE_SCHEMA)
     read = lambda d: {r["id"]: r["matches"] for r in d.select("id", "matches").collect()}
-    assert read(rules.matches_inline(staged, table)) == read(rules.matches_joined(staged, table, "id"))
+    assert read(rules.matches_inline(staged, table)) == read(rules.matches_automaton(staged, table))
 
 
 def test_three_thousand_keywords_empty_and_missing_lists(spark):
@@ -169,10 +169,28 @@ def test_three_thousand_keywords_empty_and_missing_lists(spark):
     staged, table = rules.scoring_texts(df, "source_title", "page_title", "text"), spark.createDataFrame(table, RULE_SCHEMA)
     read = lambda d: {r["id"]: r["matches"] for r in d.select("id", "matches").collect()}
     inline = read(rules.matches_inline(staged, table))
-    assert inline == read(rules.matches_joined(staged, table, "id"))
+    assert inline == read(rules.matches_automaton(staged, table))
     assert [[m["rule_ord"] for m in inline[i]] for i in range(4)] == [[0, 29, 30], [30], [30], [0, 30, 31]]
 
 
+def test_automaton_keeps_fields_order_and_repeats(spark):
+    import random
+
+    pick = random.Random(5)
+    bits = ["a", "b", "ab", "ba", "aab", "B", "本", "本a", "𠮷", "a\nb", "", "zz", None]
+    some = lambda: pick.choice([None, [], [pick.choice(bits) for _ in range(pick.randrange(1, 5))]])
+    table = [(i, f"t{i}", "x", pick.choice(["title", "body", "both", "", None]), float(i), i, some(), some()) for i in range(60)]
+    text = lambda: "".join(pick.choice(["a", "b", "A", "本", "𠮷", " "]) for _ in range(pick.randrange(6)))
+    df = spark.createDataFrame([(i, text(), text()) for i in range(60)], "id int, _title string, _body string")
+    staged = df.selectExpr("id", "lower(_title) AS _title", "lower(_body) AS _body", "concat_ws('\n', lower(_title), lower(_body)) AS _both")
+    read = lambda d: {r["id"]: r["matches"] for r in d.select("id", "matches").collect()}
+    table = spark.createDataFrame(table, RULE_SCHEMA)
+    got = read(rules.matches_automaton(staged, table))
+    assert got == read(rules.matches_inline(staged, table))
+    assert any(m["positive_hits"] for row in got.values() for m in row)
+    assert read(rules.matches_automaton(staged, table.where("false"))) == {i: [] for i in range(60)}
+
+
 def test_keywords_split_inside_words(spark):
     assert one(spark, T.split_keywords(F.lit("鉄鋼 OR インド,政策、商社;資源|物流　再エネ"))) == ["鉄鋼", "インド", "政策", "商社", "資源", "物流", "再エネ"]
     assert one(spark, T.split_keywords(F.lit("FORD"))) == ["F", "D"]
