@@ -106,15 +106,11 @@ def rules_by_type(spark, sf_dir):
     f"""WITH {{art}} SELECT count(DISTINCT title) AS titles, count(DISTINCT medium || '/' || lang) AS tags, count(DISTINCT url) AS urls FROM art""",
 )
 def distinct_keys(spark, sf_dir):
-    a = art(spark, sf_dir)
-    counts = [
-        a.select(c.alias("k")).distinct().agg(F.count("*").alias(n))
-        for n, c in (("titles", F.col("title")), ("tags", F.concat_ws("/", "medium", "lang")), ("urls", F.col("url")))
-    ]
-    first = counts[0]
-    for other, name in zip(counts[1:], ("tags", "urls")):
-        first = first.withColumn(name, other.scalar())
-    return first
+    """All three counts in one pass over the articles."""
+    return art(spark, sf_dir).agg(
+        F.count_distinct("title").alias("titles"), F.count_distinct(F.concat_ws("/", "medium", "lang")).alias("tags"),
+        F.count_distinct("url").alias("urls"),
+    )
 
 
 RANGE = """SELECT min(CAST(o_orderdate AS DATE)) - 2 AS low, max(CAST(o_orderdate AS DATE)) + 2 AS high FROM orders WHERE o_orderstatus = 'P' AND o_totalprice > 480000"""

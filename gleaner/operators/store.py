@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gleaner import constants as K
 from gleaner.functions import dates as D
 from gleaner.functions import urls as U
 from gleaner.functions.text import strip, text
@@ -150,15 +151,15 @@ def upsert(store: DataFrame, incoming: DataFrame, key: str, fields: list[str], i
     return kept.unionByName(created, allowMissingColumns=True), outcome
 
 
-def replace_blocks(blocks: DataFrame, chunks: DataFrame, titles: DataFrame) -> DataFrame:
+def replace_blocks(
+    blocks: DataFrame, chunks: DataFrame, titles: DataFrame, text_chars: int = K.TEXT_CHARS, max_blocks: int = K.MAX_BLOCKS
+) -> DataFrame:
     """Block rows of updated pages: the old body section goes, new blocks follow what is left.
 
     ``blocks``: ``page_id, pos, kind, heading, content`` in page order; ``chunks``: ``page_id, pos, content``;
-    ``titles``: ``page_id, title``. Pages without new text keep their blocks. Written blocks are limited to the
-    destination's maximum for one page.
+    ``titles``: ``page_id, title``. Pages without new text keep their blocks. A page gets at most ``max_blocks`` new
+    blocks of ``text_chars`` characters, the destination's limits; ``blocks_cut`` tells what that leaves out.
     """
-    from gleaner import constants as K
-
     updated = chunks.select("page_id").distinct()
     starts = blocks.where(F.col("heading").isin(K.BODY_START_HEADINGS)).groupBy("page_id").agg(F.min("pos").alias("_from"))
     stops = (
@@ -175,7 +176,7 @@ def replace_blocks(blocks: DataFrame, chunks: DataFrame, titles: DataFrame) -> D
     )
 
     def fixed(pos: int, kind: str, content: Column) -> Column:
-        return F.struct(F.lit(pos).alias("pos"), F.lit(kind).alias("kind"), F.left(content, F.lit(K.TEXT_CHARS)).alias("content"))
+        return F.struct(F.lit(pos).alias("pos"), F.lit(kind).alias("kind"), F.left(content, F.lit(text_chars)).alias("content"))
 
     heads = updated.join(titles, "page_id", "left").select(
         "page_id",
@@ -191,8 +192,22 @@ def replace_blocks(blocks: DataFrame, chunks: DataFrame, titles: DataFrame) -> D
     )
     lead = heads.groupBy("page_id").agg(F.count("*").alias("_lead"))
     heads = heads.select("page_id", F.lit(1).alias("part"), F.col("b.pos").alias("pos"), "b.kind", "b.content")
-    body = chunks.join(lead, "page_id").where(F.col("pos") + F.col("_lead") < K.MAX_BLOCKS).select(
+    body = chunks.join(lead, "page_id").where(F.col("pos") + F.col("_lead") < max_blocks).select(
         "page_id", F.lit(2).alias("part"), "pos", F.lit("paragraph").alias("kind"),
-        F.left("content", F.lit(K.TEXT_CHARS)).alias("content"),
+        F.left("content", F.lit(text_chars)).alias("content"),
     )
     return kept.unionByName(heads).unionByName(body)
+
+
+def blocks_cut(
+    chunks: DataFrame, titles: DataFrame, text_chars: int = K.TEXT_CHARS, max_blocks: int = K.MAX_BLOCKS
+) -> DataFrame:
+    """Of each updated page that loses something to ``replace_blocks``: chunks left out, and characters cut off others."""
+    named = titles.where(text("title") != "").select("page_id", F.lit(1).alias("_named")).distinct()
+    lead = F.lit(2) + F.coalesce("_named", F.lit(0))
+    out = F.col("pos") + lead >= max_blocks
+    over = F.greatest(F.lit(0), F.length(text("content")) - text_chars)
+    sums = chunks.join(named, "page_id", "left").groupBy("page_id").agg(
+        F.count_if(out).alias("chunks_left_out"), F.coalesce(F.sum(F.when(~out, over)), F.lit(0).cast("bigint")).alias("chars_cut")
+    )
+    return sums.where("chunks_left_out > 0 OR chars_cut > 0")

@@ -208,3 +208,13 @@ def test_upsert_keeps_all_columns_and_order_of_the_store(spark, tmp_path):
     got = {r.url: r for r in flows.open_store(str(tmp_path), saved, ["title"]).rows().collect()}
     assert (got["https://a/0"].ord, got["https://a/0"].note, got["https://a/0"].title) == (7, "kept", "old")
     assert got["https://a/1"].ord > 7 and got["https://a/1"].note is None
+
+
+def test_cut_blocks_are_counted(spark):
+    chunks = spark.createDataFrame([("p", i, "x" * (5 + i)) for i in range(4)] + [("q", 0, "ab"), ("r", 0, None), ("r", 1, "y" * 9)], "page_id string, pos int, content string")
+    titles = spark.createDataFrame([("p", "T"), ("q", None), ("r", "")], "page_id string, title string")
+    blocks = spark.createDataFrame([], "page_id string, pos int, kind string, heading string, content string")
+    cut = {r.page_id: (r.chunks_left_out, r.chars_cut) for r in S.blocks_cut(chunks, titles, text_chars=5, max_blocks=5).collect()}
+    assert cut == {"p": (2, 1), "r": (0, 4)}
+    kept = S.replace_blocks(blocks, chunks, titles, text_chars=5, max_blocks=5).where("kind = 'paragraph'").collect()
+    assert sorted((r.page_id, r.pos, r.content) for r in kept if r.content) == [("p", 0, "xxxxx"), ("p", 1, "xxxxx"), ("q", 0, "ab"), ("r", 1, "yyyyy")]
