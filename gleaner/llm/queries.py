@@ -49,8 +49,11 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     docs = table(spark, sf_dir, "documents")
-    counted = tokens.token_prefixes(docs, public_tokenizers.path("word_bpe_49k.json"), limit=2048, keep=False)
-    return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 2048).alias("over_limit"), F.col("within").alias("tokens_kept"))
+    counted = tokens.token_prefixes(docs, public_tokenizers.path("word_bpe_49k.json"), limit=2048)
+    prefix = F.col("prefix_tokens")
+    n_tokens = tokens.tokens_of_prefix(prefix, F.size(prefix))
+    kept = tokens.words_in_budget(prefix, 2048)
+    return counted.select("doc_id", "n_bytes", n_tokens.alias("n_tokens"), (n_tokens > 2048).alias("over_limit"), tokens.tokens_of_prefix(prefix, kept).alias("tokens_kept"))
 
 
 @query("op4_simhash_near_dedup")

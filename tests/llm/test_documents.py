@@ -29,6 +29,17 @@ def test_tokens_are_those_of_the_library(spark):
     assert rows and all(r.prefix_tokens[r.words_within - 1] == r.within <= 2048 < r.prefix_tokens[r.words_within] for r in rows)
 
 
+def test_stored_prefixes_answer_budgets_as_the_operator_does(spark):
+    prefix = F.col("prefix_tokens")
+    for limit in (1, 7, 2048):
+        found = tokens.token_prefixes(cases.documents(spark), VOCABULARY, limit=limit)
+        asked = found.withColumn("kept", tokens.words_in_budget(prefix, limit)).select(
+            "n_tokens", "within", "words_within", "kept", tokens.tokens_of_prefix(prefix, F.col("kept")).alias("spent"), tokens.tokens_of_prefix(prefix, F.size(prefix)).alias("all")
+        )
+        rows = asked.collect()
+        assert rows and all((r.words_within, r.within, r.n_tokens) == (r.kept, r.spent, r.all) for r in rows)
+
+
 def test_every_prefix_has_its_exact_count():
     library, table = Tokenizer.from_file(VOCABULARY), tokens.word_counts(VOCABULARY)
     letters = "abcinthere'sſΣéİ 日본½²\x1c\x85​👍.,!<|endoftext|>"
