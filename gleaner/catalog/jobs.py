@@ -106,23 +106,38 @@ def special_decisions(spark, sf_dir):
     return special.decisions(rows, media, captures, D.ntz(RUN)).select(F.col("entry_ord").alias("ord"), "decision")
 
 
-@query(
-    "special_digest",
-    f"""WITH {{entries}}, {SPECIAL}, u AS (SELECT *, {s_title_key('title')} AS key FROM d WHERE decision = 'accepted'),
+SPECIAL_ITEMS = f"""{SPECIAL}, u AS (SELECT *, {s_title_key('title')} AS key FROM d WHERE decision = 'accepted'),
     f AS (SELECT * FROM u WHERE key <> '' QUALIFY row_number() OVER (PARTITION BY medium, key ORDER BY ord) = 1),
     n AS (SELECT *, row_number() OVER (PARTITION BY medium ORDER BY ord) AS rn FROM f),
     l AS (SELECT * FROM n JOIN media USING (medium) WHERE rn <= max_items),
     s AS (SELECT medium, display_order, count(*) AS c FROM l GROUP BY ALL),
-    b AS (SELECT medium, coalesce(sum(c) OVER (ORDER BY display_order ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM s)
-    SELECT medium, ord, title, link, CASE WHEN medium IN ('view', 'signup', 'error') THEN strftime(t, '%Y-%m-%d') WHEN medium = 'click' THEN strftime(moment + INTERVAL 9 HOUR, '%Y-%m-%d %H:%M')
-      ELSE strftime(moment, '%Y-%m-%d %H:%M') END AS published FROM l JOIN b USING (medium) WHERE rn <= 30 - before""",
-)
+    b AS (SELECT medium, coalesce(sum(c) OVER (ORDER BY display_order ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM s),
+    kept AS (SELECT medium, ord, title, link, CASE WHEN medium IN ('view', 'signup', 'error') THEN strftime(t, '%Y-%m-%d') WHEN medium = 'click' THEN strftime(moment + INTERVAL 9 HOUR, '%Y-%m-%d %H:%M')
+      ELSE strftime(moment, '%Y-%m-%d %H:%M') END AS published FROM l JOIN b USING (medium) WHERE rn <= 30 - before)"""
+
+
+@query("special_digest", f"WITH {{entries}}, {SPECIAL_ITEMS} SELECT medium, ord, title, link, published FROM kept")
 def special_digest(spark, sf_dir):
     rows, media, captures = special_inputs(spark, sf_dir)
     kept = special.items(special.decisions(rows, media, captures, D.ntz(RUN)), 30)
     return kept.select("medium", F.col("entry_ord").alias("ord"), "title", "link", "published")
 
 
+@query(
+    "special_sections",
+    f"""WITH {{entries}}, {SPECIAL_ITEMS} SELECT media.medium, display_order, count(ord) AS item_count,
+      coalesce(string_agg(title || ' | ' || link || ' | ' || published, chr(10) ORDER BY ord), '') AS items
+    FROM media LEFT JOIN kept USING (medium) GROUP BY ALL""",
+)
+def special_sections(spark, sf_dir):
+    """The digest as it is sent: one section a medium, empty ones too."""
+    rows, media, captures = special_inputs(spark, sf_dir)
+    kept = special.items(special.decisions(rows, media, captures, D.ntz(RUN)), 30)
+    line = lambda i: F.concat_ws(" | ", i["title"], i["link"], i["published"])
+    items = F.coalesce(F.array_join(F.transform("items", line), "\n"), F.lit(""))
+    return special.sections(kept, media).select("medium", "display_order", "item_count", items.alias("items"))
+
+
 # ---- site watch: every host is a site whose listing pages are its captured pages ----
 
 
