@@ -148,6 +148,21 @@ def run_fingerprint(spark, sf_dir):
     return digest.fingerprint(top, ["ord"], ["url", "title", "medium"], F.lit("2024-01-30"))
 
 
+_UP = ", ".join(
+    f"h{i + 1} AS (SELECT p // 16 AS p, sha256(string_agg(h, chr(30) ORDER BY p)) AS h FROM h{i} GROUP BY p // 16)" for i in range(4)
+)
+
+
+@query(
+    "run_fingerprint_tree",
+    f"""WITH {{art}}, h0 AS (SELECT row_number() OVER (ORDER BY ord) - 1 AS p, sha256(concat_ws(chr(31), url, title, medium, body)) AS h FROM art), {_UP}
+    SELECT sha256(concat_ws(chr(30), '2024-01-30', string_agg(h, chr(30) ORDER BY p))) AS fingerprint FROM h4""",
+)
+def run_fingerprint_tree(spark, sf_dir):
+    """The fingerprint of every article with its body, hashed by tree."""
+    return digest.tree_fingerprint(art(spark, sf_dir), ["ord"], ["url", "title", "medium", "body"], F.lit("2024-01-30"), fan_out=16, levels=4)
+
+
 @query(
     "usage_totals",
     """SELECT count(*) FILTER (WHERE role = 'user') AS cache_hits, count(*) FILTER (WHERE role <> 'user') AS cache_misses, CAST(sum(turn % 3) AS BIGINT) AS api_calls,

@@ -90,14 +90,14 @@ def noise_terms(spark, sf_dir):
     )
 
 
-_PRE = "|".join(T.java_pattern(p) for p in K.PRE_TITLE_PATTERNS)
-_HR = "|".join(T.java_pattern(p) for p in K.HR_TITLE_PATTERNS)
+PRE_PATTERN = "|".join(T.java_pattern(p) for p in K.PRE_TITLE_PATTERNS)
+HR_PATTERN = "|".join(T.java_pattern(p) for p in K.HR_TITLE_PATTERNS)
 
 
 @query(
     "pre_exclude",
-    f"""WITH {{art}} SELECT article_id, CASE WHEN regexp_matches(title, 'ouen') THEN 'title_regex' WHEN regexp_matches(title, '{_PRE}') THEN 'pre_title_regex'
-      WHEN regexp_matches(title, '{_HR}') THEN 'pre_hr_like_title' WHEN length(title) <= 6 THEN 'pre_short_title' ELSE '' END AS reason FROM art""",
+    f"""WITH {{art}} SELECT article_id, CASE WHEN regexp_matches(title, 'ouen') THEN 'title_regex' WHEN regexp_matches(title, '{PRE_PATTERN}') THEN 'pre_title_regex'
+      WHEN regexp_matches(title, '{HR_PATTERN}') THEN 'pre_hr_like_title' WHEN length(title) <= 6 THEN 'pre_short_title' ELSE '' END AS reason FROM art""",
 )
 def pre_exclude(spark, sf_dir):
     return art(spark, sf_dir).select(

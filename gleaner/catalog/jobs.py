@@ -5,13 +5,15 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from gleaner import constants as K
-from gleaner.catalog.base import art, entries, query, s_any, s_normalize_url, s_part, s_strip, s_title_key, s_url_key, sql_text, table
+from gleaner.catalog.base import ART, art, entries, pick, query, s_any, s_normalize_url, s_part, s_strip, s_title_key, s_url_key, sql_text, table
+from gleaner.catalog.filter_rules import HR_PATTERN, PRE_PATTERN
 from gleaner.catalog.joins import RULE_SCORE, RULE_SQL, SCORING, rule_table, scoring_input
 from gleaner.catalog.markup import s_entities
+from gleaner.catalog.quality_gates import ACCEPTED, CAPTURED, HR_SQL, SELECTORS, VALIDATED
 from gleaner.catalog.windows_and_sorts import s_bucket
 from gleaner.functions import dates as D
 from gleaner.functions import urls as U
-from gleaner.operators import shaping
+from gleaner.operators import ranking, shaping
 from gleaner.plans import general_digest as general
 from gleaner.plans import issue_report as issue
 from gleaner.plans import site_digest as site
@@ -198,3 +200,79 @@ def issue_report(spark, sf_dir):
     rows = scoring_input(spark, sf_dir).withColumn("issue_date", F.lit("20240101"))
     _, final = issue.score_and_select(rows, rule_table(spark), "article_id")
     return issue.report_input(final).select("ref_id", "article_id", F.col("importance_score").alias("score"))
+
+
+# ---- newspaper issue from its links on: every article is a link, its page captured, every third saved before ----
+
+
+BASE = ART.replace("art AS (", "base AS (", 1)
+ISSUE_TARGETS = f"""{BASE},
+    link AS (SELECT ord, title, CASE WHEN ord % 9 = 4 THEN 'https://news.example.com/other/?ng=N' || ord ELSE url END AS url FROM base),
+    page AS (SELECT * FROM base QUALIFY row_number() OVER (PARTITION BY url ORDER BY ord) = 1),
+    saved AS (SELECT 'pg-' || ord AS page_id, CASE WHEN (ord // 2) % 9 = 3 THEN 'https://m.example.com/paper/?ng=N' || (ord // 2) ELSE url END AS url,
+      title, CASE WHEN (ord // 2) % 6 = 0 THEN '' ELSE body END AS text, regexp_extract(url, 'ng=(.*)', 1) AS ng FROM page WHERE (ord // 2) % 3 = 0),
+    first_link AS (SELECT *, regexp_extract(url, 'ng=(.*)', 1) AS ng, CASE WHEN regexp_matches(title, '{PRE_PATTERN}') THEN 'pre_title_regex' WHEN regexp_matches(title, '{HR_PATTERN}') THEN 'pre_hr_like_title'
+      WHEN length(title) <= 6 THEN 'pre_short_title' ELSE '' END AS left_out FROM link WHERE NOT contains(url, '/other/') QUALIFY row_number() OVER (PARTITION BY url ORDER BY ord) = 1),
+    target AS (SELECT f.ord, f.url, f.ng, f.title, left_out, CASE WHEN left_out <> '' THEN 'left_out' WHEN k.ng IS NULL THEN 'new' WHEN {s_strip("coalesce(s.text, '')")} = '' THEN 'backfill' ELSE 'skipped' END AS action,
+      coalesce(nullif(s.title, ''), f.title) AS saved_title, s.text AS saved_text FROM first_link f LEFT JOIN saved s ON s.url = f.url LEFT JOIN saved k ON k.ng = f.ng)"""
+ISSUE_CAUGHT = """caught AS (SELECT t.ord AS article_id, t.ord, t.url, t.ng, action, p.body, t.title, t.title AS source_title,
+      CASE (p.ord // 2) % 4 WHEN 0 THEN p.title || ' - 日本経済新聞' WHEN 1 THEN '朝刊・夕刊 3月12日付' WHEN 2 THEN left(p.title, CAST((length(p.title) + 1) // 2 AS INTEGER)) ELSE 'Unrelated page' END AS page_title
+      FROM target t JOIN page p USING (url) WHERE action IN ('new', 'backfill'))"""
+ISSUE_GATE = f"""{ISSUE_TARGETS}, judged AS (WITH {VALIDATED.replace(CAPTURED, ISSUE_CAUGHT)},
+    {ACCEPTED.replace(HR_SQL, HR_SQL.replace('body', 'clean')).replace('ord % 5 = 1', '(ord // 2) % 5 = 1')} SELECT ord, url, ng, action, title, page_title, clean, outcome FROM ab)"""
+
+
+def issue_tables(spark, sf_dir):
+    """(links, saved pages, captures) from every article."""
+    a, o = art(spark, sf_dir), F.col("ord")
+    other = F.concat(F.lit("https://news.example.com/other/?ng=N"), o.cast("string"))
+    links = a.select("ord", "title", F.when(o % 9 == 4, other).otherwise(F.col("url")).alias("url"), F.lit("20240101").alias("issue_date"))
+    page, pair = ranking.keep_first(a, ["url"], ["ord"]), F.floor(o / 2)
+    mobile = F.concat(F.lit("https://m.example.com/paper/?ng=N"), pair.cast("string"))
+    saved = page.where(pair % 3 == 0).select(
+        F.concat(F.lit("pg-"), o.cast("string")).alias("page_id"), F.when(pair % 9 == 3, mobile).otherwise(F.col("url")).alias("url"), "title",
+        F.when(pair % 6 == 0, F.lit("")).otherwise(F.col("body")).alias("text"), F.lit("20240101").alias("issue_date"), F.lit("morning").alias("edition"), "ord",
+    )
+    half = F.left("title", F.ceil(F.length("title") / 2).cast("int"))
+    page_title = (
+        F.when(pair % 4 == 0, F.concat("title", F.lit(" - 日本経済新聞"))).when(pair % 4 == 1, F.lit("朝刊・夕刊 3月12日付"))
+        .when(pair % 4 == 2, half).otherwise(F.lit("Unrelated page"))
+    )
+    captures = page.select("url", page_title.alias("page_title"), F.col("body").alias("text"), pick(pair, SELECTORS).alias("selector"))
+    return links, saved, captures
+
+
+@query(
+    "issue_audit",
+    f"""WITH {ISSUE_GATE} SELECT ord, action, CASE WHEN action = 'left_out' THEN left_out WHEN action = 'skipped' THEN '' ELSE outcome END AS outcome
+    FROM target LEFT JOIN (SELECT ord, outcome FROM judged) USING (ord)""",
+)
+def issue_audit(spark, sf_dir):
+    _, audit = issue.articles(*issue_tables(spark, sf_dir), "example.com", "/paper/article/")
+    return audit.select("ord", "action", "outcome")
+
+
+_TWICE, _BOTH = "title || chr(10) || title", "title || chr(10) || page_title"
+ISSUE_SCORED = f"""{ISSUE_GATE}, art AS (SELECT ng AS article_id, ord, url, title, page_title, clean AS body, 'fetched' AS source FROM judged WHERE starts_with(outcome, 'success')
+      UNION ALL SELECT ng, ord, url, saved_title, saved_title, saved_text, 'store_existing' FROM target WHERE action = 'skipped')"""
+
+
+@query("issue_scoring_inputs", f"WITH {ISSUE_SCORED} SELECT article_id, ord, url, title AS source_title, page_title, md5(body) AS text_md5, source FROM art")
+def issue_scoring_inputs(spark, sf_dir):
+    articles, _ = issue.articles(*issue_tables(spark, sf_dir), "example.com", "/paper/article/")
+    return articles.select("article_id", "ord", "url", "source_title", "page_title", F.md5("text").alias("text_md5"), "source")
+
+
+@query(
+    "issue_job",
+    f"""WITH {ISSUE_SCORED}, {RULE_SQL}, {SCORING.replace(_TWICE, _BOTH)}, {RULE_SCORE.replace(_TWICE, _BOTH)},
+    pool_in AS (SELECT * FROM rule_scored WHERE exclude_reason = ''),
+    pool AS (SELECT * FROM pool_in WHERE score > 0 OR (SELECT count(*) FROM pool_in WHERE score > 0) < 5)
+    SELECT 'A' || row_number() OVER (ORDER BY score DESC, priority DESC, {s_strip('title')}, ord) AS ref_id, article_id, score FROM pool
+    QUALIFY row_number() OVER (ORDER BY score DESC, priority DESC, {s_strip('title')}, ord) <= 5""",
+)
+def issue_job(spark, sf_dir):
+    """From the issue's links to the report's five: filter, store, body gate, scores, selection."""
+    articles, _ = issue.articles(*issue_tables(spark, sf_dir), "example.com", "/paper/article/")
+    _, final = issue.score_and_select(articles, rule_table(spark), "article_id")
+    return issue.report_input(final).select("ref_id", "article_id", F.col("importance_score").alias("score"))

@@ -92,11 +92,12 @@ def overlay_fields(articles: DataFrame, saved: DataFrame, fields: list[str], bas
 
 
 def inventory_to_scoring(inventory: DataFrame, fetched: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(rows to score from the store, rows fetched again for the store), from a run's inventory."""
+    """(rows to score from the store, rows fetched again for the store), from a run's inventory; ``ord`` stays where given."""
     src = F.col("existing")
+    place = [c for c in ("ord",) if c in inventory.columns]
     title = F.coalesce(F.nullif(text(src["title"]), F.lit("")), F.col("title"))
     existing = inventory.where(F.col("status") == "existing_in_store").select(
-        title.alias("source_title"), title.alias("page_title"),
+        *place, title.alias("source_title"), title.alias("page_title"),
         F.coalesce(F.nullif(text(src["url"]), F.lit("")), F.col("url")).alias("url"),
         text(src["issue_date"]).alias("issue_date"), text(src["edition"]).alias("edition"), text(src["text"]).alias("text"),
         F.length(text(src["text"])).alias("text_length"), text(src["page_id"]).alias("page_id"),

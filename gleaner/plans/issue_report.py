@@ -37,6 +37,35 @@ def scoring_inputs(fetched: DataFrame, existing: DataFrame, id_param: str = "ng"
     return dedupe.best_body(both, "url", "text", "source", "ord", existing="store_existing", id_param=id_param)
 
 
+def articles(
+    links: DataFrame, store: DataFrame, captures: DataFrame, domain: str, article_path: str, id_param: str = "ng"
+) -> tuple[DataFrame, DataFrame]:
+    """(articles to score, audit), from an issue's links, the saved pages and the captured ones.
+
+    Links already saved with a text are taken from the store, all others from their capture if its body passes the gate. The
+    audit has one row for each article link that came first with its id: ``ord, url, action`` (``left_out``, ``new``,
+    ``backfill``, ``skipped``) and ``outcome``. ``links`` is ``ord, url, title`` and, where known, ``issue_date`` and ``edition``; texts are joined to
+    link rows only where needed.
+    """
+    dated = [c for c in ("issue_date", "edition") if c in links.columns]
+    wanted, left = issue_links(links.select("ord", "url", "title", *dated), domain, article_path, id_param)
+    targets = cut_lineage(split_targets(wanted, store).withColumnRenamed("outcome", "action"))  # link rows without texts
+    judged = gate(targets.where("action <> 'skipped'").drop("page_id"), captures)
+    fetched = judged.where(F.col("outcome").startswith("success")).select(
+        "ord", "url", *dated, F.col("title").alias("source_title"), "page_title", F.col("clean_text").alias("text"), F.lit("fetched").alias("source")
+    )
+    saved = store.select("page_id", F.struct("page_id", "url", "title", "issue_date", "edition", "text").alias("existing"))
+    skipped = targets.where("action = 'skipped'")
+    inventory = skipped.drop(*dated).join(saved, "page_id").withColumn("status", F.lit("existing_in_store"))
+    existing, _ = S.inventory_to_scoring(inventory, fetched)
+    audit = (
+        left.select("ord", "url", F.lit("left_out").alias("action"), F.col("exclude_reason").alias("outcome"))
+        .unionByName(skipped.select("ord", "url", "action", F.lit("").alias("outcome")))
+        .unionByName(judged.select("ord", "url", "action", "outcome"))
+    )
+    return scoring_inputs(fetched, existing, id_param), audit
+
+
 def score_and_select(articles: DataFrame, rule_table: DataFrame, key: str, top_rank: int = 5) -> tuple[DataFrame, DataFrame]:
     """(all articles with scores and the selection flag, without their texts; the rows of the final report, with them).
 

@@ -19,6 +19,8 @@ def local_session(cores: int | str = "*", partitions: int = 8, app: str = "glean
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # expressions here have thousands of nodes; the call site of each costs several calls to the JVM
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
