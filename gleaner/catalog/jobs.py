@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from gleaner import constants as K
 from gleaner.catalog.base import ART, art, entries, pick, query, s_any, s_normalize_url, s_part, s_strip, s_title_key, s_url_key, sql_text, table
 from gleaner.catalog.filter_rules import HR_PATTERN, PRE_PATTERN
+from gleaner.catalog.filter_rules import MEDIA as TRANSLATED
 from gleaner.catalog.joins import RULE_SCORE, RULE_SQL, SCORING, rule_table, scoring_input
 from gleaner.catalog.markup import s_entities
 from gleaner.catalog.quality_gates import ACCEPTED, CAPTURED, HR_SQL, SELECTORS, VALIDATED
@@ -37,21 +38,44 @@ def feed_entries(spark, sf_dir):
     )
 
 
-@query(
-    "general_digest",
-    f"""WITH {{art}}, e AS (SELECT medium, medium || '/' || lang AS feed, ascii(lang) AS feed_ord, -ord AS entry_ord, trim(regexp_replace('<b>' || title || '</b>', '<[^<]+?>', '', 'g')) AS title,
+GENERAL = f"""WITH {{art}}, e AS (SELECT medium, medium || '/' || lang AS feed, ascii(lang) AS feed_ord, -ord AS entry_ord, trim(regexp_replace('<b>' || title || '</b>', '<[^<]+?>', '', 'g')) AS title,
       trim(regexp_replace(body, '<[^<]+?>', '', 'g'), ' ' || chr(9) || chr(10) || chr(13) || chr(160) || chr(12288)) AS summary, url AS link, CASE WHEN ord % 20 <> 0 THEN published END AS t FROM art),
     f AS (SELECT * FROM e QUALIFY row_number() OVER (PARTITION BY medium, feed ORDER BY entry_ord) <= 15),
     w AS (SELECT * FROM f WHERE t >= TIMESTAMP '{DAY}' - INTERVAL 24 HOUR AND (medium <> 'src3' OR NOT ({s_any('title', K.NOISE_TERMS)} OR {s_any('summary', K.NOISE_TERMS)}))),
     d AS (SELECT * FROM w QUALIFY row_number() OVER (PARTITION BY medium, {s_url_key('link')}, {s_title_key('title')} ORDER BY feed_ord, entry_ord) = 1),
     s AS (SELECT *, {s_bucket('lower(title || summary)')} AS score, strftime(t + INTERVAL 9 HOUR, '%Y-%m-%d %H:%M') AS published FROM d)
     SELECT medium, title, score, published, link FROM s
-    QUALIFY row_number() OVER (PARTITION BY medium ORDER BY CASE WHEN score >= 1 THEN 0 ELSE 1 END, published DESC, feed_ord, entry_ord) <= 15""",
-)
+    QUALIFY row_number() OVER (PARTITION BY medium ORDER BY CASE WHEN score >= 1 THEN 0 ELSE 1 END, published DESC, feed_ord, entry_ord) <= 15"""
+
+
+@query("general_digest", GENERAL)
 def general_digest(spark, sf_dir):
     return general.build(feed_entries(spark, sf_dir), D.ntz(DAY), noise_medium="src3")
 
 
+# Every other entry has an English title; a third of those titles were translated before, a third got an answer, half of them unusable.
+ENGLISH = "CASE WHEN ord % 2 = 1 THEN 'Report ' || ord % 101 || ' of ' || medium ELSE title END"
+
+
+@query(
+    "general_digest_translated",
+    f"""WITH digest AS ({GENERAL.replace("'<b>' || title || '</b>'", ENGLISH)}),
+    asked AS (SELECT *, CASE WHEN starts_with(title, 'Report ') THEN CAST(split_part(title, ' ', 2) AS INTEGER) END AS n FROM digest)
+    SELECT medium, title, CASE WHEN n IS NOT NULL AND medium IN ({', '.join(sql_text(m) for m in TRANSLATED)})
+      THEN CASE WHEN n % 3 = 0 THEN 'cached ' || title WHEN n % 3 = 1 AND n % 2 = 1 THEN 'new ' || title ELSE title END ELSE title END AS title_ja, published, link FROM asked""",
+)
+def general_digest_translated(spark, sf_dir):
+    n = -F.col("entry_ord") % 101
+    english = F.concat(F.lit("Report "), n.cast("string"), F.lit(" of "), F.col("medium"))
+    rows = feed_entries(spark, sf_dir).withColumn("title", F.when(F.col("entry_ord") % 2 != 0, english).otherwise(F.col("title")))
+    titles = rows.where(F.col("entry_ord") % 2 != 0).select(F.col("title").alias("key"), n.alias("n")).distinct()
+    cache = titles.where("n % 3 = 0").select("key", F.concat(F.lit("cached "), "key").alias("translated"))
+    answer = F.when(F.col("n") % 2 == 1, F.concat(F.lit("new "), "key")).otherwise(F.lit(" "))
+    digest = general.build(rows, D.ntz(DAY), noise_medium="src3")
+    out = general.translated(digest, cache, titles.where("n % 3 = 1").select("key", answer.alias("translated")), TRANSLATED)
+    return out.select("medium", "title", "title_ja", "published", "link")
+
+
 # ---- specialist feeds: five media, one rule each ----
 
 MEDIA = [

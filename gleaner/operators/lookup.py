@@ -13,6 +13,7 @@ from gleaner.functions import html as H
 from gleaner.functions import jsons as J
 from gleaner.functions import text as T
 from gleaner.functions import urls as U
+from gleaner.functions.text import fence
 from gleaner.operators import elements
 from gleaner.operators.numbering import with_batch
 from gleaner.session import cut_lineage
@@ -26,7 +27,7 @@ def translation_requests(rows: DataFrame, cache: DataFrame, title: str, order: s
     return with_batch(firsts, "key", "ord", size).join(firsts.select("key", "title"), "key")
 
 
-def translate_titles(rows: DataFrame, cache: DataFrame, responses: DataFrame, title: str, order: str, out: str = "title_ja") -> DataFrame:
+def translate_titles(rows: DataFrame, cache: DataFrame, responses: DataFrame, title: str, order: Column | str, out: str = "title_ja") -> DataFrame:
     """Fill ``out``: the cached text, else a valid response, else the first title seen under the key.
 
     Rows whose key was never answered keep their own title.
@@ -52,20 +53,23 @@ def token_estimates(requests: DataFrame) -> DataFrame:
 def resolve_redirects(captures: DataFrame) -> DataFrame:
     """Follow one redirect wrapper: the target's page, final and canonical URL replace the wrapper's own.
 
-    ``captures`` is ``url, final_url, html`` with one row for each URL.
+    ``captures`` is ``url, final_url, html`` with one row for each URL. Only wrappers take part in the join, and of the other side
+    only pages that a wrapper names: which ones is settled on addresses alone, before any html moves.
     """
     target = U.normalize_link(H.redirect_url("html"))
     own = captures.select(
         "url", "final_url", "html", H.canonical_url("html").alias("_canonical"),
-        F.when(U.is_http_url(target), target).alias("redirect_url"),
+        fence(F.when(U.is_http_url(target), target)).alias("redirect_url"),
     )
-    other = captures.select(
+    wrappers = own.where(F.col("redirect_url").isNotNull())
+    named = wrappers.select(F.col("redirect_url").alias("url")).distinct()
+    other = captures.join(named, "url", "left_semi").select(
         F.col("url").alias("_to"), F.col("final_url").alias("_final"), F.col("html").alias("_html"),
         H.canonical_url("html").alias("_to_canonical"),
     )
-    joined = own.join(other, own["redirect_url"] == other["_to"], "left")
+    followed = wrappers.join(other, wrappers["redirect_url"] == other["_to"], "left")
     found = F.col("_to").isNotNull()
-    return joined.select(
+    joined = followed.select(
         "url",
         "redirect_url",
         found.alias("refetched"),
@@ -73,6 +77,10 @@ def resolve_redirects(captures: DataFrame) -> DataFrame:
         F.when(found, F.col("_html")).otherwise(F.col("html")).alias("html"),
         F.coalesce(F.nullif(F.col("_to_canonical"), F.lit("")), F.col("_canonical")).alias("canonical_url"),
     )
+    plain = own.where(F.col("redirect_url").isNull()).select(
+        "url", "redirect_url", F.lit(False).alias("refetched"), "final_url", "html", F.col("_canonical").alias("canonical_url")
+    )
+    return joined.unionByName(plain)
 
 
 def enrich_dates(

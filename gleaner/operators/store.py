@@ -19,24 +19,24 @@ def split_existing(
 
     A row exists when its URL or its article key equals a stored URL or key: two equi-joins on slim key tables,
     since a join on "either" could not be hashed. Text is looked up by URL alone, so a row known only by its key
-    counts as having none.
+    counts as having none. What is known about a URL is put together on the store's side, so incoming rows move twice. Rows
+    without a URL or key are new; they are spread over the partitions, not sent to one as equal keys.
     """
     keys = store.select(F.explode(F.array("url", U.article_key("url", id_param))).alias("_k")).where("_k <> ''").distinct()
     saved = keep_last(store.select("url", "page_id", "text", "ord"), ["url"], "ord").select(
-        F.col("url").alias("_saved_url"), F.col("page_id"), (strip(text("text")) != "").alias("_has_body")
+        F.col("url").alias("_k"), F.col("page_id"), (strip(text("text")) != "").alias("_has_body")
     )
-    rows = incoming.withColumn("_key", U.article_key("url", id_param))
-    by_url = keys.withColumnRenamed("_k", "_k1")
+    by_url = keys.join(saved, "_k", "left").withColumnRenamed("_k", "_k1")
     by_key = keys.withColumnRenamed("_k", "_k2")
-    joined = (
-        rows.join(by_url, F.col("url") == F.col("_k1"), "left")
-        .join(by_key, F.col("_key") == F.col("_k2"), "left")
-        .join(saved, F.col("url") == F.col("_saved_url"), "left")
-    )
+    plain = [f"`{c}`" for c, kind in incoming.dtypes if "map<" not in kind and "variant" not in kind]
+    nowhere = F.concat(F.lit("\x00"), F.xxhash64(*plain).cast("string"))  # no stored key begins so
+    probe = lambda c: F.coalesce(F.nullif(c, F.lit("")), nowhere)
+    rows = incoming.withColumns({"_key": probe(U.article_key("url", id_param)), "_url": probe(F.col("url"))})
+    joined = rows.join(by_url, F.col("_url") == F.col("_k1"), "left").join(by_key, F.col("_key") == F.col("_k2"), "left")
     exists = F.lit(skip_existing) & (F.col("_k1").isNotNull() | F.col("_k2").isNotNull())
     refetch = F.lit(backfill) & ~F.coalesce("_has_body", F.lit(False))
     outcome = F.when(~exists, F.lit("new")).when(refetch, F.lit("backfill")).otherwise(F.lit("skipped"))
-    return joined.withColumn("outcome", outcome).drop("_key", "_k1", "_k2", "_saved_url", "_has_body")
+    return joined.withColumn("outcome", outcome).drop("_key", "_url", "_k1", "_k2", "_has_body")
 
 
 def store_index(store: DataFrame, id_param: str = "ng", wanted: DataFrame | None = None) -> DataFrame:

@@ -13,7 +13,8 @@ from gleaner import constants as K
 from gleaner.functions import dates as D
 from gleaner.functions import text as T
 from gleaner.functions import urls as U
-from gleaner.operators import dedupe, filters, ranking, rules, windows
+from gleaner.operators import dedupe, filters, lookup, ranking, rules, windows
+from gleaner.session import cut_lineage
 
 ENTRY_ORDER = ["feed_ord", "entry_ord"]
 
@@ -44,3 +45,12 @@ def build(
     return best.orderBy(F.col("score").desc(), F.col("published").desc(), "medium", *ENTRY_ORDER).select(
         "medium", "title", "score", "published", "link"
     )
+
+
+def translated(digest: DataFrame, cache: DataFrame, responses: DataFrame, media: list[str] | None = None) -> DataFrame:
+    """Add ``title_ja``: for titles of the media that are translated and hold no Japanese the cached translation, else a valid
+    response; every other title stays as it is. The digest, at most ``top`` rows a medium, is computed once."""
+    held = cut_lineage(digest)
+    answered = lookup.translate_titles(held, cache, responses, "title", F.struct("published", "link"))
+    asked = filters.needs_translation(F.col("medium"), F.col("title"), media)
+    return answered.withColumn("title_ja", F.when(asked, F.col("title_ja")).otherwise(F.col("title")))

@@ -102,3 +102,26 @@ def test_links_and_redirects(spark):
     assert one(spark, H.redirect_url(F.lit('<meta http-equiv="refresh" content="0;url=https://a.com/y">'))) == "https://a.com/y"
     links = one(spark, H.anchors(F.lit('<a href="/a"><b>x</b> &amp; y</a><a href="">n</a><a title="T" href="/c"><img></a>')))
     assert [(r["href"], r["title"]) for r in links] == [("/a", "x & y"), ("/c", "T")]
+
+
+def test_issue_articles_from_links(spark):
+    url = "https://news.example.com/paper/article/?ng={}"
+    body = "。\n".join(f"Steel demand rose again in the {i}th quarter and the mills raised prices in many places" for i in range(6)) + "。"
+    links = spark.createDataFrame(
+        [(0, url.format("A"), "Steel demand rose again"), (1, url.format("A"), "Second link of A"), (2, url.format("B"), "Saved article of the day"),
+         (3, url.format("C"), "12日"), (4, url.format("D"), "Never captured article"), (5, url.format("E"), "Saved without its text"), (6, "https://x.org/", "Elsewhere")],
+        "ord int, url string, title string",
+    )
+    store = spark.createDataFrame(
+        [("p1", url.format("B"), "Saved B", "20240101", "morning", "Body B", 1), ("p2", url.format("E"), "Saved E", "20240101", "morning", " ", 2)],
+        "page_id string, url string, title string, issue_date string, edition string, text string, ord int",
+    )
+    captures = spark.createDataFrame(
+        [(url.format("A"), "Steel demand rose again", body, "article"), (url.format("E"), "Saved without its text", "short", "article")],
+        "url string, page_title string, text string, selector string",
+    )
+    rows, audit = issue_report.articles(links, store, captures, "example.com", "/paper/article/")
+    assert {(r["article_id"], r["source"], r["text"]) for r in rows.collect()} == {("A", "fetched", body), ("B", "store_existing", "Body B")}
+    assert {(r["ord"], r["action"], r["outcome"]) for r in audit.collect()} == {
+        (0, "new", "success"), (2, "skipped", ""), (3, "left_out", "pre_title_regex"), (4, "new", "failed:empty_text"), (5, "backfill", "failed:navigation_like_text"),
+    }

@@ -1,5 +1,6 @@
 """Literal cases and sequential models for dedupe, ranking, scoring, store and quality."""
 
+import hashlib
 import random
 import re
 
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 from gleaner.functions import jsons as J
 from gleaner.functions import text as T
 from gleaner.functions import urls as U
-from gleaner.operators import dedupe, filters, lookup, numbering, quality, ranking, rules, selection, shaping
+from gleaner.operators import dedupe, digest, filters, lookup, numbering, quality, ranking, rules, selection, shaping
 from gleaner.operators import store as S
 
 
@@ -347,3 +348,27 @@ def test_scored_rows_are_evaluated_once(spark):
     chosen = selection.select_from_pool(held, include_ties=True)
     assert (chosen.count(), selection.select_report(held).count(), held.count()) == (6, 6, 30)
     assert calls.value == 90
+
+
+def test_rows_without_address_are_new_and_spread(spark):
+    store = spark.createDataFrame([("p", "https://a.com/x", " ", 1), ("q", "", "text", 2)], "page_id string, url string, text string, ord int")
+    incoming = spark.createDataFrame([(i, "" if i % 2 else None) for i in range(50)] + [(99, "https://a.com/x")], "ord int, url string")
+    got = {r["ord"]: (r["outcome"], r["page_id"]) for r in S.split_existing(incoming, store).collect()}
+    assert got == {i: ("new", None) for i in range(50)} | {99: ("backfill", "p")}
+
+
+def test_fingerprint_by_tree(spark):
+    rows = spark.range(1000).select("id", F.concat(F.lit("t"), F.col("id").cast("string")).alias("t"))
+    mark = lambda df, fan_out=8, levels=3: digest.tree_fingerprint(df, ["id"], ["t"], F.lit("d"), fan_out, levels).first()[0]
+    whole = mark(rows)
+    assert whole == mark(rows.repartition(5).orderBy(F.rand(1)))
+    changed = [rows.where("id <> 500"), rows.withColumn("t", F.when(F.col("id") == 999, "x").otherwise(F.col("t"))), rows.withColumn("id", 1000 - F.col("id"))]
+    assert len({whole, mark(rows, 16), *map(mark, changed)}) == 5
+
+    def plain(texts, fan_out=8, levels=3):
+        level = [hashlib.sha256(t.encode()).hexdigest() for t in texts]
+        for _ in range(levels):
+            level = [hashlib.sha256("\x1e".join(level[i : i + fan_out]).encode()).hexdigest() for i in range(0, len(level), fan_out)]
+        return hashlib.sha256("\x1e".join(["d", *level]).encode()).hexdigest()
+
+    assert whole == plain([f"t{i}" for i in range(1000)]) and mark(rows.where("false")) == plain([])
