@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 from collections import Counter
 
 import numpy as np
@@ -11,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gleaner.llm.common import Batches, map_batches
+from gleaner.llm.common import Batches, map_batches, staged
 
 #: Content words in a chain.
 CHAIN = 3
@@ -168,3 +169,61 @@ def spot_fingerprints(docs: DataFrame, anchors: int = ANCHORS) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=[f.split()[0] for f in schema.split(", ")])
 
     return map_batches(ordered.select("bucket", "doc_id", "text", "own"), run, schema)
+
+
+# ---- all documents beside each other -------------------------------------------------------------
+
+
+def signature_sets(docs: DataFrame, anchors: int = ANCHORS) -> DataFrame:
+    """``(doc_id, fingerprint, signatures)`` for each document; signatures are sorted as unsigned numbers."""
+    common = common_words(docs, anchors)
+    schema = "doc_id long, fingerprint string, signatures array<long>"
+
+    def run(batches: Batches) -> Batches:
+        known = frozenset(common)
+        for batch in batches:
+            found = [signatures(text or "", known) for text in batch.column("text").to_pylist()]
+            columns = [batch.column("doc_id"), pa.array([digest_of(f) for f in found], pa.string()), pa.array([f.view(np.int64) for f in found], pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "fingerprint", "signatures"])
+
+    return map_batches(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), run, schema)
+
+
+def similar_sets(docs: DataFrame, threshold: float = 0.8, anchors: int = ANCHORS) -> tuple[DataFrame, DataFrame]:
+    """(members, pairs): ``(doc_id, fingerprint, n_links)`` for each document, and ``(one, other, likeness)`` once for each two
+    different fingerprints whose sets have a Jaccard similarity of ``threshold`` (between 0 and 1, both excluded) or more.
+
+    Sets stand in partitions by the logarithm of their length, so wide that similar ones are in the same or the next. Within
+    a partition they meet at their rarest signatures: two similar sets share one among the first ``n - ceil(threshold * n) + 1``.
+    A pair that meets there goes on only if its lengths, and what is left in both after that signature, allow the threshold;
+    whole sets are compared last. Results are exact for the signatures. ``n_links`` counts other fingerprints.
+
+    Null and empty texts have the empty set, which is like no other fingerprint. Equal sets are one fingerprint; repeated rows
+    come out repeated; null ids stay; other columns are ignored.
+    """
+    found = staged(signature_sets(docs, anchors), "signatures")
+    sets = found.dropDuplicates(["fingerprint"]).select("fingerprint", "signatures", F.size("signatures").alias("n")).where("n > 0")
+    each = staged(sets.select("fingerprint", "n", F.explode("signatures").alias("s")), "signature-rows")
+    held_by = staged(each.groupBy("s").agg(F.count("*").alias("holders")), "signature-counts")  # a plain table, so that a hot signature can be split
+    ranked = each.join(held_by, "s").groupBy("fingerprint", "n").agg(F.array_sort(F.collect_list(F.struct("holders", "s"))).alias("rarest"))
+    needed = F.ceil(F.col("n") * threshold - 1e-9)
+    first = F.slice("rarest", F.lit(1), (F.col("n") - needed + 1).cast("int"))
+    part = F.floor(F.log(F.col("n")) / (math.log(1 / threshold) * (1 + 1e-9)))
+    seen = staged(ranked.select("fingerprint", "n", part.alias("part"), F.posexplode(first).alias("at", "r")).select("fingerprint", "n", "part", "at", F.col("r.s").alias("s")), "rarest")
+    side = lambda name: [F.col("fingerprint").alias(name), F.col("n").alias(f"n_{name}"), F.col("at").alias(f"at_{name}"), "s"]
+    one = seen.select(*side("one"), F.explode(F.array("part", F.col("part") + 1)).alias("part"))  # also beside the longer sets of the next partition
+    other = seen.select(*side("other"), "part")
+    shorter = (F.col("n_one") < F.col("n_other")) | ((F.col("n_one") == F.col("n_other")) & (F.col("one") < F.col("other")))
+    left = F.least(F.col("n_one") - F.col("at_one"), F.col("n_other") - F.col("at_other"))  # shared from here on, at most
+    before = F.least("at_one", "at_other")
+    most = left + before
+    fits = most >= (F.col("n_one") + F.col("n_other")) * (threshold / (1 + threshold)) - 1e-9
+    met = one.join(other, ["part", "s"]).where(shorter & (F.col("n_one") >= F.col("n_other") * threshold - 1e-9) & fits).select("one", "other").distinct()
+    whole = lambda name: sets.select(F.col("fingerprint").alias(name), F.col("signatures").alias(f"set_{name}"))
+    beside = met.join(whole("one"), "one").join(whole("other"), "other")
+    shared = F.size(F.array_intersect("set_one", "set_other"))
+    like = beside.select("one", "other", (shared / (F.size("set_one") + F.size("set_other") - shared)).alias("likeness"))
+    pairs = staged(like.where(F.col("likeness") >= threshold), "similar-sets")
+    links = pairs.select(F.explode(F.array("one", "other")).alias("fingerprint")).groupBy("fingerprint").agg(F.count("*").alias("n_links"))
+    members = found.select("doc_id", "fingerprint").join(links, "fingerprint", "left")
+    return members.select("doc_id", "fingerprint", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")), pairs

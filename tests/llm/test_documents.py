@@ -1,6 +1,7 @@
 """Token counts, fingerprints, languages, passages and rates on awkward rows, against plain versions."""
 
 import hashlib
+import itertools
 import random
 from collections import defaultdict
 
@@ -254,6 +255,36 @@ def test_text_without_anchors_is_not_left_out():
     assert spots.likeness(found[0], found[1]) < 0.1 and spots.likeness(found[0], found[2]) > 0.9
 
 
+@pytest.mark.parametrize("threshold", [0.5, 0.8])
+def test_similar_sets_by_brute_force(spark, threshold):
+    rng = random.Random(5)
+    base = [[rng.choice(["the", "of", "and", *(f"w{k}" for k in range(400))]) for _ in range(rng.randrange(3, 300))] for _ in range(12)]
+    texts = [(i, t) for i, t in cases.texts() if len(t or "") < 50_000]
+    for words in base:
+        for cut in (0, 1, 2, 5, 20):
+            kept = words[: len(words) - cut] + [f"new{rng.randrange(9)}" for _ in range(cut // 2)]
+            texts.append((len(texts) + 1000, "the shared line of all documents here " + " ".join(kept)))
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    members, pairs = spots.similar_sets(docs, threshold)
+    anchors = frozenset(spots.common_words(docs))
+    sets = {spots.digest_of(f): f for f in (spots.signatures(t or "", anchors) for _, t in texts)}
+    want = {}
+    for a, b in itertools.combinations(sorted(sets), 2):
+        like = spots.likeness(sets[a], sets[b]) if len(sets[a]) and len(sets[b]) else 0.0
+        if like >= threshold:
+            want[a, b] = like
+    got = {tuple(sorted((r.one, r.other))): r.likeness for r in pairs.collect()}
+    assert got == pytest.approx(want) and len(want) > 20 and pairs.count() == len(want)
+    links = defaultdict(int)
+    for pair in want:
+        for f in pair:
+            links[f] += 1
+    rows = [(i, spots.digest_of(spots.signatures(t or "", anchors))) for i, t in texts]
+    assert cases.counted(members.select("doc_id", "fingerprint", "n_links").collect()) == cases.counted([(i, f, links[f]) for i, f in rows])
+    nothing = spots.similar_sets(docs.where("false"))
+    assert [df.count() for df in nothing] == [0, 0]
+
+
 # ---- passages
 
 
