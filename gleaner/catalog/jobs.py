@@ -19,6 +19,7 @@ from gleaner.plans import general_digest as general
 from gleaner.plans import issue_report as issue
 from gleaner.plans import site_digest as site
 from gleaner.plans import special_digest as special
+from gleaner.session import cut_lineage
 
 DAY = "2024-01-01 12:00:00"
 
@@ -204,7 +205,7 @@ def site_digest(spark, sf_dir):
         F.col("site").alias("site_name"), (F.length("site") * 7 % 50).alias("display_order"), F.lit("5").alias("max_items_per_site"), F.lit("40").alias("max_items_total"),
         F.lit("use_fetched_at").alias("date_fallback_mode"), F.lit("2").alias("max_pages"), F.lit("^(?!.*/paged/[0-9]+$)").alias("article_url_pattern"),
     )
-    sites = shaping.normalize_site_config(raw).withColumnRenamed("site_name", "site")
+    sites = cut_lineage(shaping.normalize_site_config(raw).withColumnRenamed("site_name", "site"))
     starts = p.select("site", F.col("url").alias("start"), "url")
     return site.build(sites, listing.unionByName(paged), D.ntz(RUN), starts).select("site", "url", "title", "date_source", "position")
 

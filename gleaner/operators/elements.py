@@ -125,9 +125,11 @@ def links_in_context(
     only links that fit are given; all are where it is empty.
 
     A link's parent is the last element that opened on the level above: one running column over links and elements by level, so rows
-    are as many as tags and texts. Texts are cut out of the page's texts in order, the one around links once for each parent.
+    are as many as tags and texts. Texts are cut out of the page's texts in order, the one around links once for each parent. Pages are
+    dealt out by ``key`` before they are cut up, so that their markup moves and not the many rows made of it.
     """
-    cut = pieces(pages, key, html)
+    parts = int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cut = pieces(pages.select(key, html).repartition(parts, key), key, html)
     spans = _spans(cut, key)
     target = strip(unescape(F.concat(*[F.regexp_extract("piece", TARGET, i) for i in (1, 2, 3)])))
     found = spans.where("tag = 'a'").withColumn("href", target).where("href <> ''")

@@ -1,6 +1,7 @@
 """Site watch: crawl order, link candidates, dates from lists or article pages, windows, limits, search fallback, cross-site dedupe.
 
-``captures`` is ``url, html`` with one row for each page, and may have ``final_url``, where the page was in the end: links count from there.
+``captures`` is ``url, html`` and may have ``final_url``, where the page was in the end: links count from there. A url that was captured
+several times with different content is as many pages; exact repeats are one.
 """
 
 from __future__ import annotations
@@ -28,22 +29,33 @@ def _base(captures: DataFrame) -> Column:
     return F.coalesce("final_url", "url") if "final_url" in captures.columns else F.col("url")
 
 
-def page_edges(captures: DataFrame) -> DataFrame:
-    """Next-page link of every captured page, resolved; empty when there is none. The link is found once, before it is resolved."""
-    found = captures.select("url", _base(captures).alias("_base"), T.fence(H.next_page_href("html")).alias("_href"))
-    return found.select("url", F.when(F.col("_href") != "", U.url_join("_base", "_href")).otherwise(F.lit("")).alias("next_url"))
+def keyed_pages(captures: DataFrame) -> DataFrame:
+    """``(url, base, html, page)`` for each capture; ``page`` is its key, the same for exact repeats."""
+    each = captures.select("url", _base(captures).alias("base"), "html")
+    return each.withColumn("page", F.md5(F.concat_ws("\x01", "url", "base", F.md5("html"))))
 
 
-def own_edges(sites: DataFrame, captures: DataFrame) -> DataFrame:
-    """``(site, url, next_url)`` for sites with a next-page selector and the captured pages of their hosts: the first link that it names, else as ``page_edges``."""
+def distinct_pages(captures: DataFrame) -> DataFrame:
+    """Each different capture once. Rows move once, by url, also for a join by url that follows."""
+    return keyed_pages(captures).repartition("url").distinct()
+
+
+def page_edges(pages: DataFrame) -> DataFrame:
+    """Next-page link of every page, resolved; empty when there is none. The link is found once, before it is resolved."""
+    found = pages.select("page", "url", "base", T.fence(H.next_page_href("html")).alias("_href"))
+    return found.select("page", "url", F.when(F.col("_href") != "", U.url_join("base", "_href")).otherwise(F.lit("")).alias("next_url"))
+
+
+def own_edges(sites: DataFrame, pages: DataFrame) -> DataFrame:
+    """``(site, url, next_url)`` for sites with a next-page selector and the pages of their hosts: the first link that it names, else as ``page_edges``."""
     hosts = sites.select("site", F.col("next_page_selector").alias("_s"), F.explode("list_page_urls").alias("u")).select("site", "_s", U.bare_host("u").alias("_h")).distinct()
-    pages = captures.select("url", "html", _base(captures).alias("_base"), U.bare_host("url").alias("_h")).join(hosts, "_h")
-    keyed = pages.withColumn("_page", F.concat_ws("\x01", "site", "url"))
+    hosted = pages.withColumn("_h", U.bare_host("url")).join(hosts, "_h")
+    keyed = hosted.withColumn("_page", F.concat_ws("\x01", "site", "page"))
     named = elements.select_all(keyed, "_page", F.col("_s")).groupBy("_page").agg(F.min_by("piece", "pos").alias("piece"))
     target = named.select("_page", F.concat(*[F.regexp_extract("piece", H.TARGET, i) for i in (1, 2, 3)]).alias("_href"))
-    own = keyed.select("site", "url", "_base", "_page").join(target, "_page", "left").withColumn("_href", T.fence(T.strip(T.text("_href"))))
-    both = own.join(page_edges(captures), "url")
-    return both.select("site", "url", F.when(F.col("_href") != "", U.url_join("_base", "_href")).otherwise(F.col("next_url")).alias("next_url"))
+    own = keyed.select("site", "page", "base", "_page").join(target, "_page", "left").withColumn("_href", T.fence(T.strip(T.text("_href"))))
+    both = own.join(page_edges(pages), "page")
+    return both.select("site", "url", F.when(F.col("_href") != "", U.url_join("base", "_href")).otherwise(F.col("next_url")).alias("next_url"))
 
 
 def visited_pages(sites: DataFrame, captures: DataFrame, starts: DataFrame | None = None) -> DataFrame:
@@ -54,11 +66,13 @@ def visited_pages(sites: DataFrame, captures: DataFrame, starts: DataFrame | Non
     config = sites.where(F.col("enabled") & F.col("fetch_mode").isin(DIRECT))
     given = config.select("site", F.posexplode("list_page_urls").alias("start", "url")) if starts is None else starts
     limits = given.join(config.select("site", "max_pages", (F.col("next_page_selector") != "").alias("_own")), "site")
-    walks = lookup.crawl_pages(limits.where("NOT _own").drop("_own"), page_edges(captures))
+    pages = distinct_pages(captures)
+    walks = lookup.crawl_pages(limits.where("NOT _own").drop("_own"), page_edges(keyed_pages(captures)).drop("page"))
     chosen = config.where("next_page_selector <> ''")
     if not chosen.isEmpty():
-        walks = walks.unionByName(lookup.crawl_pages(limits.where("_own").drop("_own"), own_edges(chosen, captures)))
-    return walks.join(captures.select("url", "html", _base(captures).alias("base")), "url")
+        walks = walks.unionByName(lookup.crawl_pages(limits.where("_own").drop("_own"), own_edges(chosen, pages)))
+    # what follows reads these pages many times: without their history its plans stay small
+    return cut_lineage(cut_lineage(walks).join(pages, "url"))
 
 
 def _used(config: DataFrame) -> set[str]:
@@ -69,17 +83,21 @@ def _used(config: DataFrame) -> set[str]:
 
 
 def candidates(config: DataFrame, pages: DataFrame, used: set[str]) -> DataFrame:
-    """Links of the visited pages that fit their site's selector and pattern, the first of each url on a page, with the date text beside them."""
+    """Links of the visited pages that fit their site's selector and pattern, with the date text beside them: the first of each url at a place of a walk.
+
+    Places of links count within each page, also where a walk reads several pages at once.
+    """
     told = config.select("site", *[F.col(c).alias(f"_{c}") for c in ("article_link_selector", "list_date_selector", "list_date_pattern", "article_url_pattern")])
-    keyed = pages.withColumn("_page", F.concat_ws("\x01", "site", F.col("start").cast("string"), F.col("depth").cast("string"))).join(told, "site")
+    visit = F.concat_ws("\x01", "site", F.col("start").cast("string"), F.col("depth").cast("string"), "page")
+    keyed = pages.withColumn("_page", F.md5(visit)).join(told, "site")
     asked = lambda name: F.col(f"_{name}") if name in used else None
     links = elements.links_in_context(keyed, "_page", selector=asked("list_date_selector"), pattern=F.col("_list_date_pattern"), link=asked("article_link_selector"))
     text, source = elements.list_date(F.lit(".+"))
     dated = links.select("_page", "pos", "href", "title", text.alias("date_text"), source.alias("date_source"))
-    placed = dated.join(keyed.select("_page", "site", "start", "depth", "base", "_article_url_pattern"), "_page")
+    placed = dated.join(keyed.select("_page", "site", "start", "depth", "page", "base", "_article_url_pattern"), "_page")
     rows = placed.withColumn("link", U.url_join("base", "href")).where(filters.passes_url_pattern(F.col("link"), F.col("href"), F.col("_article_url_pattern")))
-    return dedupe.candidates(rows, ["_page"], "link", "title", ["pos"]).select(
-        "site", F.struct(F.lit(0).alias("part"), "start", "depth", "pos").alias("ord"), F.col("link").alias("url"), "title", "date_text", "date_source"
+    return dedupe.candidates(rows, ["site", "start", "depth"], "link", "title", ["pos", "page"]).select(
+        "site", F.struct(F.lit(0).alias("part"), "start", "depth", "pos", "page").alias("ord"), F.col("link").alias("url"), "title", "date_text", "date_source"
     )
 
 
@@ -123,7 +141,7 @@ def with_search(sites: DataFrame, starts: DataFrame, pages: DataFrame, kept: Dat
     failed = F.col("_read").isNull() | F.col("_linked").isNull()
     wants = asked.where((F.col("fetch_mode") == "search_only") | ((F.col("fetch_mode") == "direct_then_search") & failed)).drop("_read", "_linked")
     shape = kept.schema["ord"].dataType
-    first = F.struct(F.lit(1).alias("part"), *[F.lit(None).cast(shape[f].dataType).alias(f) for f in ("start", "depth")], F.col("pos").cast(shape["pos"].dataType).alias("pos"))
+    first = F.struct(F.lit(1).alias("part"), *[F.lit(None).cast(shape[f].dataType).alias(f) for f in ("start", "depth")], F.col("pos").cast(shape["pos"].dataType).alias("pos"), F.lit(None).cast("string").alias("page"))
     columns = ["site", "ord", "url", "title", "date_source", "published_local", "max_items_per_site"]
     found = search_items(wants, payloads, as_of).withColumn("ord", first).select(columns)
     unique = dedupe.accepted(kept.select(columns).unionByName(found), "site", "url", F.lit(True), ["ord"])

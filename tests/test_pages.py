@@ -135,3 +135,28 @@ def test_site_watch_with_selectors_final_urls_and_search(spark):
         ("Sel", "/moved/n/1", "One 2026/04/05 08:30", "list_selector"), ("Sel", "/n/2", "Two 2026/04/05 07:30", "list_selector"), ("Art", "/x", "Article", "article_selector"),
         ("Find", "/1", "Found", "fetched_at"), ("Find", "/2", "One", "fetched_at"), ("Only", "/2", "Dated", "search_date"),
     ]
+
+
+def test_a_url_captured_several_times_is_several_pages(spark):
+    names = ["site_name", "list_page_urls", "max_pages", "max_items_per_site", "date_fallback_mode", "next_page_selector"]
+    raw = spark.createDataFrame([(s, f"https://{s or 'a'}.example.com/list", "3", "9", "use_fetched_at", s and "a.more") for s in ("", "b")], ", ".join(f"{n} string" for n in names))
+    sites = shaping.normalize_site_config(raw.replace("", "a", ["site_name"])).withColumnRenamed("site_name", "site")
+    old = '<p><b>x</b><a href="/n/1">One</a> <a href="/n/2">Two</a></p><a class="more" rel="next" href="/list/old">next</a>'
+    new = '<a href="/n/3">Three</a> <a href="/n/2">Two again</a><p><i>y</i></p><a class="more" rel="next" href="/list/new">onward</a>'
+    more = [("/list", old), ("/list", new), ("/list", old), ("/list/old", '<a href="/n/4">Four</a>'), ("/list/new", '<a href="/n/5">Five</a><a class="more" rel="next" href="/list">first</a>')]
+    captures = spark.createDataFrame([(f"https://{s}.example.com{at}", html) for s in "ab" for at, html in more], "url string, html string")
+    starts = spark.createDataFrame([(s, "x", f"https://{s}.example.com/list") for s in "ab" for _ in range(2)], "site string, start string, url string")
+    pages = site_digest.visited_pages(sites, captures, starts)
+    assert sorted((r.site, r.depth, r.url.split(".com")[1]) for r in pages.collect()) == [(s, *at) for s in "ab" for at in ((0, "/list"), (0, "/list"), (1, "/list/new"), (1, "/list/old"))]
+    kept, _ = site_digest.decisions(sites, pages, captures, D.ntz("2026-04-05 01:00:00"))
+    assert sorted((r.site, r.url.split(".com")[1]) for r in kept.collect()) == [(s, f"/{at}") for s in "ab" for at in ("list", "list/new", "list/old", "n/1", "n/2", "n/3", "n/4", "n/5")]
+
+
+def test_walks_over_several_next_pages_stop_branch_by_branch(spark):
+    starts = spark.createDataFrame([("s", 0, "c", 1), ("s", 1, "a", 4), ("s", 1, "a", 4), ("t", 1, "a", 4)], "site string, start int, url string, max_pages int")
+    edges = spark.createDataFrame([("a", "b"), ("a", "c"), ("a", "b"), ("b", "d"), ("c", "e"), ("d", "a"), ("e", "f")], "url string, next_url string")
+    got = sorted(map(tuple, lookup.crawl_pages(starts, edges).collect()))
+    assert got == [
+        ("s", 0, 0, "c"), ("s", 1, 0, "a"), ("s", 1, 1, "b"), ("s", 1, 2, "d"),
+        ("t", 1, 0, "a"), ("t", 1, 1, "b"), ("t", 1, 1, "c"), ("t", 1, 2, "d"), ("t", 1, 2, "e"), ("t", 1, 3, "f"),
+    ]
