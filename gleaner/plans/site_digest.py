@@ -67,10 +67,10 @@ def visited_pages(sites: DataFrame, captures: DataFrame, starts: DataFrame | Non
     given = config.select("site", F.posexplode("list_page_urls").alias("start", "url")) if starts is None else starts
     limits = given.join(config.select("site", "max_pages", (F.col("next_page_selector") != "").alias("_own")), "site")
     pages = distinct_pages(captures)
-    walks = lookup.crawl_pages(limits.where("NOT _own").drop("_own"), page_edges(keyed_pages(captures)).drop("page"))
+    walks = lookup.crawl_pages(limits.where("NOT _own").drop("_own"), page_edges(keyed_pages(captures)).drop("page"), several=True)
     chosen = config.where("next_page_selector <> ''")
     if not chosen.isEmpty():
-        walks = walks.unionByName(lookup.crawl_pages(limits.where("_own").drop("_own"), own_edges(chosen, pages)))
+        walks = walks.unionByName(lookup.crawl_pages(limits.where("_own").drop("_own"), own_edges(chosen, pages), several=True))
     # what follows reads these pages many times: without their history its plans stay small
     return cut_lineage(cut_lineage(walks).join(pages, "url"))
 

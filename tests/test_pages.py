@@ -155,7 +155,7 @@ def test_a_url_captured_several_times_is_several_pages(spark):
 def test_walks_over_several_next_pages_stop_branch_by_branch(spark):
     starts = spark.createDataFrame([("s", 0, "c", 1), ("s", 1, "a", 4), ("s", 1, "a", 4), ("t", 1, "a", 4)], "site string, start int, url string, max_pages int")
     edges = spark.createDataFrame([("a", "b"), ("a", "c"), ("a", "b"), ("b", "d"), ("c", "e"), ("d", "a"), ("e", "f")], "url string, next_url string")
-    got = sorted(map(tuple, lookup.crawl_pages(starts, edges).collect()))
+    got = sorted(map(tuple, lookup.crawl_pages(starts, edges, several=True).collect()))
     assert got == [
         ("s", 0, 0, "c"), ("s", 1, 0, "a"), ("s", 1, 1, "b"), ("s", 1, 2, "d"),
         ("t", 1, 0, "a"), ("t", 1, 1, "b"), ("t", 1, 1, "c"), ("t", 1, 2, "d"), ("t", 1, 2, "e"), ("t", 1, 3, "f"),
