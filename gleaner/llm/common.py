@@ -38,9 +38,14 @@ def ship(spark: SparkSession) -> None:
 
 
 def map_batches(df: DataFrame, run: Callable[[Batches], Batches], schema: str) -> DataFrame:
-    """``mapInArrow`` with the package at hand on every executor."""
+    """``mapInArrow`` with the package at hand on every executor. Workers wait for their next task without the memory of the last one's batches."""
     ship(df.sparkSession)
-    return df.mapInArrow(run, schema)
+
+    def released(batches: Batches) -> Batches:
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+
+    return df.mapInArrow(released, schema)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -42,13 +42,18 @@ def fingerprint(text: bytes | None, shingle: int, seed: int) -> int:
     return int(np.packbits(2 * ones > len(stops)).view(">i8")[0])
 
 
+def column_fingerprints(texts: pa.Array, shingle: int, seed: int) -> pa.Array:
+    """The fingerprint of each text; one text at a time leaves the column, so that there is no second copy of all of them."""
+    held = (t.as_buffer() for t in texts)
+    return pa.array([fingerprint(t.to_pybytes() if t else None, shingle, seed) for t in held], pa.int64())
+
+
 def fingerprints(docs: DataFrame, shingle: int = 4, seed: int = 42) -> DataFrame:
     """``(doc_id, text_key, fp)`` for each document: map-only, one pass over whole texts."""
 
     def run(batches: Batches) -> Batches:
         for batch in batches:
-            texts = batch.column("text").cast(pa.binary()).to_pylist()
-            fps = pa.array([fingerprint(t, shingle, seed) for t in texts], pa.int64())
+            fps = column_fingerprints(batch.column("text"), shingle, seed)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text_key"), fps], names=["doc_id", "text_key", "fp"])
 
     return map_batches(docs.select(F.col("doc_id").cast("long"), text_key().alias("text_key"), F.col("text").cast("string")), run, "doc_id long, text_key string, fp long")

@@ -6,14 +6,16 @@ import math
 import random
 import re
 import time
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
 import cases
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from gleaner.llm import langid, mixing, secrets, urlpaths
+from gleaner.llm import langid, mixing, secrets, simhash, urlpaths
 
 # ---- secrets in dense texts -----------------------------------------------------------------------
 
@@ -241,3 +243,17 @@ def test_every_telling_term_of_the_sample_counts(spark):
     labels = spark.createDataFrame([(i, q, 0) for i, _, q in rows], "doc_id long, quality int, toxic int")
     weights, _ = mixing.fit_terms(docs, labels)
     assert weights.count() == 1200
+
+
+# ---- memory of a batch of fingerprints ------------------------------------------------------------
+
+
+def test_fingerprints_make_no_copy_of_a_whole_batch():
+    texts = [f"Word{i} and {i % 7} more\twords " * 100 for i in range(500)] + [None, "", " \n"]
+    column = pa.array(texts)
+    tracemalloc.start()
+    got = simhash.column_fingerprints(column, 4, 42).to_pylist()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert got == [simhash.fingerprint(t and t.encode(), 4, 42) for t in texts] and got[-3:] == [0, 0, 0]
+    assert peak < column.nbytes / 4
