@@ -7,6 +7,7 @@ import tempfile
 import uuid
 import zipfile
 from collections.abc import Callable, Iterator
+from typing import TypeVar
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,6 +20,7 @@ WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
 Batches = Iterator[pa.RecordBatch]
+T = TypeVar("T")
 
 
 def ship(spark: SparkSession) -> None:
@@ -37,11 +39,33 @@ def ship(spark: SparkSession) -> None:
     sc.addPyFile(path)
 
 
-def map_batches(df: DataFrame, run: Callable[[Batches], Batches], schema: str) -> DataFrame:
-    """``mapInArrow`` with the package at hand on every executor. Workers wait for their next task without the memory of the last one's batches."""
+#: What this worker process keeps from task to task, by its key.
+_KEPT: dict[str, object] = {}
+
+
+def kept(key: str, make: Callable[[], T]) -> T:
+    """What ``make`` gave in this worker process. It stays over all tasks that keep ``key``; the first other task lets go of it."""
+    if key not in _KEPT:
+        _KEPT[key] = make()
+    return _KEPT[key]
+
+
+def let_go(but: str | None = None) -> None:
+    """Drop all that earlier tasks kept, except what goes by the key ``but``."""
+    for key in [k for k in _KEPT if k != but]:
+        del _KEPT[key]
+
+
+def map_batches(df: DataFrame, run: Callable[[Batches], Batches], schema: str, keeps: str | None = None) -> DataFrame:
+    """``mapInArrow`` with the package at hand on every executor.
+
+    Workers are used again and wait without the memory of their last task's batches. A task starts without what tasks of
+    other calls kept; ``keeps`` is the key of what the tasks of this one share.
+    """
     ship(df.sparkSession)
 
     def released(batches: Batches) -> Batches:
+        let_go(keeps)
         yield from run(batches)
         pa.default_memory_pool().release_unused()
 

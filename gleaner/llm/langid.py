@@ -8,13 +8,14 @@ import uuid
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gleaner.llm.common import Batches, map_batches, staged
+from gleaner.llm.common import Batches, kept, map_batches, staged
 
 ORDER = 5
 #: Marks before and after each word; a word's letters are scored with the marks as their context.
@@ -24,8 +25,10 @@ LETTERS = re.compile(r"[^\W\d_]+")
 BROADCAST_BYTES = 1 << 27
 #: Log-probability of a letter that no order knows.
 UNKNOWN = math.log(1e-4)
-#: Distinct words between blanks that a worker counts or remembers before it starts anew, and words scored at once.
+#: Distinct words between blanks that a worker counts or remembers before it starts anew, and words of texts judged at once.
 REMEMBERED, PIECE = 1 << 20, 1 << 18
+#: Letters and word ends that a model scores at once.
+BLOCK = 1 << 16
 #: Texts with fewer letters than a bin's bound fall in it; a bin with fewer calibration documents is pooled.
 LENGTH_BINS, LEAST_CALIBRATION = [60, 250, 1000], 100
 #: Columns that ``identify`` adds, in place of any that ``docs`` has by these names.
@@ -137,7 +140,12 @@ class Model:
         return np.where((keys[at] == hashes)[:, None], rows[at], np.float32(np.nan))
 
     def word_scores(self, words: list[str]) -> np.ndarray:
-        """The log-probability of each word, its end included: a row for each word."""
+        """The log-probability of each word, its end included: a row for each word. Words go in blocks, each with its own hashes."""
+        block = np.cumsum([len(w) + 1 for w in words]) // BLOCK
+        cuts = [0, *(np.flatnonzero(np.diff(block)) + 1).tolist(), len(words)]
+        return np.concatenate([self._block_scores(words[a:b]) for a, b in pairwise(cuts)])
+
+    def _block_scores(self, words: list[str]) -> np.ndarray:
         pad = START * (ORDER - 1)
         codes = _codes("".join(pad + w + STOP for w in words))
         lengths = np.array([len(w) + 1 for w in words])
@@ -236,8 +244,13 @@ class _Scores(dict):
             scores = np.column_stack([self.model.word_scores(words), [len(w) + 1 for w in words]])
             owner = np.repeat(np.arange(len(new)), list(map(len, parts)))
             np.add.at(rows, owner, scores[[number[w] for p in parts for w in p]])
-        self.update(zip(new, range(len(self), len(self) + len(new)), strict=True))
-        self.rows = np.concatenate([self.rows, rows])
+        first, last = len(self), len(self) + len(new)
+        if last > len(self.rows):
+            grown = np.empty((max(last, 2 * first), self.rows.shape[1]))
+            grown[:first] = self.rows[:first]
+            self.rows = grown
+        self.rows[first:last] = rows
+        self.update(zip(new, range(first, last), strict=True))
         out = np.zeros((len(texts), rows.shape[1]))
         filled = [i for i, t in enumerate(texts) if t]
         if filled:
@@ -247,17 +260,6 @@ class _Scores(dict):
         return out
 
 
-_KEPT: dict[str, _Scores] = {}
-
-
-def _scores_of(model: Model) -> _Scores:
-    """What this worker process remembers of the model, over all its tasks; only the last model's is kept."""
-    if model.key not in _KEPT:
-        _KEPT.clear()
-        _KEPT[model.key] = _Scores(model)
-    return _KEPT[model.key]
-
-
 def _judged(scores: _Scores, texts: list[str]) -> list[tuple]:
     langs, rows = scores.model.langs, []
     totals = scores.totals([t.split() for t in texts])
@@ -296,16 +298,16 @@ def predict(docs: DataFrame, model: Model | Tables, keep_text: bool = True) -> D
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema if f.name != "_text"), "lang_pred string, score double, entropy double, letters long"])
     if isinstance(model, Tables):
         return _predict_joined(source, model, schema)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared, key = docs.sparkSession.sparkContext.broadcast(model), model.key
 
     def run(batches: Batches) -> Batches:
-        scores = _scores_of(shared.value)
+        scores = kept(key, lambda: _Scores(shared.value))
         for batch in batches:
             rows = [row for piece in _pieces(batch.column("_text")) for row in _judged(scores, piece)]
             arrays, names = _with_judgements(batch, rows, ("_text",))
             yield pa.RecordBatch.from_arrays(arrays, names=names)
 
-    return map_batches(source, run, schema)
+    return map_batches(source, run, schema, keeps=key)
 
 
 def _predict_joined(source: DataFrame, model: Tables, schema: str) -> DataFrame:

@@ -11,11 +11,12 @@ import zlib
 from collections import Counter, defaultdict
 
 import cases
+import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from gleaner.llm import langid, mixing, secrets, simhash, urlpaths
+from gleaner.llm import common, langid, mixing, secrets, simhash, urlpaths
 
 # ---- secrets in dense texts -----------------------------------------------------------------------
 
@@ -257,3 +258,50 @@ def test_fingerprints_make_no_copy_of_a_whole_batch():
     tracemalloc.stop()
     assert got == [simhash.fingerprint(t and t.encode(), 4, 42) for t in texts] and got[-3:] == [0, 0, 0]
     assert peak < column.nbytes / 4
+
+
+# ---- memory of workers between operators ------------------------------------------------------------
+
+
+def test_workers_keep_word_scores_for_language_id_only(spark):
+    def sizes_kept(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([len(common._KEPT)] * batch.num_rows, pa.int64())], names=["n"])
+
+    docs = spark.createDataFrame([(i, ["the cat sat", "le chat noir"][i % 2], ["en", "fr"][i % 2]) for i in range(40)], "doc_id long, text string, lang string")
+    model = langid.fit(docs)
+    tasks = spark.range(0, 64, 1, 32)
+    scored = langid.predict(tasks.select(F.col("id").alias("doc_id"), F.lit("the cat").alias("text")), model)
+    assert scored.where("lang_pred = 'en'").count() == 64
+    own = common.map_batches(tasks, sizes_kept, "n long", keeps=model.key)
+    assert own.agg(F.max("n")).first()[0] == 1
+    assert common.map_batches(tasks, sizes_kept, "n long").agg(F.max("n")).first()[0] == 0
+
+
+def test_words_are_scored_in_blocks():
+    rng, langs = np.random.default_rng(1), ["a", "b", "c"]
+    words = ["".join(map(chr, rng.integers(97, 123, n))) for n in rng.integers(1, 12, 60_000)] + ["x" * (langid.BLOCK + 5), "end"]
+
+    def table(k):
+        codes = langid._codes("".join(w.rjust(5, langid.START)[-k:] for w in words[::3])) if k else np.zeros(1, np.uint64)
+        keys = np.unique(langid.run_hashes(codes, k)[k - 1 :: k] if k else langid.run_hashes(codes, 0))
+        return keys, -rng.random((len(keys), len(langs)), dtype=np.float32)
+
+    model = langid.Model(langs, [table(k) for k in range(1, 6)], [table(k) for k in range(5)])
+    tracemalloc.start()
+    got = model.word_scores(words)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert got.shape == (len(words), len(langs))
+    some = [0, 1, 17, 9_361, 9_362, 30_000, 59_999, 60_000, 60_001]
+    assert (got[some] == np.concatenate([model.word_scores([words[i]]) for i in some])).all()
+    assert peak < 20 * 8 * langid.BLOCK * (2 + len(langs))
+
+
+def test_remembered_words_keep_their_scores_as_more_come():
+    model = langid.Scored(["a", "b"], {f"{chr(97 + i % 26)}{'x' * (i // 26)}": [float(-i), float(-2 * i)] for i in range(260)})
+    words, kept = list(model.rows), langid._Scores(model)
+    for at in range(0, 260, 13):
+        texts = [words[: at + 13], [], [words[at], "9", words[0]]]
+        want = [[sum(model.rows[w][i] for w in t if w in model.rows) for i in (0, 1)] + [sum(len(w) + 1 for w in t if w in model.rows)] for t in texts]
+        assert kept.totals(texts).tolist() == want
