@@ -9,9 +9,11 @@ from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from itertools import pairwise
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -21,6 +23,8 @@ ORDER = 5
 #: Marks before and after each word; a word's letters are scored with the marks as their context.
 START, STOP = "\x02", "\x03"
 LETTERS = re.compile(r"[^\W\d_]+")
+#: Words and line ends: what stands in one line of many is told apart by these.
+LINES = re.compile(r"[^\W\d_]+|\n")
 #: A model of at most so many bytes is broadcast; a larger one stays in tables and is joined to the words' grams.
 BROADCAST_BYTES = 1 << 27
 #: Log-probability of a letter that no order knows.
@@ -122,6 +126,22 @@ def _codes(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
 
 
+class Grams(NamedTuple):
+    """Sorted hashes with a last one above all, a row for each, and the place where each run of equal highest bits begins."""
+
+    keys: np.ndarray
+    rows: np.ndarray
+    first: np.ndarray
+
+    @classmethod
+    def of(cls, keys: np.ndarray, rows: np.ndarray, missing: float) -> Grams:
+        """``missing`` is in place of NaN, and a whole row of it is last: the row of a hash that is not there."""
+        bits = max(1, len(keys).bit_length())
+        first = np.searchsorted(keys, np.arange(1 << bits, dtype=np.uint64) << np.uint64(64 - bits)).astype(np.int32)
+        filled = np.vstack([np.where(np.isnan(rows), np.float32(missing), rows), np.full((1, rows.shape[1]), missing)]).astype(np.float32)
+        return cls(np.r_[keys, np.uint64(2**64 - 1)], filled, first)
+
+
 @dataclass
 class Model:
     """Sorted 64-bit hashes of the grams of each order, with one row of logarithms for each: a column for each language."""
@@ -131,13 +151,20 @@ class Model:
     shares: list[tuple[np.ndarray, np.ndarray]]
     key: str = field(default_factory=lambda: uuid.uuid4().hex)
 
-    def look(self, table: tuple[np.ndarray, np.ndarray], hashes: np.ndarray) -> np.ndarray:
-        keys, rows = table
-        if not len(keys):
-            return np.full((len(hashes), len(self.langs)), np.nan, np.float32)
-        at = np.searchsorted(keys, hashes)
-        at[at == len(keys)] = 0
-        return np.where((keys[at] == hashes)[:, None], rows[at], np.float32(np.nan))
+    def __post_init__(self) -> None:
+        self.probabilities = [Grams.of(*table, np.nan) for table in self.probabilities]
+        self.shares = [Grams.of(*table, 0.0) for table in self.shares]
+
+    def look(self, table: Grams, hashes: np.ndarray) -> np.ndarray:
+        """The row of each hash. Hashes are spread evenly, so few steps lead from where its highest bits begin to its place."""
+        keys, rows, first = table
+        at = first.take((hashes >> np.uint64(65 - len(first).bit_length())).view(np.int64)).astype(np.intp)
+        late = np.flatnonzero(keys.take(at) < hashes)
+        while len(late):
+            at[late] += 1
+            late = late[keys.take(at[late]) < hashes[late]]
+        at[keys.take(at) != hashes] = len(rows) - 1
+        return rows.take(at, axis=0)
 
     def word_scores(self, words: list[str]) -> np.ndarray:
         """The log-probability of each word, its end included: a row for each word. Words go in blocks, each with its own hashes."""
@@ -151,16 +178,13 @@ class Model:
         lengths = np.array([len(w) + 1 for w in words])
         ends = np.cumsum(lengths + ORDER - 1)
         scored = np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths) + np.repeat(ends - lengths, lengths)
-        score = np.zeros((len(scored), len(self.langs)))
-        hashes = [run_hashes(codes, k) for k in range(ORDER + 1)]
-        opened = np.ones(score.shape, bool)
-        for k in range(ORDER, 0, -1):
-            found = self.look(self.probabilities[k - 1], hashes[k][scored])
-            score += np.where(opened & ~np.isnan(found), found, 0)
-            opened &= np.isnan(found)
-            share = self.look(self.shares[k - 1], hashes[k - 1][scored - 1])
-            score += np.where(opened & ~np.isnan(share), share, 0)
-        score += np.where(opened, UNKNOWN, 0)
+        score = np.full((len(scored), len(self.langs)), UNKNOWN)
+        below = run_hashes(codes, 0)
+        for k in range(1, ORDER + 1):
+            score += self.look(self.shares[k - 1], below[scored - 1])
+            below = run_hashes(codes, k)
+            found = self.look(self.probabilities[k - 1], below[scored])
+            np.copyto(score, found, where=~np.isnan(found))
         return np.add.reduceat(score, np.cumsum(lengths) - lengths, axis=0)
 
 
@@ -228,41 +252,53 @@ class _Scores(dict):
         super().__init__()
         self.model, self.rows = model, np.zeros((0, len(model.langs) + 1))
 
-    def totals(self, texts: list[list[str]]) -> np.ndarray:
-        """For each text, given as words between blanks, summed log-probabilities and its number of letters."""
-        chunks = [c for t in texts for c in t]
-        new = list({c for c in chunks if c not in self})
+    def totals(self, texts: pa.Array | list[list[str]]) -> np.ndarray:
+        """For each text, given as words between blanks, summed log-probabilities and its number of letters.
+
+        Each distinct word between blanks is looked up once, however often the texts have it.
+        """
+        texts = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.list_(pa.string()))
+        chunks = texts.flatten().dictionary_encode()
+        distinct = chunks.dictionary.to_numpy(zero_copy_only=False).tolist()
+        new = [c for c in distinct if c not in self]
         if len(self) + len(new) > REMEMBERED:
             self.clear()
             self.rows = self.rows[:0]
-            new = list(set(chunks))
-        parts = [words_of(c) for c in new]
-        words = list({w for p in parts for w in p})
-        number = {w: i for i, w in enumerate(words)}
-        rows = np.zeros((len(new), self.rows.shape[1]))
-        if words:
-            scores = np.column_stack([self.model.word_scores(words), [len(w) + 1 for w in words]])
-            owner = np.repeat(np.arange(len(new)), list(map(len, parts)))
-            np.add.at(rows, owner, scores[[number[w] for p in parts for w in p]])
+            new = distinct
         first, last = len(self), len(self) + len(new)
         if last > len(self.rows):
             grown = np.empty((max(last, 2 * first), self.rows.shape[1]))
             grown[:first] = self.rows[:first]
             self.rows = grown
-        self.rows[first:last] = rows
+        self.rows[first:last] = self.chunk_rows(new)
         self.update(zip(new, range(first, last), strict=True))
-        out = np.zeros((len(texts), rows.shape[1]))
-        filled = [i for i, t in enumerate(texts) if t]
-        if filled:
-            picked = self.rows[list(map(self.__getitem__, chunks))]
-            starts = np.cumsum([0, *(len(texts[i]) for i in filled)])[:-1]
-            out[filled] = np.add.reduceat(picked, starts, axis=0)
+        lengths = pc.list_value_length(texts).to_numpy()
+        out, filled = np.zeros((len(texts), self.rows.shape[1])), lengths > 0
+        if filled.any():
+            starts, at = (np.cumsum(lengths) - lengths)[filled], chunks.indices.to_numpy()
+            rows = self.rows[np.fromiter(map(self.__getitem__, distinct), np.int64, len(distinct))]
+            for i in range(rows.shape[1]):
+                out[filled, i] = np.add.reduceat(rows[:, i].copy().take(at), starts)
         return out
 
+    def chunk_rows(self, chunks: list[str]) -> np.ndarray:
+        """A row for each word between blanks: the sums over the words of letters in it, each of which is scored once."""
+        rows = np.zeros((len(chunks), self.rows.shape[1]))
+        found = LINES.findall("\n".join(chunks).lower())
+        ends = np.fromiter((w == "\n" for w in found), bool, len(found))
+        number: dict[str, int] = {}
+        at = [number.setdefault(w, len(number)) for w in found if w != "\n"]
+        if at:
+            words, owner = list(number), np.cumsum(ends)[~ends]
+            scores = np.column_stack([self.model.word_scores(words), [len(w) + 1 for w in words]])
+            starts = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
+            rows[owner[starts]] = np.add.reduceat(scores[at], starts, axis=0)
+        return rows
+
 
 def _judged(scores: _Scores, texts: list[str]) -> list[tuple]:
     langs, rows = scores.model.langs, []
-    totals = scores.totals([t.split() for t in texts])
+    totals = scores.totals(pc.ascii_split_whitespace(pa.array(texts, pa.large_string())))
     for text, (*sums, letters) in zip(texts, totals.tolist(), strict=True):
         if not letters or not sums or not any(c.isalpha() for c in text):
             rows.append(("und", 0.0, None, int(letters)))

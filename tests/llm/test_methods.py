@@ -305,3 +305,49 @@ def test_remembered_words_keep_their_scores_as_more_come():
         texts = [words[: at + 13], [], [words[at], "9", words[0]]]
         want = [[sum(model.rows[w][i] for w in t if w in model.rows) for i in (0, 1)] + [sum(len(w) + 1 for w in t if w in model.rows)] for t in texts]
         assert kept.totals(texts).tolist() == want
+
+
+def test_a_word_is_looked_up_once_for_all_its_places():
+    class Counted(langid._Scores):
+        asked = 0
+
+        def __contains__(self, word):
+            self.asked += 1
+            return super().__contains__(word)
+
+        def __getitem__(self, word):
+            self.asked += 1
+            return super().__getitem__(word)
+
+    kept = Counted(langid.Scored(["a", "b"], {w: [-1.0, -2.0] for w in ("the", "cat", "sat")}))
+    assert kept.totals([["the", "cat", "sat"] * 1000, ["cat"] * 500]).tolist() == [[-3000.0, -6000.0, 12000.0], [-500.0, -1000.0, 2000.0]]
+    assert kept.asked <= 6
+
+
+def test_hashes_are_found_from_their_highest_bits():
+    rng, top = np.random.default_rng(2), 2**64 - 1
+    some = rng.integers(0, top, 5_000, np.uint64, endpoint=True)
+    crowded = np.arange(2_000, dtype=np.uint64) + np.uint64(1 << 63)
+    for keys in (np.unique(np.r_[some, crowded, np.uint64(0), np.uint64(top)]), np.unique(some), np.array([7], np.uint64), np.array([], np.uint64)):
+        rows = rng.random((len(keys), 2), dtype=np.float32)
+        rows[::3, 0] = np.nan
+        model = langid.Model(["a", "b"], [(keys, rows)], [(keys, rows)])
+        asked = np.r_[keys, keys + np.uint64(1), keys - np.uint64(1), np.array([0, 1, top - 1, top], np.uint64)]
+        known = {int(k): r for k, r in zip(keys, rows, strict=True)}
+        want = np.array([known.get(int(h), [np.nan] * 2) for h in asked], np.float32)
+        assert np.array_equal(model.look(model.probabilities[0], asked), want, equal_nan=True)
+        assert np.array_equal(model.look(model.shares[0], asked), np.nan_to_num(want))
+
+
+def test_words_between_other_blanks_and_marks_are_told_apart():
+    texts = ["ΑΣ\u2003ΣΑΣ ΑΣ,ΑΣΑ", "İß\x1fx\x85y\u00a0z\n\nİß", " a1b_c\td\r\n", "", "12 !", "ΑΣ"]
+    words = sorted({w for t in texts for w in langid.words_of(t)})
+    model = langid.Scored(["a", "b"], {w: [-1.0 - i, -0.5 * i] for i, w in enumerate(words)})
+    want = []
+    for text in texts:
+        found = langid.words_of(text)
+        sums = [sum(model.rows[w][i] for w in found) for i in (0, 1)]
+        letters = sum(len(w) + 1 for w in found)
+        want.append(("ab"[sums.index(max(sums))], -max(sums) / letters, letters) if letters else ("und", None, 0))
+    got = langid._judged(langid._Scores(model), texts)
+    assert [(lang, entropy, letters) for lang, _, entropy, letters in got] == want
